@@ -1 +1,228 @@
-"""To come."""
+"""Scaling, training, validation, scoring."""
+
+import tempfile
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog import query
+from tidemark.catalog import views as V
+from tidemark.operators import models, scaling, split
+from tidemark.operators.project import by_prefix
+from tidemark.plans import scoring, training
+from tidemark.sources import surrogates as S
+
+_FEATURES = [f"fe_{i}" for i in range(1, 7)]
+_DATE = "2024-09-01"
+
+
+def _panel(spark, sf_dir):
+    """Labels and features as the two tables training starts from."""
+    panel = S.model_panel(spark, sf_dir)
+    labels = panel.select("Customer_ID", "snapshot_date", "label")
+    return labels, panel.drop("label")
+
+
+def _prepared(spark, sf_dir):
+    labels, features = _panel(spark, sf_dir)
+    return training.prepare(labels, features, _DATE, _FEATURES, split.integer_hash(F.col("Customer_ID"), 88))
+
+
+_Z = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query(
+    "mdl_standard_scaling",
+    "WITH s AS (SELECT "
+    + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_Z))
+    + """ FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01')
+ SELECT l_orderkey, l_linenumber, """
+    + ", ".join(f"round(({c} - m{i})/s{i}, 6) + 0.0 AS {c}" for i, c in enumerate(_Z))
+    + " FROM lineitem, s",
+)
+def standard_scaling(spark, sf_dir):
+    """Fitted on rows before a date, applied to all."""
+    lines = S.table(spark, sf_dir, "lineitem")
+    fitted = scaling.fit_scaler(lines.where("l_shipdate < '1999-01-01'"), _Z)
+    scaled = fitted.transform(lines.select("l_orderkey", "l_linenumber", *_Z))
+    return scaled.withColumns({c: F.round(c, 6) + 0.0 for c in _Z})
+
+
+@query(
+    "mdl_class_weights",
+    f"""WITH {V.SCORES}, c AS (SELECT label, count(*) AS n FROM scores GROUP BY label), w AS (SELECT sum(n) AS n, count(*) AS k FROM c)
+ SELECT Customer_ID, label, round(w.n/(w.k*c.n), 6) AS weight FROM scores JOIN c USING (label), w""",
+)
+def class_weights(spark, sf_dir):
+    out = models.with_class_weights(S.scores(spark, sf_dir).select("Customer_ID", "label"))
+    return out.withColumn("weight", F.round("weight", 6))
+
+
+def _fit_and_rate(name, calibrate=True):
+    def run(spark, sf_dir):
+        data = _prepared(spark, sf_dir)
+        model = models.fit_candidate(
+            models.candidate(name),
+            data.train,
+            data.features,
+            data.scaler,
+            calibrate=calibrate,
+            version=_version(),
+        )
+        return training.rate_splits(model, data)
+
+    return run
+
+
+def _version():
+    return "credit_model_" + _DATE.replace("-", "_")
+
+
+query("mdl_logistic_regression")(_fit_and_rate("logistic_regression"))
+query("mdl_random_forest")(_fit_and_rate("random_forest"))
+query("mdl_gradient_boosting")(_fit_and_rate("gradient_boosting", calibrate=False))
+query("mdl_rbf_svm")(_fit_and_rate("svm"))
+
+
+def _logistic(data, calibrate=True):
+    return models.fit_candidate(
+        models.candidate("logistic_regression"),
+        data.train,
+        data.features,
+        data.scaler,
+        calibrate=calibrate,
+        version=_version(),
+    )
+
+
+@query("mdl_calibration")
+def calibration(spark, sf_dir):
+    """Slope and intercept of each member's sigmoid."""
+    model = _logistic(_prepared(spark, sf_dir))
+    rows = [(i, float(a), float(b)) for i, (_, a, b) in enumerate(model.members)]
+    return spark.createDataFrame(rows, "member int, slope double, intercept double")
+
+
+@query("mdl_cross_validation")
+def cross_validation(spark, sf_dir):
+    data = _prepared(spark, sf_dir)
+    train = data.train.withColumnRenamed("fold", "outer_fold")
+    spec = models.candidate("logistic_regression")
+
+    def fit(rows):
+        return models.fit_candidate(spec, rows, data.features, data.scaler, calibrate=False)
+
+    return models.cross_validate(fit, train)
+
+
+@query("mdl_random_search")
+def random_search(spark, sf_dir):
+    """Two draws of the grid; the full search is ``n_iter=100``."""
+    data = _prepared(spark, sf_dir)
+    fitted, draws = models.random_search(
+        data.scaler.transform(data.train), data.features, n_iter=2
+    )
+    return models.search_results(spark, fitted, draws)
+
+
+def _compared(spark, sf_dir):
+    data = _prepared(spark, sf_dir)
+    names = ["logistic_regression", "svm"]
+    return training.train_and_compare(data, [models.candidate(n) for n in names], version=_version())
+
+
+@query("mdl_registry")
+def registry(spark, sf_dir):
+    _, comparison, _ = _compared(spark, sf_dir)
+    return models.registry(comparison)
+
+
+@query("mdl_best_model")
+def best_model(spark, sf_dir):
+    _, comparison, _ = _compared(spark, sf_dir)
+    return models.best_model(comparison)
+
+
+@query("mdl_save_reload")
+def save_reload(spark, sf_dir):
+    """Rows whose score differs between a model and its reloaded copy, per split."""
+    data = _prepared(spark, sf_dir)
+    model = _logistic(data)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    path = f"{folder}/models/{spark.sparkContext.applicationId}/{_version()}"
+    models.save_model(model, spark, path)
+    again = models.load_model(spark, path)
+    rows = model.score(data.rows.select("split", *data.features), "before")
+    both = again.score(rows, "after")
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("before") != F.col("after")).alias("different"),
+    )
+
+
+@query("scr_snapshot")
+def score_snapshot(spark, sf_dir):
+    _, features = _panel(spark, sf_dir)
+    model = _logistic(_prepared(spark, sf_dir))
+    return scoring.score_snapshots(model, features, _DATE)
+
+
+@query("scr_backfill")
+def score_backfill(spark, sf_dir):
+    _, features = _panel(spark, sf_dir)
+    model = _logistic(_prepared(spark, sf_dir))
+    return scoring.score_snapshots(model, features)
+
+
+# weights of the fixed linear scorer below
+_WEIGHTS = {"fe_1": 0.5, "fe_2": -0.25, "fe_3": 0.125}
+
+
+def _linear(rows):
+    margin = sum((F.col(c) * w for c, w in _WEIGHTS.items()), F.lit(0.0))
+    return rows.withColumn("confidence", 1.0 / (1.0 + F.exp(-margin)))
+
+
+_LINEAR = " + ".join(f"(fe_{i} - m{i})/s{i}*({w})::double" for i, w in enumerate(_WEIGHTS.values(), 1))
+
+
+@query(
+    "scr_batch",
+    f"""WITH {V.CLICKSTREAM}, c AS (SELECT Customer_ID, snapshot_date, fe_1, fe_2, CASE WHEN fe_3 > 0 THEN fe_3 END AS fe_3 FROM clickstream),
+ md AS (SELECT median(fe_3) AS x FROM c),
+ f AS (SELECT Customer_ID, snapshot_date, fe_1, fe_2, fe_3 AS raw_3, coalesce(fe_3, x) AS fe_3 FROM c, md),
+ s AS (SELECT avg(fe_1) AS m1, stddev_pop(fe_1) AS s1, avg(fe_2) AS m2, stddev_pop(fe_2) AS s2, avg(fe_3) AS m3, stddev_pop(fe_3) AS s3 FROM f),
+ p AS (SELECT f.*, 1.0::double/(1 + exp(-({_LINEAR}))) AS confidence FROM f, s)
+ SELECT Customer_ID, snapshot_date, fe_1, fe_2, raw_3 AS fe_3, CASE WHEN confidence >= 0.6 THEN 1 ELSE 0 END AS prediction, round(confidence, 6) AS confidence,
+ 0.6::double AS threshold_used, 'linear_1' AS model_version FROM p""",
+)
+def score_batch(spark, sf_dir):
+    """Align, impute by the batch, scale, score with a fixed linear model, decide, add lineage."""
+    clicks = S.clickstream(spark, sf_dir)
+    clicks = clicks.withColumn("fe_3", F.when(F.col("fe_3") > 0, F.col("fe_3")))
+    features = by_prefix(clicks)
+    ready = scoring.preprocess(clicks, features, imputation="batch")
+    scaler = scaling.fit_scaler(ready, features)
+    scored = scoring.score_batch(
+        clicks, _linear, features, scaler=scaler, imputation="batch", threshold=0.6, version="linear_1"
+    )
+    return scored.drop("timestamp").withColumn("confidence", F.round("confidence", 6))
+
+
+@query(
+    "scr_batch_zero_fill",
+    f"""WITH {V.CLICKSTREAM} SELECT Customer_ID, snapshot_date, fe_1, fe_2, fe_3,
+ CASE WHEN 1.0::double/(1 + exp(-(fe_1*0.5::double + fe_2*(-0.25)::double + fe_3*0.125::double))) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM clickstream""",
+)
+def score_batch_zero_fill(spark, sf_dir):
+    scored = scoring.score_batch(
+        S.clickstream(spark, sf_dir), _linear, _FEATURES, imputation="zero", threshold=0.5
+    )
+    return scored.select("Customer_ID", "snapshot_date", "fe_1", "fe_2", "fe_3", "prediction")
+
+
+@query("scr_batch_with_bundle")
+def score_batch_with_bundle(spark, sf_dir):
+    _, features = _panel(spark, sf_dir)
+    model = replace(_logistic(_prepared(spark, sf_dir)), threshold=0.7)
+    return scoring.score_batch_with(model, features)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.clean import unmask_missing
 from tidemark.operators.knn import fill_from_neighbours
 from tidemark.operators.ordering import exact_medians
-from tidemark.operators.profile import known, missing_profile, modes, moments
+from tidemark.operators.profile import known, modes
 from tidemark.operators.project import numeric_columns
 from tidemark.settings import ImputeRule
 
@@ -271,16 +271,22 @@ def fit_imputer(
     """Fit on ``columns`` (default all) of a training frame."""
     clean = unmask_missing(df.select(*columns) if columns else df)
     clean = clean.select(*[known(clean, c).alias(c) for c in clean.columns])
-    profile = missing_profile(clean, approximate=True)
-    profile = {r.feature: r for r in profile.collect()}
-    kept = [
-        c for c in clean.columns if profile[c].missing_percentage <= rule.drop_above * 100
-    ]
-    numeric = [c for c in numeric_columns(clean) if c in kept]
+    all_numeric = numeric_columns(clean)
+    # counts, means and deviations of all columns in one scan
+    row = clean.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"n_{c}") for c in clean.columns],
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in all_numeric],
+        *[F.stddev_samp(F.col(c).cast("double")).alias(f"s_{c}") for c in all_numeric],
+    ).first()
+    missing = {c: row["rows"] - row[f"n_{c}"] for c in clean.columns}
+    missing_pct = {c: missing[c] * 100.0 / max(row["rows"], 1) for c in clean.columns}
+    kept = [c for c in clean.columns if missing_pct[c] <= rule.drop_above * 100]
+    numeric = [c for c in all_numeric if c in kept]
+    mean = {c: row[f"m_{c}"] for c in numeric}
+    std = {c: row[f"s_{c}"] for c in numeric}
     strategies = {
-        c: strategy_for(c, c in numeric, profile[c].missing_percentage, rule)
-        for c in kept
-        if profile[c].missing_count > 0
+        c: strategy_for(c, c in numeric, missing_pct[c], rule) for c in kept if missing[c] > 0
     }
     for c, strategy in strategies.items():
         if strategy in ("knn", "iterative") and (c not in numeric or len(numeric) < 2):
@@ -288,10 +294,8 @@ def fit_imputer(
     by_text = [c for c in kept if c not in numeric]
     by_mode = [c for c in numeric if strategies.get(c) == "most_frequent"]
 
-    mean, std, median, mode = {}, {}, {}, {}
+    median, mode = {}, {}
     if numeric:
-        for r in moments(clean, numeric).collect():
-            mean[r.feature], std[r.feature] = r["mean"], r["std"]
         median = {r.feature: r["median"] for r in exact_medians(clean, numeric).collect()}
     if by_text:
         mode.update({r.feature: r["mode"] for r in modes(clean, by_text, "string").collect()})
@@ -301,8 +305,8 @@ def fit_imputer(
     fits = {
         c: ColumnFit(
             c,
-            profile[c].is_numeric,
-            float(profile[c].missing_percentage),
+            c in all_numeric,
+            missing_pct[c],
             strategies.get(c),
             c not in kept,
             mean.get(c),

@@ -172,7 +172,8 @@ def neighbour_means(
                         ]
                     )
             return visitors[names].assign(near=found)
-        return pd.DataFrame({**{n: pd.Series(dtype=float) for n in names}, "near": []})
+        empty = {n: pd.Series(dtype=float) for n in names}
+        return pd.DataFrame({**empty, "near": pd.Series(dtype=object)})
 
     near_type = "array<struct<d:double,y:double,n:bigint>>"
     schema = ", ".join(f"{n} double" for n in names) + f", near {near_type}"

@@ -8,11 +8,26 @@ carries the total of the ranges before it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+ONE_TASK_ROWS = 1_000_000  # rows known to be few enough to order in one task
+
+
+class _Zone(NamedTuple):
+    """Value range that holds the two middle ranks, its rows, and the ranks counted inside it."""
+
+    low: float
+    high: float
+    rows: int
+    first: int
+    second: int
+
+
 RANGES = 1024  # bound on key ranges, and so on rows of the broadcast offsets per group
 
 
@@ -106,19 +121,34 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000)
         ]
     ).first()
     zones = {c: _middle_zone(*sketch[c], **counts[c].asDict()) for c in columns}
+    # a zone of one value is the median itself
+    known = [c for c in columns if zones[c].low == zones[c].high]
+    open_ = [c for c in columns if c not in known]
+    medians = [df.sparkSession.range(1).select(F.lit(c).alias("feature"), F.lit(float(zones[c].low)).alias("median")) for c in known]
+    if open_:
+        medians.append(_ordered_medians(wide, {c: zones[c] for c in open_}))
+    return reduce(DataFrame.unionByName, medians)
+
+
+def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone]) -> DataFrame:
+    columns = list(zones)
     inside = (
         wide.select(
-            *[F.when(F.col(c).between(zones[c][0], zones[c][1]), F.col(c)).alias(c) for c in columns]
+            *[F.when(F.col(c).between(zones[c].low, zones[c].high), F.col(c)).alias(c) for c in columns]
         )
         .unpivot([], columns, "feature", "value")
         .where(F.col("value").isNotNull())
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ordered = running_totals(inside, "value", ["n"], ["feature"])
+    if max(z.rows for z in zones.values()) <= ONE_TASK_ROWS:
+        upto = W.partitionBy("feature").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+        ordered = inside.withColumn("cum_n", F.sum("n").over(upto))
+    else:
+        ordered = running_totals(inside, "value", ["n"], ["feature"])
     ranks = F.lit(None)
-    for c in columns:
-        ranks = F.when(F.col("feature") == c, F.array(*map(F.lit, zones[c][2:]))).otherwise(ranks)
+    for c, z in zones.items():
+        ranks = F.when(F.col("feature") == c, F.array(F.lit(z.first), F.lit(z.second))).otherwise(ranks)
 
     def at(i: int) -> Column:
         rank = F.get(ranks, F.lit(i))
@@ -128,11 +158,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000)
     return ordered.groupBy("feature").agg(((at(0) + at(1)) / 2).alias("median"))
 
 
-def _middle_zone(low: float, high: float, n: int, below: int, upto: int):
-    """Value range that holds the two middle ranks, and the ranks counted from its start."""
+def _middle_zone(low: float, high: float, n: int, below: int, upto: int) -> _Zone:
     first, second = (n - 1) // 2, n // 2
     if first < below:
         low, below = float("-inf"), 0
     if second >= upto:
-        high = float("inf")
-    return low, high, first - below, second - below
+        high, upto = float("inf"), n
+    return _Zone(low, high, upto - below, first - below, second - below)
