@@ -58,11 +58,20 @@ def class_weights(spark, sf_dir):
     return out.withColumn("weight", F.round("weight", 6))
 
 
+# Ensemble sizes of the registered queries; the library defaults (200 trees of depth 20, 100
+# boosting rounds, 100 draws) are for training runs, not for a check of every query.
+_SMALL = {
+    "random_forest": {"numTrees": 20, "maxDepth": 6},
+    "gradient_boosting": {"maxIter": 5},
+    "svm": {"maxIter": 10},
+}
+
+
 def _fit_and_rate(name, calibrate=True):
     def run(spark, sf_dir):
         data = _prepared(spark, sf_dir)
         model = models.fit_candidate(
-            models.candidate(name),
+            models.candidate(name, **_SMALL.get(name, {})),
             data.train,
             data.features,
             data.scaler,
@@ -128,7 +137,7 @@ def random_search(spark, sf_dir):
 def _compared(spark, sf_dir):
     data = _prepared(spark, sf_dir)
     names = ["logistic_regression", "svm"]
-    return training.train_and_compare(data, [models.candidate(n) for n in names], version=_version())
+    return training.train_and_compare(data, [models.candidate(n, **_SMALL.get(n, {})) for n in names], version=_version())
 
 
 @query("mdl_registry")

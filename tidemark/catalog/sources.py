@@ -1 +1,169 @@
-"""To come."""
+"""Scans and sinks, on data written from the given tables first."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog import query
+from tidemark.catalog import views as V
+from tidemark.operators import clean, drift, metrics, profile
+from tidemark.plans import datamart
+from tidemark.sources import readers, schemas, writers
+from tidemark.sources import surrogates as S
+from tidemark.streaming import snapshots
+
+
+def _folder(spark):
+    """A new folder in the shared checkpoint location, or a local one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        return tempfile.mkdtemp(prefix="tidemark-")
+    return f"{base.rstrip('/')}/tidemark/{spark.sql('SELECT uuid()').first()[0]}"
+
+
+def _attributes_csv(spark, sf_dir):
+    path = f"{_folder(spark)}/attributes"
+    rows = S.attributes(spark, sf_dir)
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query("src_csv", f"WITH {V.ATTRIBUTES} SELECT Customer_ID, Name, Age, SSN, Occupation, cast(snapshot_date as varchar) AS snapshot_date FROM attributes")
+def csv_scan(spark, sf_dir):
+    """Everything as text, embedded quotes intact."""
+    return readers.read_csv(spark, _attributes_csv(spark, sf_dir), schemas.ATTRIBUTES)
+
+
+_STORE = "SELECT Customer_ID, Age, Occupation, snapshot_date FROM silver_att"
+
+
+def _silver_table(spark, sf_dir):
+    path = f"{_folder(spark)}/silver_attributes"
+    silver = clean.silver_attributes(S.attributes(spark, sf_dir))
+    writers.write_snapshots(silver.select("Customer_ID", "Age", "Occupation", "snapshot_date"), path)
+    return path
+
+
+@query("src_snapshot", f"WITH {V.SILVER_ATTRIBUTES} {_STORE} WHERE snapshot_date = DATE '2024-03-01'")
+def snapshot_scan(spark, sf_dir):
+    return readers.read_table(spark, _silver_table(spark, sf_dir), "2024-03-01")
+
+
+@query("src_all_snapshots", f"WITH {V.SILVER_ATTRIBUTES} {_STORE}")
+def all_snapshots(spark, sf_dir):
+    return readers.read_table(spark, _silver_table(spark, sf_dir))
+
+
+@query("src_optional", f"WITH {V.SILVER_ATTRIBUTES} {_STORE}")
+def optional_scan(spark, sf_dir):
+    """One source that exists and one that does not."""
+    path = _silver_table(spark, sf_dir)
+    present = readers.read_first_present(
+        [readers.read_if_present(spark, f"{path}_absent"), readers.read_if_present(spark, path)]
+    )
+    return present[0]
+
+
+@query("src_any_format", f"WITH {V.SCORES} SELECT 'parquet' AS format, * FROM scores UNION ALL SELECT 'jsonl', * FROM scores UNION ALL SELECT 'csv', * FROM scores")
+def any_format(spark, sf_dir):
+    """The same rows through three formats picked by extension."""
+    folder = _folder(spark)
+    scores = S.scores(spark, sf_dir)
+    whole = None
+    for fmt, extension in [("parquet", "parquet"), ("json", "jsonl"), ("csv", "csv")]:
+        path = f"{folder}/scores.{extension}"
+        scores.write.format(fmt).option("header", True).save(path)
+        back = readers.read_any(spark, path).select(
+            F.lit(extension).alias("format"),
+            *[F.col(c).cast(t).alias(c) for c, t in scores.dtypes],
+        )
+        whole = back if whole is None else whole.unionByName(back)
+    return whole
+
+
+@query("src_json_records", f"WITH {V.SCORES} SELECT Customer_ID, label, score FROM scores")
+def json_records(spark, sf_dir):
+    """Pretty-printed objects with commas between them, under a ``.csv`` name."""
+    path = f"{_folder(spark)}/scores.csv"
+    scores = S.scores(spark, sf_dir).select("Customer_ID", "label", "score")
+    pretty = F.concat(F.to_json(F.struct("*"), {"pretty": "true"}), F.lit(","))
+    scores.select(pretty.alias("value")).write.text(path)
+    schema = "Customer_ID bigint, label int, score double"
+    return readers.read_json_records(spark, path, schema)
+
+
+@query("src_scoring_input", f"WITH {V.CLICKSTREAM} SELECT * FROM clickstream")
+def scoring_input(spark, sf_dir):
+    path = f"{_folder(spark)}/clicks.parquet"
+    S.clickstream(spark, sf_dir).write.parquet(path)
+    return readers.read_scoring_input(spark, path)
+
+
+@query(
+    "snk_idempotent_snapshots",
+    f"WITH {V.SILVER_ATTRIBUTES} SELECT snapshot_date, count(*) AS row_count FROM silver_att GROUP BY snapshot_date",
+)
+def idempotent_snapshots(spark, sf_dir):
+    """All snapshots written, then one of them again: counts stay the same."""
+    path = _silver_table(spark, sf_dir)
+    once_more = clean.silver_attributes(S.attributes(spark, sf_dir)).where(
+        "snapshot_date = '2024-03-01'"
+    )
+    writers.write_snapshots(
+        once_more.select("Customer_ID", "Age", "Occupation", "snapshot_date"), path
+    )
+    return profile.rows_by_snapshot(readers.read_table(spark, path))
+
+
+@query("snk_bronze", f"WITH {V.ATTRIBUTES} SELECT Customer_ID, Name, Age, SSN, Occupation, cast(snapshot_date as varchar) AS snapshot_date FROM attributes")
+def bronze_table(spark, sf_dir):
+    root = _folder(spark)
+    datamart.bronze(
+        spark, {"attributes": _attributes_csv(spark, sf_dir)}, root, "2023-01-01", "2024-12-01"
+    )
+    return datamart.read_bronze(spark, root, "attributes")
+
+
+@query("snk_compact", "SELECT o_orderkey, o_custkey FROM orders")
+def compact(spark, sf_dir):
+    path = f"{_folder(spark)}/orders"
+    writers.write_compact(S.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), path)
+    return spark.read.parquet(path)
+
+
+@query("snk_predictions", f"WITH {V.DECIDED} SELECT Customer_ID, label, score, dataset, prediction FROM decided")
+def predictions(spark, sf_dir):
+    path = f"{_folder(spark)}/predictions.json"
+    decided = metrics.decide(S.scores(spark, sf_dir))
+    writers.write_predictions(decided, path)
+    return spark.read.schema(decided.schema).json(path)
+
+
+@query("snk_monitoring_copy", f"WITH {V.DECIDED} SELECT dataset, count(*) AS rows FROM decided GROUP BY dataset")
+def monitoring_copy(spark, sf_dir):
+    path = f"{_folder(spark)}/predictions_monitoring"
+    decided = metrics.decide(S.scores(spark, sf_dir))
+    writers.copy_for_monitoring(decided.withColumn("timestamp", F.current_timestamp()), path)
+    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("snk_monitoring_summary")
+def monitoring_summary(spark, sf_dir):
+    path = f"{_folder(spark)}/monitoring"
+    events = S.table(spark, sf_dir, "events").select("ts", "value", "user_id")
+    summary = drift.monitoring_summary(
+        events.where("ts < '2024-01-16'"), events.where("ts >= '2024-01-16'"), source="events"
+    )
+    writers.write_monitoring_summary(summary, path)
+    return spark.read.json(path).select("status", "data_quality", "psi_drift_results", "alerts")
+
+
+@query("str_clean_arrivals", f"WITH {V.SILVER_ATTRIBUTES} SELECT * FROM silver_att")
+def clean_arrivals(spark, sf_dir):
+    """Raw files picked up by a file stream, cleaned and written by snapshot."""
+    folder = _folder(spark)
+    source = _attributes_csv(spark, sf_dir)
+    snapshots.clean_arrivals(
+        spark, "attributes", source, f"{folder}/silver", f"{folder}/progress"
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/silver")

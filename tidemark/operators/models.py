@@ -104,8 +104,11 @@ class Candidate:
     params: dict = field(default_factory=dict)
 
 
-def candidates() -> list[Candidate]:
-    """The four classifiers that are compared; parameters are fixed values."""
+def candidates(**overrides: dict) -> list[Candidate]:
+    """The four classifiers that are compared.
+
+    Parameters are fixed values; ``random_forest={"numTrees": 20}`` overrides some of them.
+    """
     forest = {"numTrees": 200, "maxDepth": 20}
     boosting = {
         "maxIter": 100,
@@ -116,6 +119,10 @@ def candidates() -> list[Candidate]:
     }
     logistic = {"C": 1.0, "maxIter": 2000, "tol": 1e-4}
     svm = {"C": 1.0, "maxIter": 100, "fourier_features": 100}
+    forest.update(overrides.get("random_forest", {}))
+    boosting.update(overrides.get("gradient_boosting", {}))
+    logistic.update(overrides.get("logistic_regression", {}))
+    svm.update(overrides.get("svm", {}))
     return [
         Candidate(
             "random_forest",
@@ -157,8 +164,8 @@ def candidates() -> list[Candidate]:
     ]
 
 
-def candidate(name: str) -> Candidate:
-    return next(c for c in candidates() if c.name == name)
+def candidate(name: str, **params) -> Candidate:
+    return next(c for c in candidates(**{name: params}) if c.name == name)
 
 
 # --- fitted models ---------------------------------------------------------------------------
@@ -262,7 +269,7 @@ def fit_candidate(
     fourier = None
     if spec.kernel:
         scaled = scaler.transform(train) if scaler else train
-        fourier = fourier_map(scaled, features)
+        fourier = fourier_map(scaled, features, spec.params["fourier_features"])
     kept = [label, *([fold] if calibrate else [])]
     rows = with_class_weights(train, label) if spec.balanced else train.withColumn("weight", F.lit(1.0))
     rows = _vectors(rows, features, scaler, fourier).select(*kept, "features", "weight").persist()
