@@ -110,13 +110,18 @@ def test_chain_matches_a_row_by_row_rerun(spark):
 
 
 def _brute(receivers, donors, target, k, total):
+    """All pairs in plain Python; copies of a donor stand at their mean target."""
+    copies = {}
+    for d, y in zip(donors, target):
+        copies.setdefault(d, []).append(y)
     out = []
     for r in receivers:
         found = []
-        for d, y in zip(donors, target):
+        for d, ys in copies.items():
             shared = [(a - b) ** 2 for a, b in zip(r, d) if a is not None and b is not None]
             if shared:
-                found.append(((sum(shared) * total / len(shared)) ** 0.5, y))
+                distance = (sum(shared) * total / len(shared)) ** 0.5
+                found += [(distance, sum(ys) / len(ys))] * len(ys)
         near = sorted(found)[:k]
         out.append(sum(y for _, y in near) / len(near) if near else None)
     return out
