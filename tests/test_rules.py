@@ -76,6 +76,15 @@ def test_overdue_without_due_keeps_dpd_unknown_and_label_zero(spark):
     assert values(labels.label_store(panel), "label") == [0]
 
 
+def test_labels_at_equal_the_filtered_panel(spark):
+    loans = _loan(spark, 500.5, 100.1)
+    gap = loans.withColumn("installment_num", F.lit(None).cast("int"))
+    both = loans.unionByName(gap)
+    for rule in (LabelRule(30, 6), LabelRule(0, 0)):
+        whole = labels.label_store(labels.loan_daily(both), rule).collect()
+        assert labels.labels_at(both, rule).collect() == whole and len(whole) == 1
+
+
 def test_label_by_start_clock(spark):
     panel = labels.loan_daily_by_start(_loan(spark, 10.0, 5.0))
     row = panel.first()

@@ -70,7 +70,7 @@ def backfill_labels(spark, sf_dir):
         F.least("end", F.lit("1999-12-01").cast("date")).alias("end"),
     )
     loans = cal.on_spine(S.loans(spark, sf_dir), cal.first_of_month_spine(bounds))
-    store = labels.label_store(labels.loan_daily(loans))
+    store = labels.labels_at(loans)
     return store.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("loans"), F.sum("label").alias("bad")
     )

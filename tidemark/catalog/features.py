@@ -51,6 +51,16 @@ def installments_missed(spark, sf_dir):
     return _panel(spark, sf_dir).select("loan_id", "installments_missed")
 
 
+@query(
+    "drv_installments_missed_float",
+    f"""WITH {V.LOANS} SELECT loan_id, CASE WHEN due_amt = 0 THEN 0 ELSE cast(ceil(overdue_amt::float::double / due_amt::float::double) as integer) END AS installments_missed FROM loans""",
+)
+def installments_missed_float(spark, sf_dir):
+    """The single-precision variant, which overshoots on some amounts."""
+    panel = labels.loan_daily(S.loans(spark, sf_dir), exact=False)
+    return panel.select("loan_id", "installments_missed")
+
+
 @query(
     "drv_first_missed_date",
     f"WITH {V.PANEL} SELECT loan_id, first_missed_date FROM panel WHERE first_missed_date IS NOT NULL",
@@ -93,7 +103,7 @@ def dpd_by_start(spark, sf_dir):
  FROM panel WHERE mob = 6""",
 )
 def label_store(spark, sf_dir):
-    return labels.label_store(_panel(spark, sf_dir))
+    return labels.labels_at(S.loans(spark, sf_dir))
 
 
 @query(
@@ -217,14 +227,14 @@ def feature_tables(spark, sf_dir):
     )
 
 
-@query(
-    "jon_gold_feature_store",
-    f"""WITH {V.SILVER_FINANCIALS}, {V.SILVER_ATTRIBUTES}
+GOLD_SQL = f"""WITH {V.SILVER_FINANCIALS}, {V.SILVER_ATTRIBUTES}
  SELECT Customer_ID, snapshot_date, Annual_Income, Outstanding_Debt, Credit_Utilization_Ratio, Total_EMI_per_month, Num_of_Delayed_Payment,
  round(CASE WHEN Annual_Income > 0 THEN Outstanding_Debt/Annual_Income END, 6) AS Debt_to_Income_Ratio,
  round(CASE WHEN Monthly_Inhand_Salary > 0 THEN Total_EMI_per_month/Monthly_Inhand_Salary END, 6) AS EMI_Burden_Ratio, {_MIX}
- FROM silver_fin LEFT JOIN silver_att USING (Customer_ID, snapshot_date)""",
-)
+ FROM silver_fin LEFT JOIN silver_att USING (Customer_ID, snapshot_date)"""
+
+
+@query("jon_gold_feature_store", GOLD_SQL)
 def gold_feature_store(spark, sf_dir):
     store = feat.feature_store(_fin(spark, sf_dir), _att(spark, sf_dir))
     return store.withColumns(

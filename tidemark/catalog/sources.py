@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import query
 from tidemark.catalog import views as V
+from tidemark.catalog.features import GOLD_SQL
 from tidemark.operators import clean, drift, metrics, profile
 from tidemark.plans import datamart
 from tidemark.sources import readers, schemas, writers
@@ -124,6 +125,54 @@ def bronze_table(spark, sf_dir):
     return datamart.read_bronze(spark, root, "attributes")
 
 
+def _land(spark, sf_dir, folder):
+    """Raw CSV files with every declared column, the way the sources deliver them."""
+    frames = {
+        "loans": S.loans(spark, sf_dir),
+        "attributes": S.attributes(spark, sf_dir),
+        "financials": S.financials(spark, sf_dir),
+    }
+    paths = {}
+    for entity, df in frames.items():
+        columns = schemas.RAW[entity].fieldNames()
+        full = df.select(
+            *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
+        )
+        paths[entity] = f"{folder}/raw/{entity}"
+        full.write.option("header", True).option("escape", '"').csv(paths[entity])
+    return paths
+
+
+@query("dmt_gold_features", GOLD_SQL)
+def gold_features(spark, sf_dir):
+    """Raw files through bronze, silver and gold for 24 months, read back."""
+    folder = _folder(spark)
+    paths = _land(spark, sf_dir, folder)
+    del paths["loans"]
+    datamart.bronze(spark, paths, folder, "2023-01-01", "2024-12-01")
+    datamart.silver(spark, folder, tuple(paths))
+    datamart.gold_features(spark, folder)
+    store = readers.read_table(spark, f"{folder}/gold/feature_store")
+    return store.withColumns(
+        {c: F.round(c, 6) for c in ["Debt_to_Income_Ratio", "EMI_Burden_Ratio"]}
+    )
+
+
+@query(
+    "dmt_gold_labels",
+    f"""WITH {V.PANEL} SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label, '30dpd_6mob' AS label_def, snapshot_date
+ FROM panel WHERE mob = 6""",
+)
+def gold_labels(spark, sf_dir):
+    """Raw loans of every month through bronze, silver and gold, read back."""
+    folder = _folder(spark)
+    paths = {"loans": _land(spark, sf_dir, folder)["loans"]}
+    datamart.bronze(spark, paths, folder, "1990-01-01", "2010-12-01")
+    datamart.silver(spark, folder, ("loans",))
+    datamart.gold_labels(spark, folder)
+    return readers.read_table(spark, f"{folder}/gold/label_store")
+
+
 @query("snk_compact", "SELECT o_orderkey, o_custkey FROM orders")
 def compact(spark, sf_dir):
     path = f"{_folder(spark)}/orders"

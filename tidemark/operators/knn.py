@@ -202,19 +202,28 @@ def fill_from_neighbours(
     df: DataFrame, donors: DataFrame, columns: Sequence[str], targets: Sequence[str], k: int = 5
 ) -> DataFrame:
     """Fill nulls of each target with the mean of its k nearest donors over all ``columns``."""
-    filled = {}
+    targets = list(targets)
+    gap = F.greatest(*[F.col(t).isNull() for t in targets], F.lit(False))
+    # rows without a gap pass by; only the others are shuffled
+    whole = df.where(~gap).withColumns({t: F.col(t).cast("double") for t in targets})
+    gappy = df.where(gap)
     for target in targets:
         coordinates = [c for c in columns if c != target]
         means = neighbour_means(
             df.where(F.col(target).isNull()), donors, coordinates, target, k, len(columns)
         )
         position = F.struct(*[F.col(c).cast("double").alias(c) for c in coordinates])
-        means = means.select(position.alias("__at"), F.col("neighbour_mean").alias(f"__{target}"))
-        filled[target] = (position, means)
-    for target, (position, means) in filled.items():
-        # only rows with the target missing need a partner; the rest carry a null key
-        df = df.withColumn("__at", F.when(F.col(target).isNull(), position))
-        df = df.join(means, "__at", "left").drop("__at")
-    return df.withColumns(
-        {t: F.coalesce(F.col(t).cast("double"), F.col(f"__{t}")) for t in targets}
-    ).drop(*[f"__{t}" for t in targets])
+        means = means.select(
+            position.alias(f"__at_{target}"),
+            F.lit(True).alias(f"__seek_{target}"),
+            F.col("neighbour_mean").alias(f"__mean_{target}"),
+        )
+        # a row that does not seek keeps its own position, so that it meets no partner and such
+        # rows do not all meet in one shuffle partition
+        gappy = gappy.withColumns(
+            {f"__at_{target}": position, f"__seek_{target}": F.col(target).isNull()}
+        ).join(means, [f"__at_{target}", f"__seek_{target}"], "left")
+    gappy = gappy.withColumns(
+        {t: F.coalesce(F.col(t).cast("double"), F.col(f"__mean_{t}")) for t in targets}
+    )
+    return whole.unionByName(gappy.select(df.columns))

@@ -65,6 +65,17 @@ def label_store(panel: DataFrame, rule: LabelRule = LabelRule()) -> DataFrame:
     )
 
 
+def labels_at(loans: DataFrame, rule: LabelRule = LabelRule()) -> DataFrame:
+    """Label store straight from loans, reading only rows at the rule's months on book.
+
+    Filling nulls with 0 hides the installment number from the scan, so the filter goes first; a
+    filled null can only ever match month 0.
+    """
+    if rule.mob != 0:
+        loans = loans.where(F.col("installment_num") == rule.mob)
+    return label_store(loan_daily(loans), rule)
+
+
 def completed_loans(panel: DataFrame, started_before) -> DataFrame:
     return panel.where(F.col("loan_start_date") < F.lit(started_before).cast("date"))
 

@@ -44,12 +44,20 @@ def silver(spark: SparkSession, root: str, entities=tuple(schemas.RAW)) -> None:
         write_snapshots(cleaned, f"{root}/silver/{entity}")
 
 
-def gold(spark: SparkSession, root: str, rule: LabelRule = LabelRule(), by_start=False) -> None:
-    """Label store and feature store of every snapshot."""
+def gold_labels(
+    spark: SparkSession, root: str, rule: LabelRule = LabelRule(), by_start: bool = False
+) -> None:
+    """Label store of every snapshot; ``by_start`` counts from the loan start date."""
     loans = read_table(spark, f"{root}/silver/loans")
-    panel = labels.loan_daily_by_start(loans) if by_start else labels.loan_daily(loans)
-    write_snapshots(labels.label_store(panel, rule), f"{root}/gold/label_store")
-    # attributes are optional, financials decide the rows
+    if by_start:
+        store = labels.label_store(labels.loan_daily_by_start(loans), rule)
+    else:
+        store = labels.labels_at(loans, rule)
+    write_snapshots(store, f"{root}/gold/label_store")
+
+
+def gold_features(spark: SparkSession, root: str) -> None:
+    """Feature store of every snapshot: financials decide the rows, attributes are optional."""
     tables = read_first_present(
         [read_if_present(spark, f"{root}/silver/{e}") for e in ("financials", "attributes")]
     )
@@ -67,4 +75,5 @@ def backfill(
     """All layers for every month from ``start`` to ``end``; rerunning replaces those months."""
     bronze(spark, sources, root, start, end)
     silver(spark, root, tuple(sources))
-    gold(spark, root, rule)
+    gold_labels(spark, root, rule)
+    gold_features(spark, root)

@@ -74,17 +74,24 @@ def train_and_compare(
     threshold: float = DECISION_THRESHOLD,
     version: str = "unknown",
     calibrate: bool = True,
+    bootstrap_rows: int | None = None,
 ) -> tuple[list[models.ScoringModel], DataFrame, dict[str, str]]:
     """Fit every candidate and compare on the test rows.
 
     Returns the fitted models, their comparison, and the reason of each candidate that failed
-    (a failed candidate is left out, the rest go on).
+    (a failed candidate is left out, the rest go on). With ``bootstrap_rows`` the candidates are
+    trained on a class-proportional draw of about that many rows instead of all.
     """
     fitted, failed = [], {}
+    train = data.train
+    if bootstrap_rows is not None:
+        train = checkpointed(
+            split.class_bootstrap(train, "label", split.key_hash(*KEYS), bootstrap_rows)
+        )
     for spec in specs or models.candidates():
         try:
             model = models.fit_candidate(
-                spec, data.train, data.features, data.scaler, calibrate=calibrate, version=version
+                spec, train, data.features, data.scaler, calibrate=calibrate, version=version
             )
         except Exception as reason:
             failed[spec.name] = str(reason)

@@ -20,6 +20,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # a header in another order is an error, not a mix-up
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)

@@ -22,6 +22,7 @@ def clean_arrivals(
     raw = (
         spark.readStream.schema(schemas.RAW[entity])
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .csv(source)
     )
