@@ -1,6 +1,5 @@
 """Scaling, training, validation, scoring."""
 
-import tempfile
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -10,6 +9,7 @@ from tidemark.catalog import views as V
 from tidemark.operators import models, scaling, split
 from tidemark.operators.project import by_prefix
 from tidemark.plans import scoring, training
+from tidemark.session import shared_folder
 from tidemark.sources import surrogates as S
 
 _FEATURES = [f"fe_{i}" for i in range(1, 7)]
@@ -157,8 +157,7 @@ def save_reload(spark, sf_dir):
     """Rows whose score differs between a model and its reloaded copy, per split."""
     data = _prepared(spark, sf_dir)
     model = _logistic(data)
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    path = f"{folder}/models/{spark.sparkContext.applicationId}/{_version()}"
+    path = f"{shared_folder(spark)}/models/{spark.sparkContext.applicationId}/{_version()}"
     models.save_model(model, spark, path)
     again = models.load_model(spark, path)
     rows = model.score(data.rows.select("split", *data.features), "before")

@@ -1,7 +1,5 @@
 """Scans and sinks, on data written from the given tables first."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
@@ -9,17 +7,15 @@ from tidemark.catalog import views as V
 from tidemark.catalog.features import GOLD_SQL
 from tidemark.operators import clean, drift, metrics, profile
 from tidemark.plans import datamart
+from tidemark.session import shared_folder
 from tidemark.sources import readers, schemas, writers
 from tidemark.sources import surrogates as S
 from tidemark.streaming import snapshots
 
 
 def _folder(spark):
-    """A new folder in the shared checkpoint location, or a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark/{spark.sql('SELECT uuid()').first()[0]}"
+    """A new folder in the shared location."""
+    return f"{shared_folder(spark)}/tidemark/{spark.sql('SELECT uuid()').first()[0]}"
 
 
 def _attributes_csv(spark, sf_dir):

@@ -33,18 +33,22 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A folder of our own is used only in a local session that names none, as in tests.
+    A temporary folder is used only in a local session that names none, as in tests.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+    return folder.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write the frame to the shared folder and cut its lineage."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
