@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, token_files
+from tidemark.llm import licenses, packing, quality_rules, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,13 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_files")
 def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op1_quality_rules", quality_rules.SQL)
+def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+@query("op7_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
