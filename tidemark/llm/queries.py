@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, neighbours, packing, quality_rules, simhash, token_files, url_filter, warc
+from tidemark.llm import (
+    classifier,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    quality_rules,
+    simhash,
+    token_files,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +76,13 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc")
 def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op2_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weighted(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score(table(spark, sf_dir, "documents"))
