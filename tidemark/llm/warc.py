@@ -243,7 +243,9 @@ class WarcReader(DataSourceReader):
                 parts.append(Part(file, members))
         return parts
 
-    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no archive, or no wanted member
+            return
         rows = []
         fs, _ = file_system(self.path)
         with fs.open_input_file(partition.file) as source:
