@@ -3,24 +3,30 @@
 The vocabulary's own splitting rule never lets a token span a single blank or line end between
 two visible characters other than with the blank as its first character, and it cuts a run of
 white space before its last character. So a text can be cut there, and each distinct piece is
-encoded once per task and remembered: the ids are those of the whole text.
+encoded once per task and remembered: the ids are those of the whole text. A piece of letters alone
+is one unit of that rule and goes straight to the library's merge model. A vocabulary of another kind
+encodes whole texts.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-REMEMBERED = 400_000  # pieces kept per cache; beyond that a cache starts anew
+REMEMBERED = 300_000  # pieces kept per cache, and as many of the generation before
 LONGEST = 48  # longer pieces are encoded each time
 
+# white space as the splitting rule sees it: Unicode's property, without the separators 1C to 1F
+_SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # a run of white space without its last character, or the whole run at the end
-_RUN = re.compile(r"(\s+(?=\s\S)|\s{2,}\Z)")
-_TWO = re.compile(r"\s\s")
+_RUN = re.compile(f"({_SPACE}+(?={_SPACE}(?!{_SPACE}|\\Z))|{_SPACE}{{2,}}\\Z)")
+_TWO = re.compile(_SPACE * 2)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -37,33 +43,73 @@ def _load(path: str) -> Tokenizer:
     return tokenizer
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for characters from 256 on, in order.
+    """
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTER = _byte_letters()
+_ENDINGS = ".,!?;:"
+
+
+def tokenizer_bytes(tokenizer: Tokenizer, text: str) -> bytes:
+    ids = tokenizer.encode(text, add_special_tokens=False).ids if text else []
+    return array("I", ids).tobytes()
+
+
 class _Pieces(dict):
     """Ids of pieces as little-endian 32-bit integers; a missing piece is encoded."""
 
     def __init__(self, tokenizer: Tokenizer, before: str) -> None:
-        super().__init__({"": tokenizer_bytes(tokenizer, before)})
-        self.tokenizer, self.before = tokenizer, before
+        super().__init__()
+        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
+        self.start = before.translate(_LETTER)
+        self.ending = {e: tokenizer_bytes(tokenizer, e) for e in _ENDINGS}
+        self.older: dict[str, bytes] = {}
+        self.empty = tokenizer_bytes(tokenizer, before)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = tokenizer_bytes(self.tokenizer, self.before + piece)
+        ids = self.older.get(piece) if piece else self.empty
+        if ids is None:
+            if piece[-1] in self.ending and _plain_letters(piece[:-1]):
+                return self[piece[:-1]] + self.ending[piece[-1]]
+            ids = self.encoded(piece)
         if len(piece) <= LONGEST:
             if len(self) > REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
+    def encoded(self, piece: str) -> bytes:
+        if _plain_letters(piece):  # one unit of the splitting rule: straight to the model
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_LETTER)
+            return array("I", [t.id for t in self.model.tokenize(self.start + letters)]).tobytes()
+        return tokenizer_bytes(self.tokenizer, self.before + piece)
 
-def tokenizer_bytes(tokenizer: Tokenizer, text: str) -> bytes:
-    ids = tokenizer.encode(text, add_special_tokens=False).ids if text else []
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+
+def _plain_letters(piece: str) -> bool:
+    return piece.isalpha() and (piece.isascii() or max(piece) < "\u0250")
 
 
 class Encoder:
     """Encode texts as the library would, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
-        tokenizer = _load(path)
+        self.tokenizer = tokenizer = _load(path)
         self.vocabulary = tokenizer.get_vocab_size()
+        rule = tokenizer.pre_tokenizer
+        self.by_piece = (
+            tokenizer.normalizer is None
+            and isinstance(rule, ByteLevel)
+            and rule.use_regex
+            and not rule.add_prefix_space
+        )
         self.first = _Pieces(tokenizer, "")
         self.spaced = _Pieces(tokenizer, " ")
         self.line_end = tokenizer_bytes(tokenizer, "\n")
@@ -80,9 +126,17 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_piece:
+            return tokenizer_bytes(self.tokenizer, text)
         if not _TWO.search(text):
             return self._plain(text)
         parts = _RUN.split(text)
         for i, part in enumerate(parts):
             parts[i] = self.first[part] if i % 2 else self._plain(part)
         return b"".join(parts)
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder; what it remembers serves the tasks that follow."""
+    return Encoder(path)
