@@ -178,3 +178,43 @@ def test_null_rows_do_not_meet_in_one_join_key(spark):
     filled = knn.fill_from_neighbours(df, df, ["a", "b"], ["b"], k=1)
     assert sorted((r["a"], r["b"]) for r in filled.collect())[1] == (2.0, 2.0)
     assert filled.where(F.col("b").isNull()).isEmpty()
+
+
+def test_chain_with_more_patterns_than_any_batch(spark):
+    """2**10 patterns of missing columns, spread over partitions, against plain normal equations."""
+    import numpy as np
+
+    from tidemark.operators.impute import fit_chain
+
+    rng = np.random.default_rng(0)
+    d, n = 11, 3000
+    x = rng.normal(size=(n, 1)) + 0.3 * rng.normal(size=(n, d))
+    hole = rng.random((n, d)) < 0.4
+    hole[:, 0] = False
+    rows = [[None if h else float(v) for v, h in zip(r, m)] for r, m in zip(x, hole)]
+    names = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(5)
+    zero, one = {c: 0.0 for c in names}, {c: 1.0 for c in names}
+    chain = fit_chain(df, names, zero, one, max_iter=2, tol=0.0)
+    assert len({tuple(m) for m in hole}) > 800
+    filled, steps = np.where(hole, 0.0, x), iter(chain.steps)
+    for _ in range(2):
+        for _ in range(d - 1):
+            j, b, w = next(steps)
+            seen = ~hole[:, j]
+            others = [k for k in range(d) if k != j]
+            a = np.column_stack([np.ones(seen.sum()), filled[seen][:, others]])
+            want = np.linalg.lstsq(a, x[seen, j], rcond=None)[0]
+            assert np.allclose([b, *np.array(w)[others]], want, atol=1e-6)
+            filled[~seen, j] = b + filled[~seen] @ np.array(w)
+    assert next(steps, None) is None
+
+
+def test_saved_imputer_fills_alike(spark, small, tmp_path):
+    from tidemark.operators.impute import fit_imputer, read_imputer, save_imputer
+
+    fitted = fit_imputer(small, ImputeRule(keep_sparse=True, drop_above=0.9))
+    save_imputer(fitted, spark, str(tmp_path / "i"))
+    again = read_imputer(spark, str(tmp_path / "i"))
+    assert again.rule == fitted.rule
+    assert again.transform(small).exceptAll(fitted.transform(small)).isEmpty()

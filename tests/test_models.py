@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,7 +135,7 @@ def test_failed_candidate_is_left_out(data):
 def test_grid_draws_are_distinct():
     draws = models.draw_params(100)
     assert len(draws) == 100 and len({str(sorted(d.items())) for d in draws}) == 100
-    assert len(models.draw_params(10_000)) == 1728
+    assert len(models.draw_params(10_000)) == 192  # the penalties do nothing in Spark's trees
 
 
 @pytest.mark.parametrize(
@@ -144,3 +146,41 @@ def test_other_candidates_fit(data, name, params):
     spec = models.candidate(name, **params)
     fitted = models.fit_candidate(spec, data.train, data.features, data.scaler)
     assert training.rate_splits(fitted, data).where("split = 'test'").first()["auc"] > 0.8
+
+
+def test_a_missing_imputer_is_told(spark, model, data):
+    plain = replace(model, imputer=None)
+    rows = data.rows.select("Customer_ID", *data.features)
+    with pytest.raises(ValueError, match="no fitted imputer"):
+        scoring.score_batch_with(plain, rows)
+    assert scoring.score_batch_with(plain, rows, "zero").count() == rows.count()
+
+
+def test_reload_restores_imputer_rule_and_donors(spark, model, data, tmp_path):
+    from tidemark.operators.impute import fit_imputer
+    from tidemark.settings import ImputeRule
+
+    gap = F.pmod(F.hash("Customer_ID"), F.lit(5)) == 0
+    first = data.features[0]
+    rows = data.rows.select("Customer_ID", *data.features).withColumn(first, F.when(~gap, F.col(first)))
+    rule = ImputeRule(per_feature={first: "knn"}, knn_neighbors=3)
+    bundle = replace(model, imputer=fit_imputer(rows.select(*data.features), rule))
+    path = str(tmp_path / "model")
+    models.save_model(bundle, spark, path)
+    again = models.load_model(spark, path)
+    assert again.imputer.rule == rule and again.imputer.fits == bundle.imputer.fits
+    assert again.imputer.donors.count() == rows.count()
+    before, after = (
+        scoring.score_batch_with(m, rows).select("Customer_ID", F.col("confidence").alias(n))
+        for m, n in ((bundle, "a"), (again, "b"))
+    )
+    both = before.join(after, "Customer_ID")
+    assert both.count() >= rows.count() and both.where("a <> b or a is null").isEmpty()
+
+
+def test_decision_without_probabilities(spark):
+    from tidemark.operators import metrics
+
+    df = spark.createDataFrame([(0.5,), (0.69,), (0.7,)], "score double")
+    assert [r.prediction for r in metrics.decide(df).collect()] == [0, 0, 1]
+    assert [r.prediction for r in metrics.decide(df, probability=False).collect()] == [1, 1, 1]

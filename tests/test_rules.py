@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,14 +121,16 @@ def test_codes_are_sorted_and_null_is_minus_one(spark):
     assert values(coded, "code") == [1, -1, 0]
 
 
-def test_unbounded_side_is_not_broadcast(spark):
-    left = spark.range(100).withColumnRenamed("id", "k")
+def test_no_side_is_broadcast_by_hint_and_null_keys_are_spread(spark):
+    left = spark.range(5000).select(F.when(F.col("id") < 100, F.col("id")).alias("k"))
     right = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("x"))
-    small = lookups.join_checked(left, right, ["k"])
-    large = lookups.join_checked(left, right, ["k"], max_rows=10)
-    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
-    assert hinted(small) and not hinted(large)
-    assert small.count() == large.count() == 100
+    joined = lookups.join_features([left, right], ["k"])
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 5000 and joined.where("x = 1").count() == 50
+    dealt = lookups._with_part(left, ["k"], True).where("k IS NULL").agg(F.count_distinct("__part")).first()[0]
+    assert dealt > 500
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, .*__part", plan)
 
 
 def test_running_totals_equal_a_window(spark):
@@ -150,9 +153,8 @@ def test_median(spark, numbers, median):
     assert values(ordering.exact_medians(df, ["x"]), "median") == [median]
 
 
-def test_median_is_exact_when_the_sketch_misses(spark, monkeypatch):
+def test_median_is_exact_when_the_sketch_misses(spark):
     df = spark.range(1001).select((F.col("id") * 1.0).alias("x"))
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
     assert values(ordering.exact_medians(df, ["x"], accuracy=5), "median") == [500.0]
     zone = ordering._middle_zone(600.0, 700.0, 1001, 600, 701)
     assert zone == (float("-inf"), 700.0, 701, 500, 500)
@@ -265,3 +267,43 @@ def test_empty_snapshots_keep_their_schema(spark, entity):
 def test_fill_zero_reaches_every_numeric_column(spark):
     df = spark.createDataFrame([(None, None, None)], "a int, b double, c string")
     assert clean.fill_constant(df, numeric=0).first() == (0, 0.0, None)
+
+
+def test_infinite_reference_values_are_drift(spark):
+    ref = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (float("inf"), 3.0)], "x double, y double")
+    got = {r.feature: r.psi for r in drift.psi(ref, ref).collect()}
+    assert got["x"] == float("inf") and got["y"] < 1e-6
+
+
+def test_a_column_empty_on_one_side_has_drifted(spark):
+    ref = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, t string")
+    now = spark.createDataFrame([(None, None)], "x double, t string")
+    assert [r.distance for r in drift.ks_distance(ref, now).collect()] == [1.0]
+    assert [r.distance for r in drift.js_divergence(ref, now, ["t"]).collect()] == [1.0]
+    assert drift.dataset_drift(ref, now).first()["drift_detected"]
+
+
+def test_rows_without_a_dataset_are_rated(spark):
+    rows = [("a", 1, 0.9, 1), ("a", 0, 0.1, 0), (None, 1, 0.2, 0), (None, 0, 0.8, 1)]
+    df = spark.createDataFrame(rows, "dataset string, label int, score double, prediction int")
+    got = {r.dataset: (r.sample_size, r.accuracy, r.auc) for r in metrics.evaluate(df).collect()}
+    assert got == {"a": (2, 1.0, 1.0), None: (2, 0.0, 0.0)}
+    whole = metrics.evaluate(df, []).collect()
+    assert len(whole) == 1 and (whole[0].sample_size, whole[0].accuracy) == (4, 0.5)
+
+
+def test_integer_hash_is_one_to_one_uniform_and_64_bit(spark):
+    keys = spark.range(0, 1 << 62, (1 << 62) // 50_000).union(spark.range(50_000)).distinct()
+    hashed = keys.select("id", split.integer_hash(F.col("id")).alias("h"))
+    row = hashed.agg(F.count_distinct("h").alias("u"), F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).first()
+    assert row.u == row.n and 0 <= row.lo and (1 << 61) < row.hi < (1 << 62)
+    shares = spark.range(50_000).groupBy(F.shiftright(split.integer_hash(F.col("id")), 59).alias("b")).count().collect()
+    assert len(shares) == 8 and all(abs(r["count"] - 6250) < 400 for r in shares)
+
+
+def test_one_scan_for_ranking_metrics(spark, tmp_path):
+    """The rows are read once; everything after works on counts per score."""
+    path = str(tmp_path / "rows")
+    spark.range(2000).select((F.col("id") % 2).alias("label"), (F.col("id") % 97 / 97).alias("score")).write.parquet(path)
+    text = metrics.ranking_metrics(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in text

@@ -165,3 +165,141 @@ def test_datasets_without_files_are_skipped(spark, tmp_path):
     out = monitoring.compare_datasets(spark, {"Training": paths, "OOT1": (paths[0], "absent.parquet")})
     assert [(r["dataset"], r["auc"], r["f1_score"]) for r in out.collect()] == [("Training", 1.0, 1.0)]
     assert monitoring.compare_datasets(spark, {"OOT1": ("no.csv", "no.csv")}) is None
+
+
+NESTED = [{"id": 1, "items": [{"x": 1}, {"x": 2}], "t": "} {"}, {"id": 2, "items": [], "t": None}, {"id": None, "items": None, "t": None}]
+NESTED_LAYOUTS = {
+    "array": json.dumps(NESTED, indent=2),
+    "flat_array": json.dumps(NESTED),
+    "commas": ",\n".join(json.dumps(r, indent=2) for r in NESTED) + ",",
+    "spread": "\n\n".join(json.dumps(r, indent=1) for r in NESTED),
+    "lines": "\n".join(json.dumps(r) for r in NESTED),
+    "listed": ",\n".join(json.dumps(r) for r in NESTED),
+}
+
+
+@pytest.mark.parametrize("given", [True, False])
+@pytest.mark.parametrize("layout", sorted(NESTED_LAYOUTS))
+def test_nested_records_in_every_layout(spark, tmp_path, layout, given):
+    path = put(tmp_path / "r.json", NESTED_LAYOUTS[layout])
+    schema = schemas.T.StructType.fromDDL("id long, items array<struct<x:long>>, t string") if given else None
+    rows = readers.read_any(spark, path, schema=schema).select("id", "items.x", "t").collect()
+    key = lambda r: str(r)
+    want = [(1, [1, 2], "} {"), (2, [], None), (None, None, None)]
+    assert sorted((tuple(r) for r in rows), key=key) == sorted(want, key=key)
+
+
+def test_lines_are_read_in_splits(spark, tmp_path):
+    path = put(tmp_path / "r.json", NESTED_LAYOUTS["lines"])
+    text = readers.read_any(spark, path)._jdf.queryExecution().toString()
+    assert "Format: JSON" in text and "wholetext" not in text.lower() and "Python" not in text
+
+
+def test_broken_objects_over_lines_are_skipped(spark, tmp_path):
+    path = put(tmp_path / "r.json", '{\n "a": 1\n},\n{\n "a": oops\n},\n{\n "a": 3, "b": {"c": [1, 2]}\n}')
+    assert sorted(r.a for r in readers.read_json_records(spark, path, "a int").collect()) == [1, 3]
+
+
+def _snap(spark, rows):
+    return spark.createDataFrame(rows, "k int, snapshot_date string").withColumn(
+        "snapshot_date", F.col("snapshot_date").cast("date")
+    )
+
+
+def test_emptied_months_are_cleared_and_others_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_snapshots(_snap(spark, [(1, "2024-01-01"), (2, "2024-02-01"), (3, "2024-03-01")]), path)
+    again = _snap(spark, [(9, "2024-02-01")])
+    writers.write_snapshots(again, path, months=["2024-01-01", "2024-02-01", "2023-12-01"])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [3, 9]
+    writers.write_snapshots(again.where("false"), path, months=["2024-02-01", "2024-03-01"])
+    assert not [p for p in (tmp_path / "t").glob("snapshot_date=*")]
+
+
+def test_late_files_add_to_their_month_and_replays_do_not(spark, tmp_path):
+    source, head = tmp_path / "raw", ",".join(schemas.ATTRIBUTES.fieldNames()) + "\n"
+    source.mkdir()
+    run = lambda: snapshots.clean_arrivals(
+        spark, "attributes", str(source), str(tmp_path / "t"), str(tmp_path / "cp")
+    ).awaitTermination()
+    for i in (1, 2):
+        put(source / f"{i}.csv", head + f"C{i},N,30,123-45-6789,Job,2024-05-01\n")
+        run()
+    run()
+    rows = snapshots.read_arrivals(spark, str(tmp_path / "t"), "2024-05-01")
+    assert sorted(r.Customer_ID for r in rows.collect()) == ["C1", "C2"] and "arrival" not in rows.columns
+    # a batch that is replayed under its own number replaces what it wrote
+    batch = _snap(spark, [(1, "2024-05-01")])
+    for _ in range(2):
+        writers.write_snapshots(batch, str(tmp_path / "u"), within={"arrival": "s-0"})
+    writers.write_snapshots(batch, str(tmp_path / "u"), within={"arrival": "s-1"})
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 2
+
+
+def _raw_loans(spark, path, months):
+    columns = schemas.RAW["loans"].fieldNames()
+    rows = []
+    for m in months:
+        for i in (1, 2):
+            row = {c: "1" for c in columns} | {
+                "loan_id": f"L{i}", "Customer_ID": f"C{i}", "snapshot_date": m, "loan_start_date": "2023-07-01",
+                "installment_num": "6", "due_amt": "100", "overdue_amt": "250",
+            }
+            rows.append(tuple(row[c] for c in columns))
+    spark.createDataFrame(rows, schemas.RAW["loans"]).write.mode("overwrite").option("header", True).csv(path)
+
+
+def test_one_month_run_touches_only_that_month(spark, tmp_path):
+    root, raw = str(tmp_path / "mart"), str(tmp_path / "raw")
+    _raw_loans(spark, raw, ["2024-01-01", "2024-02-01", "2024-03-01"])
+    datamart.backfill(spark, {"loans": raw}, root, "2024-01-01", "2024-03-01")
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "mart").rglob("part-*")}
+
+    before = files()
+    datamart.backfill(spark, {"loans": raw}, root, "2024-02-01", "2024-02-01")
+    after = files()
+    changed = {p for p in before.keys() | after.keys() if before.get(p) != after.get(p)}
+    assert changed and all("snapshot_date=2024-02-01" in str(p) for p in changed)
+    months = datamart.months_between(spark, "2024-02-01", "2024-02-01")
+    for df in (
+        datamart.read_bronze(spark, root, "loans", months),
+        datamart._of(readers.read_table(spark, f"{root}/silver/loans"), months),
+    ):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
+def test_gold_needs_its_leading_table_and_unique_keys(spark, tmp_path):
+    from tidemark.operators.profile import DuplicateKeys, require_unique_keys
+
+    with pytest.raises(readers.NoData, match="financials"):
+        datamart.gold_features(spark, str(tmp_path))
+    with pytest.raises(readers.NoData, match="clickstream"):
+        datamart.gold_customers(spark, str(tmp_path))
+    twice = spark.createDataFrame([("a", "x"), ("a", "x"), (None, "x"), (None, "x")], "Customer_ID string, snapshot_date string")
+    with pytest.raises(DuplicateKeys):
+        require_unique_keys(twice)
+    require_unique_keys(twice.distinct())
+
+
+def test_monitoring_errors_while_running_become_rows(spark, tmp_path):
+    good, bad = str(tmp_path / "a.parquet"), str(tmp_path / "b.csv")
+    spark.createDataFrame([(1.0,), (2.0,)], "x double").write.parquet(good)
+    put(tmp_path / "b.csv", "y\nword\n")
+    out = str(tmp_path / "out")
+    failed = monitoring.monitor(spark, good, bad, out).first()
+    assert failed.status == "ERROR" and failed.error
+    assert monitoring.monitor(spark, good, good, out).first().status == "OK"
+    assert sorted(r.status for r in spark.read.json(out).collect()) == ["ERROR", "OK"]
+
+
+def test_one_scratch_folder_per_session_and_settings_for_any(spark):
+    from tidemark import session
+
+    assert session.shared_folder(spark) == session.shared_folder(spark)
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    session.apply_settings(other)
+    assert all(other.conf.get(k) == v for k, v in session.RUNTIME_CONF.items())

@@ -149,10 +149,45 @@ def alerts(spark, sf_dir):
     return out.withColumn("alerts", F.concat_ws(" | ", "alerts"))
 
 
-@query("mon_summary_document")
+def flat_summary(summary):
+    """The nested monitoring document as plain columns, without its time stamp."""
+    psi = lambda c: F.round(F.col("psi_drift_results.psi_results")[c]["psi"], 6)
+    found = F.col("psi_drift_results.summary")
+    return summary.select(
+        F.element_at("current_data_shape", 1).cast("bigint").alias("current_rows"),
+        F.element_at("current_data_shape", 2).cast("bigint").alias("current_columns"),
+        F.element_at("reference_data_shape", 1).cast("bigint").alias("reference_rows"),
+        F.col("data_quality.status").alias("quality_status"),
+        F.col("data_quality.missing_values").alias("missing_values"),
+        found["total_features_analyzed"].alias("features"),
+        found["features_with_drift"].alias("drifted"),
+        psi("value").alias("psi_value"),
+        psi("user_id").alias("psi_user_id"),
+        F.size("alerts").alias("n_alerts"),
+        "status",
+    )
+
+
+def summary_sql(columns, numeric, error=None):
+    """Twin of ``flat_summary`` for the two halves of the events."""
+    missing = " + ".join(f"count(*) - count({c})" for c in columns)
+    flags = ", ".join(f"max(psi) FILTER (feature = '{c}') AS p_{c}" for c in numeric)
+    failed = f", '{error}' AS failed_run" if error else ""
+    return f"""WITH {_psi_sql(numeric)},
+ c AS (SELECT count(*) AS n, {missing} AS gaps FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
+ r AS (SELECT count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+ d AS (SELECT count(*) AS k, count(*) FILTER (psi > 0.1) AS drifted, {flags} FROM psi),
+ q AS (SELECT CASE WHEN gaps*100.0/(n*{len(columns)}) > 20 THEN 'ALERT' WHEN gaps*100.0/(n*{len(columns)}) > 10 THEN 'WARNING' ELSE 'OK' END AS s FROM c),
+ a AS (SELECT (s = 'ALERT')::int + (drifted > 0)::int AS n FROM q, d)
+ SELECT c.n AS current_rows, {len(columns)}::bigint AS current_columns, r.n AS reference_rows, s AS quality_status, gaps AS missing_values,
+  k AS features, drifted, round(p_value, 6) AS psi_value, round(p_user_id, 6) AS psi_user_id, a.n AS n_alerts,
+  CASE WHEN a.n > 0 THEN 'ALERT' ELSE 'OK' END AS status{failed} FROM c, r, d, q, a"""
+
+
+@query("mon_summary_document", summary_sql(["event_type", "user_id", "value"], ["value", "user_id"]))
 def summary_document(spark, sf_dir):
     reference, current = _halves(spark, sf_dir)
-    return drift.monitoring_summary(reference, current, source="events")
+    return flat_summary(drift.monitoring_summary(reference, current, source="events"))
 
 
 @query(

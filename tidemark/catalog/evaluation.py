@@ -114,3 +114,27 @@ def decision_threshold(spark, sf_dir):
 def dataset_comparison(spark, sf_dir):
     compared = profile.in_dataset_order(metrics.evaluate(_decided(spark, sf_dir)))
     return _rounded(compared).withColumn("gini", F.round("gini", 3))
+
+
+@query(
+    "evl_decision_without_probability",
+    f"WITH {V.SCORES} SELECT Customer_ID, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction FROM scores",
+)
+def decision_without_probability(spark, sf_dir):
+    decided = metrics.decide(S.scores(spark, sf_dir), probability=False)
+    return decided.select("Customer_ID", "prediction")
+
+
+@query(
+    "evl_whole_frame_and_unnamed",
+    f"""WITH {V.DECIDED}, n AS (SELECT CASE WHEN dataset <> 'OOT2' THEN dataset END AS dataset, label, prediction FROM decided)
+ SELECT dataset, count(*) AS sample_size, round(count(*) FILTER (label = prediction)::double/count(*), 6) AS accuracy FROM n GROUP BY dataset
+ UNION ALL SELECT 'all rows', count(*), round(count(*) FILTER (label = prediction)::double/count(*), 6) FROM n""",
+)
+def whole_frame_and_unnamed(spark, sf_dir):
+    """Rows without a dataset name are a dataset; without grouping the whole frame is one."""
+    named = F.when(F.col("dataset") != "OOT2", F.col("dataset"))
+    rows = metrics.decide(S.scores(spark, sf_dir)).withColumn("dataset", named)
+    whole = metrics.evaluate(rows, []).withColumn("dataset", F.lit("all rows"))
+    both = metrics.evaluate(rows).unionByName(whole)
+    return _rounded(both.select("dataset", "sample_size", "accuracy"))

@@ -293,5 +293,5 @@ def dictionary_lookup(spark, sf_dir):
     nation = S.table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name"
     )
-    joined = lookups.join_checked(S.table(spark, sf_dir, "customer"), nation, ["c_nationkey"])
+    joined = lookups.join_features([S.table(spark, sf_dir, "customer"), nation], ["c_nationkey"])
     return joined.select("c_custkey", "n_name")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog import query
 from tidemark.catalog import views as V
 from tidemark.operators import clean, impute, profile
+from tidemark.session import shared_folder
 from tidemark.settings import ImputeRule
 from tidemark.sources import surrogates as S
 
@@ -111,9 +112,10 @@ def strategies(spark, sf_dir):
     ),
 )
 def statistics(spark, sf_dir):
-    """The fitted statistics table, written and read back before use elsewhere."""
-    fitted = impute.fit_imputer(_frame(spark, sf_dir), _RULE, _FILLED[:4])
-    stats = fitted.to_frame(spark).select("feature", "missing_percentage", "mean", "median", "std")
+    """The fitted imputer, saved and read back."""
+    path = f"{shared_folder(spark)}/imputers/{spark.sql('SELECT uuid()').first()[0]}"
+    impute.save_imputer(impute.fit_imputer(_frame(spark, sf_dir), _RULE, _FILLED[:4]), spark, path)
+    stats = impute.read_imputer(spark, path).to_frame(spark).select("feature", "missing_percentage", "mean", "median", "std")
     return stats.withColumns({c: F.round(c, 6) for c in stats.columns[1:]})
 
 
@@ -155,18 +157,64 @@ def batch_fallback(spark, sf_dir):
     return impute.fill_from_batch(_frame(spark, sf_dir).select(_KEY, *columns), columns)
 
 
-@query("qlt_remaining_missing", "SELECT CAST(0 AS BIGINT) AS missing_values")
+@query(
+    "qlt_remaining_missing",
+    f"""WITH {_FRAME} SELECT 'before' AS stage, count(*) - count(Annual_Income) + count(*) - count(Num_Credit_Card) AS missing_values FROM f
+ UNION ALL SELECT 'one column filled', count(*) - count(Num_Credit_Card) FROM f UNION ALL SELECT 'all filled', 0""",
+)
 def remaining_missing(spark, sf_dir):
-    frame = _frame(spark, sf_dir)
-    return profile.remaining_missing(impute.fit_imputer(frame, _RULE).transform(frame))
+    """Missing cells of two columns before, with one column and with both imputed."""
+    columns = ["Annual_Income", "Num_Credit_Card"]
+    frame = _frame(spark, sf_dir).select(_KEY, *columns)
+    stages = {"before": frame}
+    for name, fitted in (("one column filled", columns[:1]), ("all filled", columns)):
+        stages[name] = impute.fit_imputer(frame, _RULE, fitted).transform(frame)
+    counts = {name: profile.remaining_missing(df) for name, df in stages.items()}
+    return profile.tagged_union(counts, "stage").select("stage", "missing_values")
+
 
+_CHAINED = [
+    "Annual_Income", "Num_Credit_Card", "Delay_from_due_date", "Total_EMI_per_month", "Num_of_Delayed_Payment",
+    "Monthly_Inhand_Salary", "Outstanding_Debt",
+]
 
-@query("imp_chained_equations")
+
+@query(
+    "imp_chained_equations",
+    f"WITH {_FRAME} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) - count({c}) AS filled, CAST(0 AS BIGINT) AS changed FROM f" for c in _CHAINED
+    ),
+)
 def chained_equations(spark, sf_dir):
-    frame = _frame(spark, sf_dir).drop("Sparse", "Credit_Mix")
-    numeric = [c for c in frame.columns if c != _KEY]
-    rule = ImputeRule(per_feature={c: "iterative" for c in numeric})
-    return impute.fit_imputer(frame, rule, numeric).transform(frame)
+    """All columns from each other: values filled, and observed values that changed (none may)."""
+    frame = _frame(spark, sf_dir).select(_KEY, *_CHAINED)
+    rule = ImputeRule(per_feature={c: "iterative" for c in _CHAINED})
+    filled = impute.fit_imputer(frame, rule, _CHAINED).transform(frame)
+    both = frame.join(filled.withColumnsRenamed({c: f"new_{c}" for c in _CHAINED}), _KEY)
+    parts = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.count_if(F.col(c).isNull() & F.col(f"new_{c}").isNotNull()).alias("filled"),
+            F.count_if(F.col(c).isNotNull() & (F.coalesce(F.col(c) != F.col(f"new_{c}"), F.lit(True)))).alias("changed"),
+        )
+        for c in _CHAINED
+    ]
+    return both.agg(F.array(*parts).alias("all")).select(F.inline("all"))
+
+
+@query(
+    "imp_chained_regression",
+    f"""WITH {_FRAME}, r AS (SELECT regr_slope(Annual_Income, Outstanding_Debt) AS a, regr_intercept(Annual_Income, Outstanding_Debt) AS b FROM f)
+ SELECT Customer_ID, round(coalesce(Annual_Income, b + a*Outstanding_Debt), 2) AS Annual_Income FROM f, r""",
+)
+def chained_regression(spark, sf_dir):
+    """One gappy column and one predictor: the chain is a plain regression."""
+    columns = ["Annual_Income", "Outstanding_Debt"]
+    frame = _frame(spark, sf_dir).select(_KEY, *columns)
+    rule = ImputeRule(per_feature={"Annual_Income": "iterative"})
+    filled = impute.fit_imputer(frame, rule, columns).transform(frame)
+    return filled.select(_KEY, F.round("Annual_Income", 2).alias("Annual_Income"))
 
 
 _KNN = ["Num_Credit_Card", "Delay_from_due_date", "Num_of_Delayed_Payment", "Monthly_Inhand_Salary"]

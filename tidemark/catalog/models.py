@@ -1,15 +1,19 @@
 """Scaling, training, validation, scoring."""
 
 from dataclasses import replace
+from functools import reduce
+from math import isfinite
 
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
 from tidemark.catalog import views as V
-from tidemark.operators import models, scaling, split
+from tidemark.catalog.profiles import hash_sql
+from tidemark.operators import impute, models, scaling, split
 from tidemark.operators.project import by_prefix
 from tidemark.plans import scoring, training
-from tidemark.session import shared_folder
+from tidemark.session import checkpointed, shared_folder
+from tidemark.settings import ImputeRule
 from tidemark.sources import surrogates as S
 
 _FEATURES = [f"fe_{i}" for i in range(1, 7)]
@@ -58,39 +62,50 @@ def class_weights(spark, sf_dir):
     return out.withColumn("weight", F.round("weight", 6))
 
 
-# Ensemble sizes of the registered queries; the library defaults (200 trees of depth 20, 100
-# boosting rounds, 100 draws) are for training runs, not for a check of every query.
-_SMALL = {
-    "random_forest": {"numTrees": 20, "maxDepth": 6},
-    "gradient_boosting": {"maxIter": 5},
-    "svm": {"maxIter": 10},
-}
+# which rows a training date sees, and the side and months they fall on
+_SPLITS = f"""panel AS (SELECT doc_id AS Customer_ID, quality AS label,
+  cast(DATE '2023-01-01' + to_months(cast(({hash_sql("doc_id")}) % 24 as integer)) as date) AS snapshot_date, {hash_sql("doc_id", 88)} AS h FROM labels JOIN documents USING (doc_id)),
+ timed AS (SELECT *, CASE WHEN snapshot_date BETWEEN DATE '2024-07-01' AND DATE '2024-08-31' THEN 'oot' ELSE 'in' END AS part FROM panel
+  WHERE snapshot_date BETWEEN DATE '2023-07-01' AND DATE '2024-08-31'),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY part, label ORDER BY h) AS rn, count(*) OVER (PARTITION BY part, label) AS n FROM timed),
+ splits AS (SELECT *, CASE WHEN part = 'oot' THEN 'oot' WHEN rn <= (n*80 + 99) // 100 THEN 'train' ELSE 'test' END AS split FROM ranked)"""
 
+# A fit has no SQL form. Its twin are the rows each split must have, and that the fit ranks the
+# training rows better than a constant score does.
+_RATED = f"""WITH {_SPLITS} SELECT split, count(*) AS sample_size, true AS metrics_in_range,
+ CASE WHEN split = 'train' THEN true END AS better_than_constant FROM splits GROUP BY split"""
+_BOUNDED = ["accuracy", "precision", "recall", "f1_score", "auc", "average_precision"]
 
-def _fit_and_rate(name, calibrate=True):
+
+def _in_range(columns) -> F.Column:
+    return reduce(lambda a, b: a & b, [F.col(c).between(0, 1) for c in columns])
+
+
+def _version():
+    return "credit_model_" + _DATE.replace("-", "_")
+
+
+def _fit_and_rate(name):
     def run(spark, sf_dir):
         data = _prepared(spark, sf_dir)
         model = models.fit_candidate(
-            models.candidate(name, **_SMALL.get(name, {})),
-            data.train,
-            data.features,
-            data.scaler,
-            calibrate=calibrate,
-            version=_version(),
+            models.candidate(name), data.train, data.features, data.scaler, version=_version()
+        )
+        rated = training.rate_splits(model, data)
+        return rated.select(
+            "split",
+            "sample_size",
+            _in_range(_BOUNDED).alias("metrics_in_range"),
+            F.when(F.col("split") == "train", F.col("auc") > 0.5).alias("better_than_constant"),
         )
-        return training.rate_splits(model, data)
 
     return run
 
 
-def _version():
-    return "credit_model_" + _DATE.replace("-", "_")
-
-
-query("mdl_logistic_regression")(_fit_and_rate("logistic_regression"))
-query("mdl_random_forest")(_fit_and_rate("random_forest"))
-query("mdl_gradient_boosting")(_fit_and_rate("gradient_boosting", calibrate=False))
-query("mdl_rbf_svm")(_fit_and_rate("svm"))
+query("mdl_logistic_regression", _RATED)(_fit_and_rate("logistic_regression"))
+query("mdl_random_forest", _RATED)(_fit_and_rate("random_forest"))
+query("mdl_gradient_boosting", _RATED)(_fit_and_rate("gradient_boosting"))
+query("mdl_rbf_svm", _RATED)(_fit_and_rate("svm"))
 
 
 def _logistic(data, calibrate=True):
@@ -104,82 +119,168 @@ def _logistic(data, calibrate=True):
     )
 
 
-@query("mdl_calibration")
+@query(
+    "mdl_logistic_gradient",
+    f"WITH {_SPLITS} SELECT count(*) AS rows, true AS at_the_optimum FROM splits WHERE split = 'train'",
+)
+def logistic_gradient(spark, sf_dir):
+    """The penalised loss of the uncalibrated logistic fit has no slope left at its coefficients."""
+    data = _prepared(spark, sf_dir)
+    model = _logistic(data, calibrate=False)
+    fit = model.members[0][0]
+    scaled = models.with_class_weights(data.scaler.transform(data.train))
+    margin = sum((F.col(c) * float(w) for c, w in zip(data.features, fit.coefficients)), F.lit(float(fit.intercept)))
+    error = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
+    # C = 1: the penalty's slope is the coefficient itself
+    slopes = [F.sum(error * F.col(c)) + float(w) for c, w in zip(data.features, fit.coefficients)]
+    largest = F.greatest(*[F.abs(s) for s in [*slopes, F.sum(error)]])
+    return scaled.agg(F.count(F.lit(1)).alias("rows"), (largest / F.count(F.lit(1)) < 0.01).alias("at_the_optimum"))
+
+
+@query("mdl_calibration", "SELECT cast(unnest(range(3)) as integer) AS member, true AS rising, true AS finite")
 def calibration(spark, sf_dir):
-    """Slope and intercept of each member's sigmoid."""
+    """Each member's sigmoid rises with its score and has finite parameters."""
     model = _logistic(_prepared(spark, sf_dir))
-    rows = [(i, float(a), float(b)) for i, (_, a, b) in enumerate(model.members)]
-    return spark.createDataFrame(rows, "member int, slope double, intercept double")
+    rows = [(i, bool(a > 0), bool(isfinite(a) and isfinite(b))) for i, (_, a, b) in enumerate(model.members)]
+    return spark.createDataFrame(rows, "member int, rising boolean, finite boolean")
 
 
-@query("mdl_cross_validation")
+@query(
+    "mdl_cross_validation",
+    "SELECT unnest(['auc', 'f1', 'precision', 'recall']) AS metric, true AS mean_in_range, true AS std_in_range",
+)
 def cross_validation(spark, sf_dir):
+    """Every fold's scaler is fitted on the other folds, like its model."""
     data = _prepared(spark, sf_dir)
     train = data.train.withColumnRenamed("fold", "outer_fold")
     spec = models.candidate("logistic_regression")
 
     def fit(rows):
-        return models.fit_candidate(spec, rows, data.features, data.scaler, calibrate=False)
+        scaler = scaling.fit_scaler(rows, data.features)
+        return models.fit_candidate(spec, rows, data.features, scaler, calibrate=False)
+
+    rated = models.cross_validate(fit, train)
+    parts = [
+        F.struct(
+            F.lit(m).alias("metric"),
+            F.col(f"{m}_mean").between(0, 1).alias("mean_in_range"),
+            F.col(f"{m}_std").between(0, 0.5).alias("std_in_range"),
+        )
+        for m in ("auc", "f1", "precision", "recall")
+    ]
+    return rated.select(F.inline(F.array(*parts)))
 
-    return models.cross_validate(fit, train)
 
+SEARCH_DRAWS = 12  # of the 192 distinct points; each is three fits, see the README
 
-@query("mdl_random_search")
+
+@query(
+    "mdl_random_search",
+    f"SELECT {SEARCH_DRAWS}::bigint AS draws, {SEARCH_DRAWS}::bigint AS distinct_points, true AS auc_in_range",
+)
 def random_search(spark, sf_dir):
-    """Two draws of the grid; the full search is ``n_iter=100``."""
+    """Distinct points of the grid, each with its cross-validated AUC."""
     data = _prepared(spark, sf_dir)
-    fitted, draws = models.random_search(
-        data.scaler.transform(data.train), data.features, n_iter=2
+    fitted, draws = models.random_search(data.train, data.features, n_iter=SEARCH_DRAWS)
+    return models.search_results(spark, fitted, draws).agg(
+        F.count(F.lit(1)).alias("draws"),
+        F.count_distinct("params").alias("distinct_points"),
+        F.bool_and(F.col("auc_mean").between(0, 1)).alias("auc_in_range"),
     )
-    return models.search_results(spark, fitted, draws)
+
+
+_NAMES = ["random_forest", "gradient_boosting", "logistic_regression", "svm"]
 
 
 def _compared(spark, sf_dir):
+    """The comparison of all candidates at their full sizes."""
     data = _prepared(spark, sf_dir)
-    names = ["logistic_regression", "svm"]
-    return training.train_and_compare(data, [models.candidate(n, **_SMALL.get(n, {})) for n in names], version=_version())
+    return training.train_and_compare(data, version=_version())[1]
 
 
-@query("mdl_registry")
+@query(
+    "mdl_registry",
+    f"SELECT unnest({_NAMES}) AS model, 13::bigint AS metrics, true AS shares_in_range",
+)
 def registry(spark, sf_dir):
-    _, comparison, _ = _compared(spark, sf_dir)
-    return models.registry(comparison)
+    """All four candidates with their metrics."""
+    rows = models.registry(_compared(spark, sf_dir))
+    share = F.when(F.col("metric").isin(_BOUNDED), F.col("value").between(0, 1)).otherwise(F.lit(True))
+    return rows.groupBy("model").agg(F.count(F.lit(1)).alias("metrics"), F.bool_and(share).alias("shares_in_range"))
 
 
-@query("mdl_best_model")
+@query("mdl_best_model", "SELECT true AS is_a_candidate, true AS is_highest, 'f1' AS best_metric, 0.7::double AS threshold")
 def best_model(spark, sf_dir):
-    _, comparison, _ = _compared(spark, sf_dir)
-    return models.best_model(comparison)
+    comparison = checkpointed(_compared(spark, sf_dir))
+    best = models.best_model(comparison)
+    highest = comparison.agg(F.max("f1_score").alias("h")).scalar()
+    return best.select(
+        F.col("best_model").isin(_NAMES).alias("is_a_candidate"),
+        (F.col("best_score") == highest).alias("is_highest"),
+        "best_metric",
+        "threshold",
+    )
 
 
-@query("mdl_save_reload")
-def save_reload(spark, sf_dir):
-    """Rows whose score differs between a model and its reloaded copy, per split."""
-    data = _prepared(spark, sf_dir)
-    model = _logistic(data)
-    path = f"{shared_folder(spark)}/models/{spark.sparkContext.applicationId}/{_version()}"
+def _gappy(features):
+    """Every tenth row without its second feature."""
+    gap = F.pmod(F.col("Customer_ID"), F.lit(10)) == 0
+    return features.withColumn("fe_2", F.when(~gap, F.col("fe_2")))
+
+
+def _bundle(spark, sf_dir):
+    """A model with its imputer, trained on features with gaps, saved and loaded again."""
+    labels, features = _panel(spark, sf_dir)
+    data = training.prepare(
+        labels, _gappy(features), _DATE, _FEATURES, split.integer_hash(F.col("Customer_ID"), 88), ImputeRule()
+    )
+    model = replace(_logistic(data), imputer=data.imputer, threshold=0.6)
+    path = f"{shared_folder(spark)}/models/{spark.sql('SELECT uuid()').first()[0]}"
     models.save_model(model, spark, path)
-    again = models.load_model(spark, path)
-    rows = model.score(data.rows.select("split", *data.features), "before")
-    both = again.score(rows, "after")
-    return both.groupBy("split").agg(
+    return model, models.load_model(spark, path), _gappy(features)
+
+
+@query(
+    "mdl_save_reload",
+    "SELECT count(*) AS rows, count(*) FILTER (doc_id % 10 = 0) AS imputed, 0::bigint AS different, true AS same_bundle FROM labels JOIN documents USING (doc_id)",
+)
+def save_reload(spark, sf_dir):
+    """Rows with gaps score the same, to the last bit, before and after the bundle is reloaded."""
+    model, again, features = _bundle(spark, sf_dir)
+    before, after = (
+        scoring.score_batch_with(m, features).select("Customer_ID", "fe_2", F.col("confidence").alias(n))
+        for m, n in ((model, "before"), (again, "after"))
+    )
+    same = (model.threshold, model.features, model.imputer.rule) == (again.threshold, again.features, again.imputer.rule)
+    return before.join(after.drop("fe_2"), "Customer_ID").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("before") != F.col("after")).alias("different"),
+        F.count_if(F.col("fe_2").isNull()).alias("imputed"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("different"),
+        F.lit(same).alias("same_bundle"),
     )
 
 
-@query("scr_snapshot")
+_SCORED = f"SELECT Customer_ID, snapshot_date, '{{}}' AS model_name, true AS score_in_range FROM panel"
+
+
+def _checked(scored):
+    return scored.select(
+        "Customer_ID", "snapshot_date", "model_name", F.col("model_predictions").between(0, 1).alias("score_in_range")
+    )
+
+
+@query("scr_snapshot", f"WITH {_SPLITS} {_SCORED.format(_version())} WHERE snapshot_date = DATE '2024-09-01'")
 def score_snapshot(spark, sf_dir):
     _, features = _panel(spark, sf_dir)
     model = _logistic(_prepared(spark, sf_dir))
-    return scoring.score_snapshots(model, features, _DATE)
+    return _checked(scoring.score_snapshots(model, features, _DATE))
 
 
-@query("scr_backfill")
+@query("scr_backfill", f"WITH {_SPLITS} {_SCORED.format(_version())}")
 def score_backfill(spark, sf_dir):
     _, features = _panel(spark, sf_dir)
     model = _logistic(_prepared(spark, sf_dir))
-    return scoring.score_snapshots(model, features)
+    return _checked(scoring.score_snapshots(model, features))
 
 
 # weights of the fixed linear scorer below
@@ -209,10 +310,12 @@ def score_batch(spark, sf_dir):
     clicks = S.clickstream(spark, sf_dir)
     clicks = clicks.withColumn("fe_3", F.when(F.col("fe_3") > 0, F.col("fe_3")))
     features = by_prefix(clicks)
-    ready = scoring.preprocess(clicks, features, imputation="batch")
-    scaler = scaling.fit_scaler(ready, features)
+    # the batch's medians and deviations are fitted once each, on the counts themselves
+    clicks = checkpointed(clicks)
+    imputer = impute.fit_imputer(clicks, ImputeRule(per_feature={}, numeric="median"), features)
+    scaler = scaling.fit_scaler(scoring.preprocess(clicks, features, imputer), features)
     scored = scoring.score_batch(
-        clicks, _linear, features, scaler=scaler, imputation="batch", threshold=0.6, version="linear_1"
+        clicks, _linear, features, imputer, scaler, threshold=0.6, version="linear_1"
     )
     return scored.drop("timestamp").withColumn("confidence", F.round("confidence", 6))
 
@@ -229,8 +332,19 @@ def score_batch_zero_fill(spark, sf_dir):
     return scored.select("Customer_ID", "snapshot_date", "fe_1", "fe_2", "fe_3", "prediction")
 
 
-@query("scr_batch_with_bundle")
+@query(
+    "scr_batch_with_bundle",
+    f"""WITH {_SPLITS} SELECT Customer_ID, snapshot_date, true AS score_in_range, true AS decided_by_threshold, 0.6::double AS threshold_used, '{_version()}' AS model_version FROM panel""",
+)
 def score_batch_with_bundle(spark, sf_dir):
-    _, features = _panel(spark, sf_dir)
-    model = replace(_logistic(_prepared(spark, sf_dir)), threshold=0.7)
-    return scoring.score_batch_with(model, features)
+    """Batch scoring with a reloaded bundle on rows with gaps."""
+    _, bundle, features = _bundle(spark, sf_dir)
+    scored = scoring.score_batch_with(bundle, features)
+    return scored.select(
+        "Customer_ID",
+        "snapshot_date",
+        F.coalesce(F.col("confidence").between(0, 1), F.lit(False)).alias("score_in_range"),
+        (F.col("prediction") == (F.col("confidence") >= 0.6).cast("int")).alias("decided_by_threshold"),
+        "threshold_used",
+        "model_version",
+    )

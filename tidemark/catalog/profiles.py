@@ -201,7 +201,13 @@ def duplicate_keys(spark, sf_dir):
     return profile.duplicate_keys(S.loans(spark, sf_dir))
 
 
-_HASHED = "scores_h AS (SELECT *, (Customer_ID * 2654435761 + 42) % 4294967296 AS h FROM scores)"
+def hash_sql(key: str, seed: int = 42) -> str:
+    """The integer hash in SQL."""
+    one, two = (f"(({key} & 2147483647) * {a} + ({key} >> 31) * {b} + {seed}) % {p}" for p, a, b in split.MIXERS)
+    return f"({one}) * 2147483648 + ({two})"
+
+
+_HASHED = f"scores_h AS (SELECT *, {hash_sql('Customer_ID')} AS h FROM scores)"
 
 
 @query(
@@ -216,7 +222,7 @@ def stratified_split(spark, sf_dir):
 
 @query(
     "smp_stratified_split_loans",
-    f"""WITH {V.PANEL}, k AS (SELECT l_orderkey, l_linenumber, l_returnflag AS label, (l_orderkey * 2654435761 + 42) % 4294967296 AS h FROM lineitem),
+    f"""WITH {V.PANEL}, k AS (SELECT l_orderkey, l_linenumber, l_returnflag AS label, {hash_sql('l_orderkey')} AS h FROM lineitem),
  s AS (SELECT label, h, count(*) AS c FROM k GROUP BY ALL),
  r AS (SELECT label, h, sum(c) OVER (PARTITION BY label ORDER BY h) AS upto, c, sum(c) OVER (PARTITION BY label) AS n FROM s),
  b AS (SELECT label, min(h) AS cut FROM r WHERE upto >= (n*80 + 99) // 100 GROUP BY label)
@@ -256,7 +262,7 @@ def split_summary(spark, sf_dir):
     "smp_class_bootstrap",
     f"""WITH {V.SCORES}, {_HASHED}, n AS (SELECT count(*) AS n, count(*) FILTER (label=1) AS ones FROM scores),
  d AS (SELECT n, ones, least(10000, n) AS total, floor(least(10000, n) * ones / n) AS draw FROM n),
- u AS (SELECT Customer_ID, label, h / 4294967296.0::double AS u,
+ u AS (SELECT Customer_ID, label, h / 4611686018427387904.0::double AS u,
   least(1.0::double, CASE WHEN label = 1 THEN draw::double / ones ELSE (total - draw)::double / (n - ones) END) AS r FROM scores_h, d),
  p AS (SELECT Customer_ID, label, u, r, exp(-r) AS e FROM u),
  c AS (SELECT Customer_ID, label, """

@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import query
 from tidemark.catalog import views as V
+from tidemark.catalog.drift import flat_summary, summary_sql
 from tidemark.catalog.features import GOLD_SQL
-from tidemark.operators import clean, drift, metrics, profile
-from tidemark.plans import datamart
+from tidemark.operators import clean, drift, metrics, models, profile
+from tidemark.plans import datamart, monitoring
 from tidemark.session import shared_folder
+from tidemark.settings import LabelRule
 from tidemark.sources import readers, schemas, writers
 from tidemark.sources import surrogates as S
 from tidemark.streaming import snapshots
@@ -78,15 +80,24 @@ def any_format(spark, sf_dir):
     return whole
 
 
-@query("src_json_records", f"WITH {V.SCORES} SELECT Customer_ID, label, score FROM scores")
+@query(
+    "src_json_records",
+    f"""WITH {V.SCORES} SELECT Customer_ID, label, score, cast(label as varchar) || ';' || cast(label + 1 as varchar) AS steps,
+ CASE WHEN label = 1 THEN dataset END AS note FROM scores""",
+)
 def json_records(spark, sf_dir):
-    """Pretty-printed objects with commas between them, under a ``.csv`` name."""
+    """Pretty-printed nested objects with commas between them, under a ``.csv`` name."""
     path = f"{_folder(spark)}/scores.csv"
-    scores = S.scores(spark, sf_dir).select("Customer_ID", "label", "score")
+    steps = F.array(*[F.struct((F.col("label") + k).alias("x")) for k in (0, 1)]).alias("steps")
+    note = F.struct(F.when(F.col("label") == 1, F.col("dataset")).alias("text")).alias("note")
+    scores = S.scores(spark, sf_dir).select("Customer_ID", "label", "score", steps, note)
     pretty = F.concat(F.to_json(F.struct("*"), {"pretty": "true"}), F.lit(","))
     scores.select(pretty.alias("value")).write.text(path)
-    schema = "Customer_ID bigint, label int, score double"
-    return readers.read_json_records(spark, path, schema)
+    schema = "Customer_ID bigint, label int, score double, steps array<struct<x:int>>, note struct<text:string>"
+    return readers.read_json_records(spark, path, schema).select(
+        "Customer_ID", "label", "score", F.concat_ws(";", F.col("steps.x").cast("array<string>")).alias("steps"),
+        F.col("note.text").alias("note"),
+    )
 
 
 @query("src_scoring_input", f"WITH {V.CLICKSTREAM} SELECT * FROM clickstream")
@@ -112,6 +123,24 @@ def idempotent_snapshots(spark, sf_dir):
     return profile.rows_by_snapshot(readers.read_table(spark, path))
 
 
+@query(
+    "snk_rerun_empties_month",
+    f"""WITH {V.SILVER_ATTRIBUTES} {_STORE} WHERE snapshot_date NOT IN (DATE '2024-03-01', DATE '2024-04-01')
+ OR (snapshot_date = DATE '2024-04-01' AND Age IS NOT NULL)""",
+)
+def rerun_empties_month(spark, sf_dir):
+    """Two months rebuilt under a rule that leaves nothing of one: its old rows go."""
+    path = _silver_table(spark, sf_dir)
+    months = ["2024-03-01", "2024-04-01"]
+    again = clean.silver_attributes(S.attributes(spark, sf_dir)).where(
+        "snapshot_date = '2024-04-01' AND Age IS NOT NULL"
+    )
+    writers.write_snapshots(
+        again.select("Customer_ID", "Age", "Occupation", "snapshot_date"), path, months=months
+    )
+    return readers.read_table(spark, path)
+
+
 @query("snk_bronze", f"WITH {V.ATTRIBUTES} SELECT Customer_ID, Name, Age, SSN, Occupation, cast(snapshot_date as varchar) AS snapshot_date FROM attributes")
 def bronze_table(spark, sf_dir):
     root = _folder(spark)
@@ -121,15 +150,19 @@ def bronze_table(spark, sf_dir):
     return datamart.read_bronze(spark, root, "attributes")
 
 
-def _land(spark, sf_dir, folder):
+_PANELS = {
+    "loans": S.loans,
+    "attributes": S.attributes,
+    "financials": S.financials,
+    "clickstream": S.customer_clicks,
+}
+
+
+def _land(spark, sf_dir, folder, *entities):
     """Raw CSV files with every declared column, the way the sources deliver them."""
-    frames = {
-        "loans": S.loans(spark, sf_dir),
-        "attributes": S.attributes(spark, sf_dir),
-        "financials": S.financials(spark, sf_dir),
-    }
     paths = {}
-    for entity, df in frames.items():
+    for entity in entities:
+        df = _PANELS[entity](spark, sf_dir)
         columns = schemas.RAW[entity].fieldNames()
         full = df.select(
             *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
@@ -143,11 +176,8 @@ def _land(spark, sf_dir, folder):
 def gold_features(spark, sf_dir):
     """Raw files through bronze, silver and gold for 24 months, read back."""
     folder = _folder(spark)
-    paths = _land(spark, sf_dir, folder)
-    del paths["loans"]
-    datamart.bronze(spark, paths, folder, "2023-01-01", "2024-12-01")
-    datamart.silver(spark, folder, tuple(paths))
-    datamart.gold_features(spark, folder)
+    paths = _land(spark, sf_dir, folder, "attributes", "financials")
+    datamart.backfill(spark, paths, folder, "2023-01-01", "2024-12-01")
     store = readers.read_table(spark, f"{folder}/gold/feature_store")
     return store.withColumns(
         {c: F.round(c, 6) for c in ["Debt_to_Income_Ratio", "EMI_Burden_Ratio"]}
@@ -162,10 +192,41 @@ def gold_features(spark, sf_dir):
 def gold_labels(spark, sf_dir):
     """Raw loans of every month through bronze, silver and gold, read back."""
     folder = _folder(spark)
-    paths = {"loans": _land(spark, sf_dir, folder)["loans"]}
-    datamart.bronze(spark, paths, folder, "1990-01-01", "2010-12-01")
-    datamart.silver(spark, folder, ("loans",))
-    datamart.gold_labels(spark, folder)
+    paths = _land(spark, sf_dir, folder, "loans")
+    datamart.backfill(spark, paths, folder, "1990-01-01", "2010-12-01")
+    return readers.read_table(spark, f"{folder}/gold/label_store")
+
+
+@query(
+    "dmt_customers",
+    f"""WITH {V.CUSTOMER_CLICKS}, {V.SILVER_ATTRIBUTES}, {V.SILVER_FINANCIALS},
+ w AS (SELECT c.Customer_ID, c.snapshot_date, cast(fe_1 as double) AS fe_1, cast(fe_2 as double) AS fe_2, cast(fe_1 + fe_2 + fe_3 as double) AS fe_sum,
+  coalesce(Age, 0) AS Age, coalesce(Occupation, 'Unknown') AS Occupation, coalesce(Annual_Income, 0) AS Annual_Income
+  FROM clicks c LEFT JOIN silver_att USING (Customer_ID, snapshot_date) LEFT JOIN silver_fin USING (Customer_ID, snapshot_date))
+ SELECT *, cast(dense_rank() OVER (ORDER BY Occupation) - 1 as integer) AS Occupation_code FROM w""",
+)
+def customers(spark, sf_dir):
+    """The wide table led by the clickstream, through all layers."""
+    folder = _folder(spark)
+    paths = _land(spark, sf_dir, folder, "clickstream", "attributes", "financials")
+    datamart.backfill(spark, paths, folder, "2023-01-01", "2024-12-01")
+    return readers.read_table(spark, f"{folder}/gold/customers").select(
+        "Customer_ID", "snapshot_date", "fe_1", "fe_2", "fe_sum", "Age", "Occupation", "Annual_Income", "Occupation_code"
+    )
+
+
+@query(
+    "dmt_one_month_rerun",
+    f"""WITH {V.PANEL} SELECT loan_id, Customer_ID, label, label_def, snapshot_date FROM (
+ SELECT *, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label, '30dpd_6mob' AS label_def FROM panel WHERE mob = 6 AND snapshot_date <> DATE '1997-05-01'
+ UNION ALL SELECT *, CASE WHEN dpd >= 60 THEN 1 ELSE 0 END, '60dpd_3mob' FROM panel WHERE mob = 3 AND snapshot_date = DATE '1997-05-01')""",
+)
+def one_month_rerun(spark, sf_dir):
+    """A whole backfill, then one month again under another label rule: only that month changes."""
+    folder = _folder(spark)
+    paths = _land(spark, sf_dir, folder, "loans")
+    datamart.backfill(spark, paths, folder, "1990-01-01", "2010-12-01")
+    datamart.backfill(spark, paths, folder, "1997-05-01", "1997-05-01", LabelRule(dpd=60, mob=3))
     return readers.read_table(spark, f"{folder}/gold/label_store")
 
 
@@ -187,28 +248,87 @@ def predictions(spark, sf_dir):
 @query("snk_monitoring_copy", f"WITH {V.DECIDED} SELECT dataset, count(*) AS rows FROM decided GROUP BY dataset")
 def monitoring_copy(spark, sf_dir):
     path = f"{_folder(spark)}/predictions_monitoring"
-    decided = metrics.decide(S.scores(spark, sf_dir))
-    writers.copy_for_monitoring(decided.withColumn("timestamp", F.current_timestamp()), path)
+    decided = metrics.decide(S.scores(spark, sf_dir)).withColumn("timestamp", F.current_timestamp())
+    writers.write_scored(decided, f"{path}_scored.parquet", path)
     return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("snk_monitoring_summary")
+@query("snk_monitoring_summary", summary_sql(["ts", "user_id", "value"], ["value", "user_id"]))
 def monitoring_summary(spark, sf_dir):
+    """The summary document written as JSON and read back, flattened."""
     path = f"{_folder(spark)}/monitoring"
     events = S.table(spark, sf_dir, "events").select("ts", "value", "user_id")
     summary = drift.monitoring_summary(
         events.where("ts < '2024-01-16'"), events.where("ts >= '2024-01-16'"), source="events"
     )
     writers.write_monitoring_summary(summary, path)
-    return spark.read.json(path).select("status", "data_quality", "psi_drift_results", "alerts")
+    return flat_summary(spark.read.schema(summary.schema).json(path))
+
+
+@query("mon_job", summary_sql(["event_type", "ts", "user_id", "value"], ["value", "user_id"], error="ERROR"))
+def monitoring_job(spark, sf_dir):
+    """The job on files: a run over two halves, and one whose input is missing."""
+    folder = _folder(spark)
+    events = S.table(spark, sf_dir, "events").select("ts", "value", "user_id", "event_type")
+    events.where("ts < '2024-01-16'").write.parquet(f"{folder}/reference.parquet")
+    events.where("ts >= '2024-01-16'").write.parquet(f"{folder}/current.parquet")
+    ran = monitoring.monitor(spark, f"{folder}/reference.parquet", f"{folder}/current.parquet", f"{folder}/out")
+    failed = monitoring.monitor(spark, f"{folder}/reference.parquet", f"{folder}/absent.parquet", f"{folder}/out")
+    written = spark.read.schema(ran.schema).json(f"{folder}/out")
+    return flat_summary(written.where("status <> 'ERROR'")).withColumn("failed_run", failed.select("status").scalar())
+
+
+@query(
+    "mon_compare_datasets",
+    f"""WITH {V.DECIDED} SELECT dataset, count(*) AS sample_size,
+ round(count(*) FILTER (label = prediction)::double/count(*), 6) AS accuracy FROM decided WHERE dataset <> 'OOT2' GROUP BY dataset""",
+)
+def compare_datasets(spark, sf_dir):
+    """Labels and predictions from files, per dataset; one dataset has no predictions and is left out."""
+    folder = _folder(spark)
+    decided = metrics.decide(S.scores(spark, sf_dir)).withColumnRenamed("score", "confidence")
+    datasets = {}
+    for name in ("Training", "OOT1", "OOT2"):
+        rows = decided.where(F.col("dataset") == name)
+        datasets[name] = f"{folder}/{name}/labels.parquet", f"{folder}/{name}/predictions.parquet"
+        rows.select("Customer_ID", "label").write.parquet(datasets[name][0])
+        if name != "OOT2":
+            rows.select("Customer_ID", "prediction", "confidence").write.parquet(datasets[name][1])
+    out = monitoring.compare_datasets(spark, datasets)
+    return out.select("dataset", "sample_size", F.round("accuracy", 6).alias("accuracy"))
+
+
+@query(
+    "snk_registry",
+    f"""WITH {V.DECIDED} SELECT dataset AS model, 'sample_size' AS metric, count(*)::double AS value FROM decided GROUP BY dataset
+ UNION ALL SELECT dataset, 'accuracy', round(count(*) FILTER (label = prediction)::double/count(*), 6) FROM decided GROUP BY dataset
+ UNION ALL SELECT 'best by size', any_value(b), max(n)::double FROM (
+  SELECT first(dataset ORDER BY n DESC, place) AS b, max(n) AS n FROM (SELECT dataset, count(*) AS n,
+   CASE dataset WHEN 'Training' THEN 0 WHEN 'OOT1' THEN 1 ELSE 2 END AS place FROM decided GROUP BY dataset))""",
+)
+def registry_sink(spark, sf_dir):
+    """A comparison written as a registry, metrics and best row read back."""
+    path = f"{_folder(spark)}/registry"
+    rated = metrics.evaluate(metrics.decide(S.scores(spark, sf_dir))).withColumnRenamed("dataset", "model")
+    place = F.when(F.col("model") == "Training", 0).when(F.col("model") == "OOT1", 1).otherwise(2)
+    comparison = rated.select("model", place.alias("place"), F.lit(0.7).alias("threshold"), "accuracy", "sample_size")
+    writers.write_registry(models.registry(comparison), models.best_model(comparison, "sample_size"), path)
+    rows = spark.read.parquet(f"{path}/metrics").where("metric <> 'threshold'")
+    best = spark.read.json(f"{path}/best_model").select(
+        F.lit("best by size").alias("model"), F.col("best_model").alias("metric"), F.col("best_score").cast("double").alias("value")
+    )
+    return rows.unionByName(best).withColumn("value", F.round("value", 6))
 
 
 @query("str_clean_arrivals", f"WITH {V.SILVER_ATTRIBUTES} SELECT * FROM silver_att")
 def clean_arrivals(spark, sf_dir):
-    """Raw files picked up by a file stream, cleaned and written by snapshot."""
+    """Raw files picked up by a file stream in two runs; the second adds to the same months."""
     folder = _folder(spark)
-    source = _attributes_csv(spark, sf_dir)
-    snapshots.clean_arrivals(
-        spark, "attributes", source, f"{folder}/silver", f"{folder}/progress"
-    ).awaitTermination()
-    return spark.read.parquet(f"{folder}/silver")
+    raw = S.attributes(spark, sf_dir)
+    late = F.pmod(F.hash("Customer_ID"), F.lit(2)) == 1
+    for part in (raw.where(~late), raw.where(late)):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/raw")
+        snapshots.clean_arrivals(
+            spark, "attributes", f"{folder}/raw", f"{folder}/silver", f"{folder}/progress"
+        ).awaitTermination()
+    return snapshots.read_arrivals(spark, f"{folder}/silver")

@@ -99,6 +99,12 @@ CLICKSTREAM = """clickstream AS (
   count(*) FILTER (event_type='click') AS fe_1, count(*) FILTER (event_type='view') AS fe_2,
   count(*) FILTER (event_type='purchase') AS fe_3 FROM events GROUP BY ALL)"""
 
+CUSTOMER_CLICKS = f"""clicks AS (
+ SELECT concat('CUS_',cast(user_id as varchar)) AS Customer_ID,
+  {_SNAPSHOT.replace("c_custkey", "user_id")},
+  count(*) FILTER (event_type='click') AS fe_1, count(*) FILTER (event_type='view') AS fe_2,
+  count(*) FILTER (event_type='purchase') AS fe_3 FROM events GROUP BY user_id)"""
+
 SCORES = """scores AS (
  SELECT l.doc_id AS Customer_ID, l.quality AS label, cast(d.n_chars % 1000 as double)/1000 AS score,
   CASE WHEN l.doc_id % 5 = 0 THEN 'OOT2' WHEN l.doc_id % 5 = 1 THEN 'OOT1' ELSE 'Training' END AS dataset

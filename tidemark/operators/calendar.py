@@ -52,6 +52,6 @@ def between_dates(df: DataFrame, start, end, column: str = "snapshot_date") -> D
 def on_spine(df: DataFrame, spine: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Rows whose snapshot is on the spine: a whole backfill as one semi join.
 
-    A spine has one row per month, so it is broadcast and also prunes partitions of ``df``.
+    A short spine is broadcast by its size and then also prunes partitions of ``df``.
     """
-    return df.join(F.broadcast(spine), column, "left_semi")
+    return df.join(spine, column, "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -43,7 +44,10 @@ def equal_width_edges(low: float, high: float, bins: int) -> list[float]:
 def reference_edges(
     reference: DataFrame, columns: Sequence[str], bins: int
 ) -> dict[str, list[float]]:
-    """Edges of every column that has values: one min/max scan, two numbers per column."""
+    """Edges of every column of finite values: one min/max scan, two numbers per column.
+
+    An infinite reference value leaves a column without edges, and so with infinite drift.
+    """
     aggregates = []
     for c in columns:
         value = known(reference, c).try_cast("double")
@@ -52,7 +56,7 @@ def reference_edges(
     return {
         c: equal_width_edges(row[f"lo_{c}"], row[f"hi_{c}"], bins)
         for c in columns
-        if row[f"lo_{c}"] is not None
+        if row[f"lo_{c}"] is not None and isfinite(row[f"lo_{c}"]) and isfinite(row[f"hi_{c}"])
     }
 
 
@@ -81,7 +85,8 @@ def psi(
 
     Bins come from the reference. With ``overflow="drop"`` current values outside them are left
     out and the rest is renormalised; ``"bucket"`` counts them in two extra bins instead, so a
-    population that moved away altogether shows as drift. An empty side gives infinity.
+    population that moved away altogether shows as drift. An empty side gives infinity, and so does
+    an infinite value in the reference.
 
     Both frames shrink to a count per (feature, side, bin) before the only shuffle.
     """
@@ -225,13 +230,11 @@ def ks_distance(
     gap = F.abs(
         F.try_divide(F.col("cum_r"), F.col("__r")) - F.try_divide(F.col("cum_c"), F.col("__c"))
     )
+    # a column without values on one side is as far away as can be
     return (
-        ordered.join(
-            F.broadcast(sizes.select("feature", F.col("r").alias("__r"), F.col("c").alias("__c"))),
-            "feature",
-        )
+        ordered.join(sizes.select("feature", F.col("r").alias("__r"), F.col("c").alias("__c")), "feature")
         .groupBy("feature")
-        .agg(F.max(gap).alias("distance"))
+        .agg(F.coalesce(F.max(gap), F.lit(1.0)).alias("distance"))
     )
 
 
@@ -263,10 +266,10 @@ def js_divergence(
         return F.when(share > 0, share * F.log2(share / middle)).otherwise(F.lit(0.0)) / 2
 
     return (
-        # one row per feature
-        counts.join(F.broadcast(sizes), "feature")
+        # a column without values on one side is as far away as can be
+        counts.join(sizes, "feature")
         .groupBy("feature")
-        .agg(F.sum(half(p) + half(q)).alias("distance"))
+        .agg(F.coalesce(F.sum(half(p) + half(q)), F.lit(1.0)).alias("distance"))
     )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import derived as D
-from tidemark.operators.lookups import join_features
+from tidemark.operators.clean import fill_constant, without_duplicates
+from tidemark.operators.lookups import join_features, with_codes
 from tidemark.operators.project import by_prefix
 from tidemark.settings import CREDIT_MIX_CODES, GOLD_FEATURES, KEYS
 
@@ -29,15 +32,34 @@ def derived_features() -> dict[str, Column]:
 def feature_store(
     financials: DataFrame, attributes: DataFrame | None = None, features=tuple(GOLD_FEATURES)
 ) -> DataFrame:
-    """Panel key plus the chosen features; financials decide the rows."""
-    tables = [financials] + ([attributes] if attributes is not None else [])
-    joined = join_features(tables)
+    """Panel key plus the chosen features; financials decide the rows.
+
+    Attributes are joined only where a wanted feature comes from them: a left join on a unique key
+    that adds no column adds nothing.
+    """
     derived = derived_features()
+    plain = [f for f in features if f not in derived]
+    tables = [financials]
+    if attributes is not None and not set(plain) <= set(financials.columns):
+        tables.append(attributes)
+    joined = join_features(tables)
     return joined.select(
         *KEYS, *[derived[f].alias(f) if f in derived else F.col(f) for f in features]
     )
 
 
+def customer_table(clickstream: DataFrame, tables: Sequence[DataFrame]) -> DataFrame:
+    """Wide table led by the clickstream: copies removed, gaps filled, tables joined, codes added.
+
+    Numeric gaps become 0 and a missing occupation ``Unknown``; ``fe_sum`` adds up the clickstream
+    columns and ``Occupation_code`` numbers the occupations in sorted order.
+    """
+    joined = join_features([without_duplicates(clickstream), *tables])
+    texts = {"Occupation": "Unknown"} if "Occupation" in joined.columns else None
+    filled = with_row_sum(fill_constant(joined, 0, texts))
+    return with_codes(filled, "Occupation", "Occupation_code", -1) if texts else filled
+
+
 def with_row_sum(df: DataFrame, prefix: str = "fe_", name: str = "fe_sum") -> DataFrame:
     """Add the sum of the prefixed columns where the first two of them exist."""
     columns = by_prefix(df, prefix)

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,9 @@ from tidemark.operators.knn import fill_from_neighbours
 from tidemark.operators.ordering import exact_medians
 from tidemark.operators.profile import known, modes
 from tidemark.operators.project import numeric_columns
+from tidemark.session import checkpointed
 from tidemark.settings import ImputeRule
 
-MAX_PATTERNS = 1 << 16
 RIDGE = 1e-9
 
 
@@ -67,6 +68,60 @@ class Chain:
         return F.get(values, F.lit(j)) * F.lit(self.std[j]) + F.lit(self.mean[j])
 
 
+def _replayed(fills: np.ndarray, missing: np.ndarray, steps) -> np.ndarray:
+    """Fills of the patterns after further steps; ``fills[p]`` maps (1, observed values) to the row."""
+    for j, intercept, weights in steps:
+        full = np.array([intercept, *weights])
+        at = missing[:, j]
+        fills[at, j + 1] = np.einsum("k,pkl->pl", full, fills[at])
+    return fills
+
+
+def _unpacked(batch: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Missing columns, sums of products and fills of a batch of patterns."""
+    missing = np.array([[bit == "1" for bit in p] for p in batch.column(0).to_pylist()], bool)
+    square = (batch.num_rows, d + 1, d + 1)
+    products, fills = (
+        c.flatten().to_numpy(zero_copy_only=False).reshape(square).copy() for c in batch.columns[1:3]
+    )
+    return missing.reshape(batch.num_rows, d), products, fills
+
+
+def _column_gram(d: int, j: int, steps):
+    """Sums of products of the filled rows in which column ``j`` is observed, per batch."""
+
+    def run(batches):
+        for batch in batches:
+            missing, products, fills = _unpacked(batch, d)
+            fills = _replayed(fills, missing, steps)[~missing[:, j]]
+            gram = np.einsum("pik,pkl,pjl->ij", fills, products[~missing[:, j]], fills)
+            yield pa.RecordBatch.from_pydict(
+                {"cell": pa.array(range((d + 1) ** 2), pa.int32()), "v": pa.array(gram.ravel())}
+            )
+
+    return run
+
+
+def _after_round(d: int, steps):
+    """Patterns with their fills after a round, and how far the round moved them."""
+
+    def run(batches):
+        for batch in batches:
+            missing, products, fills = _unpacked(batch, d)
+            after = _replayed(fills.copy(), missing, steps)
+            change = after - fills
+            moved = np.einsum("pik,pkl,pil->p", change, products, change)
+            rows = pa.array(list(after.reshape(batch.num_rows, -1)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), rows, pa.array(moved)], names=["pattern", "products", "fill", "moved"]
+            )
+
+    return run
+
+
+_PATTERNS = "pattern string, products array<double>, fill array<double>"
+
+
 def fit_chain(
     df: DataFrame,
     columns: Sequence[str],
@@ -80,6 +135,7 @@ def fit_chain(
     A filled row is a linear function of its observed values, so the rounds need no second look
     at the data: one aggregation gives, per pattern of missing columns, the sums of products of
     the observed values, and every regression of every round follows from those small matrices.
+    The patterns stay in a table; a step brings back one matrix of as many rows as there are columns.
     Columns are visited from fewest to most missing; each is regressed (least squares with a
     trace of ridge) on all others over the rows where it is observed.
     """
@@ -87,44 +143,35 @@ def fit_chain(
     d = len(columns)
     means = [mean[c] for c in columns]
     stds = [std[c] if std[c] else 1.0 for c in columns]
-    observed = df.select(
-        F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns]).alias("pattern"),
-        *[
-            F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0)).alias(f"z{i}")
-            for i, (c, m, s) in enumerate(zip(columns, means, stds))
-        ],
-    )
-    sums = [F.count(F.lit(1)).cast("double").alias("s")]
-    sums += [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
-    sums += [
-        F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i in range(d) for j in range(i, d)
+    z = [
+        F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(s), F.lit(0.0)).alias(f"z{i}")
+        for i, (c, m, s) in enumerate(zip(columns, means, stds))
     ]
-    rows = observed.groupBy("pattern").agg(*sums).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns of missing columns; fit fewer columns")
-
-    products, missing = [], []
-    for r in rows:
-        s = np.zeros((d + 1, d + 1))
-        s[0, 0] = r["s"]
-        for i in range(d):
-            s[0, i + 1] = s[i + 1, 0] = r[f"s{i}"]
-            for j in range(i, d):
-                s[i + 1, j + 1] = s[j + 1, i + 1] = r[f"s{i}_{j}"]
-        products.append(s)
-        missing.append(np.array([bit == "1" for bit in r["pattern"]]))
-    n_missing = sum(s[0, 0] * m for s, m in zip(products, missing))
-    order = [j for j in np.argsort(n_missing, kind="stable") if n_missing[j] > 0]
-    # fill[p] maps (1, observed values, 0 where missing) to the filled row of pattern p
-    fill = [np.eye(d + 1) for _ in rows]
+    absent = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    observed = df.select(absent.alias("pattern"), F.lit(1.0).alias("one"), *z)
+    names = ["one", *(f"z{i}" for i in range(d))]
+    pairs = {(i, j): F.sum(F.col(names[i]) * F.col(names[j])) for i in range(d + 1) for j in range(i, d + 1)}
+    summed = observed.groupBy("pattern").agg(*[v.alias(f"s{i}_{j}") for (i, j), v in pairs.items()])
+    square = F.array(*[F.col(f"s{min(i, j)}_{max(i, j)}") for i in range(d + 1) for j in range(d + 1)])
+    patterns = checkpointed(
+        summed.select(
+            "pattern", square.alias("products"), F.lit(np.eye(d + 1).ravel().tolist()).cast("array<double>").alias("fill")
+        )
+    )
+    missing = patterns.agg(
+        *[F.sum(F.when(F.substring("pattern", j + 1, 1) == "1", F.col("products")[0])).alias(str(j)) for j in range(d)]
+    ).first()
+    n_missing = np.array([missing[str(j)] or 0.0 for j in range(d)])
+    order = [int(j) for j in np.argsort(n_missing, kind="stable") if n_missing[j] > 0]
     steps = []
     for _ in range(max_iter):
-        before = [f.copy() for f in fill]
+        done = len(steps)
         for j in order:
-            gram = np.zeros((d + 1, d + 1))
-            for f, s, m in zip(fill, products, missing):
-                if not m[j]:
-                    gram += f @ s @ f.T
+            cells = patterns.mapInArrow(_column_gram(d, j, steps[done:]), "cell int, v double")
+            gram = np.zeros((d + 1) ** 2)
+            for r in cells.groupBy("cell").agg(F.sum("v").alias("v")).collect():
+                gram[r["cell"]] = r["v"]
+            gram = gram.reshape(d + 1, d + 1)
             others = [i for i in range(d + 1) if i != j + 1]
             ridge = np.eye(d) * RIDGE * max(gram[0, 0], 1.0)
             ridge[0, 0] = 0.0
@@ -133,11 +180,10 @@ def fit_chain(
             )[0]
             full = np.zeros(d + 1)
             full[others] = weights
-            steps.append((int(j), float(full[0]), [float(w) for w in full[1:]]))
-            for f, m in zip(fill, missing):
-                if m[j]:
-                    f[j + 1] = full @ f
-        moved = sum(np.trace((f - b) @ s @ (f - b).T) for f, b, s in zip(fill, before, products))
+            steps.append((j, float(full[0]), [float(w) for w in full[1:]]))
+        after = checkpointed(patterns.mapInArrow(_after_round(d, steps[done:]), f"{_PATTERNS}, moved double"))
+        moved = after.agg(F.sum("moved")).first()[0] or 0.0
+        patterns = after.drop("moved")
         if np.sqrt(max(moved, 0.0) / max(n_missing.sum(), 1.0)) < tol:
             break
     return Chain(columns, means, stds, steps)
@@ -253,6 +299,24 @@ def load_imputer(
     return Imputer(rule, fits, chain, donors)
 
 
+def save_imputer(imputer: Imputer, spark: SparkSession, path: str) -> None:
+    """Write statistics, rule and the donors of the neighbour strategy under one folder."""
+    imputer.to_frame(spark).write.mode("overwrite").parquet(f"{path}/statistics")
+    rule = spark.createDataFrame([(json.dumps(asdict(imputer.rule)),)], "value string")
+    rule.write.mode("overwrite").text(f"{path}/rule")
+    if imputer.donors is not None:
+        imputer.donors.write.mode("overwrite").parquet(f"{path}/donors")
+
+
+def read_imputer(spark: SparkSession, path: str) -> Imputer:
+    """The imputer as it was saved."""
+    rule = ImputeRule(**json.loads(spark.read.text(f"{path}/rule").first()["value"]))
+    loaded = load_imputer(spark.read.parquet(f"{path}/statistics"), rule)
+    if any(f.strategy == "knn" for f in loaded.fits.values()):
+        loaded = replace(loaded, donors=spark.read.parquet(f"{path}/donors"))
+    return loaded
+
+
 def strategy_for(feature: str, is_numeric: bool, missing_pct: float, rule: ImputeRule) -> str:
     """Own rule of the feature, else the default of its kind.
 

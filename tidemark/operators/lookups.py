@@ -11,32 +11,32 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordering import running_totals
 from tidemark.settings import KEYS
 
-BROADCAST_ROWS = 100_000
+SPREAD = 1024  # parts that rows with a null key are dealt to
 
 
-def join_checked(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join that broadcasts ``right`` only after counting it.
+def _with_part(df: DataFrame, keys: Sequence[str], driving: bool) -> DataFrame:
+    """Add ``__part``, a further join key: 0, but any of ``SPREAD`` where a key is null.
 
-    The count stops at ``max_rows + 1`` rows. A larger side goes through a shuffle join, in which
-    adaptive execution splits skewed keys.
+    A null key matches nothing, so such rows of the driving side need not meet in one partition.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
-        right = F.broadcast(right)
-    return left.join(right, list(on), how)
+    none = F.pmod(F.hash(*keys), F.lit(1))  # 0, computed so that it stays a join key
+    if not driving:
+        return df.withColumn("__part", none)
+    unknown = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int")
+    return df.withColumn("__part", F.when(unknown, dealt).otherwise(none))
 
 
 def join_features(tables: Sequence[DataFrame], keys: Sequence[str] = tuple(KEYS)) -> DataFrame:
-    """Left-join feature tables to the first one on the panel key.
+    """Left-join tables to the first one on shared keys.
 
-    All joins share the key, so each table is shuffled once however many there are.
+    All joins share the key, so each table is shuffled once however many there are; adaptive
+    execution broadcasts a side that turns out small and splits skewed keys.
     """
-    return reduce(lambda a, b: a.join(b, list(keys), "left"), tables)
+    on = [*keys, "__part"]
+    first = _with_part(tables[0], keys, True)
+    others = [_with_part(t, keys, False) for t in tables[1:]]
+    return reduce(lambda a, b: a.join(b, on, "left"), others, first).drop("__part")
 
 
 def labelled(labels: DataFrame, features: DataFrame, how: str, keys=tuple(KEYS)) -> DataFrame:
@@ -62,7 +62,7 @@ def with_codes(
     df: DataFrame, column: str, code: str = "code", null_code: int | None = None
 ) -> DataFrame:
     """Add the category code of ``column``; null values get ``null_code``."""
-    coded = join_checked(df, category_codes(df, column, code), [column], "left")
+    coded = join_features([df, category_codes(df, column, code)], [column])
     value: Column = F.col(code)
     if null_code is not None:
         value = F.coalesce(value, F.lit(null_code))

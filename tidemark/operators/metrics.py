@@ -7,12 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import running_totals
-from tidemark.settings import DECISION_THRESHOLD
+from tidemark.operators.ordering import join_null_safe, running_totals
+from tidemark.session import checkpointed
+from tidemark.settings import DECISION_THRESHOLD, NO_PROBABILITY_THRESHOLD
 
 
-def decide(df: DataFrame, score: str = "score", threshold: float = DECISION_THRESHOLD) -> DataFrame:
-    """Add ``prediction``: 1 where the score reaches the threshold."""
+def decide(
+    df: DataFrame, score: str = "score", threshold: float | None = None, probability: bool = True
+) -> DataFrame:
+    """Add ``prediction``: 1 where the score reaches the threshold.
+
+    The default threshold is that for probabilities, or for scores of a model that gives none.
+    """
+    if threshold is None:
+        threshold = DECISION_THRESHOLD if probability else NO_PROBABILITY_THRESHOLD
     return df.withColumn("prediction", (F.col(score) >= threshold).cast("int"))
 
 
@@ -65,18 +73,25 @@ def ranking_metrics(
     value = F.col(score).cast("double")
     bad = value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))
     hit = F.col(prediction) == 1 if prediction else F.lit(False)
-    sizes = df.groupBy(*by).agg(
-        F.count_if(y).alias("__P"),
-        F.count_if(~y).alias("__N"),
-        F.count_if(y & hit).alias("__TP"),
-        F.count_if(~y & hit).alias("__FP"),
-        F.count_if(bad).alias("__bad"),
+    # the only look at the rows: ranges, running totals and sizes all come from these counts
+    per_score = checkpointed(
+        df.groupBy(*by, F.when(~bad, value).alias("__score")).agg(
+            F.count_if(y).alias("__pos"),
+            F.count_if(~y).alias("__neg"),
+            F.count_if(y & hit).alias("__hit_pos"),
+            F.count_if(~y & hit).alias("__hit_neg"),
+            F.count_if(bad).alias("__n_bad"),
+        )
     )
-    per_score = df.groupBy(*by, F.when(~bad, value).alias("__score")).agg(
-        F.count_if(y).alias("__pos"), F.count_if(~y).alias("__neg")
+    sizes = per_score.groupBy(*by).agg(
+        F.sum("__pos").alias("__P"),
+        F.sum("__neg").alias("__N"),
+        F.sum("__hit_pos").alias("__TP"),
+        F.sum("__hit_neg").alias("__FP"),
+        F.sum("__n_bad").alias("__bad"),
     )
-    ordered = running_totals(per_score, "__score", ["__pos", "__neg"], by)
-    # one row per reporting group
+    counts = per_score.select(*by, "__score", "__pos", "__neg")
+    ordered = running_totals(counts, "__score", ["__pos", "__neg"], by)
     ordered = _with_sizes(ordered, sizes, by)
     pos, neg = F.col("__P"), F.col("__N")
     # thresholds from the highest score down, for average precision
@@ -107,7 +122,7 @@ def ranking_metrics(
 
 def _with_sizes(rows: DataFrame, sizes: DataFrame, by: list[str]) -> DataFrame:
     if by:
-        return rows.join(F.broadcast(sizes), by)
+        return join_null_safe(rows, sizes, by)
     one = sizes.select(F.struct(*sizes.columns).alias("s")).scalar()
     return rows.withColumn("__s", one).select("*", "__s.*").drop("__s")
 
@@ -119,10 +134,13 @@ def evaluate(
     score: str = "score",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Threshold and ranking metrics of each dataset side by side."""
+    """Threshold and ranking metrics of each dataset side by side; without ``by`` of all rows.
+
+    Rows without a dataset name form a dataset of their own.
+    """
     by = list(by)
     flat = threshold_metrics(confusion(df, by, label, prediction))
-    return flat.join(ranking_metrics(df, by, label, score, prediction), by)
+    return join_null_safe(flat, ranking_metrics(df, by, label, score, prediction), by)
 
 
 def predicted_class_counts(

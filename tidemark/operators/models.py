@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
-from tidemark.operators.impute import Imputer
+from tidemark.operators.impute import Imputer, read_imputer, save_imputer
 from tidemark.operators.scaling import Scaler
 from tidemark.settings import DECISION_THRESHOLD, FOLDS, SEARCH_GRID, SEED
 
@@ -380,9 +380,12 @@ _SPARK_NAME = {
 
 
 def draw_params(n: int, grid: dict = SEARCH_GRID, seed: int = SEED) -> list[dict]:
-    """``n`` distinct grid points in random order (all of them when the grid is smaller)."""
-    names = list(grid)
-    points = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+    """``n`` distinct points in random order (all of them when there are fewer).
+
+    Axes without a Spark counterpart are left out: points that differ only there are one model.
+    """
+    names = [name for name in grid if name in _SPARK_NAME]
+    points = [dict(zip(names, values)) for values in itertools.product(*(grid[name] for name in names))]
     return random.Random(seed).sample(points, min(n, len(points)))
 
 
@@ -404,12 +407,11 @@ def random_search(
     for point in draws:
         params = {}
         for name, value in point.items():
-            if name in _SPARK_NAME:
-                spark_name = _SPARK_NAME[name]
-                value = str(value) if spark_name == "featureSubsetStrategy" else value
-                params[estimator.getParam(spark_name)] = (
-                    float(value) if spark_name == "minInfoGain" else value
-                )
+            spark_name = _SPARK_NAME[name]
+            value = str(value) if spark_name == "featureSubsetStrategy" else value
+            params[estimator.getParam(spark_name)] = (
+                float(value) if spark_name == "minInfoGain" else value
+            )
         maps.append(params)
     rows = _vectors(train, features, None, None).select(label, fold, "features").persist()
     try:
@@ -439,7 +441,7 @@ def search_results(spark: SparkSession, fitted: CrossValidatorModel, draws: list
 
 
 def save_model(model: ScoringModel, spark: SparkSession, path: str) -> None:
-    """Write members, scaler, imputer statistics and metadata under one folder."""
+    """Write members, scaler, imputer and metadata under one folder."""
     for i, (member, _, _) in enumerate(model.members):
         PipelineModel([member]).write().overwrite().save(f"{path}/member_{i}")
     meta = {
@@ -451,14 +453,16 @@ def save_model(model: ScoringModel, spark: SparkSession, path: str) -> None:
         "threshold": model.threshold,
         "version": model.version,
         "params": model.params,
+        "imputer": model.imputer is not None,
     }
     one = spark.createDataFrame([(json.dumps(meta),)], "value string")
     one.write.mode("overwrite").text(f"{path}/metadata")
     if model.imputer is not None:
-        model.imputer.to_frame(spark).write.mode("overwrite").parquet(f"{path}/imputer")
+        save_imputer(model.imputer, spark, f"{path}/imputer")
 
 
-def load_model(spark: SparkSession, path: str, imputer: Imputer | None = None) -> ScoringModel:
+def load_model(spark: SparkSession, path: str) -> ScoringModel:
+    """The bundle as it was saved, its imputer included."""
     meta = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
     members = [
         (PipelineModel.load(f"{path}/member_{i}").stages[0], a, b)
@@ -470,7 +474,7 @@ def load_model(spark: SparkSession, path: str, imputer: Imputer | None = None) -
         members,
         Scaler(**meta["scaler"]) if meta["scaler"] else None,
         FourierMap(**meta["fourier"]) if meta["fourier"] else None,
-        imputer,
+        read_imputer(spark, f"{path}/imputer") if meta["imputer"] else None,
         meta["threshold"],
         meta["version"],
         meta["params"],

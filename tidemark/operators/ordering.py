@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ONE_TASK_ROWS = 1_000_000  # rows known to be few enough to order in one task
-
 
 class _Zone(NamedTuple):
     """Value range that holds the two middle ranks, its rows, and the ranks counted inside it."""
@@ -28,25 +26,35 @@ class _Zone(NamedTuple):
     second: int
 
 
-RANGES = 1024  # bound on key ranges, and so on rows of the broadcast offsets per group
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; the left side's key columns stay."""
+    if not on:
+        return left.crossJoin(right)  # one row for the whole frame on the right
+    there = {c: f"__on_{c}" for c in on}
+    matches = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(t)) for c, t in there.items()])
+    return left.join(right.withColumnsRenamed(there), matches, how).drop(*there.values())
 
 
 def _with_range(rows: DataFrame, order: str) -> DataFrame:
     """Add ``__range``, a number that grows with ``order``.
 
+    There are a few times as many ranges as shuffle partitions, a power of two.
+
     Splitters are the values with the smallest hashes: a uniform sample of the rows' values that
     depends on the data alone, so a recomputed task sees the same ranges. A row finds its range
     by binary search, in generated code. The sample keeps whole rows so that all readers of
     ``rows`` ask for the same columns and share one shuffle.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = 1 << max(6, (4 * partitions - 1).bit_length())
     splitters = (
         rows.orderBy(F.xxhash64(order), order)
-        .limit(RANGES - 1)
+        .limit(ranges - 1)
         .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("__k"), *rows.columns))).alias("all"))
         .select(F.filter(F.transform("all", lambda r: r["__k"]), lambda k: k.isNotNull()))
     )
     rows = rows.withColumns({"__splitters": splitters.scalar(), "__range": F.lit(0)})
-    step = RANGES // 2
+    step = ranges // 2
     while step:
         splitter = F.get("__splitters", F.col("__range") + (step - 1))
         rows = rows.withColumn(
@@ -80,10 +88,9 @@ def running_totals(
     inside = (
         W.partitionBy(*by, "__range").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     )
-    # offsets has at most RANGES rows per group; every range has one, and a left join keeps
-    # the range lookup out of pushed-down null filters
+    # every range has its offset; a left join keeps the range lookup out of pushed-down null filters
     return (
-        ranged.join(F.broadcast(offsets), [*by, "__range"], "left")
+        join_null_safe(ranged, offsets, [*by, "__range"], "left")
         .select(
             *rows.columns,
             *[
@@ -141,11 +148,7 @@ def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone]) -> DataFrame:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if max(z.rows for z in zones.values()) <= ONE_TASK_ROWS:
-        upto = W.partitionBy("feature").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-        ordered = inside.withColumn("cum_n", F.sum("n").over(upto))
-    else:
-        ordered = running_totals(inside, "value", ["n"], ["feature"])
+    ordered = running_totals(inside, "value", ["n"], ["feature"])
     ranks = F.lit(None)
     for c, z in zones.items():
         ranks = F.when(F.col("feature") == c, F.array(F.lit(z.first), F.lit(z.second))).otherwise(ranks)

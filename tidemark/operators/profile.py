@@ -21,10 +21,6 @@ def known(df: DataFrame, column: str) -> Column:
     return value
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
-
-
 def rows_by_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Row count of every snapshot in one pass."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
@@ -223,3 +219,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = tuple(KEYS)) -> DataFram
     return (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
     )
+
+
+class DuplicateKeys(Exception):
+    """A table repeats a key that a join relies on."""
+
+
+def require_unique_keys(df: DataFrame, keys: Sequence[str] = tuple(KEYS)) -> None:
+    """Raise ``DuplicateKeys`` if a complete key occurs twice; keys with a null match nothing."""
+    complete = df.select(*keys).na.drop()
+    found = duplicate_keys(complete, keys).first()
+    if found is not None:
+        raise DuplicateKeys(f"{found['occurrences']} rows for {[found[k] for k in keys]}")

@@ -15,19 +15,26 @@ from pyspark.sql import functions as F
 
 from tidemark.settings import BOOTSTRAP_ROWS, FOLDS, SEED, TRAIN_RATIO
 
-HASH_BITS = 32
+HASH_BITS = 62
 _LEADING_BITS = 16
+# prime, multiplier of the low and of the high half; products stay below 2**62
+MIXERS = ((2147483647, 1597334677, 982451653), (2147483629, 1442695041, 715225739))
 
 
 def key_hash(*keys: str, seed: int = SEED) -> Column:
-    """Uniform number in [0, 2**32) from any key columns."""
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << HASH_BITS))
+    """Uniform number in [0, 2**62) from any key columns."""
+    return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 64 - HASH_BITS)
 
 
 def integer_hash(key: Column, seed: int = SEED) -> Column:
-    """Multiplicative hash of an integer key in [0, 2**32); one-to-one on keys below 2**31."""
-    small = F.pmod(key, F.lit(1 << 31)).cast("bigint")
-    return F.pmod(small * F.lit(2654435761) + F.lit(seed), F.lit(1 << HASH_BITS))
+    """Hash of an integer key in [0, 2**62): the key's two halves mixed modulo two primes.
+
+    Keys below 2**31 never collide, as each residue tells them apart; larger ones only by chance.
+    """
+    whole = F.pmod(key.cast("bigint"), F.lit(1 << 62))
+    low, high = whole.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(whole, 31)
+    one, two = (F.pmod(low * F.lit(a) + high * F.lit(b) + F.lit(seed), F.lit(p)) for p, a, b in MIXERS)
+    return one * F.lit(1 << 31) + two
 
 
 def out_of_time(
@@ -69,9 +76,8 @@ def _parts(
         .where((F.col("end") <= F.col("upto")) & (F.col("end") > F.col("upto") - F.col("n")))
         .select("c", "b", "part", (F.col("end") - F.col("upto") + F.col("n")).alias("rank"))
     )
-    # one target row per class and cut
     near = (
-        slim.join(F.broadcast(targets), ["c", "b"])
+        slim.join(targets, ["c", "b"])
         .groupBy("c", "part", "rank", "h")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -1,17 +1,28 @@
-"""Bronze -> silver -> gold for all snapshots in one job per table."""
+"""Bronze -> silver -> gold, one job per table for all snapshots asked for.
+
+Every stage takes the months it is to rebuild. It reads and writes only their partitions; a month
+that yields no rows is cleared. Without months a stage rebuilds all snapshots it finds.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean, features, labels
-from tidemark.operators.calendar import first_of_month_spine, on_spine
-from tidemark.settings import LabelRule
+from tidemark.operators.calendar import first_of_month_spine
+from tidemark.operators.profile import require_unique_keys
+from tidemark.session import apply_settings
+from tidemark.settings import KEYS, LabelRule
 from tidemark.sources import schemas
-from tidemark.sources.readers import read_csv, read_first_present, read_if_present, read_table
+from tidemark.sources.readers import NoData, read_csv, read_if_present, read_table
 from tidemark.sources.writers import write_snapshots
 
+Months = Sequence[date] | None
+
 
 def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     bounds = spark.range(1).select(
@@ -20,48 +31,91 @@ def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     return first_of_month_spine(bounds)
 
 
+def months_between(spark: SparkSession, start: str, end: str) -> list[date]:
+    """The spine's months, twelve a year, as literals that prune partitions."""
+    return [r.snapshot_date for r in month_spine(spark, start, end).collect()]
+
+
+def _of(df: DataFrame, months: Months) -> DataFrame:
+    return df if months is None else df.where(F.col("snapshot_date").isin(list(months)))
+
+
 def bronze(
     spark: SparkSession, sources: dict[str, str], root: str, start: str, end: str
 ) -> None:
     """Land the raw rows of every month of the spine, as text, one partition per month."""
-    spine = month_spine(spark, start, end)
+    months = months_between(spark, start, end)
     for entity, path in sources.items():
         raw = read_csv(spark, path, schemas.RAW[entity])
         dated = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
-        write_snapshots(on_spine(dated, spine), f"{root}/bronze/{entity}", "csv")
+        write_snapshots(_of(dated, months), f"{root}/bronze/{entity}", "csv", months=months)
 
 
-def read_bronze(spark: SparkSession, root: str, entity: str) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, entity: str, months: Months = None) -> DataFrame:
     """Landed rows as text, their snapshot date taken from the partition."""
     schema = schemas.RAW[entity]
     raw = read_csv(spark, f"{root}/bronze/{entity}", schema)
-    return raw.select(schema.fieldNames())
+    named = None if months is None else [str(m) for m in months]
+    return _of(raw.select(schema.fieldNames()), named)
 
 
-def silver(spark: SparkSession, root: str, entities=tuple(schemas.RAW)) -> None:
+def silver(
+    spark: SparkSession, root: str, entities=tuple(schemas.RAW), months: Months = None
+) -> None:
     for entity in entities:
-        cleaned = clean.SILVER[entity](read_bronze(spark, root, entity))
-        write_snapshots(cleaned, f"{root}/silver/{entity}")
+        cleaned = clean.SILVER[entity](read_bronze(spark, root, entity, months))
+        write_snapshots(cleaned, f"{root}/silver/{entity}", months=months)
 
 
 def gold_labels(
-    spark: SparkSession, root: str, rule: LabelRule = LabelRule(), by_start: bool = False
+    spark: SparkSession,
+    root: str,
+    rule: LabelRule = LabelRule(),
+    by_start: bool = False,
+    months: Months = None,
 ) -> None:
     """Label store of every snapshot; ``by_start`` counts from the loan start date."""
-    loans = read_table(spark, f"{root}/silver/loans")
+    loans = _of(read_table(spark, f"{root}/silver/loans"), months)
     if by_start:
         store = labels.label_store(labels.loan_daily_by_start(loans), rule)
     else:
         store = labels.labels_at(loans, rule)
-    write_snapshots(store, f"{root}/gold/label_store")
+    write_snapshots(store, f"{root}/gold/label_store", months=months)
+
+
+def _silver(spark: SparkSession, root: str, entity: str, months: Months) -> DataFrame | None:
+    found = read_if_present(spark, f"{root}/silver/{entity}")
+    return None if found is None else _of(found, months)
+
 
+def gold_features(spark: SparkSession, root: str, months: Months = None) -> None:
+    """Feature store of every snapshot: financials decide the rows, attributes are optional.
 
-def gold_features(spark: SparkSession, root: str) -> None:
-    """Feature store of every snapshot: financials decide the rows, attributes are optional."""
-    tables = read_first_present(
-        [read_if_present(spark, f"{root}/silver/{e}") for e in ("financials", "attributes")]
+    Raises ``NoData`` without financials, and ``DuplicateKeys`` where a joined table repeats a key.
+    """
+    financials, attributes = (_silver(spark, root, e, months) for e in ("financials", "attributes"))
+    if financials is None:
+        raise NoData(f"no financials in {root}/silver")
+    for table in filter(None, (financials, attributes)):
+        require_unique_keys(table, KEYS)
+    store = features.feature_store(financials, attributes)
+    write_snapshots(store, f"{root}/gold/feature_store", months=months)
+
+
+def gold_customers(spark: SparkSession, root: str, months: Months = None) -> None:
+    """Wide customer table of every snapshot, led by the clickstream.
+
+    Raises ``NoData`` without clickstream, and ``DuplicateKeys`` where a joined table repeats a key.
+    """
+    clickstream, attributes, financials = (
+        _silver(spark, root, e, months) for e in ("clickstream", "attributes", "financials")
     )
-    write_snapshots(features.feature_store(*tables), f"{root}/gold/feature_store")
+    if clickstream is None:
+        raise NoData(f"no clickstream in {root}/silver")
+    joined = [t for t in (attributes, financials) if t is not None]
+    for table in joined:
+        require_unique_keys(table, KEYS)
+    write_snapshots(features.customer_table(clickstream, joined), f"{root}/gold/customers", months=months)
 
 
 def backfill(
@@ -72,8 +126,17 @@ def backfill(
     end: str,
     rule: LabelRule = LabelRule(),
 ) -> None:
-    """All layers for every month from ``start`` to ``end``; rerunning replaces those months."""
+    """All layers for every month from ``start`` to ``end``; rerunning replaces those months only.
+
+    A gold table is built if the source that leads it is given.
+    """
+    apply_settings(spark)
+    months = months_between(spark, start, end)
     bronze(spark, sources, root, start, end)
-    silver(spark, root, tuple(sources))
-    gold_labels(spark, root, rule)
-    gold_features(spark, root)
+    silver(spark, root, tuple(sources), months)
+    if "loans" in sources:
+        gold_labels(spark, root, rule, months=months)
+    if "financials" in sources:
+        gold_features(spark, root, months)
+    if "clickstream" in sources:
+        gold_customers(spark, root, months)

@@ -19,21 +19,25 @@ def monitor(
     output: str | None = None,
     rule: MonitorRule = MonitorRule(),
 ) -> DataFrame:
-    """Summary row of one monitoring run; a failure becomes a row with status ERROR."""
+    """Summary row of one monitoring run; a failure, also while it runs, becomes a row with status ERROR.
+
+    The summary is computed once; either row is written to ``output``.
+    """
     try:
-        summary = monitoring_summary(
+        plan = monitoring_summary(
             read_any(spark, reference_path), read_any(spark, current_path), rule, current_path
         )
-        if output:
-            write_monitoring_summary(summary, output)
-        return summary
+        summary = spark.createDataFrame(plan.collect(), plan.schema)  # one row
     except Exception as reason:
-        return spark.range(1).select(
+        summary = spark.range(1).select(
             F.current_timestamp().alias("timestamp"),
             F.lit(current_path).alias("current_data_path"),
-            F.lit(str(reason)).alias("error"),
+            F.lit(str(reason).partition("\n")[0]).alias("error"),
             F.lit("ERROR").alias("status"),
         )
+    if output:
+        write_monitoring_summary(summary, output)
+    return summary
 
 
 def compare_datasets(

@@ -36,10 +36,12 @@ def preprocess(
     Features are aligned to the model's list, imputed and scaled. ``imputation`` is ``fitted``,
     ``batch`` (the batch's own medians and modes) or ``zero``.
     """
+    if imputation == "fitted" and imputer is None:
+        raise ValueError("no fitted imputer; ask for batch or zero imputation")
     features = list(features or feature_columns(df))
     rows = df.withColumn("__row", F.struct(*df.columns))
     rows = align_features(rows, features, ["__row"])
-    if imputation == "fitted" and imputer is not None:
+    if imputation == "fitted":
         rows = imputer.transform(rows)
     elif imputation == "batch":
         rows = fill_from_batch(rows, features)
@@ -81,14 +83,17 @@ def score_batch(
 
 
 def score_batch_with(model: ScoringModel, df: DataFrame, imputation: str = "fitted") -> DataFrame:
-    """Batch scoring with a saved bundle: its own columns, imputer, scaler and threshold."""
+    """Batch scoring with a saved bundle: its own columns, imputer, scaler and threshold.
+
+    Raises ``ValueError`` if fitted imputation is asked of a bundle without imputer.
+    """
     return score_batch(
         df,
         lambda rows: model.score(rows, "confidence"),
         model.features,
         model.imputer,
         None,  # the bundle scales inside ``score``
-        imputation if model.imputer is not None or imputation != "fitted" else "zero",
+        imputation,
         model.threshold,
         model.version,
     )

@@ -54,7 +54,7 @@ def prepare(
     in_time = rows.where(F.col("split") == "train_test").drop("split")
     in_time = split.stratified_split(in_time, "label", F.col("__hash"))
     train = split.stratified_folds(
-        in_time.where(F.col("split") == "train"), "label", F.pmod(F.col("__hash") * 40503 + 7, 1 << 32)
+        in_time.where(F.col("split") == "train"), "label", split.key_hash("__hash", seed=7)
     )
     no_fold = F.lit(None).cast("int").alias("fold")
     rest = in_time.where(F.col("split") == "test").unionByName(rows.where(F.col("split") == "oot"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,16 +34,29 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a session that brings its own configuration the settings the plans rely on."""
+    for key, value in RUNTIME_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+@lru_cache(maxsize=1)
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only in a local session that names none, as in tests.
+    A temporary folder, one per session, is used only in a local session that names none, as in tests.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
+        folder = _own_folder(context.applicationId)
     return folder.rstrip("/")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,41 +60,84 @@ def read_first_present(frames: Sequence[DataFrame | None]) -> list[DataFrame]:
     return present
 
 
-def _looks_like_json(spark: SparkSession, path: str) -> bool:
-    """Whether the first line that is not blank starts like a JSON object or array."""
-    first = spark.read.text(path).where(F.trim("value") != "").select(F.ltrim("value")).first()
-    return first is not None and first[0].startswith(("{", "["))
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line that is not blank."""
+    first = spark.read.text(path).where(F.trim("value") != "").select(F.trim("value")).first()
+    return first and first[0]
+
+
+def json_layout(first_line: str | None) -> str | None:
+    """How JSON records are laid out, from the first line that is not blank.
+
+    ``array``: one array of records; ``lines``: a record per line; ``listed``: a record per line and a
+    comma after it; ``objects``: records over several lines, with or without commas. None: no JSON.
+    """
+    if first_line is None or first_line[0] not in "{[":
+        return None
+    if first_line[0] == "[":
+        return "array"
+    for text, layout in ((first_line, "lines"), (first_line.rstrip(", "), "listed")):
+        try:
+            json.loads(text)
+            return layout
+        except ValueError:
+            pass
+    return "objects"
+
+
+def _objects(text: str) -> Iterator[str]:
+    """The objects of a text one after the other, a line each; what does not parse is skipped."""
+    decoder, at = json.JSONDecoder(), text.find("{")
+    while at >= 0:
+        try:
+            record, end = decoder.raw_decode(text, at)
+            yield json.dumps(record)
+        except ValueError:  # go on at the next line that opens an object
+            end = text.find("\n{", at) + 1 or len(text)
+        at = text.find("{", end)
+
+
+def _object_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Records over several lines as one line each; a file is one task's work."""
+
+    def run(batches):
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": pa.array(list(_objects(text)), pa.string())})
+
+    return spark.read.text(path, wholetext=True).mapInArrow(run, "value string")
 
 
 def read_json_records(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """JSON records in any of three layouts; records that do not parse are skipped.
+    """JSON records in any of the layouts of ``json_layout``; records that do not parse are skipped.
 
-    One record per line and one JSON array are Spark's own layouts. Objects over several lines,
-    with or without commas between them, are cut apart per file, so such files should stay small
-    enough for one task each; use line-delimited JSON for anything big.
+    Arrays and lines go to Spark's own reader, and lines are read in splits of a file. Only arrays and
+    records over several lines need a task per file.
     """
+    layout = json_layout(_first_line(spark, path))
+    if layout in ("lines", "array"):
+        reader = spark.read.option("mode", "DROPMALFORMED").option("multiLine", layout == "array")
+        return (reader.schema(schema) if schema is not None else reader).json(path)
+    if layout == "objects":
+        lines = _object_lines(spark, path)
+    else:
+        lines = spark.read.text(path).select(F.regexp_replace("value", r",\s*$", "").alias("value"))
+        lines = lines.where(F.trim("value") != "")
     if schema is None:
-        schema = spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").json(path).schema
-        lines = spark.read.option("mode", "DROPMALFORMED").json(path).schema
-        # the layout that knows more columns is the one that parsed
-        schema = max((schema, lines), key=lambda s: len(s.fields))
+        schema = spark.read.option("mode", "DROPMALFORMED").json(lines.rdd.map(lambda r: r.value)).schema
     struct = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    files = spark.read.text(path, wholetext=True)
-    # objects end in } followed by a comma, a line break or both, and a new {
-    objects = F.split(
-        F.regexp_replace("value", r"^\s*\[|\]\s*$", ""), r"(?<=\})\s*,?\s*[\r\n]+\s*,?\s*(?=\{)|(?<=\})\s*,\s*(?=\{\s*\")"
+    told = T.StructType([*struct.fields, T.StructField(_MALFORMED, T.StringType())])
+    parsed = lines.select(
+        F.from_json("value", told, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _MALFORMED}).alias("r")
     )
-    records = files.select(F.explode(objects).alias("text"))
-    records = records.select(
-        F.from_json(F.regexp_replace("text", r"[,\s]+$", ""), struct, {"mode": "PERMISSIVE"}).alias("r")
+    return parsed.where(F.col("r").isNotNull() & F.col(f"r.{_MALFORMED}").isNull()).select(
+        *[F.col(f"r.`{c}`") for c in struct.fieldNames()]
     )
-    some = None
-    for f in struct.fieldNames():
-        known = F.col("r").getField(f).isNotNull()
-        some = known if some is None else some | known
-    return records.where(some).select("r.*")
+
+
+_MALFORMED = "__malformed"
 
 
 def read_any(
@@ -115,7 +160,7 @@ def read_any(
         elif extension == "jsonl":
             reader = spark.read.option("mode", "DROPMALFORMED")
             df = (reader.schema(schema) if schema else reader).json(path)
-        elif _looks_like_json(spark, path):
+        elif json_layout(_first_line(spark, path)):
             df = read_json_records(spark, path, schema)
         else:
             reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
@@ -137,9 +182,14 @@ def read_or_none(spark: SparkSession, path: str, **options) -> DataFrame | None:
         return None
 
 
-def read_scoring_input(spark: SparkSession, path: str) -> DataFrame:
-    """Batch-scoring input: parquet or CSV only."""
+def read_scoring_input(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """Batch-scoring input: parquet or CSV only.
+
+    A CSV is read in one scan where its ``schema`` is given; without one Spark looks for types first.
+    """
     extension = os.path.splitext(path.rstrip("/"))[1].lstrip(".").lower()
     if extension not in ("parquet", "csv"):
         raise ValueError(f"unsupported file format: {extension or path}")
-    return read_any(spark, path, allowed=("parquet", "csv"))
+    return read_any(spark, path, allowed=("parquet", "csv"), schema=schema)

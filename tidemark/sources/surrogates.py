@@ -36,10 +36,10 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _customer_snapshot():
+def _customer_snapshot(key: str = "c_custkey"):
     return F.make_date(
-        F.when(F.col("c_custkey") % 24 >= 12, 2024).otherwise(2023),
-        (F.col("c_custkey") % 12 + 1).cast("int"),
+        F.when(F.col(key) % 24 >= 12, 2024).otherwise(2023),
+        (F.col(key) % 12 + 1).cast("int"),
         F.lit(1),
     ).alias("snapshot_date")
 
@@ -109,6 +109,17 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clickstream counts of each user, dated like the other customer tables."""
+    kinds = {"fe_1": "click", "fe_2": "view", "fe_3": "purchase"}
+    counts = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        *[F.count_if(F.col("event_type") == kind).alias(c) for c, kind in kinds.items()]
+    )
+    return counts.select(
+        _customer(F.col("user_id")).alias("Customer_ID"), *kinds, _customer_snapshot("user_id")
+    )
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels, documents = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
     place = F.col("doc_id") % 5

@@ -4,49 +4,82 @@ from __future__ import annotations
 
 import logging
 import os
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
 
 def write_snapshots(
-    df: DataFrame, path: str, fmt: str = "parquet", max_records_per_file: int = 5_000_000
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    max_records_per_file: int = 5_000_000,
+    months: Iterable | None = None,
+    within: Mapping[str, str] | None = None,
 ) -> None:
     """Write by snapshot; a snapshot in ``df`` replaces its old partition, others stay.
 
-    Rows are spread by the optimizer so that a snapshot with a third of all rows still goes to
-    many writers, and small snapshots do not leave many small files.
+    ``months`` are the snapshots that are being rebuilt: one of them without rows in ``df`` loses
+    its old partition. ``within`` names constant sub-partitions, so that only that part of a
+    snapshot is replaced. Rows are spread by the optimizer so that a snapshot with a third of all
+    rows still goes to many writers, and small snapshots do not leave many small files.
     """
+    within = dict(within or {})
+    below = "".join(f"/{c}={v}" for c, v in within.items())
+    folders = [f"{path}/snapshot_date={m}{below}" for m in sorted({str(m) for m in months or ()})]
+    before = {folder: _files(df.sparkSession, folder) for folder in folders}
     writer = (
-        df.hint("rebalance", "snapshot_date")
+        df.withColumns({c: F.lit(v) for c, v in within.items()})
+        .hint("rebalance", "snapshot_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("snapshot_date")
+        .partitionBy("snapshot_date", *within)
     )
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
     writer.format(fmt).save(path)
+    # every write names its files anew, so a folder that still holds an old one got no rows
+    for folder in folders:
+        if before[folder] & _files(df.sparkSession, folder):
+            fs, target = _at(df.sparkSession, folder)
+            fs.delete(target, True)
+
+
+def _at(spark: SparkSession, path: str):
+    """File system that Spark uses for a path, and the path in its terms."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    fs, target = _at(spark, folder)
+    return {f.getPath().getName() for f in fs.listStatus(target)} if fs.exists(target) else set()
 
 
 def write_compact(
     df: DataFrame, path: str, files: int | None = None, max_records_per_file: int = 5_000_000
 ) -> None:
-    """Write a table as few, well filled files: ``files`` of them, or as the data size asks."""
-    df = df.hint("rebalance") if files is None else df.coalesce(files)
+    """Write a table as few, well filled files: ``files`` of them, or as the data size asks.
+
+    The rows are dealt out anew, so the work above keeps its own parallelism.
+    """
+    df = df.hint("rebalance") if files is None else df.repartition(files)
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
-def write_predictions(df: DataFrame, path: str, default_format: str = "csv") -> None:
-    """Write scored rows in the format the path's extension names, else the default."""
+def write_predictions(df: DataFrame, path: str, default_format: str = "csv") -> str:
+    """Write scored rows in the format the path's extension names, else the default; returns it."""
     extension = os.path.splitext(path.rstrip("/"))[1].lstrip(".").lower()
     fmt = extension if extension in ("csv", "json", "parquet") else default_format
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
     writer.save(path)
+    return fmt
 
 
 def copy_for_monitoring(scored: DataFrame, path: str) -> bool:
@@ -60,6 +93,15 @@ def copy_for_monitoring(scored: DataFrame, path: str) -> bool:
         return False
 
 
+def write_scored(scored: DataFrame, path: str, monitoring_path: str, default_format: str = "csv") -> bool:
+    """Write a scored batch and copy what was written, so the batch is scored once."""
+    fmt = write_predictions(scored, path, default_format)
+    reader = scored.sparkSession.read.schema(scored.schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("escape", '"')
+    return copy_for_monitoring(reader.load(path), monitoring_path)
+
+
 def write_monitoring_summary(summary: DataFrame, path: str) -> None:
     """Append the one-row monitoring document as JSON."""
     summary.write.mode("append").json(path)

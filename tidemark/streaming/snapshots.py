@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import clean
 from tidemark.sources import schemas
+from tidemark.sources.readers import read_table
 from tidemark.sources.writers import write_snapshots
 
+ARRIVAL = "arrival"  # partition below the snapshot: one per micro-batch
+
 
 def clean_arrivals(
     spark: SparkSession, entity: str, source: str, target: str, checkpoint: str
 ) -> StreamingQuery:
-    """Clean every raw CSV not seen before and write its snapshots, then stop.
+    """Clean every raw CSV not seen before and add it to its snapshots, then stop.
 
     The silver rules work row by row, so the batch code runs unchanged on each micro-batch. A
-    replayed micro-batch replaces the same partitions, which makes the output exactly-once as
-    long as a snapshot arrives within one micro-batch.
+    micro-batch writes below its snapshots in a partition of its own: files that arrive late add
+    to a snapshot, and a replayed micro-batch replaces just what it wrote before. The partition is
+    named after the stream's checkpoint as well, so that two streams may share a target.
     """
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:8]
     raw = (
         spark.readStream.schema(schemas.RAW[entity])
         .option("header", True)
@@ -26,10 +33,19 @@ def clean_arrivals(
         .option("escape", '"')
         .csv(source)
     )
+
+    def land(batch: DataFrame, number: int) -> None:
+        write_snapshots(batch, target, within={ARRIVAL: f"{stream}-{number}"})
+
     return (
         clean.SILVER[entity](raw)
-        .writeStream.foreachBatch(lambda batch, _: write_snapshots(batch, target))
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_arrivals(spark: SparkSession, target: str, snapshot=None) -> DataFrame:
+    """All rows that have arrived, or those of one snapshot."""
+    return read_table(spark, target, snapshot).drop(ARRIVAL)
