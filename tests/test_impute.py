@@ -127,8 +127,9 @@ def _brute(receivers, donors, target, k, total):
     return out
 
 
+@pytest.mark.parametrize("gaps_share", [0.15, 0.3])
 @pytest.mark.parametrize("block_rows", [20_000, 37])
-def test_neighbours_equal_brute_force(spark, monkeypatch, block_rows):
+def test_neighbours_equal_brute_force(spark, monkeypatch, block_rows, gaps_share):
     """Small blocks force several ranges, sub-blocks on both sides and a hot coordinate."""
     monkeypatch.setattr(knn, "BLOCK_ROWS", block_rows)
     monkeypatch.setattr(knn, "SAMPLE", 40)
@@ -137,7 +138,7 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, block_rows):
     def points(n):
         x = np.round(rng.normal(0, 100, (n, 3)), 1)
         x[: n // 3, 0] = 5.0
-        gaps = rng.random((n, 3)) < 0.15
+        gaps = rng.random((n, 3)) < gaps_share
         return [tuple(None if g else float(v) for v, g in zip(r, m)) for r, m in zip(x, gaps)]
 
     donors, receivers = points(300), points(90)
@@ -149,10 +150,40 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, block_rows):
         ["a", "b", "c"], "y", k=5, total=4,
     )
     by_place = {(r["a"], r["b"], r["c"]): r["neighbour_mean"] for r in got.collect()}
-    assert len(by_place) == len(set(receivers))
     want = _brute(receivers, donors, target, 5, 4)
+    assert len(by_place) == len({r for r, mean in zip(receivers, want) if mean is not None})
     for place, mean in zip(receivers, want):
-        assert by_place[place] == pytest.approx(mean)
+        assert by_place.get(place) == pytest.approx(mean)
+
+
+def test_gaps_do_not_bring_all_pairs_together():
+    """Pairs compared stay a small part of all pairs, with a third of every coordinate missing."""
+    rng = np.random.default_rng(7)
+    n, cells = 4000, 40
+    x = rng.normal(0, 100, (n, 3))
+    x[rng.random((n, 3)) < 0.3] = np.nan
+    receivers, donors = x[:400], x[400:]
+    sample = donors[:200]
+    reach = knn._reach(receivers, sample, np.ones(200, np.int64), 5, 3)
+    edges = [np.array(knn._edges(sample[:, i], cells)) for i in range(3)]
+    coarse = [np.array(knn._edges(sample[:, i], knn.SECOND_CELLS)) for i in range(3)]
+    pairs = 0
+    for i, j in ((0, 1), (1, 0), (2, 0)):
+        home = np.searchsorted(edges[i], donors[:, i], "right")
+        other = np.where(np.isnan(donors[:, j]), -1, np.searchsorted(coarse[j], donors[:, j], "right"))
+        for r, bound in zip(receivers, reach):
+            if np.isnan(r[i]):
+                continue
+            at = (home >= np.searchsorted(edges[i], r[i] - bound, "right")) & (
+                home <= np.searchsorted(edges[i], r[i] + bound, "right")
+            )
+            if not np.isnan(r[j]):
+                at &= (other < 0) | (
+                    (other >= np.searchsorted(coarse[j], r[j] - bound, "right"))
+                    & (other <= np.searchsorted(coarse[j], r[j] + bound, "right"))
+                )
+            pairs += int((at & ~np.isnan(donors[:, i])).sum())
+    assert pairs < 0.25 * len(receivers) * len(donors)
 
 
 def test_copies_count_as_often_as_they_occur(spark):
@@ -182,8 +213,6 @@ def test_null_rows_do_not_meet_in_one_join_key(spark):
 
 def test_chain_with_more_patterns_than_any_batch(spark):
     """2**10 patterns of missing columns, spread over partitions, against plain normal equations."""
-    import numpy as np
-
     from tidemark.operators.impute import fit_chain
 
     rng = np.random.default_rng(0)

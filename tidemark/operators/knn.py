@@ -5,11 +5,14 @@ coordinates both rows have. All pairs are never formed:
 
 1. equal donor rows collapse to one with a count, equal receivers to one;
 2. a fixed-size sample of donors gives each receiver an upper bound on its k-th distance;
-3. donors are cut into blocks along their widest coordinate, and a receiver is sent only to
-   blocks within its bound on that coordinate (a donor further off on one coordinate is further
-   off overall), so no true neighbour is lost;
-4. a block with too many donors or visitors is split into sub-blocks, and each sub-block returns
-   at most k candidates per receiver.
+3. coordinates are ordered, the widest first. Two rows meet on the first coordinate that both have:
+   a donor is stored under each coordinate it has, a receiver looks under each it has and skips
+   donors it meets on an earlier one. So no row visits all others because of a gap;
+4. under a coordinate, donors are cut into cells along it and along a second one. A receiver visits
+   the cells within its bound (a donor further off on one coordinate is further off overall), so no
+   true neighbour is lost;
+5. a cell with too many donors or visitors is split, and each part returns at most k candidates per
+   receiver.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +30,8 @@ from tidemark.session import checkpointed
 
 SAMPLE = 1024
 BLOCK_ROWS = 20_000
-MAX_BLOCKS = 1024
+SECOND_CELLS = 8
+PAIRS = 4_000_000  # distances held at once
 
 
 def _distances(receivers: np.ndarray, donors: np.ndarray, total: int) -> np.ndarray:
@@ -42,26 +47,61 @@ def _distances(receivers: np.ndarray, donors: np.ndarray, total: int) -> np.ndar
         return np.where(present > 0, np.sqrt(squares * total / present), np.inf)
 
 
-def _chunks(n: int, width: int, cells: int = 4_000_000):
-    step = max(1, cells // max(1, width))
+def _chunks(n: int, width: int):
+    step = max(1, PAIRS // max(1, width))
     return [slice(i, min(i + step, n)) for i in range(0, n, step)]
 
 
-def _nearest(distance: np.ndarray, mean: np.ndarray, count: np.ndarray, k: int):
-    """Indexes of the closest donors whose counts reach k, by (distance, mean)."""
-    order = np.lexsort((mean, distance))
-    order = order[np.isfinite(distance[order])]
-    enough = int(np.searchsorted(np.cumsum(count[order]), k)) + 1
-    return order[:enough]
+def _reach(receivers: np.ndarray, sample: np.ndarray, count: np.ndarray, k: int, total: int) -> np.ndarray:
+    """Upper bound on each receiver's k-th distance; infinity where the sample gives none."""
+    out = np.full(len(receivers), np.inf)
+    for part in _chunks(len(receivers), len(sample)):
+        distance = _distances(receivers[part], sample, total)
+        order = np.argsort(distance, axis=1)
+        enough = np.cumsum(count[order], axis=1) >= k
+        at = enough.argmax(axis=1)
+        rows = np.arange(len(distance))
+        out[part] = np.where(enough[:, -1], distance[rows, order[rows, at]], np.inf)
+    return out
+
+
+def _candidates(receivers: np.ndarray, donors: np.ndarray, earlier: list[int], k: int, total: int):
+    """Row and donor indexes of the k closest donors of each receiver, donors given by target.
+
+    Donors that share one of the ``earlier`` coordinates with a receiver are left to it.
+    """
+    rows, found, distances = [], [], []
+    for part in _chunks(len(receivers), len(donors)):
+        x = receivers[part]
+        distance = _distances(x, donors, total)
+        for j in earlier:
+            distance[np.ix_(~np.isnan(x[:, j]), ~np.isnan(donors[:, j]))] = np.inf
+        last = np.partition(distance, k - 1, axis=1)[:, k - 1] if distance.shape[1] > k else np.inf
+        r, d = np.nonzero((distance <= np.reshape(last, (-1, 1))) & np.isfinite(distance))
+        order = np.lexsort((d, distance[r, d], r))
+        r, d = r[order], d[order]
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        kept = place < k
+        rows.append(r[kept] + part.start)
+        found.append(d[kept])
+        distances.append(distance[r[kept], d[kept]])
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(distances)
 
 
 def _position(value: Column, edges: Sequence[float]) -> Column:
-    """Number of edges not above the value, by a literal array of at most MAX_BLOCKS edges."""
+    """Number of edges not above the value."""
     if not edges:
         return F.lit(0)
     return F.size(F.filter(F.lit(list(edges)), lambda e: e <= value))
 
 
+def _edges(values: np.ndarray, cells: int) -> list[float]:
+    """Distinct cuts of a coordinate into about equally full cells, by its sampled values."""
+    known = np.sort(values[~np.isnan(values)])
+    cuts = [known[i * len(known) // cells] for i in range(1, cells)] if len(known) else []
+    return [float(e) for e in dict.fromkeys(cuts)]
+
+
 def neighbour_means(
     receivers: DataFrame,
     donors: DataFrame,
@@ -74,128 +114,128 @@ def neighbour_means(
 
     Returns the coordinates and ``neighbour_mean``. ``total`` is the coordinate count that
     distances are scaled to. Equal distances are taken in order of target value; copies of a
-    position count as often as they occur, at their mean.
+    position count as often as they occur, at their mean. A receiver that shares no coordinate with
+    any donor is left out.
     """
     coordinates = list(coordinates)
     total = total or len(coordinates)
     names = [f"x{i}" for i in range(len(coordinates))]
     as_x = [F.col(c).cast("double").alias(n) for c, n in zip(coordinates, names)]
-    # both sides are read several times below, so they are written once
+    # donors are read several times below, so they are written once
     points = checkpointed(
         donors.where(F.col(target).isNotNull())
         .select(*as_x, F.col(target).cast("double").alias("y"))
         .groupBy(*names)
         .agg(F.avg("y").alias("y"), F.count(F.lit(1)).alias("n"))
     )
-    seekers = checkpointed(receivers.select(*as_x).distinct())
+    seekers = receivers.select(*as_x).distinct()
 
-    # the widest well-covered coordinate cuts the blocks
     spread = points.agg(
         F.count(F.lit(1)).alias("rows"),
         *[(F.stddev_pop(n) * F.count(n)).alias(n) for n in names],
     ).first()
-    axis = max(names, key=lambda n: spread[n] or 0.0)
-    sample = (
-        points.orderBy(F.xxhash64(*names), *names).limit(SAMPLE).select(*names, "n").collect()
-    )
+    order = sorted(range(len(names)), key=lambda i: -(spread[names[i]] or 0.0))
+    sample = points.orderBy(F.xxhash64(*names), *names).limit(SAMPLE).select(*names, "n").collect()
     sample_x = np.array([[np.nan if v is None else v for v in r[:-1]] for r in sample], float)
     sample_x = sample_x.reshape(len(sample), len(names))
     sample_n = np.array([r["n"] for r in sample], dtype=np.int64)
+    # as many cells as blocks are wanted, never more than the sample can tell apart
+    cells = int(min(max(1, len(sample) // 4), max(1, -(-spread["rows"] // BLOCK_ROWS))))
+    edges = [_edges(sample_x[:, i], cells) for i in range(len(names))]
+    coarse = [_edges(sample_x[:, i], min(cells, SECOND_CELLS)) for i in range(len(names))]
+    second = {i: next((j for j in order if j != i), None) for i in order}
 
     def bound(batches):
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=float)
-            out = np.full(len(pdf), np.inf)
-            for part in _chunks(len(x), len(sample_x)):
-                distance = _distances(x[part], sample_x, total)
-                for i, row in enumerate(distance):
-                    near = _nearest(row, np.zeros(len(row)), sample_n, k)
-                    if sample_n[near].sum() >= k:
-                        out[part.start + i] = row[near].max()
+            out = _reach(x, sample_x, sample_n, k, total) if len(sample) else np.full(len(x), np.inf)
             yield pdf.assign(reach=out)
 
     x_schema = [T.StructField(n, T.DoubleType()) for n in names]
-    seekers = seekers.mapInPandas(
+    bounded = seekers.mapInPandas(
         bound, T.StructType([*x_schema, T.StructField("reach", T.DoubleType())])
     )
-
-    blocks = int(min(MAX_BLOCKS, max(1, -(-spread["rows"] // BLOCK_ROWS))))
-    on_axis = np.sort(sample_x[:, names.index(axis)])
-    on_axis = on_axis[~np.isnan(on_axis)]
-    cuts = [on_axis[i * len(on_axis) // blocks] for i in range(1, blocks)] if len(on_axis) else []
-    edges = [float(e) for e in dict.fromkeys(cuts)]
-    last = len(edges)
-
-    points = points.withColumn(
-        "block", F.when(F.col(axis).isNull(), -1).otherwise(_position(F.col(axis), edges))
-    )
     # a touch of slack keeps a neighbour exactly at the bound on this side of rounding
     slack = F.col("reach") * (1 + 1e-9) + 1e-9
-    unbounded = F.col(axis).isNull() | (F.col("reach") == float("inf"))
-    low = F.when(unbounded, 0).otherwise(_position(F.col(axis) - slack, edges))
-    high = F.when(unbounded, last).otherwise(_position(F.col(axis) + slack, edges))
-    visits = seekers.withColumn(
-        "block", F.explode(F.concat(F.array(F.lit(-1)), F.sequence(low, high)))
-    )
-    visits = checkpointed(visits.drop("reach"))
 
-    # at most MAX_BLOCKS + 1 rows each
-    donor_rows = {r["block"]: r["count"] for r in points.groupBy("block").count().collect()}
-    visit_rows = {r["block"]: r["count"] for r in visits.groupBy("block").count().collect()}
+    def around(i: int, at: list[float], gaps: bool) -> Column:
+        """Cells of a coordinate within the bound; with ``gaps`` also that of donors without it."""
+        value = F.col(names[i])
+        free = value.isNull() | (F.col("reach") == float("inf"))
+        low = F.when(free, 0).otherwise(_position(value - slack, at))
+        high = F.when(free, len(at)).otherwise(_position(value + slack, at))
+        inside = F.sequence(low, high)
+        return F.concat(F.array(F.lit(-1)), inside) if gaps else inside
+
+    def cell(i: int, first: Column, other: Column) -> Column:
+        return F.struct(F.lit(i).alias("axis"), first.alias("first"), other.alias("other"))
+
+    def visited(i: int) -> Column:
+        j = second[i]
+        others = F.array(F.lit(-1)) if j is None else around(j, coarse[j], True)
+        pairs = F.transform(around(i, edges[i], False), lambda a: F.transform(others, lambda b: cell(i, a, b)))
+        return F.when(F.col(names[i]).isNotNull(), F.flatten(pairs))
 
-    def splits(rows: dict) -> Column:
-        """How many sub-blocks each block is cut into, as a literal array indexed by block + 1."""
-        sizes = [max(1, -(-rows.get(b, 0) // BLOCK_ROWS)) for b in range(-1, last + 1)]
-        return F.get(F.lit(sizes), F.col("block") + 1)
+    def stored(i: int) -> Column:
+        j = second[i]
+        other = F.lit(-1)
+        if j is not None:
+            other = F.when(F.col(names[j]).isNull(), -1).otherwise(_position(F.col(names[j]), coarse[j]))
+        return F.when(F.col(names[i]).isNotNull(), F.array(cell(i, _position(F.col(names[i]), edges[i]), other)))
 
+    def exploded(df: DataFrame, cells_of) -> DataFrame:
+        all_cells = F.flatten(F.array_compact(F.array(*[cells_of(i) for i in order])))
+        return df.withColumn("cell", F.explode(all_cells)).select(*df.columns, "cell.*")
+
+    visits = checkpointed(exploded(bounded, visited).drop("reach"))
+    points = exploded(points, stored)
+    block = ["axis", "first", "other"]
+    # rows per cell, a bounded number of cells; parts only balance the work
+    sizes = (
+        points.groupBy(*block).agg(F.count(F.lit(1)).alias("donors"), F.lit(0).alias("visitors"))
+        .unionByName(visits.groupBy(*block).agg(F.lit(0).alias("donors"), F.count(F.lit(1)).alias("visitors")))
+        .groupBy(*block).agg(
+            *[F.ceil(F.greatest(F.sum(c), F.lit(1)) / BLOCK_ROWS).cast("int").alias(f"{c}_parts") for c in ("donors", "visitors")]
+        )
+    )
     position = F.xxhash64(*names)
-    donor_part = F.pmod(position, splits(donor_rows)).cast("int").alias("donor_part")
-    visit_part = F.pmod(position, splits(visit_rows)).cast("int").alias("visit_part")
-    each = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
-    cells = ["block", "donor_part", "visit_part"]
-    points = points.select("*", donor_part).withColumn("visit_part", each(splits(visit_rows)))
-    visits = visits.select("*", visit_part).withColumn("donor_part", each(splits(donor_rows)))
-
-    def closest(visitors: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(visitors) and len(block):
-            x = visitors[names].to_numpy(dtype=float)
-            d = block[names].to_numpy(dtype=float)
-            mean, count = block["y"].to_numpy(dtype=float), block["n"].to_numpy(dtype=np.int64)
-            for part in _chunks(len(x), len(d)):
-                for row in _distances(x[part], d, total):
-                    near = _nearest(row, mean, count, k)
-                    found.append(
-                        [
-                            {"d": float(row[i]), "y": float(mean[i]), "n": int(count[i])}
-                            for i in near
-                        ]
-                    )
-            return visitors[names].assign(near=found)
-        empty = {n: pd.Series(dtype=float) for n in names}
-        return pd.DataFrame({**empty, "near": pd.Series(dtype=object)})
-
-    near_type = "array<struct<d:double,y:double,n:bigint>>"
-    schema = ", ".join(f"{n} double" for n in names) + f", near {near_type}"
-    found = (
-        visits.groupBy(*cells)
-        .cogroup(points.groupBy(*cells))
-        .applyInPandas(lambda v, p: closest(v, p), schema)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    hashed = lambda n: F.pmod(position, F.col(n)).cast("int")
+    columns = [*block, "donor_part", "visit_part"]
+    points = points.join(sizes, block).select(
+        *points.columns, hashed("donors_parts").alias("donor_part"), each("visitors_parts").alias("visit_part")
     )
-    # a receiver holds at most k candidates per sub-block it visited
-    merged = found.groupBy(*names).agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
-    picked = F.aggregate(
-        "near",
-        F.struct(F.lit(k).cast("long").alias("left"), F.lit(0.0).alias("sum")),
-        lambda acc, x: F.struct(
-            (acc["left"] - F.least(acc["left"], x["n"])).alias("left"),
-            (acc["sum"] + F.least(acc["left"], x["n"]) * x["y"]).alias("sum"),
-        ),
-        lambda acc: F.try_divide(acc["sum"], F.lit(k) - acc["left"]),
+    visits = visits.join(sizes, block).select(
+        *visits.columns, hashed("visitors_parts").alias("visit_part"), each("donors_parts").alias("donor_part")
     )
-    return merged.select(
-        *[F.col(n).alias(c) for n, c in zip(names, coordinates)], picked.alias("neighbour_mean")
+    empty = pd.DataFrame({c: pd.Series(dtype=float) for c in [*names, "d", "y", "n"]})
+
+    def closest(key, visitors: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(visitors) or not len(held):
+            return empty
+        held = held.sort_values("y", kind="stable")
+        earlier = order[: order.index(key[0])]
+        rows, found, distance = _candidates(
+            visitors[names].to_numpy(dtype=float), held[names].to_numpy(dtype=float), earlier, k, total
+        )
+        near = held.iloc[found]
+        return visitors[names].iloc[rows].assign(d=distance, y=near["y"].to_numpy(), n=near["n"].to_numpy())
+
+    schema = ", ".join(f"{n} double" for n in names) + ", d double, y double, n bigint"
+    candidates = (
+        visits.groupBy(*columns).cogroup(points.groupBy(*columns)).applyInPandas(closest, schema)
+    )
+    # only the first k candidates can count, so the rest is cut before the shuffle
+    of_receiver = W.partitionBy(*names).orderBy("d", "y")
+    first = candidates.withColumn("__place", F.row_number().over(of_receiver)).where(F.col("__place") <= k)
+    before = F.sum("n").over(of_receiver.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
+    used = F.greatest(F.lit(0), F.least(F.col("n"), F.lit(k) - F.col("before")))
+    merged = (
+        first.withColumn("before", before)
+        .groupBy(*names)
+        .agg(F.try_divide(F.sum(used * F.col("y")), F.sum(used)).alias("neighbour_mean"))
     )
+    return merged.select(*[F.col(n).alias(c) for n, c in zip(names, coordinates)], "neighbour_mean")
 
 
 def fill_from_neighbours(
