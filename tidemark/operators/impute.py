@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.clean import unmask_missing
 from tidemark.operators.knn import fill_from_neighbours
-from tidemark.operators.ordering import exact_medians
+from tidemark.operators.ordering import bracket, exact_medians
 from tidemark.operators.profile import known, modes
 from tidemark.operators.project import numeric_columns
 from tidemark.session import checkpointed
@@ -334,14 +334,16 @@ def fit_imputer(
 ) -> Imputer:
     """Fit on ``columns`` (default all) of a training frame."""
     clean = unmask_missing(df.select(*columns) if columns else df)
-    clean = clean.select(*[known(clean, c).alias(c) for c in clean.columns])
+    # every statistic reads these columns: run what stands above them once
+    clean = checkpointed(clean.select(*[known(clean, c).alias(c) for c in clean.columns]))
     all_numeric = numeric_columns(clean)
-    # counts, means and deviations of all columns in one scan
+    # counts, means, deviations and brackets of the middle of all columns in one scan
     row = clean.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(c).alias(f"n_{c}") for c in clean.columns],
         *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in all_numeric],
         *[F.stddev_samp(F.col(c).cast("double")).alias(f"s_{c}") for c in all_numeric],
+        *[bracket(F.col(c).cast("double")).alias(f"b_{c}") for c in all_numeric],
     ).first()
     missing = {c: row["rows"] - row[f"n_{c}"] for c in clean.columns}
     missing_pct = {c: missing[c] * 100.0 / max(row["rows"], 1) for c in clean.columns}
@@ -360,7 +362,9 @@ def fit_imputer(
 
     median, mode = {}, {}
     if numeric:
-        median = {r.feature: r["median"] for r in exact_medians(clean, numeric).collect()}
+        brackets = {c: row[f"b_{c}"] for c in numeric}
+        medians = exact_medians(clean, numeric, brackets=brackets)
+        median = {r.feature: r["median"] for r in medians.collect()}
     if by_text:
         mode.update({r.feature: r["mode"] for r in modes(clean, by_text, "string").collect()})
     if by_mode:

@@ -7,7 +7,7 @@ carries the total of the ranges before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -101,54 +101,77 @@ def running_totals(
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+def bracket(value: Column, accuracy: int = 10_000) -> Column:
+    """Aggregate: two values that should lie on either side of the middle, by a quantile sketch."""
+    margin = 2.0 / accuracy
+    return F.percentile_approx(value, [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)], accuracy)
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], as_type: str = "double") -> DataFrame:
+    """Rows per value of each column, missing ones left out: ``(feature, value, n)``."""
+    value = {c: F.col(c).cast(as_type) for c in columns}
+    if as_type == "double":
+        value = {c: F.nanvl(v, F.lit(None)) for c, v in value.items()}
+    return (
+        df.select(*[v.alias(c) for c, v in value.items()])
+        .unpivot([], list(columns), "feature", "value")
+        .where(F.col("value").isNotNull())
+        .groupBy("feature", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def exact_medians(
+    df: DataFrame,
+    columns: Sequence[str],
+    accuracy: int = 10_000,
+    brackets: Mapping[str, Sequence[float]] | None = None,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Exact interpolated median of each numeric column: rows ``(feature, median)``.
 
-    Two cheap scans instead of a sort: a quantile sketch brackets the middle of each column, and
+    Cheap scans instead of a sort: a quantile sketch brackets the middle of each column, and
     exact counts say whether the bracket really holds it (else the outer side is taken). Only the
     few values inside that zone are then ordered, so the result never depends on the sketch's
-    error. Two numbers and a few counts per column pass through the driver.
+    error. Two numbers and a few counts per column pass through the driver. ``brackets`` and
+    ``counted`` (see ``bracket`` and ``value_counts``) save their scan where the caller has them.
     """
     columns = list(columns)
     wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    margin = 2.0 / accuracy
-    shares = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
-    sketch = wide.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]).first()
-    columns = [c for c in columns if sketch[c] is not None]
+    if brackets is None:
+        brackets = wide.agg(*[bracket(F.col(c), accuracy).alias(c) for c in columns]).first().asDict()
+    columns = [c for c in columns if brackets[c] is not None]
     if not columns:
         return df.sparkSession.createDataFrame([], "feature string, median double")
     counts = wide.agg(
         *[
             F.struct(
                 F.count(c).alias("n"),
-                F.count_if(F.col(c) < sketch[c][0]).alias("below"),
-                F.count_if(F.col(c) <= sketch[c][1]).alias("upto"),
+                F.count_if(F.col(c) < brackets[c][0]).alias("below"),
+                F.count_if(F.col(c) <= brackets[c][1]).alias("upto"),
             ).alias(c)
             for c in columns
         ]
     ).first()
-    zones = {c: _middle_zone(*sketch[c], **counts[c].asDict()) for c in columns}
+    zones = {c: _middle_zone(*brackets[c], **counts[c].asDict()) for c in columns}
     # a zone of one value is the median itself
     known = [c for c in columns if zones[c].low == zones[c].high]
-    open_ = [c for c in columns if c not in known]
+    open_ = {c: zones[c] for c in columns if c not in known}
     medians = [df.sparkSession.range(1).select(F.lit(c).alias("feature"), F.lit(float(zones[c].low)).alias("median")) for c in known]
     if open_:
-        medians.append(_ordered_medians(wide, {c: zones[c] for c in open_}))
+        medians.append(_ordered_medians(wide, open_, counted))
     return reduce(DataFrame.unionByName, medians)
 
 
-def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone]) -> DataFrame:
-    columns = list(zones)
-    inside = (
-        wide.select(
-            *[F.when(F.col(c).between(zones[c].low, zones[c].high), F.col(c)).alias(c) for c in columns]
-        )
-        .unpivot([], columns, "feature", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = running_totals(inside, "value", ["n"], ["feature"])
+def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone], counted: DataFrame | None) -> DataFrame:
+    inside = {c: F.col("value").between(z.low, z.high) for c, z in zones.items()}
+    if counted is None:
+        zoned = wide.select(*[F.when(F.col(c).between(z.low, z.high), F.col(c)).alias(c) for c, z in zones.items()])
+        values = value_counts(zoned, list(zones))
+    else:
+        here = reduce(Column.__or__, [(F.col("feature") == c) & within for c, within in inside.items()])
+        values = counted.where(here)
+    ordered = running_totals(values, "value", ["n"], ["feature"])
     ranks = F.lit(None)
     for c, z in zones.items():
         ranks = F.when(F.col("feature") == c, F.array(F.lit(z.first), F.lit(z.second))).otherwise(ranks)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordering import exact_medians
+from tidemark.operators.ordering import bracket, exact_medians, value_counts
 from tidemark.operators.project import numeric_columns
+from tidemark.session import checkpointed
 from tidemark.settings import DATASET_ORDER, KEYS, MonitorRule
 
 
@@ -55,49 +56,44 @@ def missing_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     return _long(one, per_column)
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean and sample standard deviation of each numeric column, one scan."""
-    aggregates = []
-    for c in columns:
-        value = known(df, c).cast("double")
-        aggregates += [F.avg(value).alias(f"__m_{c}"), F.stddev_samp(value).alias(f"__s_{c}")]
-    return _long(
-        df.agg(*aggregates),
-        {
-            c: F.struct(
-                F.lit(c).alias("feature"),
-                F.col(f"__m_{c}").alias("mean"),
-                F.col(f"__s_{c}").alias("std"),
-            )
-            for c in columns
-        },
-    )
-
-
 def modes(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
     """Most frequent value of each column, the smallest one on a tie: ``(feature, mode)``.
 
     Two-step aggregation: values are counted over the whole cluster first, so a column's group
     only ever sees its distinct values, one accumulator at a time.
     """
-    counted = (
-        df.select(*[known(df, c).cast(as_type).alias(c) for c in columns])
-        .unpivot([], list(columns), "feature", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return most_frequent(value_counts(df, columns, as_type))
+
+
+def most_frequent(counted: DataFrame) -> DataFrame:
+    """Mode of each feature from its value counts."""
     return counted.groupBy("feature").agg(
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
     )
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean, exact median, mode and sample standard deviation of numeric columns."""
+    """Mean, exact median, mode and sample standard deviation of numeric columns.
+
+    Three scans: moments with a sketch of the middle, the counts around it, and the counts of all
+    values, which give both mode and median.
+    """
+    columns = list(columns)
+    values = {c: known(df, c).cast("double") for c in columns}
+    row = df.agg(
+        *[F.avg(v).alias(f"m_{c}") for c, v in values.items()],
+        *[F.stddev_samp(v).alias(f"s_{c}") for c, v in values.items()],
+        *[bracket(v).alias(f"b_{c}") for c, v in values.items()],
+    ).first()
+    counted = checkpointed(value_counts(df, columns))
+    spark = df.sparkSession
+    moments = spark.createDataFrame(
+        [(c, row[f"m_{c}"], row[f"s_{c}"]) for c in columns], "feature string, mean double, std double"
+    )
+    brackets = {c: row[f"b_{c}"] for c in columns}
     return (
-        moments(df, columns)
-        .join(exact_medians(df, columns), "feature", "left")
-        .join(modes(df, columns, "double"), "feature", "left")
+        moments.join(exact_medians(df, columns, brackets=brackets, counted=counted), "feature", "left")
+        .join(most_frequent(counted), "feature", "left")
         .select("feature", "mean", "median", "mode", "std")
     )
 
