@@ -36,6 +36,11 @@ HEADLINE = [
     "mon_ks_distance",
     "scr_batch",
     "snk_idempotent_snapshots",
+    "imp_nearest_neighbours",
+    "imp_chained_equations",
+    "dmt_gold_features",
+    "dmt_customers",
+    "mdl_logistic_regression",
 ]
 
 

@@ -6,6 +6,7 @@ from tidemark.catalog import query
 from tidemark.catalog import views as V
 from tidemark.operators import calendar as cal
 from tidemark.operators import labels, profile, split
+from tidemark.plans import datamart
 from tidemark.sources import surrogates as S
 
 
@@ -65,11 +66,9 @@ def model_windows(spark, sf_dir):
 )
 def backfill_labels(spark, sf_dir):
     """The label stage for 48 snapshots as one job, not one job per snapshot."""
-    bounds = _ship_bounds(spark, sf_dir).select(
-        F.greatest("start", F.lit("1996-01-01").cast("date")).alias("start"),
-        F.least("end", F.lit("1999-12-01").cast("date")).alias("end"),
-    )
-    loans = cal.on_spine(S.loans(spark, sf_dir), cal.first_of_month_spine(bounds))
+    start, end = "1996-01-01", "1999-12-01"
+    spine = datamart.month_spine(spark, start, end)
+    loans = cal.on_spine(S.loans(spark, sf_dir, start, end), spine)
     store = labels.labels_at(loans)
     return store.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("loans"), F.sum("label").alias("bad")

@@ -150,14 +150,14 @@ def tagged_union(spark, sf_dir):
 
 @query(
     "agg_health_check",
-    f"""WITH {V.SILVER_FINANCIALS}, h AS (SELECT CASE WHEN Credit_Mix = 'Good' THEN 1 ELSE 0 END AS label, Annual_Income, Total_EMI_per_month, Delay_from_due_date FROM silver_fin)
+    f"""WITH {V.SILVER_FINANCIALS}, h AS (SELECT CASE WHEN Credit_Mix = 'Good' THEN 1 ELSE 0 END AS label, CASE WHEN Delay_from_due_date > 20 THEN 'infinity'::double ELSE Annual_Income END AS Annual_Income, Total_EMI_per_month, Delay_from_due_date FROM silver_fin)
  SELECT count(*) AS rows, count(*) FILTER (label=0) AS label_0, count(*) FILTER (label=1) AS label_1,
- 3*count(*) - count(Annual_Income) - count(Total_EMI_per_month) - count(Delay_from_due_date) AS missing_values, CAST(0 AS BIGINT) AS infinite_values FROM h""",
+ 3*count(*) - count(Annual_Income) - count(Total_EMI_per_month) - count(Delay_from_due_date) AS missing_values, count(*) FILTER (Delay_from_due_date > 20) AS infinite_values FROM h""",
 )
 def health_check(spark, sf_dir):
     rows = _fin(spark, sf_dir).select(
         F.when(F.col("Credit_Mix") == "Good", 1).otherwise(0).alias("label"),
-        "Annual_Income",
+        F.when(F.col("Delay_from_due_date") > 20, float("inf")).otherwise(F.col("Annual_Income")).alias("Annual_Income"),
         "Total_EMI_per_month",
         "Delay_from_due_date",
     )

@@ -16,8 +16,14 @@ def _customer(key) -> F.Column:
     return F.concat(F.lit("CUS_"), key.cast("string"))
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loans(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Loan panel; ``start`` and ``end`` are first days of months that bound the scan."""
     lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    if start and end:
+        after = F.add_months(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
+        lineitem = lineitem.where(
+            (F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz")) & (F.col("l_shipdate") < after)
+        )
     c = F.col
     overdue = F.when(
         c("l_returnflag") == "R", F.round(c("l_extendedprice") * (c("l_partkey") % 4), 2)
