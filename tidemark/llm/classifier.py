@@ -185,15 +185,31 @@ def _shapes() -> bytes:
 _SHAPE = _shapes()
 
 
+REMEMBERED = 200_000  # words whose buckets a worker keeps
+
+
+class _Shapes(dict):
+    """Buckets of word shapes: letter cases, digits and marks, runs drawn together."""
+
+    def __missing__(self, shape: bytes) -> int:
+        drawn = bytes(c for i, c in enumerate(shape) if not i or c != shape[i - 1])
+        found = zlib.crc32(b"s" + drawn) % BUCKETS
+        if len(shape) <= 32 and len(self) < REMEMBERED:
+            self[shape] = found
+        return found
+
+
 class _Hashed(dict):
-    """Buckets of a word and of its shape (letter cases, digits and marks, runs drawn together)."""
+    """Buckets of a word and of its shape, as one number: the shape's times ``BUCKETS`` more."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.shapes = _Shapes()
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        shape = word.translate(_SHAPE)
-        shape = bytes(c for i, c in enumerate(shape) if not i or c != shape[i - 1])
-        found = zlib.crc32(b"w" + word.lower()) % BUCKETS, zlib.crc32(b"s" + shape) % BUCKETS
+    def __missing__(self, word: bytes) -> int:
+        found = zlib.crc32(b"w" + word.lower()) % BUCKETS + BUCKETS * self.shapes[word.translate(_SHAPE)]
         if len(word) <= 32:
-            if len(self) > 300_000:
+            if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = found
         return found
@@ -206,29 +222,22 @@ def _hashed() -> _Hashed:
 
 def features(page: Page) -> tuple[np.ndarray, np.ndarray]:
     """Buckets in ascending order and their values: words and shapes by share, measures by level."""
-    seen: Counter[int] = Counter()
-    hashed = _hashed()
-    for word, n in Counter(page.words).items():
-        one, two = hashed[word]
-        seen[one] += n
-        seen[two] += n
+    counts = Counter(page.words)
+    both = np.fromiter(map(_hashed().__getitem__, counts), np.int64, len(counts))
+    shares = np.fromiter(counts.values(), float, len(counts)) / max(1, page.n_words)
     letters, upper = page.letters_upper
-    n_words = max(1, page.n_words)
     levels = {
-        "symbols": page.n_symbols / n_words,
+        "symbols": page.n_symbols / max(1, page.n_words),
         "lines": page.n_dup_lines / max(1, len(page.lines)),
-        "words": page.n_repeat_words / n_words,
+        "words": page.n_repeat_words / max(1, page.n_words),
         "upper": upper / max(1, letters),
-        "marks": 4 * page.data.count(b"!!") / n_words,
+        "marks": 4 * page.data.count(b"!!") / max(1, page.n_words),
     }
-    buckets = np.fromiter(seen, np.int64, len(seen))
-    values = np.sqrt(np.fromiter(seen.values(), float, len(seen)) / n_words)
-    for name, level in levels.items():
-        if level > 0:
-            key = zlib.crc32(f"m{name}{min(9, int(10 * level))}".encode()) % BUCKETS
-            buckets, values = np.append(buckets, key), np.append(values, 1.0)
-    buckets, where = np.unique(buckets, return_inverse=True)
-    return buckets, np.bincount(where, values, len(buckets))
+    keys = [f"m{name}{min(9, int(10 * level))}" for name, level in levels.items() if level > 0]
+    marked = np.array([zlib.crc32(k.encode()) % BUCKETS for k in keys], np.int64)
+    buckets, where = np.unique(np.concatenate([both % BUCKETS, both // BUCKETS, marked]), return_inverse=True)
+    values = np.bincount(where, np.concatenate([shares, shares, np.ones(len(marked))]), len(buckets))
+    return buckets, np.sqrt(values)
 
 
 class Scorer(NamedTuple):
