@@ -39,13 +39,20 @@ def tokens() -> Column:
     return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def topic() -> Column:
-    """A coarse topic from the text: notices of rights and licences, else its register by length."""
-    n_tokens = tokens()
-    text = F.lower(F.coalesce("text", F.lit("")))
-    notice = text.contains("licensed under") | text.contains("all rights reserved") | text.contains("license.")
-    return (
-        F.when(notice, "notice").when(n_tokens < 100, "short").when(n_tokens < 1000, "medium").otherwise(OTHER)
+NOTICE = r"(?i)licensed under|all rights reserved|license\."
+_TOKENS, _TOPIC, _CHANCE = "__mixing_tokens", "__mixing_topic", "__mixing_chance"
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """Add tokens and a coarse topic: notices of rights and licences, else the register by length.
+
+    The steps stand apart so that each text is scanned once for either.
+    """
+    n = F.col(_TOKENS)
+    register = F.when(n < 100, "short").when(n < 1000, "medium").otherwise(OTHER)
+    notice = F.coalesce(F.col("text").rlike(NOTICE), F.lit(False))
+    return docs.withColumns({_TOKENS: tokens(), _TOPIC: notice}).withColumn(
+        _TOPIC, F.when(F.col(_TOPIC), "notice").otherwise(register)
     )
 
 
@@ -111,24 +118,25 @@ def _drawn(seed: int) -> Column:
     return bits / F.lit(float(1 << 53))
 
 
-def _probability(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], budget: float) -> Column:
-    """Sampling probability as an expression over ``source``, ``lang`` and ``text``.
+def _with_chance(docs: DataFrame, targets: Mapping[str, Mapping[str, float]], budget: float) -> DataFrame:
+    """Add tokens, topic and sampling probability to documents.
 
     The number of cells is bounded by the targets, not by the data: named values and one more per
     dimension; their counts are what the driver gets.
     """
-    value = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic()}
+    measured = _measured(docs)
+    value = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col(_TOPIC)}
     cell = [F.when(value[d].isin(list(v)), value[d]).otherwise(OTHER) for d, v in targets.items()]
     counted = (
-        docs.select(*[c.alias(d) for c, d in zip(cell, targets)], tokens().alias("n"))
+        measured.select(*[c.alias(d) for c, d in zip(cell, targets)], F.col(_TOKENS).alias("n"))
         .groupBy(*targets)
         .agg(F.sum("n").alias("n"))
     )
     cells = rake({tuple(r[d] for d in targets): r["n"] for r in counted.collect()}, targets, budget)
     if not cells.names:
-        return F.lit(min(1.0, budget))
+        return measured.withColumn(_CHANCE, F.lit(min(1.0, budget)))
     known = [F.lit(x) for c, p in zip(cells.names, cells.probability) for x in ("\t".join(c), float(p))]
-    return F.element_at(F.create_map(*known), F.concat_ws("\t", *cell))
+    return measured.withColumn(_CHANCE, F.element_at(F.create_map(*known), F.concat_ws("\t", *cell)))
 
 
 def weighted(
@@ -138,16 +146,16 @@ def weighted(
     seed: int = 7,
 ) -> DataFrame:
     """Each document's topic, tokens, weight against its natural share, probability and draw."""
-    probability = _probability(docs, targets, budget)
-    return docs.select(
+    chance = F.col(_CHANCE)
+    return _with_chance(docs, targets, budget).select(
         "doc_id",
         "source",
         "lang",
-        topic().alias("topic"),
-        tokens().alias("n_tokens"),
-        (probability / budget).alias("weight"),
-        probability.alias("probability"),
-        (_drawn(seed) < probability).alias("sampled"),
+        F.col(_TOPIC).alias("topic"),
+        F.col(_TOKENS).alias("n_tokens"),
+        (chance / budget).alias("weight"),
+        chance.alias("probability"),
+        (_drawn(seed) < chance).alias("sampled"),
     )
 
 
@@ -158,4 +166,4 @@ def keep(
     seed: int = 7,
 ) -> DataFrame:
     """The drawn documents, with all their columns."""
-    return docs.where(_drawn(seed) < _probability(docs, targets, budget))
+    return _with_chance(docs, targets, budget).where(_drawn(seed) < F.col(_CHANCE)).select(*docs.columns)
