@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import map_batches, small_batches
 from tidemark.llm.quality_rules import Text
 
-TRAIN_ROWS = 20_000  # bound on the rows that fit the scorer, met in expectation
+TRAIN_ROWS = 10_000  # bound on the rows that fit the scorer, met in expectation
 BUCKETS = 1 << 16
 ROUNDS = 100
 REGULARISATION = 1e-4
