@@ -56,5 +56,14 @@ def file_system(path: str):
     from pyarrow import fs
 
     if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
+
+
+def publish(fs, draft: str, name: str) -> None:
+    """Give a finished file its name, also where an earlier attempt of the task has left one."""
+    try:
+        fs.move(draft, name)
+    except OSError:  # some file systems do not rename onto a file
+        fs.delete_file(name)
+        fs.move(draft, name)

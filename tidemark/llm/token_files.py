@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import file_system, map_batches, new_folder, small_batches
+from tidemark.llm.common import file_system, map_batches, new_folder, publish, small_batches
 from tidemark.llm.tokens import END_ID, encoder, tokenizer_path
 
 SEQUENCE = 1024
@@ -129,7 +129,7 @@ def write(
             sequences.close()
             index.close()
         for draft, name in zip(drafts, names):
-            fs.move(draft, name)
+            publish(fs, draft, name)
         yield pa.RecordBatch.from_pydict(
             {"file": [file], "docs": [n_docs], "ids": [n_ids], "wide": [wide]},
             schema=pa.schema([("file", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("wide", pa.bool_())]),

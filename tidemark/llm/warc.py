@@ -36,7 +36,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
-from tidemark.llm.common import file_system, new_folder, small_batches
+from tidemark.llm.common import file_system, new_folder, publish, small_batches
 from tidemark.session import checkpointed
 
 MIN_BYTES = 0
@@ -139,8 +139,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, date: str =
                     index.write(f"{at} {len(member)} {'response' if refers_to is None else 'revisit'}\n".encode())
                     at, n = at + len(member), n + 1
                 batch = next(batches, None)
-        fs.move(f"{draft}-index", f"{name}.index")
-        fs.move(draft, name)
+        publish(fs, f"{draft}-index", f"{name}.index")
+        publish(fs, draft, name)
         yield pa.RecordBatch.from_pydict({"file": [name], "records": pa.array([n], pa.int64())})
 
     return with_roles(pages, min_bytes).mapInArrow(run, "file string, records long")
