@@ -45,3 +45,37 @@ def test_whole_groups_are_not_windowed(spark, sf_dir):
     """The only windows over a bare group are over range totals, a bounded handful of rows."""
     text = plan(QUERIES["evl_auc_whole_table"](spark, sf_dir))
     assert "hashpartitioning(__range" in text
+
+
+def _source_scans(spark, tmp_path, run):
+    """How often a query reads its table, seen by an accumulator in a step above the scan."""
+    path = str(tmp_path / "t")
+    S.table(spark, run.sf_dir, run.table).write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(path)
+    run(df.mapInArrow(seen, df.schema)).collect()
+    return read.value / df.count()
+
+
+@pytest.mark.parametrize("name,most", [("statistics", 3), ("ranking", 1), ("imputer", 1), ("codes", 2)])
+def test_scans_per_operator(spark, sf_dir, tmp_path, name, most):
+    from tidemark.operators import impute, lookups, metrics, profile
+
+    def run(df):
+        if name == "statistics":
+            return profile.column_statistics(df, ["l_quantity", "l_extendedprice", "l_discount"])
+        if name == "ranking":
+            rows = df.selectExpr("cast(l_returnflag = 'R' as int) AS label", "l_discount AS score")
+            return metrics.ranking_metrics(rows)
+        if name == "imputer":
+            return impute.fit_imputer(df, columns=["l_quantity", "l_extendedprice", "l_returnflag"]).to_frame(spark)
+        return lookups.with_codes(df.select("l_orderkey", "l_returnflag"), "l_returnflag")
+
+    run.sf_dir, run.table = sf_dir, "lineitem"
+    assert _source_scans(spark, tmp_path, run) <= most

@@ -198,6 +198,7 @@ def silver_financials(spark, sf_dir):
     return clean.silver_financials(S.financials(spark, sf_dir))
 
 
+# fixed values: the markers of missing values
 _MASKS = (
     "'#F%$D@*&8','_______','___','NULL','null','N/A','n/a','',' ','?','-','Unknown','unknown'"
 )

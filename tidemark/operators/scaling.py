@@ -26,10 +26,6 @@ class Scaler:
             }
         )
 
-    def to_frame(self, spark) -> DataFrame:
-        rows = [(c, self.mean[c], self.std[c]) for c in self.mean]
-        return spark.createDataFrame(rows, "feature string, mean double, std double")
-
 
 def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
     """One aggregation over ``df``; two numbers per column reach the driver."""
@@ -41,8 +37,3 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
         {c: row[f"m_{c}"] if row[f"m_{c}"] is not None else 0.0 for c in columns},
         {c: row[f"s_{c}"] or 1.0 for c in columns},
     )
-
-
-def load_scaler(frame: DataFrame) -> Scaler:
-    rows = frame.collect()  # one row per feature
-    return Scaler({r.feature: r.mean for r in rows}, {r.feature: r.std for r in rows})

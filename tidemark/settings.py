@@ -69,25 +69,6 @@ GOLD_FEATURES = [
     "Credit_Mix_encoded",
 ]
 
-MODEL_FEATURES = [
-    "Annual_Income",
-    "Monthly_Inhand_Salary",
-    "Num_Bank_Accounts",
-    "Num_Credit_Card",
-    "Interest_Rate",
-    "Num_of_Loan",
-    "Outstanding_Debt",
-    "Credit_Utilization_Ratio",
-    "Total_EMI_per_month",
-    "Monthly_Balance",
-    "Num_of_Delayed_Payment",
-    "Delay_from_due_date",
-    "Age",
-    "Credit_Mix_encoded",
-    "Debt_to_Income_Ratio",
-    "EMI_Burden_Ratio",
-]
-
 # never features: keys, targets and lineage
 NON_FEATURES = ["Customer_ID", "snapshot_date", "loan_id", "label", "label_def", "target"]
 
@@ -107,6 +88,26 @@ SEARCH_GRID = {
     "reg_lambda": [1, 1.5, 2],
 }
 
+# how each feature is imputed
+IMPUTE_STRATEGIES = {
+    "Age": "median",
+    "Annual_Income": "iterative",
+    "Monthly_Inhand_Salary": "iterative",
+    "Outstanding_Debt": "median",
+    "Total_EMI_per_month": "median",
+    "Monthly_Balance": "median",
+    "Debt_to_Income_Ratio": "median",
+    "EMI_Burden_Ratio": "median",
+    "Interest_Rate": "median",
+    "Credit_Utilization_Ratio": "median",
+    "Num_of_Loan": "median",
+    "Num_Credit_Card": "median",
+    "Num_Bank_Accounts": "median",
+    "Num_of_Delayed_Payment": "median",
+    "Delay_from_due_date": "median",
+    "Credit_Mix_encoded": "most_frequent",
+}
+
 # --- parameters --------------------------------------------------------------
 
 
@@ -133,26 +134,7 @@ class ImputeRule:
     keep_sparse: bool = False
     # default for a numeric column with no rule of its own, while fewer than this share is missing
     numeric_default_below_pct: float = 10.0
-    per_feature: dict[str, str] = field(
-        default_factory=lambda: {
-            "Age": "median",
-            "Annual_Income": "iterative",
-            "Monthly_Inhand_Salary": "iterative",
-            "Outstanding_Debt": "median",
-            "Total_EMI_per_month": "median",
-            "Monthly_Balance": "median",
-            "Debt_to_Income_Ratio": "median",
-            "EMI_Burden_Ratio": "median",
-            "Interest_Rate": "median",
-            "Credit_Utilization_Ratio": "median",
-            "Num_of_Loan": "median",
-            "Num_Credit_Card": "median",
-            "Num_Bank_Accounts": "median",
-            "Num_of_Delayed_Payment": "median",
-            "Delay_from_due_date": "median",
-            "Credit_Mix_encoded": "most_frequent",
-        }
-    )
+    per_feature: dict[str, str] = field(default_factory=lambda: dict(IMPUTE_STRATEGIES))
 
 
 @dataclass(frozen=True)

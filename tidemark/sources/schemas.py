@@ -9,6 +9,7 @@ def all_strings(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+# fixed values: column names, and below the types, of the raw files
 LOANS = all_strings(
     [
         "loan_id", "Customer_ID", "loan_start_date", "tenure", "installment_num", "loan_amt",
@@ -51,8 +52,3 @@ LOAN_TYPES: dict[str, T.DataType] = {
     "balance": MONEY,
     "snapshot_date": T.DateType(),
 }
-
-# the same map with the single-precision money of the original tables
-LOAN_TYPES_FLOAT = {
-    name: T.FloatType() if dtype == MONEY else dtype for name, dtype in LOAN_TYPES.items()
-}
