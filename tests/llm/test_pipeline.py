@@ -37,10 +37,11 @@ def test_stages_take_effect_in_order(spark, stored, documents):
     assert {r.doc_id for r in pieces} == kept[3]
     texts = dict(rows)
     whole = [r for r in pieces if r.piece == 0 and r.start == 0 and r.doc_id is not None]
-    from tidemark.llm.tokens import encoder, tokenizer_path
+    from tidemark.llm.tokens import Encoder, tokenizer_path
 
+    encode = Encoder(tokenizer_path())
     for r in whole:
-        ids = encoder(tokenizer_path())(texts[r.doc_id]) + (2).to_bytes(4, "little")
+        ids = encode(texts[r.doc_id]) + (2).to_bytes(4, "little")
         assert r.ids_crc32 == zlib.crc32(ids[: 4 * r.length])
 
 

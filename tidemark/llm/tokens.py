@@ -98,7 +98,11 @@ def _plain_letters(piece: str) -> bool:
 
 
 class Encoder:
-    """Encode texts as the library would, as little-endian unsigned 32-bit integers."""
+    """Encode texts as the library would, as little-endian unsigned 32-bit integers.
+
+    Make one per task: what it remembers is freed with it, so that idle workers hold no more than
+    the tokenizer.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer = _load(path)
@@ -134,9 +138,3 @@ class Encoder:
         for i, part in enumerate(parts):
             parts[i] = self.first[part] if i % 2 else self._plain(part)
         return b"".join(parts)
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """The worker's encoder; what it remembers serves the tasks that follow."""
-    return Encoder(path)
