@@ -53,7 +53,7 @@ def test_edges(spark, documents, edge_rows):
 
 def test_features_are_sorted_and_whole():
     page = C.Page("Word word WORD!! 12 " + "filler " * 5000 + "lastword")
-    buckets, values = C.features(page)
+    buckets, values = C.features(page, C._Hashed())
     assert (np.diff(buckets) > 0).all() and (values > 0).all()
     both = C._Hashed()[b"lastword"]
     assert both % C.BUCKETS in buckets and both // C.BUCKETS in buckets

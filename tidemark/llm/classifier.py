@@ -16,7 +16,6 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -185,7 +184,7 @@ def _shapes() -> bytes:
 _SHAPE = _shapes()
 
 
-REMEMBERED = 200_000  # words whose buckets a worker keeps
+REMEMBERED = 200_000  # words whose buckets a task keeps
 
 
 class _Shapes(dict):
@@ -215,15 +214,10 @@ class _Hashed(dict):
         return found
 
 
-@lru_cache(maxsize=1)
-def _hashed() -> _Hashed:
-    return _Hashed()
-
-
-def features(page: Page) -> tuple[np.ndarray, np.ndarray]:
+def features(page: Page, hashed: _Hashed) -> tuple[np.ndarray, np.ndarray]:
     """Buckets in ascending order and their values: words and shapes by share, measures by level."""
     counts = Counter(page.words)
-    both = np.fromiter(map(_hashed().__getitem__, counts), np.int64, len(counts))
+    both = np.fromiter(map(hashed.__getitem__, counts), np.int64, len(counts))
     shares = np.fromiter(counts.values(), float, len(counts)) / max(1, page.n_words)
     letters, upper = page.letters_upper
     levels = {
@@ -244,8 +238,8 @@ class Scorer(NamedTuple):
     weights: np.ndarray
     intercept: float
 
-    def score(self, page: Page) -> float:
-        buckets, values = features(page)
+    def score(self, page: Page, hashed: _Hashed) -> float:
+        buckets, values = features(page, hashed)
         margin = self.intercept + float(self.weights[buckets] @ values)
         return round(1 / (1 + np.exp(-np.clip(margin, -500, 500))), 6)
 
@@ -290,12 +284,13 @@ def train(docs: DataFrame, labellers: Sequence = LABELLERS, train_rows: int = TR
     )
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = _Hashed()
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
             for text in batch.column(0).to_pylist():
                 page = Page(text)
                 good = known[votes_of(page, labellers)]
-                buckets, values = features(page)
+                buckets, values = features(page, hashed)
                 row = {"type": 0, "size": BUCKETS, "indices": buckets.tolist(), "values": values.tolist()}
                 # a text of two minds is two examples
                 for label, weight in ((1.0, good), (0.0, 1 - good)):
@@ -319,8 +314,10 @@ def score(docs: DataFrame, model: Model | None = None, threshold: float = THRESH
     scorer = (model or train(docs)).scorer
 
     def make():
+        hashed = _Hashed()
+
         def step(doc_ids, texts):
-            scores = [scorer.score(Page(t)) for t in texts]
+            scores = [scorer.score(Page(t), hashed) for t in texts]
             return {"doc_id": doc_ids, "score": scores, "kept": [s >= threshold for s in scores]}
 
         return step
@@ -335,8 +332,9 @@ def keep(docs: DataFrame, model: Model | None = None, threshold: float = THRESHO
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = _Hashed()
         for batch in batches:
-            kept = [scorer.score(Page(t)) >= threshold for t in batch.column(at).to_pylist()]
+            kept = [scorer.score(Page(t), hashed) >= threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
