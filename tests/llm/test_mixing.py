@@ -77,3 +77,26 @@ def test_share_of_large_samples_follows_the_probability(spark):
     drawn = spark.range(40_000).selectExpr("id AS doc_id", "'' AS text").select(M._drawn(7).alias("u")).toPandas().u
     assert drawn.between(0, 1, inclusive="left").all()
     assert np.abs(np.histogram(drawn, 10, (0, 1))[0] / 40_000 - 0.1).max() < 0.01
+
+
+def test_no_cell_with_tokens_is_left_out_under_the_production_targets(spark, documents):
+    names = [(s, x, t) for s in ("src0", "other") for x in ("en", "de", "fr", "es", "other") for t in ("short", "medium", "notice", "other")]
+    cells = M.rake({c: 1000.0 + 10 * k for k, c in enumerate(names)}, M.TARGETS)
+    assert (cells.probability > 0).all()
+    cells = M.rake(dict(zip(cells.names, cells.tokens)), M.TARGETS, 0.2)  # so little that no cell is drawn whole
+    assert (cells.probability > 0).all()
+    natural = sum(n for c, n in zip(cells.names, cells.tokens) if c[1] == "other") / cells.tokens.sum()
+    share = cells.margin(1)
+    # the open share is the natural one, and the named ones keep their proportions
+    assert share["other"] == pytest.approx(natural, rel=0.01)
+    assert share["en"] / share["de"] == pytest.approx(0.56 / 0.16, rel=0.01)
+    docs = documents([(i, prose(i, 40 + i % 60)) for i in range(1, 400)])
+    unnamed = [r for r in M.weighted(docs).collect() if r.lang is None]
+    assert all(r.probability > 0 for r in unnamed)
+    assert sum(r.sampled for r in unnamed) > 0.5 * len(unnamed)
+
+
+def test_a_target_of_zero_still_drops_a_value():
+    cells = M.rake({("en",): 10.0, ("de",): 10.0, ("other",): 10.0}, {"lang": {"en": 1.0, "de": 0.0}}, 0.5)
+    p = dict(zip(cells.names, cells.probability))
+    assert p["de",] == 0 and p["en",] > 0 and p["other",] > 0

@@ -1,7 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents fall into cells by source, language and topic. Each dimension has target shares for some
-named values; all other values of it form one more, with what is left. The cells' token counts are
+named values; all other values of it form one more, with what is left. Where the named shares leave
+nothing, the others have their natural share and the named ones divide the rest, so no value is
+dropped for not being named; only a target of zero given for a value drops it. The cells' token counts are
 raked to the targets one dimension after the other until all margins fit, with no cell beyond the
 tokens it has; the result is a sampling probability per cell, and each document is drawn by its
 cell's probability.
@@ -25,8 +27,11 @@ OTHER = "other"
 BUDGET = 0.8  # share of all tokens to draw
 ROUNDS = 500
 TOLERANCE = 1e-10
+LEAST_LEFT = 1e-9  # less than this is a rounding of nothing
 
-#: Production targets as shares of tokens; what a dimension leaves open goes to its other values.
+#: Production targets as shares of tokens; what a dimension leaves open goes to its other values. The
+#: languages leave nothing open, so null and other languages keep their natural share. Only src0 is
+#: weighted against the other sources, which share the rest as they come.
 TARGETS: dict[str, dict[str, float]] = {
     "source": {"src0": 0.30},
     "lang": {"en": 0.56, "de": 0.16, "fr": 0.15, "es": 0.13},
@@ -92,9 +97,14 @@ def rake(
     for d, named in enumerate(targets.values()):
         values = sorted({c[d] for c in names})
         shares = {v: named.get(v, 0.0) for v in values}
-        if OTHER in shares and OTHER not in named:
-            shares[OTHER] = max(0.0, 1 - sum(named.values()))
         there = {v: n[[c[d] == v for c in names]].sum() for v in values}
+        if OTHER in shares and OTHER not in named:
+            left = 1 - sum(named.values())
+            if left < LEAST_LEFT:
+                left = there[OTHER] / n.sum()
+                here = sum(shares.values()) or 1.0
+                shares = {v: s * (1 - left) / here for v, s in shares.items()}
+            shares[OTHER] = left
         whole = sum(s for v, s in shares.items() if there[v])
         for v in values:
             at = np.array([c[d] == v for c in names])
