@@ -100,3 +100,37 @@ def test_links():
 
 def test_empty_table(spark):
     assert U.judge(pages(spark, [(1, "u", "h")]).where("false")).collect() == []
+
+
+def anchors(*hosts):
+    return "".join(f'<a href="https://{h}/a">' for h in hosts)
+
+
+@pytest.mark.parametrize("linkers", [1, 2, 300])
+def test_the_number_of_linkers_does_not_weaken_distrust(spark, linkers):
+    """Under the production margin, however many hosts share a blocked host's distrust."""
+    rows = [(1, "http://bad.net/es/1", anchors(*[f"victim{k}.org" for k in range(50)]))]
+    rows += [(100 + k, f"http://farm{k}.org/", anchors("bad.net")) for k in range(linkers)]
+    rows += [(2, "http://far.org/", anchors(*[f"farm{k}.org" for k in range(linkers)]))]
+    rows += [(3, "http://victim0.org/", None), (4, "http://calm.org/", anchors("victim0.org"))]
+    rows += [(5, "http://good.com/", anchors("friend.org")), (6, "http://friend.org/", anchors("bad.net"))]
+    got = {r.page_id: r.verdict for r in U.judge(pages(spark, rows)).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, *range(100, 100 + linkers)}
+
+
+def test_few_blocked_urls_do_not_spread(spark):
+    """A host that is blocked in a tenth of its urls passes on that tenth; pages without a host send nothing."""
+    rows = [(k, f"http://mixed.net/{'es' if k == 0 else 'en'}/{k}", None) for k in range(10)]
+    rows += [(20, "http://linker.org/", anchors("mixed.net")), (21, "http://bad.net/es/", None), (22, None, anchors("bad.net"))]
+    got = {r.page_id: r.verdict for r in U.judge(pages(spark, rows)).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {0, 21}
+
+
+def test_scores_are_carried_to_the_tolerance(spark):
+    """Two hosts that link to each other: the sum of the series, and not what twenty rounds give."""
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "source string, target string, weight long")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1e-9)], "host string, trust double, distrust double")
+    got = {r.host: (r.trust, r.distrust) for r in U.propagate(edges, seeds).collect()}
+    full = 1 / (1 - 0.85**2)
+    assert got["a"] == pytest.approx((full, 0.85e-9 * full), rel=1e-3)
+    assert got["b"] == pytest.approx((0.85 * full, 1e-9 * full), rel=1e-3)

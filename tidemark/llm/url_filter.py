@@ -3,10 +3,13 @@
 The rule that fits an url best judges it. For the other urls every host gets two scores: trust is
 personalised PageRank along links from hosts whose urls the rules allow, distrust the same against
 links from hosts whose urls they block, both with a seed weight equal to the share of the host's urls
-so judged. A host's urls without a rule are blocked where distrust exceeds trust by ``MARGIN``.
+so judged. What reaches a host is split over all links, so it is taken as a share of what would have
+reached it had every host that rules judge been blocked (or allowed) whole: the share does not depend on
+how many hosts link to the same one. A host's own judged urls count by their share, and what reaches it
+stands for the others. Its urls without a rule are blocked where distrust exceeds trust by ``MARGIN``.
 
-A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed unless
-its empty host is distrusted, which nothing can make it. Null ids and repeated rows are judged like any
+A null url, or one without ``://``, has an empty host and path, fits no rule, links to nothing and is
+allowed. Null ids and repeated rows are judged like any
 other row; a null html has no links; an empty table gives an empty one.
 """
 
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +34,8 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85
-ROUNDS = 20
-TOLERANCE = 1e-4
-MARGIN = 0.5
+TOLERANCE = 1e-4  # of a score
+MARGIN = 0.5  # of shares, from -1 to 1
 
 _URL = re.compile(r"://([^/?#]*)([^?#]*)")
 _LINK = re.compile(r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)""")
@@ -103,14 +106,16 @@ def propagate(
     edges: DataFrame,
     seeds: DataFrame,
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """Trust and distrust of every host: ``(host, trust, distrust)``.
 
     ``edges`` holds ``(source, target, weight)`` once per pair, ``seeds`` ``(host, trust, distrust)``. A
     host passes its trust on to its targets, and its distrust back to its sources, in proportion to
-    the links. A host without links keeps its seed. Ends when no score moves by ``tolerance``.
+    the links. A host without links keeps its seed. Ends when no score moves by more than ``tolerance``
+    of itself, which holds for all later rounds too, or after ``rounds``. A score just reached moves
+    by all of itself, so however little reaches a host, it is not cut off.
     """
     out_of = edges.groupBy(F.col("source")).agg(F.sum("weight").alias("out"))
     into = edges.groupBy(F.col("target")).agg(F.sum("weight").alias("into"))
@@ -124,34 +129,58 @@ def propagate(
     named = seeds.select("host").union(nodes).distinct()
     seeds = checkpointed(named.join(seeds, "host", "left").na.fill(0.0, ["trust", "distrust"]))
     scores = seeds
-    for _ in range(rounds):
+    nothing = F.lit(0.0)
+    for _ in count() if rounds is None else range(rounds):
         forth = edges.join(scores.select(F.col("host").alias("source"), "trust"), "source").select(
-            F.col("target").alias("host"), (F.col("trust") * F.col("forth")).alias("trust"), F.lit(0.0).alias("distrust")
+            F.col("target").alias("host"), (damping * F.col("trust") * F.col("forth")).alias("trust"), nothing.alias("distrust")
         )
         back = edges.join(scores.select(F.col("host").alias("target"), "distrust"), "target").select(
-            F.col("source").alias("host"), F.lit(0.0).alias("trust"), (F.col("distrust") * F.col("back")).alias("distrust")
+            F.col("source").alias("host"), nothing.alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust")
         )
-        passed = forth.unionByName(back).groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
-        # in units of a seed that nothing reaches, so scores read as shares of the host's urls
-        moved = (
-            seeds.join(passed, "host", "left")
-            .join(scores.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0")), "host")
-            .select(
-                "host",
-                (F.col("trust") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-                (F.col("distrust") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-                "t0",
-                "d0",
-            )
+        # in units of a seed that nothing reaches, so scores read as shares of the host's urls; added up
+        # and not joined, as the planner's guess of a join's size is a product and grows with each round
+        added = seeds.select("host", "trust", "distrust").union(forth).union(back)
+        moved = checkpointed(
+            added.withColumns({"t0": nothing, "d0": nothing})
+            .union(scores.select("host", nothing, nothing, F.col("trust"), F.col("distrust")))
+            .groupBy("host")
+            .agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "t0", "d0")])
         )
-        moved = checkpointed(moved)
-        change = F.greatest(F.abs(F.col("trust") - F.col("t0")), F.abs(F.col("distrust") - F.col("d0")))
+        moves = [F.abs(F.col(c) - F.col(was)) > tolerance * F.col(c) for c, was in (("trust", "t0"), ("distrust", "d0"))]
         scores = moved.select("host", "trust", "distrust")
-        if moved.where(change > tolerance).isEmpty():
+        if moved.where(moves[0] | moves[1]).isEmpty():
             break
     return scores
 
 
+def balance(edges: DataFrame, seeds: DataFrame, **kwargs) -> DataFrame:
+    """Distrust less trust of every host, from -1 to 1: ``(host, balance)``.
+
+    ``edges`` and ``seeds`` as for ``propagate``. Of the share of its urls that no rule judges, a host
+    is held for what reaches it over links: distrust, and trust, as shares of what the same hosts would
+    send if all their urls were blocked, or allowed. Hosts without a judged url send nothing.
+    """
+    edges = checkpointed(edges)
+    own = F.col("distrust") - F.col("trust")
+    if edges.isEmpty():
+        return seeds.select("host", own.alias("balance"))
+    judged = (F.col("trust") + F.col("distrust") > 0).cast("double")
+    whole = seeds.select("host", judged.alias("trust"), judged.alias("distrust"))
+    most = propagate(edges, whole, **kwargs).select("host", F.col("trust").alias("t1"), F.col("distrust").alias("d1"))
+    got = propagate(edges, seeds, **kwargs).select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
+
+    def share(score: str, seed: str, limit: str) -> Column:
+        reached = F.col(limit) - judged
+        return F.when(reached > 0, F.least(F.lit(1.0), (F.col(score) - F.col(seed)) / reached)).otherwise(0.0)
+
+    reached = share("d", "distrust", "d1") - share("t", "trust", "t1")
+    return (
+        seeds.join(got, "host")
+        .join(most, "host")
+        .select("host", (own + (1 - F.col("trust") - F.col("distrust")) * reached).alias("balance"))
+    )
+
+
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, margin: float = MARGIN, **kwargs
 ) -> DataFrame:
@@ -159,13 +188,14 @@ def judge(
     matched = checkpointed(match_rules(pages, rules))
     seeds = matched.groupBy("host").agg(_share("allow").alias("trust"), _share("block").alias("distrust"))
     edges = (
-        matched.select(F.col("host").alias("source"), F.explode("links").alias("target"))
+        matched.where("host != ''")  # what has no host is no host
+        .select(F.col("host").alias("source"), F.explode("links").alias("target"))
         .groupBy("source", "target")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
     distrusted = (
-        propagate(edges, seeds, **kwargs)
-        .where(F.col("distrust") - F.col("trust") > margin)
+        balance(edges, seeds, **kwargs)
+        .where(F.col("balance") > margin)
         .select("host", F.lit("block").alias("spread"))
     )
     return matched.join(distrusted, "host", "left").select(
