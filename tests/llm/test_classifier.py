@@ -57,3 +57,25 @@ def test_features_are_sorted_and_whole():
     assert (np.diff(buckets) > 0).all() and (values > 0).all()
     both = C._Hashed()[b"lastword"]
     assert both % C.BUCKETS in buckets and both // C.BUCKETS in buckets
+
+
+@pytest.mark.parametrize("share", [0.03, 0.05, 0.1])
+def test_a_labeller_that_fires_on_good_texts_is_found_out(share):
+    """Texts on which it alone fires stay good, and it does not draw the others down."""
+    patterns = {"gggggggg": 8500, "gggggggb": round(8500 * share / (1 - share))}
+    patterns |= dict.fromkeys(("bgbggggb", "bggbgggg", "gbbggbgg", "bggggbgg", "ggbbggbb"), 300)
+    found = C.estimate(patterns, held=[0])
+    assert found.posterior("gggggggg") > 0.9 and found.posterior("gggggggb") > 0.5
+    assert all(found.posterior(p) < 0.1 for p in patterns if p.count(C.BAD) > 1)
+    assert found.fires[7, 1] == pytest.approx(share, rel=0.3)
+    assert found.fires[0, 1] <= C.MOST_FALSE
+
+
+def test_function_words_say_nothing_of_other_languages():
+    russian = "дом стоит на берегу реки и смотрит окнами в старый сад где тихо растут яблони " * 5
+    finnish = "talo seisoo joen rannalla ja katsoo ikkunoillaan vanhaan puutarhaan jossa omenapuut kasvavat hiljaa " * 5
+    assert C.by_function_words(C.Page(russian)) == C.NONE
+    assert C.by_function_words(C.Page(russian + " the")) == C.NONE
+    assert C.by_function_words(C.Page(finnish)) == C.NONE
+    assert C.by_function_words(C.Page(prose(1))) == C.GOOD
+    assert C.by_function_words(C.Page("the " + "buy pills cheap now " * 30)) == C.BAD

@@ -62,6 +62,7 @@ class Page(Text):
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = bytes([*range(65, 91), *range(97, 123)])
+_ASCII = bytes(range(128))
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -101,8 +102,11 @@ def by_sentences(p: Page) -> str:
 
 
 def by_function_words(p: Page) -> str:
+    """No vote on a text in another script, or without any of the words: its language may not be among these."""
     words = p.data.translate(_PLAIN).split()
-    return _vote(50 * sum(map(FUNCTION_WORDS.__contains__, words)) < len(words), p.n_words >= 50)
+    known = sum(map(FUNCTION_WORDS.__contains__, words))
+    latin = p.letters_upper[0] > len(p.data.translate(None, _ASCII))
+    return _vote(50 * known < len(words), p.n_words >= 50 and known > 0 and latin)
 
 
 LABELLERS: tuple[Callable[[Page], str], ...] = (
@@ -143,14 +147,18 @@ class Accuracies(NamedTuple):
 FIRES = (0.25, 0.002)
 GOOD_SHARE = 0.9
 PRIOR_SHARE = 0.01  # weight of these as a share of the texts
-MOST_FALSE = 0.002  # labellers are written to fire on no more than this share of good texts
+LEAST_FIRES = 1e-4
+#: A labeller that fires alone on some texts may be wrong on good ones or right on a kind of junk of its
+#: own; counts cannot tell. Texts of symbols are junk by definition: it is held to this share of good texts.
+HELD = (by_symbols,)
+MOST_FALSE = 0.002
 
 
-def estimate(patterns: Mapping[str, int], rounds: int = ROUNDS) -> Accuracies:
+def estimate(patterns: Mapping[str, int], rounds: int = ROUNDS, held: Sequence[int] = ()) -> Accuracies:
     """Accuracies by expectation-maximisation over the counts of vote patterns.
 
-    A labeller is held to mean what it says: it fires on few good texts, and on bad ones at least
-    five times as often.
+    Both rates of a labeller are estimated; it fires on bad texts at least as often as on good ones.
+    Those at the places ``held`` fire on no more than ``MOST_FALSE`` of the good ones.
     """
     labellers = len(next(iter(patterns), ""))
     now = Accuracies(GOOD_SHARE, np.tile(FIRES, (labellers, 1)))
@@ -164,8 +172,9 @@ def estimate(patterns: Mapping[str, int], rounds: int = ROUNDS) -> Accuracies:
         good = np.array([now.posterior(p) for p in patterns])
         by_class = np.stack([weights * (1 - good), weights * good], axis=1)
         fires = (fired.T @ by_class + strength * np.array(FIRES)) / (voted.T @ by_class + strength)
-        fires[:, 1] = np.minimum(fires[:, 1], MOST_FALSE)
-        fires[:, 0] = np.clip(fires[:, 0], 5 * fires[:, 1], 0.99)
+        fires = np.clip(fires, LEAST_FIRES, 0.99)
+        fires[list(held), 1] = np.minimum(fires[list(held), 1], MOST_FALSE)
+        fires[:, 0] = np.maximum(fires[:, 0], fires[:, 1])
         share = (by_class[:, 1].sum() + GOOD_SHARE * strength) / (weights.sum() + strength)
         moved = abs(share - now.good) + np.abs(fires - now.fires).max()
         now = Accuracies(float(np.clip(share, 0.05, 0.99)), fires)
@@ -266,7 +275,7 @@ def vote_counts(docs: DataFrame, labellers: Sequence = LABELLERS) -> dict[str, i
 def train(docs: DataFrame, labellers: Sequence = LABELLERS, train_rows: int = TRAIN_ROWS) -> Model:
     """Accuracies from all documents, and a scorer from a sample labelled by their posteriors."""
     counts = vote_counts(docs, labellers)
-    accuracies = estimate(counts)
+    accuracies = estimate(counts, held=[k for k, f in enumerate(labellers) if f in HELD])
     known = {p: accuracies.posterior(p) for p in counts}
     rows = sum(counts.values())
     if not rows:
