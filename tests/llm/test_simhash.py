@@ -108,3 +108,12 @@ def test_long_texts_are_counted_whole():
 def test_empty_table(spark, documents):
     empty = documents([]).where("false")
     assert S.near_duplicates(empty).collect() == [] and S.keep_one(empty).collect() == []
+
+
+def test_keep_one_where_ids_repeat_or_are_null(spark, documents):
+    a, b, c, d = (prose(k, 300) for k in (21, 22, 23, 24))
+    copy = b.replace(b.split()[0], b.split()[0].upper(), 1)
+    assert S.fingerprint_of(b) == S.fingerprint_of(copy)
+    rows = [(5, a), (5, b), (3, copy), (None, c), (None, c), (7, d), (None, d), (5, a)]
+    kept = sorted((r.doc_id or 0, r.text) for r in S.keep_one(documents(rows)).collect())
+    assert kept == sorted([(5, a), (3, copy), (0, c), (7, d)])

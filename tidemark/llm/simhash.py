@@ -180,13 +180,18 @@ def components(edges: DataFrame) -> DataFrame:
         roots = jumped.select("node", "root")
 
 
-def groups(prints: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET) -> DataFrame:
-    """Group of each distinct fingerprint: ``(fingerprint, component_id)``."""
+def _rooted(prints: DataFrame, max_distance: int, bucket: int) -> DataFrame:
+    """Group of each distinct fingerprint: ``(fingerprint, root, component_id)``; ids may name several."""
     nodes = checkpointed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     roots = components(links(nodes, max_distance, bucket)).withColumnRenamed("node", "fingerprint")
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return rooted.join(named, "root").select("fingerprint", "component_id")
+    return rooted.join(named, "root").select("fingerprint", "root", "component_id")
+
+
+def groups(prints: DataFrame, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET) -> DataFrame:
+    """Group of each distinct fingerprint: ``(fingerprint, component_id)``."""
+    return _rooted(prints, max_distance, bucket).select("fingerprint", "component_id")
 
 
 def near_duplicates(
@@ -200,12 +205,45 @@ def near_duplicates(
     )
 
 
+_TEXT, _ROW = "__simhash_text", "__simhash_row"
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    """Add a hash of the text and one of the row, which tells rows of equal id and text apart."""
+    told = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind]
+    return docs.withColumns({_TEXT: F.xxhash64("text"), _ROW: F.xxhash64(F.lit(SEED), *told)})
+
+
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The document of each group that names it, with all columns; rows without an id all stay.
+    """One row of each group, with all columns: least id, nulls last, then by hash of text and of row.
 
-    Of rows that repeat the naming id one stays: the first by hash of its text.
+    Rows that repeat an id but lie in different groups are different documents. A row with neither
+    id nor text stays, as nothing says what it is a copy of.
     """
-    found = near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle, max_distance)
-    named = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(named, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    unknown = F.col("doc_id").isNull() & F.col("text").isNull()
+    known = _hashed(docs.where(~unknown))
+
+    def make():
+        def step(doc_ids, texts, *hashes):
+            prints = [fingerprint_of(t, shingle) for t in texts]
+            signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+            return dict(zip(("doc_id", _TEXT, _ROW, "fingerprint"), (doc_ids, *hashes, signed)))
+
+        return step
+
+    prints = checkpointed(
+        map_batches(
+            known, ["doc_id", "text", _TEXT, _ROW], make,
+            f"doc_id long, {_TEXT} long, {_ROW} long, fingerprint long",
+        )
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", _TEXT, _ROW)
+    first = (
+        prints.join(_rooted(prints, max_distance, BUCKET).select("fingerprint", "root"), "fingerprint")
+        .groupBy("root")
+        .agg(F.min(order).alias("first"))
+        .select(f"first.{_TEXT}", f"first.{_ROW}")
+    )
+    on = [_TEXT, _ROW]
+    kept = known.join(first, on, "left_semi").dropDuplicates(on).select(*docs.columns)
+    return kept.unionByName(docs.where(unknown))
