@@ -70,3 +70,20 @@ def test_malformed_expressions(expression):
 
 def test_empty_table(spark, documents):
     assert L.scan(documents([]).where("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text,labels",
+    [
+        ("SPDX-License-Identifier: GPL-3.0-only Copyright 2020 X", [{"gpl-3.0-only"}]),
+        ("<td>SPDX-License-Identifier: MIT</td>", [{"mit"}]),
+        ('"SPDX-License-Identifier: MIT", x', [{"mit"}]),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0. Then prose", [{"mit", "apache-2.0"}]),
+        ("SPDX-License-Identifier: MIT and the rest", [{"mit"}]),
+        ("SPDX-License-Identifier: MIT SPDX-License-Identifier: (BSD-3-Clause) y", [{"mit"}, {"bsd-3-clause"}]),
+        ("SPDX-License-Identifier: AND MIT", [{L.INVALID}]),
+        ("SPDX-License-Identifier: (MIT", [{L.INVALID}]),
+    ],
+)
+def test_text_after_a_tagged_expression_ends_it(text, labels):
+    assert [t.labels for t in L.tag_terms(text)] == labels

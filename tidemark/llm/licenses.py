@@ -2,7 +2,8 @@
 
 Texts are lower-cased in A-Z and cut into words of digits, letters and all characters beyond ASCII.
 An Aho-Corasick automaton over the words finds notice phrases and the tag that precedes a licence
-expression. The expression on the tag's line goes through a shunting-yard parser; ``with`` binds
+expression. The longest expression behind each tag, up to the line's end, goes through a shunting-yard
+parser; text after it ends it. ``with`` binds
 before ``and``, ``and`` before ``or``.
 
 The score says how far the findings restrict use, from 0 (nothing found) to 1: a choice (``or``)
@@ -58,7 +59,7 @@ _WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)
 )
-_TAG_LINE = re.compile(r"(?i)spdx[^0-9A-Za-z\n]+license[^0-9A-Za-z\n]+identifier[^0-9A-Za-z(\n]*([^\n]*)")
+_TAG = re.compile(r"(?i)spdx[^0-9A-Za-z\n]+license[^0-9A-Za-z\n]+identifier[^0-9A-Za-z(\n]*")
 _TOKEN = re.compile(r"[()]|[0-9A-Za-z.+:-]+|\S")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -126,15 +127,51 @@ def evaluate(expression: str) -> Terms:
     return values[0]
 
 
+def prefixes(text: str) -> list[str]:
+    """Beginnings of a text that may be expressions, the longest first; ends where no token can follow.
+
+    Behind an operator in small letters a plain word is prose, unless it names a known family.
+    """
+    found, depth, operand_next, small, end = [], 0, True, False, 0
+    for match in _TOKEN.finditer(text):
+        token = match[0].rstrip(".:") or match[0]
+        low = token.lower()
+        if operand_next:
+            if token == "(":
+                depth += 1
+                continue
+            prose = small and re.fullmatch("[a-z]+", low) and restriction(low) == UNKNOWN
+            if low in _BINDS or not token[0].isalnum() or prose:
+                break
+            operand_next = False
+        elif token == ")" and depth:
+            depth -= 1
+        elif low in _BINDS and token == match[0]:
+            operand_next, small = True, token.islower()
+            continue
+        else:
+            break
+        end = match.start() + len(token)
+        if not depth:
+            found.append(text[:end])
+        if token != match[0]:  # a mark ends the sentence
+            break
+    return found[::-1]
+
+
 def tag_terms(text: str) -> list[Terms]:
-    """Values of the expressions behind the tags of a text; a malformed one has a label of its own."""
+    """Values of the expressions behind the tags of a text; one that is none has a label of its own."""
     found = []
-    for line in _TAG_LINE.findall(text):
-        line = re.sub(r"(\*/|-->).*", "", line).strip()
-        try:
-            found.append(evaluate(line))
-        except ValueError:
-            found.append(Terms(frozenset([INVALID]), UNKNOWN))
+    tags = list(_TAG.finditer(text))
+    for tag, end in zip(tags, [*[t.start() for t in tags[1:]], len(text)]):
+        terms = Terms(frozenset([INVALID]), UNKNOWN)
+        for prefix in prefixes(text[tag.end() : end].partition("\n")[0]):
+            try:
+                terms = evaluate(prefix)
+                break
+            except ValueError:
+                pass
+        found.append(terms)
     return found
 
 
