@@ -13,10 +13,13 @@ from tidemark.llm import (
     mixing,
     neighbours,
     packing,
+    periodic,
     quality_rules,
     simhash,
     token_files,
+    toxicity,
     url_filter,
+    vector_codes,
     warc,
 )
 
@@ -86,3 +89,18 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_vector_codes", vector_codes.SQL)
+def vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
