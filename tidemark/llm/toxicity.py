@@ -33,7 +33,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, small_batches
@@ -137,56 +137,50 @@ def count(texts: DataFrame) -> DataFrame:
     return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("every", "toxic", "plain")])
 
 
-def shared_model(grams: DataFrame) -> DataFrame:
-    """``gram, shared``: interpolated Kneser-Ney probability of each sequence's last character in all texts.
+CONTEXT_OF = "substr(gram, 1, length(gram) - 1)"
+REST_OF = "substr(gram, 2)"
 
-    The longest contexts go by occurrences, shorter ones by how many characters precede them.
+
+def _in_context(column: Column) -> Column:
+    """Over the sequences that share their context, no more than there are characters."""
+    return column.over(Window.partitionBy(F.expr(CONTEXT_OF)))
+
+
+def with_shared(grams: DataFrame) -> DataFrame:
+    """Add ``shared``: interpolated Kneser-Ney probability of each sequence's last character in all texts.
+
+    The longest contexts go by occurrences, shorter ones by how many characters precede them; without any
+    context a character is as likely as its share of those.
     """
-    levels = [grams.select("gram", F.col("every").alias("n"))]
+    levels = [grams.withColumn("n", F.col("every"))]
     for _ in range(CONTEXT):
-        levels.append(levels[-1].groupBy(F.expr("substr(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n")))
-    last = levels[-1]
-    characters = last.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    # the shortest level backs off to equal shares
-    known = last.join(characters).select(
-        "gram", ((F.col("n") - DISCOUNT + DISCOUNT) / F.col("total")).alias("shared")
-    )
+        shorter = levels[-1].groupBy(F.expr(REST_OF).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        levels.append(checkpointed(shorter))
+    total = levels[-1].agg(F.sum("n")).first()[0]
+    known = levels[-1].select("gram", (F.col("n") / F.lit(total)).alias("shared"))
     for level in reversed(levels[:-1]):
-        context = F.expr("substr(gram, 1, length(gram) - 1)")
-        rows = level.withColumns({"__h": context, "__rest": F.expr("substr(gram, 2)")})
-        totals = rows.groupBy("__h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        lower = known.select(F.col("gram").alias("__rest"), F.col("shared").alias("lower"))
-        known = (
-            rows.join(totals, "__h")
-            .join(lower, "__rest")
-            .select(
-                "gram",
-                ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("lower")) / F.col("total")).alias("shared"),
-            )
+        rows = level.withColumns(
+            {"__total": _in_context(F.sum("n")), "__kinds": _in_context(F.count(F.lit(1))), "__rest": F.expr(REST_OF)}
         )
-    return known
+        lower = known.select(F.col("gram").alias("__rest"), F.col("shared").alias("__lower"))
+        freed = DISCOUNT * F.col("__kinds") * F.col("__lower")
+        known = rows.join(lower, "__rest").withColumn("shared", (F.col("n") - DISCOUNT + freed) / F.col("__total"))
+    return known.select(*grams.columns, "shared")
 
 
 def differences(grams: DataFrame) -> DataFrame:
     """``gram, every, diff``: log-probability in toxic texts less that in ordinary ones."""
     total = grams.agg(*[F.sum(c).alias(c) for c in ("toxic", "plain")]).first()
     least = min(total.toxic, total.plain)
-    size = {c: least / total[c] for c in ("toxic", "plain")}
-    context = F.expr("substr(gram, 1, length(gram) - 1)")
-    rows = grams.join(shared_model(grams), "gram").withColumn("__h", context)
-    rows = rows.withColumns({f"{c}_n": F.col(c) * size[c] for c in size})
-    totals = rows.groupBy("__h").agg(
-        *[F.sum(f"{c}_n").alias(f"{c}_total") for c in size],
-        *[F.sum(F.least(f"{c}_n", F.lit(DISCOUNT))).alias(f"{c}_freed") for c in size],
-    )
-    joined = rows.join(totals, "__h")
+    rows = with_shared(grams)
 
     def likely(c: str) -> Column:
-        n, whole, freed = (F.col(f"{c}_{k}") for k in ("n", "total", "freed"))
+        n = F.col(c) * F.lit(least / total[c])
+        whole, freed = (_in_context(F.sum(x)) for x in (n, F.least(n, F.lit(DISCOUNT))))
         own = (F.greatest(n - DISCOUNT, F.lit(0.0)) + freed * F.col("shared")) / whole
         return F.when(whole > 0, own).otherwise(F.col("shared"))
 
-    return joined.select("gram", "every", (F.log(likely("toxic")) - F.log(likely("plain"))).alias("diff"))
+    return rows.select("gram", "every", (F.log(likely("toxic")) - F.log(likely("plain"))).alias("diff"))
 
 
 def score_table(diffs: DataFrame) -> np.ndarray:
@@ -311,8 +305,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     held = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out")
     known = one_label(labels)
-    taught = F.when(fold(F.col("doc_id")) != CURVE, F.col("toxic")).alias("toxic")
-    grams = checkpointed(count(with_labels(docs, known, ["text"]).select("text", taught)))
+    # only texts that may teach meet the labels; the others are counted where they are read
+    teaches = F.coalesce(~fold(F.col("doc_id")).isin(HELD_OUT, CURVE), F.lit(False))
+    taught = with_labels(docs.where(teaches), known, ["text"]).select("text", "toxic")
+    others = docs.where(~teaches).select("text", F.lit(None).cast("int").alias("toxic"))
+    grams = checkpointed(count(taught.unionByName(others)))
     total = grams.agg(F.sum("toxic"), F.sum("plain")).first()
     if not total[0] or not total[1]:
         return docs.select("doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
