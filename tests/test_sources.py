@@ -189,10 +189,10 @@ def test_nested_records_in_every_layout(spark, tmp_path, layout, given):
     assert sorted((tuple(r) for r in rows), key=key) == sorted(want, key=key)
 
 
-def test_lines_are_read_in_splits(spark, tmp_path):
+def test_found_records_are_read_in_splits(spark, tmp_path):
     path = put(tmp_path / "r.json", NESTED_LAYOUTS["lines"])
     text = readers.read_any(spark, path)._jdf.queryExecution().toString()
-    assert "Format: JSON" in text and "wholetext" not in text.lower() and "Python" not in text
+    assert "Format: Text" in text and "wholetext" not in text.lower() and "Python" not in text
 
 
 def test_broken_objects_over_lines_are_skipped(spark, tmp_path):

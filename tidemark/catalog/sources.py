@@ -100,6 +100,32 @@ def json_records(spark, sf_dir):
     )
 
 
+@query(
+    "src_json_mixed",
+    f"""WITH {V.SCORES} SELECT Customer_ID, label, score, dataset, 'it''s {{"' || dataset || '"}} }}' AS quoted, cast(Customer_ID % 4 as integer) AS layout FROM scores
+ UNION ALL SELECT Customer_ID, label, score, dataset, NULL, 4 FROM scores WHERE Customer_ID % 7 = 0""",
+)
+def json_mixed(spark, sf_dir):
+    """A folder whose files hold lines, spread records, records with commas and arrays, mixed, with braces in strings."""
+    path = f"{_folder(spark)}/mixed.json"
+    layout = F.col("Customer_ID") % 4
+    quoted = F.concat(F.lit('it\'s {"'), F.col("dataset"), F.lit('"} }'))
+    scores = S.scores(spark, sf_dir).select(
+        "Customer_ID", "label", "score", "dataset", quoted.alias("quoted"), layout.cast("int").alias("layout")
+    )
+    line, spread = F.to_json(F.struct("*")), F.to_json(F.struct("*"), {"pretty": "true"})
+    text = F.when(F.col("layout") == 0, line).when(F.col("layout") == 1, spread).otherwise(F.concat(spread, F.lit(",")))
+    scores.where("layout < 3").select(text.alias("value")).write.text(path)
+    groups = scores.where("layout = 3").groupBy(F.floor(F.col("Customer_ID") / 40)).agg(F.collect_list(F.struct("*")).alias("all"))
+    groups.select(F.to_json("all", {"pretty": "true"}).alias("value")).write.mode("append").text(path)
+    # one line per file: arrays of records without any line end
+    again = scores.where("Customer_ID % 7 = 0").drop("quoted").withColumn("layout", F.lit(4))
+    whole = again.groupBy(F.floor(F.col("Customer_ID") / 70).alias("g")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    whole.select("value").write.mode("append").option("lineSep", " ").text(path)
+    schema = "Customer_ID bigint, label int, score double, dataset string, quoted string, layout int"
+    return readers.read_json_records(spark, path, schema)
+
+
 @query("src_scoring_input", f"WITH {V.CLICKSTREAM} SELECT * FROM clickstream")
 def scoring_input(spark, sf_dir):
     path = f"{_folder(spark)}/clicks.parquet"

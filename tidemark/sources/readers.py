@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.json_records import to_lines
+
 
 class NoData(Exception):
     """The input is absent or empty."""
@@ -66,67 +66,22 @@ def _first_line(spark: SparkSession, path: str) -> str | None:
     return first and first[0]
 
 
-def json_layout(first_line: str | None) -> str | None:
-    """How JSON records are laid out, from the first line that is not blank.
-
-    ``array``: one array of records; ``lines``: a record per line; ``listed``: a record per line and a
-    comma after it; ``objects``: records over several lines, with or without commas. None: no JSON.
-    """
-    if first_line is None or first_line[0] not in "{[":
-        return None
-    if first_line[0] == "[":
-        return "array"
-    for text, layout in ((first_line, "lines"), (first_line.rstrip(", "), "listed")):
-        try:
-            json.loads(text)
-            return layout
-        except ValueError:
-            pass
-    return "objects"
-
-
-def _objects(text: str) -> Iterator[str]:
-    """The objects of a text one after the other, a line each; what does not parse is skipped."""
-    decoder, at = json.JSONDecoder(), text.find("{")
-    while at >= 0:
-        try:
-            record, end = decoder.raw_decode(text, at)
-            yield json.dumps(record)
-        except ValueError:  # go on at the next line that opens an object
-            end = text.find("\n{", at) + 1 or len(text)
-        at = text.find("{", end)
-
-
-def _object_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Records over several lines as one line each; a file is one task's work."""
-
-    def run(batches):
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_pydict({"value": pa.array(list(_objects(text)), pa.string())})
-
-    return spark.read.text(path, wholetext=True).mapInArrow(run, "value string")
+def looks_like_json(first_line: str | None) -> bool:
+    """Whether text whose first line that is not blank is this one starts like JSON records."""
+    return first_line is not None and first_line[0] in "{["
 
 
 def read_json_records(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
-    """JSON records in any of the layouts of ``json_layout``; records that do not parse are skipped.
+    """JSON records in any layout and mix of layouts; records that do not parse are skipped.
 
-    Arrays and lines go to Spark's own reader, and lines are read in splits of a file. Only arrays and
-    records over several lines need a task per file.
+    The records are found by as many tasks as the files have splits, and written once, a line each.
     """
-    layout = json_layout(_first_line(spark, path))
-    if layout in ("lines", "array"):
-        reader = spark.read.option("mode", "DROPMALFORMED").option("multiLine", layout == "array")
-        return (reader.schema(schema) if schema is not None else reader).json(path)
-    if layout == "objects":
-        lines = _object_lines(spark, path)
-    else:
-        lines = spark.read.text(path).select(F.regexp_replace("value", r",\s*$", "").alias("value"))
-        lines = lines.where(F.trim("value") != "")
+    folder = to_lines(spark, path)
+    lines = spark.read.text(folder)
     if schema is None:
-        schema = spark.read.option("mode", "DROPMALFORMED").json(lines.rdd.map(lambda r: r.value)).schema
+        schema = spark.read.option("mode", "DROPMALFORMED").json(folder).schema
     struct = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     told = T.StructType([*struct.fields, T.StructField(_MALFORMED, T.StringType())])
     parsed = lines.select(
@@ -160,7 +115,7 @@ def read_any(
         elif extension == "jsonl":
             reader = spark.read.option("mode", "DROPMALFORMED")
             df = (reader.schema(schema) if schema else reader).json(path)
-        elif json_layout(_first_line(spark, path)):
+        elif looks_like_json(_first_line(spark, path)):
             df = read_json_records(spark, path, schema)
         else:
             reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
