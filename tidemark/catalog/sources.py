@@ -10,7 +10,7 @@ from tidemark.operators import clean, drift, metrics, models, profile
 from tidemark.plans import datamart, monitoring
 from tidemark.session import shared_folder
 from tidemark.settings import LabelRule
-from tidemark.sources import readers, schemas, writers
+from tidemark.sources import commits, readers, schemas, writers
 from tidemark.sources import surrogates as S
 from tidemark.streaming import snapshots
 
@@ -167,6 +167,35 @@ def rerun_empties_month(spark, sf_dir):
     return readers.read_table(spark, path)
 
 
+@query(
+    "snk_unpublished_run",
+    f"""WITH {V.SILVER_ATTRIBUTES} {_STORE} WHERE snapshot_date <> DATE '2024-04-01' OR Age IS NOT NULL""",
+)
+def unpublished_run(spark, sf_dir):
+    """A run over all months that dies before it publishes changes nothing; the one month run after it does."""
+    path = _silver_table(spark, sf_dir)
+    rows = readers.read_table(spark, path)
+    commits.write_version(rows.withColumn("Age", F.lit(-1)), path)  # all files are there, no manifest names them
+    again = rows.where("snapshot_date = '2024-04-01' AND Age IS NOT NULL")
+    writers.write_snapshots(again, path, months=["2024-04-01"])
+    return readers.read_table(spark, path)
+
+
+@query(
+    "snk_batch_once",
+    f"""WITH {V.DECIDED} SELECT Customer_ID, label, score, dataset, prediction FROM decided
+ UNION ALL SELECT Customer_ID, label, score, dataset, prediction FROM decided WHERE dataset = 'OOT1' AND prediction = 1""",
+)
+def batch_once(spark, sf_dir):
+    """A scored batch that is sent again, at another time and in another order, lands once; another batch adds to it."""
+    path = f"{_folder(spark)}/predictions_monitoring"
+    decided = metrics.decide(S.scores(spark, sf_dir)).withColumn("timestamp", F.current_timestamp())
+    other = decided.where("dataset = 'OOT1' AND prediction = 1")
+    for batch in (decided, decided.orderBy(F.desc("Customer_ID")), other, decided.repartition(3)):
+        writers.copy_for_monitoring(batch, path)
+    return readers.read_table(spark, path).select("Customer_ID", "label", "score", "dataset", "prediction")
+
+
 @query("snk_bronze", f"WITH {V.ATTRIBUTES} SELECT Customer_ID, Name, Age, SSN, Occupation, cast(snapshot_date as varchar) AS snapshot_date FROM attributes")
 def bronze_table(spark, sf_dir):
     root = _folder(spark)
@@ -276,7 +305,7 @@ def monitoring_copy(spark, sf_dir):
     path = f"{_folder(spark)}/predictions_monitoring"
     decided = metrics.decide(S.scores(spark, sf_dir)).withColumn("timestamp", F.current_timestamp())
     writers.write_scored(decided, f"{path}_scored.parquet", path)
-    return spark.read.parquet(path).groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    return readers.read_table(spark, path).groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("snk_monitoring_summary", summary_sql(["ts", "user_id", "value"], ["value", "user_id"]))

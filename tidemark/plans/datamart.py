@@ -52,11 +52,10 @@ def bronze(
 
 
 def read_bronze(spark: SparkSession, root: str, entity: str, months: Months = None) -> DataFrame:
-    """Landed rows as text, their snapshot date taken from the partition."""
-    schema = schemas.RAW[entity]
-    raw = read_csv(spark, f"{root}/bronze/{entity}", schema)
-    named = None if months is None else [str(m) for m in months]
-    return _of(raw.select(schema.fieldNames()), named)
+    """Landed rows as text, the date of their snapshot included."""
+    names = schemas.RAW[entity].fieldNames()
+    landed = _of(read_table(spark, f"{root}/bronze/{entity}"), months)
+    return landed.withColumn("snapshot_date", F.col("snapshot_date").cast("string")).select(names)
 
 
 def silver(

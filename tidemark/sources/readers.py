@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import commits
 from tidemark.sources.json_records import to_lines
 
 
@@ -30,8 +31,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, snapshot=None) -> DataFrame:
-    """Snapshot table: all snapshots in one frame, or one of them by partition pruning."""
-    df = spark.read.parquet(path)
+    """Snapshot table as last published: all snapshots in one frame, or one of them by partition pruning.
+
+    A folder of plain Parquet files by snapshot is read as it stands.
+    """
+    manifest = commits.newest(spark, path)
+    if manifest is None:
+        df = spark.read.parquet(path)
+    else:
+        df = commits.read(spark, path, manifest, None if snapshot is None else [snapshot])
     if snapshot is None:
         return df
     return df.where(F.col("snapshot_date") == F.lit(snapshot).cast("date"))

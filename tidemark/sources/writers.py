@@ -6,9 +6,11 @@ import logging
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources import commits
+
 log = logging.getLogger(__name__)
 
 
@@ -18,46 +20,19 @@ def write_snapshots(
     fmt: str = "parquet",
     max_records_per_file: int = 5_000_000,
     months: Iterable | None = None,
-    within: Mapping[str, str] | None = None,
+    key: str | None = None,
+    notes: Mapping | None = None,
 ) -> None:
-    """Write by snapshot; a snapshot in ``df`` replaces its old partition, others stay.
+    """Publish the rows by snapshot: a snapshot in ``df`` replaces the old one, others stay.
 
-    ``months`` are the snapshots that are being rebuilt: one of them without rows in ``df`` loses
-    its old partition. ``within`` names constant sub-partitions, so that only that part of a
-    snapshot is replaced. Rows are spread by the optimizer so that a snapshot with a third of all
-    rows still goes to many writers, and small snapshots do not leave many small files.
+    ``months`` are the snapshots that are being rebuilt: one of them without rows in ``df`` is cleared. With a
+    ``key`` the rows are added to their snapshots instead, once however often that is tried. All that a
+    call changes becomes visible in one step; ``notes`` are kept with it.
     """
-    within = dict(within or {})
-    below = "".join(f"/{c}={v}" for c, v in within.items())
-    folders = [f"{path}/snapshot_date={m}{below}" for m in sorted({str(m) for m in months or ()})]
-    before = {folder: _files(df.sparkSession, folder) for folder in folders}
-    writer = (
-        df.withColumns({c: F.lit(v) for c, v in within.items()})
-        .hint("rebalance", "snapshot_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("snapshot_date", *within)
-    )
-    if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
-    writer.format(fmt).save(path)
-    # every write names its files anew, so a folder that still holds an old one got no rows
-    for folder in folders:
-        if before[folder] & _files(df.sparkSession, folder):
-            fs, target = _at(df.sparkSession, folder)
-            fs.delete(target, True)
-
-
-def _at(spark: SparkSession, path: str):
-    """File system that Spark uses for a path, and the path in its terms."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    fs, target = _at(spark, folder)
-    return {f.getPath().getName() for f in fs.listStatus(target)} if fs.exists(target) else set()
+    if key is not None:
+        commits.add_once(df, path, key, max_records_per_file)
+    else:
+        commits.replace_months(df, path, months or (), fmt, max_records_per_file, dict(notes or {}))
 
 
 def write_compact(
@@ -82,29 +57,40 @@ def write_predictions(df: DataFrame, path: str, default_format: str = "csv") ->
     return fmt
 
 
-def copy_for_monitoring(scored: DataFrame, path: str) -> bool:
-    """Append a scored batch to the monitoring table; a failure never fails the scoring run."""
+def copy_for_monitoring(scored: DataFrame, path: str, key: str | None = None) -> bool:
+    """Add a scored batch to the monitoring table, once; a failure never fails the scoring run.
+
+    The ``key`` names the batch; without one its rows do, apart from the time they were scored at, so that a
+    batch that is scored or written again is not stored twice. Batches lie by the day of scoring.
+    """
     try:
-        batch = F.date_format("timestamp", "yyyyMMdd_HHmmss_SSSSSS")
-        scored.withColumn("batch_ts", batch).write.mode("append").partitionBy("batch_ts").parquet(path)
+        if key is None:
+            key = commits.fingerprint(scored, ["timestamp"])
+        by_day = scored.withColumn(commits.PARTITION, F.to_date("timestamp")).withColumn("batch", F.lit(key))
+        commits.add_once(by_day, path, key)
         return True
     except Exception as reason:
         log.warning("monitoring copy failed: %s", reason)
         return False
 
 
-def write_scored(scored: DataFrame, path: str, monitoring_path: str, default_format: str = "csv") -> bool:
+def write_scored(
+    scored: DataFrame, path: str, monitoring_path: str, default_format: str = "csv", key: str | None = None
+) -> bool:
     """Write a scored batch and copy what was written, so the batch is scored once."""
     fmt = write_predictions(scored, path, default_format)
     reader = scored.sparkSession.read.schema(scored.schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"')
-    return copy_for_monitoring(reader.load(path), monitoring_path)
+    return copy_for_monitoring(reader.load(path), monitoring_path, key)
 
 
-def write_monitoring_summary(summary: DataFrame, path: str) -> None:
-    """Append the one-row monitoring document as JSON."""
-    summary.write.mode("append").json(path)
+def write_monitoring_summary(summary: DataFrame, path: str, run: str | None = None) -> None:
+    """Add the one-row monitoring document as JSON; a ``run`` that is repeated replaces its own."""
+    if run is None:
+        summary.write.mode("append").json(path)
+    else:
+        summary.write.mode("overwrite").json(f"{path}/run-{run}")
 
 
 def write_registry(registry: DataFrame, best: DataFrame, path: str) -> None:

@@ -12,8 +12,6 @@ from tidemark.sources import schemas
 from tidemark.sources.readers import read_table
 from tidemark.sources.writers import write_snapshots
 
-ARRIVAL = "arrival"  # partition below the snapshot: one per micro-batch
-
 
 def clean_arrivals(
     spark: SparkSession, entity: str, source: str, target: str, checkpoint: str
@@ -21,9 +19,9 @@ def clean_arrivals(
     """Clean every raw CSV not seen before and add it to its snapshots, then stop.
 
     The silver rules work row by row, so the batch code runs unchanged on each micro-batch. A
-    micro-batch writes below its snapshots in a partition of its own: files that arrive late add
-    to a snapshot, and a replayed micro-batch replaces just what it wrote before. The partition is
-    named after the stream's checkpoint as well, so that two streams may share a target.
+    micro-batch is added under a key of its own: files that arrive late add to a snapshot, and a
+    replayed micro-batch that has landed is not written again. The key names the stream's checkpoint as
+    well, so that two streams may share a target.
     """
     stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:8]
     raw = (
@@ -35,7 +33,7 @@ def clean_arrivals(
     )
 
     def land(batch: DataFrame, number: int) -> None:
-        write_snapshots(batch, target, within={ARRIVAL: f"{stream}-{number}"})
+        write_snapshots(batch, target, key=f"{stream}-{number}")
 
     return (
         clean.SILVER[entity](raw)
@@ -48,4 +46,4 @@ def clean_arrivals(
 
 def read_arrivals(spark: SparkSession, target: str, snapshot=None) -> DataFrame:
     """All rows that have arrived, or those of one snapshot."""
-    return read_table(spark, target, snapshot).drop(ARRIVAL)
+    return read_table(spark, target, snapshot)
