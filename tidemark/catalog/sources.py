@@ -7,7 +7,7 @@ from tidemark.catalog import views as V
 from tidemark.catalog.drift import flat_summary, summary_sql
 from tidemark.catalog.features import GOLD_SQL
 from tidemark.operators import clean, drift, metrics, models, profile
-from tidemark.plans import datamart, monitoring
+from tidemark.plans import datamart, dictionary, monitoring
 from tidemark.session import shared_folder
 from tidemark.settings import LabelRule
 from tidemark.sources import commits, readers, schemas, writers
@@ -270,6 +270,41 @@ def customers(spark, sf_dir):
     )
 
 
+_LATE = "CASE WHEN snapshot_date = DATE '2024-12-01' AND Occupation <> 'NA' THEN 'Aardvark_keeper' WHEN Occupation = 'NA' THEN 'ZZ' ELSE Occupation END"
+
+
+@query(
+    "dmt_customers_rerun",
+    f"""WITH {V.CUSTOMER_CLICKS}, {V.SILVER_ATTRIBUTES},
+ w AS (SELECT c.Customer_ID, c.snapshot_date, coalesce({_LATE}, 'Unknown') AS Occupation
+  FROM clicks c LEFT JOIN silver_att USING (Customer_ID, snapshot_date)),
+ seen AS (SELECT Occupation, min(CASE WHEN snapshot_date < DATE '2024-12-01' THEN 0 ELSE 1 END) AS run, min(snapshot_date) AS first_seen FROM w GROUP BY Occupation),
+ codes AS (SELECT Occupation, first_seen, cast(row_number() OVER (ORDER BY run, Occupation) - 1 as integer) AS code FROM seen)
+ SELECT 'row' AS kind, Customer_ID, snapshot_date, Occupation, code AS Occupation_code FROM w JOIN codes USING (Occupation)
+ UNION ALL SELECT 'dictionary', NULL, first_seen, Occupation, code FROM codes""",
+)
+def customers_rerun(spark, sf_dir):
+    """Months up to November, then a late December that brings a new occupation, then one old month again.
+
+    The new occupation sorts before all others, but takes the next code; no old code changes.
+    """
+    folder = _folder(spark)
+    paths = _land(spark, sf_dir, folder, "clickstream")
+    raw = S.attributes(spark, sf_dir)
+    unfit = ~F.col("Occupation").rlike("^[a-zA-Z_]+$")
+    late = F.when((F.col("snapshot_date") == "2024-12-01") & ~unfit, "Aardvark_keeper")
+    changed = raw.withColumn("Occupation", late.when(unfit, "ZZ").otherwise(F.col("Occupation")))
+    paths["attributes"] = f"{folder}/raw/attributes"
+    changed.write.option("header", True).option("escape", '"').csv(paths["attributes"])
+    for start, end in (("2023-01-01", "2024-11-01"), ("2024-12-01", "2024-12-01"), ("2023-05-01", "2023-05-01")):
+        datamart.backfill(spark, paths, folder, start, end)
+    rows = readers.read_table(spark, f"{folder}/gold/customers").select(
+        F.lit("row").alias("kind"), "Customer_ID", "snapshot_date", "Occupation", "Occupation_code"
+    )
+    codes = dictionary.stored(spark, f"{folder}/gold/occupation_codes", "Occupation", "Occupation_code")
+    return rows.unionByName(codes.withColumn("kind", F.lit("dictionary")), allowMissingColumns=True)
+
+
 @query(
     "dmt_one_month_rerun",
     f"""WITH {V.PANEL} SELECT loan_id, Customer_ID, label, label_def, snapshot_date FROM (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,16 +48,24 @@ def feature_store(
     )
 
 
-def customer_table(clickstream: DataFrame, tables: Sequence[DataFrame]) -> DataFrame:
+def customer_table(
+    clickstream: DataFrame,
+    tables: Sequence[DataFrame],
+    codes: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Wide table led by the clickstream: copies removed, gaps filled, tables joined, codes added.
 
     Numeric gaps become 0 and a missing occupation ``Unknown``; ``fe_sum`` adds up the clickstream
-    columns and ``Occupation_code`` numbers the occupations in sorted order.
+    columns. ``Occupation_code`` is the code that the dictionary gives an occupation which ``codes`` returns for
+    the table's rows; without ``codes`` it numbers the occupations in sorted order.
     """
     joined = join_features([without_duplicates(clickstream), *tables])
     texts = {"Occupation": "Unknown"} if "Occupation" in joined.columns else None
     filled = with_row_sum(fill_constant(joined, 0, texts))
-    return with_codes(filled, "Occupation", "Occupation_code", -1) if texts else filled
+    if not texts:
+        return filled
+    dictionary = codes(filled) if codes else None
+    return with_codes(filled, "Occupation", "Occupation_code", -1, dictionary)
 
 
 def with_row_sum(df: DataFrame, prefix: str = "fe_", name: str = "fe_sum") -> DataFrame:

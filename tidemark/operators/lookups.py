@@ -40,29 +40,34 @@ def join_features(tables: Sequence[DataFrame], keys: Sequence[str] = tuple(KEYS)
 
 
 def labelled(labels: DataFrame, features: DataFrame, how: str, keys=tuple(KEYS)) -> DataFrame:
-    """Labels with their features: ``left`` keeps unmatched labels, ``inner`` drops them."""
-    return labels.join(features, list(keys), how)
+    """Labels with their features: ``left`` keeps unmatched labels, ``inner`` drops them.
+
+    Labels with a null key, which match nothing, are dealt out and do not meet in one task.
+    """
+    on = [*keys, "__part"]
+    return _with_part(labels, keys, True).join(_with_part(features, keys, False), on, how).drop("__part")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct()
 
 
-def category_codes(df: DataFrame, column: str, code: str = "code") -> DataFrame:
-    """Dictionary ``(column, code)``: 0, 1, 2 ... in sorted order of the non-null values.
+def category_codes(df: DataFrame, column: str, code: str = "code", first: int = 0) -> DataFrame:
+    """Dictionary ``(column, code)``: ``first`` and up, in sorted order of the non-null values.
 
-    A dictionary with more distinct values than one task should hold is ranked by range.
+    Values are ranked by range, so that no task holds a dictionary that is nearly as long as the table.
     """
     values = distinct_values(df, column).withColumn("__one", F.lit(1))
     ranked = running_totals(values, order=column, sums=["__one"])
-    return ranked.select(column, (F.col("cum___one") - 1).cast("int").alias(code))
+    return ranked.select(column, (F.col("cum___one") + (first - 1)).cast("int").alias(code))
 
 
 def with_codes(
-    df: DataFrame, column: str, code: str = "code", null_code: int | None = None
+    df: DataFrame, column: str, code: str = "code", null_code: int | None = None, dictionary: DataFrame | None = None
 ) -> DataFrame:
-    """Add the category code of ``column``; null values get ``null_code``."""
-    coded = join_features([df, category_codes(df, column, code)], [column])
+    """Add the category code of ``column``, from ``dictionary`` or numbered anew; null values get ``null_code``."""
+    known = category_codes(df, column, code) if dictionary is None else dictionary.select(column, code)
+    coded = join_features([df, known], [column])
     value: Column = F.col(code)
     if null_code is not None:
         value = F.coalesce(value, F.lit(null_code))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import clean, features, labels
 from tidemark.operators.calendar import first_of_month_spine
 from tidemark.operators.profile import require_unique_keys
+from tidemark.plans import dictionary
 from tidemark.session import apply_settings
 from tidemark.settings import KEYS, LabelRule
 from tidemark.sources import schemas
@@ -104,6 +105,9 @@ def gold_features(spark: SparkSession, root: str, months: Months = None) -> None
 def gold_customers(spark: SparkSession, root: str, months: Months = None) -> None:
     """Wide customer table of every snapshot, led by the clickstream.
 
+    Occupations have the codes of the dictionary in ``gold/occupation_codes``, so that a month that is built
+    again, or later than the others, is coded like them.
+
     Raises ``NoData`` without clickstream, and ``DuplicateKeys`` where a joined table repeats a key.
     """
     clickstream, attributes, financials = (
@@ -114,7 +118,12 @@ def gold_customers(spark: SparkSession, root: str, months: Months = None) -> Non
     joined = [t for t in (attributes, financials) if t is not None]
     for table in joined:
         require_unique_keys(table, KEYS)
-    write_snapshots(features.customer_table(clickstream, joined), f"{root}/gold/customers", months=months)
+
+    def codes(rows: DataFrame) -> DataFrame:
+        return dictionary.with_values_of(rows, f"{root}/gold/occupation_codes", "Occupation", "Occupation_code")
+
+    customers = features.customer_table(clickstream, joined, codes)
+    write_snapshots(customers, f"{root}/gold/customers", months=months)
 
 
 def backfill(
