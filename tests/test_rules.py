@@ -254,6 +254,39 @@ def test_bootstrap_size_is_capped_and_proportional(spark):
     assert drawn.count() > drawn.distinct().count()
 
 
+def test_exact_bootstrap_sizes_and_shares(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 7 == 0, 1).when(F.col("id") % 7 == 1, None).otherwise(0).alias("label"))
+    for rows, ones in ((1000, 143), (1, 0), (10**12, 572)):
+        drawn = split.exact_bootstrap(df, "label", split.key_hash("id"), rows).collect()
+        assert len(drawn) == min(rows, 4000) and sum(r.label == 1 for r in drawn) == ones
+        assert all((r.id % 7 == 0) == (r.label == 1) for r in drawn)
+    distinct = len({r.id for r in drawn}) / 4000
+    assert abs(distinct - 0.632) < 0.03  # as many draws as rows leave out 1/e of them
+    again = split.exact_bootstrap(df.repartition(5), "label", split.key_hash("id"), 10**12).collect()
+    assert sorted(r.id for r in again) == sorted(r.id for r in drawn)
+    other = split.exact_bootstrap(df, "label", split.key_hash("id"), 10**12, seed=7).collect()
+    assert sorted(r.id for r in other) != sorted(r.id for r in drawn)
+
+
+def test_exact_bootstrap_draws_every_row_alike(spark):
+    df = spark.range(64).select("id", F.lit(1).alias("label"))
+    seen = [0] * 64
+    for seed in range(3):
+        for r in split.exact_bootstrap(df, "label", split.key_hash("id"), 64, seed).collect():
+            seen[r.id] += 1
+    assert sum(seen) == 192 and sum((k - 3) ** 2 / 3 for k in seen) < 110  # chi-square with 63 degrees
+
+
+def test_exact_bootstrap_of_equal_rows_and_none(spark):
+    same = spark.range(3000).select(F.least("id", F.lit(1000)).alias("id"), F.lit(0).alias("label"))
+    drawn = split.exact_bootstrap(same, "label", split.key_hash("id"), 3000)
+    counts = {r.id: r["count"] for r in drawn.groupBy("id").count().collect()}
+    assert sum(counts.values()) == 3000 and abs(counts[1000] - 2000) < 150
+    assert split.exact_bootstrap(same.where("false"), "label", split.key_hash("id")).count() == 0
+    one = spark.createDataFrame([(5, 1)], "id int, label int")
+    assert split.exact_bootstrap(one, "label", split.key_hash("id")).collect() == one.collect()
+
+
 @pytest.mark.parametrize("entity", sorted(clean.SILVER))
 def test_empty_snapshots_keep_their_schema(spark, entity):
     from tidemark.sources import schemas

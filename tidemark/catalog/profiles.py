@@ -280,3 +280,26 @@ def class_bootstrap(spark, sf_dir):
         S.scores(spark, sf_dir), "label", split.integer_hash(F.col("Customer_ID"))
     )
     return drawn.groupBy("Customer_ID", "label").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "smp_exact_bootstrap",
+    """WITH n AS (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS ones FROM lineitem),
+ d AS (SELECT size, least(size, n) AS total, least(size, n) * ones // n AS draw, n FROM n, (VALUES (10000), (1000000000)) s(size))
+ SELECT size, 1 AS label, draw AS rows, cast(0 as bigint) AS strange FROM d UNION ALL SELECT size, 0, total - draw, 0 FROM d""",
+)
+def exact_bootstrap(spark, sf_dir):
+    """A small draw and one as large as the table: exact sizes by class, and only rows of the table."""
+    lines = S.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_returnflag") == "R").cast("int").alias("label")
+    )
+    out = None
+    for size in (10_000, 1_000_000_000):
+        drawn = split.exact_bootstrap(lines, "label", split.key_hash("l_orderkey", "l_linenumber"), size)
+        known = lines.distinct().withColumn("known", F.lit(True))
+        matched = drawn.join(known, lines.columns, "left")
+        counts = matched.groupBy(F.lit(size).alias("size"), "label").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("known").isNull()).alias("strange")
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import running_totals
 from tidemark.settings import BOOTSTRAP_ROWS, FOLDS, SEED, TRAIN_RATIO
 
 HASH_BITS = 62
@@ -177,3 +178,56 @@ def class_bootstrap(
         .select(*columns, F.explode(F.array_repeat(F.lit(1), F.col("__copies"))).alias("__one"))
         .drop("__one")
     )
+
+
+_PER_BUCKET = 16  # rows in a bucket of the exact draw, on average
+
+
+def exact_bootstrap(
+    df: DataFrame, label: str, hashed: Column, rows: int = BOOTSTRAP_ROWS, seed: int = SEED
+) -> DataFrame:
+    """Class-proportional draw with replacement of exactly ``min(rows, n)`` rows.
+
+    Class 1 has its share of the population, rounded down, and all others the rest. Every draw is a uniform
+    rank in its class, in order of ``hashed``, a uniform number in [0, 2**62) that tells rows apart. Rows are
+    counted per leading bits of it; a running total places each draw in a bucket of a few rows, and only the
+    rows of buckets with a draw are read again and ranked, equal ones as one. Draws depend on ``seed`` and the
+    rows alone. Assign folds before drawing, so that copies of a row stay in one fold.
+    """
+    of_class = F.coalesce(F.col(label) == 1, F.lit(False))
+    n, ones = df.agg(F.count(F.lit(1)), F.count_if(of_class)).first()
+    total = min(rows, n)
+    if not total:
+        return df.limit(0)
+    draw_ones = total * ones // n
+    bits = min(HASH_BITS, (n // _PER_BUCKET).bit_length())
+    placed = df.withColumns({"__one": of_class, "__h": hashed})
+    placed = placed.withColumn("__b", F.shiftright("__h", HASH_BITS - bits) if bits else F.lit(0))
+    sizes = placed.groupBy("__one", "__b").agg(F.count(F.lit(1)).alias("n"))
+    buckets = running_totals(sizes, order="__b", sums=["n"], by=["__one"])
+
+    size = F.when(F.col("__one"), F.lit(ones)).otherwise(F.lit(n - ones))
+    uniform = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 64 - HASH_BITS)
+    draws = df.sparkSession.range(total).withColumn("__one", F.col("id") < draw_ones)
+    draws = draws.withColumns({"__u": uniform, "__size": size}).withColumn(
+        "__rank", F.expr(f"cast(__u as decimal(19,0)) * cast(__size as decimal(19,0)) div {1 << HASH_BITS}BD")
+    )
+    draws = draws.groupBy("__one", "__rank").agg(F.count(F.lit(1)).alias("__copies"))
+
+    # both sides meet in stretches of ranks; there are at most as many as draws and buckets
+    stretch = F.lit(max(16 * _PER_BUCKET, 16 * n // total))
+    spans = buckets.withColumn("__first", F.col("cum_n") - F.col("n")).withColumn(
+        "__s", F.explode(F.sequence(F.floor(F.col("__first") / stretch), F.floor((F.col("cum_n") - 1) / stretch)))
+    )
+    hits = draws.withColumn("__s", F.floor(F.col("__rank") / stretch)).join(spans, ["__one", "__s"])
+    inside = (F.col("__rank") >= F.col("__first")) & (F.col("__rank") < F.col("cum_n"))
+    hits = hits.where(inside).select("__one", "__b", (F.col("__rank") - F.col("__first")).alias("__rank"), "__copies")
+
+    near = placed.join(hits.select("__one", "__b").distinct(), ["__one", "__b"], "left_semi")
+    alike = near.groupBy("__one", "__b", "__h", *df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    in_bucket = W.partitionBy("__one", "__b").orderBy("__h", F.xxhash64(*df.columns)).rowsBetween(W.unboundedPreceding, 0)
+    ranked = alike.withColumn("__upto", F.sum("__n").over(in_bucket))
+    drawn = ranked.join(hits, ["__one", "__b"]).where(
+        (F.col("__rank") < F.col("__upto")) & (F.col("__rank") >= F.col("__upto") - F.col("__n"))
+    )
+    return drawn.select(*df.columns, F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))).alias("__o")).drop("__o")

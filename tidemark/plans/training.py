@@ -80,13 +80,13 @@ def train_and_compare(
 
     Returns the fitted models, their comparison, and the reason of each candidate that failed
     (a failed candidate is left out, the rest go on). With ``bootstrap_rows`` the candidates are
-    trained on a class-proportional draw of about that many rows instead of all.
+    trained on a class-proportional draw of that many rows instead of all.
     """
     fitted, failed = [], {}
     train = data.train
     if bootstrap_rows is not None:
         train = checkpointed(
-            split.class_bootstrap(train, "label", split.key_hash(*KEYS), bootstrap_rows)
+            split.exact_bootstrap(train, "label", split.key_hash(*KEYS), bootstrap_rows)
         )
     for spec in specs or models.candidates():
         try:
