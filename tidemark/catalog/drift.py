@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from tidemark.catalog import query
 from tidemark.catalog import views as V
 from tidemark.operators import drift, metrics, profile
+from tidemark.plans import profiles
+from tidemark.session import shared_folder
 from tidemark.settings import MonitorRule
 from tidemark.sources import surrogates as S
 
@@ -219,3 +221,82 @@ def labels_predictions(spark, sf_dir):
     truth = scores.select("Customer_ID", "dataset", "label")
     predicted = metrics.decide(scores).select("Customer_ID", "dataset", "prediction")
     return metrics.labels_with_predictions(truth, predicted, ["Customer_ID", "dataset"])
+
+
+_MONTHLY = "SELECT cast(date_trunc('month', l_shipdate) as date) AS snapshot_date, l_extendedprice, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity FROM lineitem"
+
+
+def _monthly(spark, sf_dir):
+    quantity = F.when(F.col("l_linenumber") != 3, F.col("l_quantity"))
+    return S.table(spark, sf_dir, "lineitem").select(
+        F.trunc("l_shipdate", "month").cast("date").alias("snapshot_date"), "l_extendedprice", quantity.alias("l_quantity")
+    )
+
+
+def _stored_states(spark, sf_dir):
+    """Three runs: the reference years, all later months, and one month again; each reads its own rows."""
+    path = f"{shared_folder(spark)}/tidemark/{spark.sql('SELECT uuid()').first()[0]}"
+    rows = _monthly(spark, sf_dir)
+    for months in ("snapshot_date < '1996-01-01'", "snapshot_date >= '1996-01-01'", "snapshot_date = '1997-05-01'"):
+        profiles.update(rows.where(months), path, ["l_extendedprice", "l_quantity"])
+    return path
+
+
+def _monthly_psi_sql(column):
+    edges = [f"a + {k}*((b-a)/10)" for k in range(1, 10)]
+    return f"""SELECT snapshot_date, '{column}' AS feature, round(sum((q-p)*ln(q/p)), 6) AS psi FROM (
+ SELECT snapshot_date, r::double/sum(r) OVER (PARTITION BY snapshot_date) + 1e-10 AS p, c::double/sum(c) OVER (PARTITION BY snapshot_date) + 1e-10 AS q FROM (
+  SELECT snapshot_date, bin, c, sum(CASE WHEN snapshot_date < DATE '1996-01-01' THEN c ELSE 0 END) OVER (PARTITION BY bin) AS r FROM (
+   SELECT g.snapshot_date, g.bin, count(x) AS c FROM (SELECT DISTINCT snapshot_date, bin FROM m, range(1, 11) t(bin)) g
+   LEFT JOIN (SELECT snapshot_date, x, 1 + {" + ".join(f"(x > {e})::int" for e in edges)} AS bin
+    FROM (SELECT snapshot_date, {column}::double AS x FROM m),
+    (SELECT min({column})::double AS a, max({column})::double AS b FROM m WHERE snapshot_date < DATE '1996-01-01')
+    WHERE x BETWEEN a - 0.001::double*(b-a) AND b) n ON g.snapshot_date = n.snapshot_date AND g.bin = n.bin GROUP BY ALL))) GROUP BY snapshot_date"""
+
+
+@query(
+    "mon_psi_by_month",
+    f"WITH m AS ({_MONTHLY}) {_monthly_psi_sql('l_extendedprice')} UNION ALL {_monthly_psi_sql('l_quantity')}",
+)
+def psi_by_month(spark, sf_dir):
+    """Drift of every month against the first years, from stored states: no old row is read again."""
+    out = profiles.psi(spark, _stored_states(spark, sf_dir), F.col("snapshot_date") < "1996-01-01")
+    return out.withColumn("psi", F.round("psi", 6))
+
+
+_PROFILE_SQL = """SELECT {by} AS until, '{c}' AS feature, count(*) AS rows, count(*) - count({c}) AS missing_count, round(avg({c}), 6) AS mean,
+ round(stddev_samp({c}), 6) AS std, min({c})::double AS low, max({c})::double AS high, true AS median_close, true AS distinct_close FROM {t} GROUP BY {by}"""
+
+
+@query(
+    "agg_rolling_profile",
+    f"""WITH m AS ({_MONTHLY}), ends AS (SELECT DISTINCT snapshot_date AS until FROM m),
+ w AS (SELECT until, m.* FROM ends JOIN m ON snapshot_date BETWEEN until - to_months(2) AND until) """
+    + " UNION ALL ".join(
+        _PROFILE_SQL.format(by=by, c=c, t=t)
+        for c in ("l_extendedprice", "l_quantity")
+        for by, t in (("until", "w"), ("DATE '9999-01-01'", "m"))
+    ),
+)
+def rolling_profile(spark, sf_dir):
+    """Profiles over three months up to each, and over all, from stored states.
+
+    Medians and distinct values come from sketches: they must lie where the sketches' errors allow.
+    """
+    path = _stored_states(spark, sf_dir)
+    whole = profiles.profile(spark, path).withColumn("until", F.lit("9999-01-01").cast("date"))
+    out = profiles.rolling(spark, path, 3).unionByName(whole)
+    rows = _monthly(spark, sf_dir)
+    month = F.col("snapshot_date")
+    long = rows.unpivot("snapshot_date", ["l_extendedprice", "l_quantity"], "feature", "value").where("value IS NOT NULL")
+    ends = F.explode(F.array(month, F.add_months(month, 1), F.add_months(month, 2), F.lit("9999-01-01").cast("date")))
+    exact = long.withColumn("until", ends).groupBy("until", "feature").agg(
+        F.percentile("value", F.array(F.lit(0.47), F.lit(0.53))).alias("middle"), F.count_distinct("value").alias("u")
+    )
+    joined = out.join(exact, ["until", "feature"])
+    error = F.abs(F.col("distinct_estimate") - F.col("u")) / F.col("u")
+    return joined.select(
+        "until", "feature", "rows", "missing_count", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "low", "high",
+        F.col("median_estimate").between(F.col("middle")[0], F.col("middle")[1]).alias("median_close"),
+        (error < 0.08).alias("distinct_close"),
+    )

@@ -74,6 +74,28 @@ def _bin(value: Column, edges: list[float]) -> Column:
     )
 
 
+def psi_of_bins(cells: DataFrame, by: Sequence[str], overflow: str = "drop") -> DataFrame:
+    """``by`` and ``psi`` from counts ``r`` and ``c`` of each ``bin``, numbered as ``_bin`` does.
+
+    A bin that is empty on both sides adds nothing, so the bins that occur are enough.
+    """
+    counted = F.col("bin") > 0 if overflow == "drop" else F.col("bin") != 0
+    of_group = W.partitionBy(*by)  # at most bins + 3 rows
+    cells = cells.withColumns(
+        {
+            "r_total": F.sum(F.when(counted, F.col("r"))).over(of_group),
+            "c_total": F.sum(F.when(counted, F.col("c"))).over(of_group),
+            "c_known": F.sum(F.when(F.col("bin") != 0, F.col("c"))).over(of_group),
+        }
+    )
+    # a side with every value out of range has no shares at all and adds nothing
+    r = F.try_divide(F.col("r"), F.col("r_total")) + EPSILON
+    c = F.try_divide(F.col("c"), F.col("c_total")) + EPSILON
+    value = F.coalesce(F.sum(F.when(counted, (c - r) * F.ln(c / r))), F.lit(0.0))
+    nothing = F.coalesce(F.max("c_known"), F.lit(0)) == 0
+    return cells.groupBy(*by).agg(F.when(nothing, F.lit(float("inf"))).otherwise(value).alias("psi"))
+
+
 def psi(
     reference: DataFrame,
     current: DataFrame,
@@ -114,29 +136,13 @@ def psi(
             )
         )
 
-    # a bin empty on both sides adds nothing, so the bins that occur are enough
     cells = (
         bins_of(reference, "r")
         .unionByName(bins_of(current, "c"))
         .groupBy("feature", "bin")
         .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     )
-    counted = F.col("bin") > 0 if overflow == "drop" else F.col("bin") != 0
-    of_feature = W.partitionBy("feature")  # at most bins + 3 rows
-    cells = cells.withColumns(
-        {
-            "r_total": F.sum(F.when(counted, F.col("r"))).over(of_feature),
-            "c_total": F.sum(F.when(counted, F.col("c"))).over(of_feature),
-            "c_known": F.sum(F.when(F.col("bin") != 0, F.col("c"))).over(of_feature),
-        }
-    )
-    # a side with every value out of range has no shares at all and adds nothing
-    r = F.try_divide(F.col("r"), F.col("r_total")) + EPSILON
-    c = F.try_divide(F.col("c"), F.col("c_total")) + EPSILON
-    value = F.coalesce(F.sum(F.when(counted, (c - r) * F.ln(c / r))), F.lit(0.0))
-    out = cells.groupBy("feature").agg(
-        F.when(F.coalesce(F.max("c_known"), F.lit(0)) == 0, infinite).otherwise(value).alias("psi")
-    )
+    out = psi_of_bins(cells, ["feature"], overflow)
     return out if len(columns) == len(listed) else out.unionByName(never)
 
 
