@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches
-from tidemark.llm.tokens import END_ID, Encoder, tokenizer_path
+from tidemark.llm.tokens import END_ID, shared, tokenizer_path
 from tidemark.session import checkpointed
 
 CAPACITY = 1024
@@ -143,7 +143,7 @@ def pieces_of(
     end = end_id.to_bytes(4, "little")
 
     def make():
-        encode = Encoder(path)
+        encode = shared(path)
 
         def step(doc_ids, texts):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import file_system, map_batches, new_folder, publish, small_batches
-from tidemark.llm.tokens import END_ID, Encoder, tokenizer_path
+from tidemark.llm.tokens import END_ID, shared, tokenizer_path
 
 SEQUENCE = 1024
 BATCH = 64
@@ -100,7 +100,7 @@ def write(
         batch = next((b for b in batches if b.num_rows), None)
         if batch is None:
             return
-        encode, end = Encoder(path), end_id.to_bytes(4, "little")
+        encode, end = shared(path), end_id.to_bytes(4, "little")
         wide = max(end_id + 1, encode.vocabulary) > 1 << 16
         task = TaskContext.get()
         file = task.partitionId()

@@ -3,7 +3,7 @@
 The vocabulary's own splitting rule never lets a token span a single blank or line end between
 two visible characters other than with the blank as its first character, and it cuts a run of
 white space before its last character. So a text can be cut there, and each distinct piece is
-encoded once per task and remembered: the ids are those of the whole text. A piece of letters alone
+encoded once and remembered by the Python worker, within a bound in bytes: the ids are those of the whole text. A piece of letters alone
 is one unit of that rule and goes straight to the library's merge model. A vocabulary of another kind
 encodes whole texts.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from codecs import charmap_decode
 from functools import lru_cache
 
 from tokenizers import Tokenizer
@@ -19,7 +20,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-REMEMBERED = 300_000  # pieces kept per cache, and as many of the generation before
+REMEMBERED = 96 << 20  # bytes kept per cache, and as many of the generation before
+ENTRY = 190  # bytes of a remembered piece besides its characters and ids
 LONGEST = 48  # longer pieces are encoded each time
 
 # white space as the splitting rule sees it: Unicode's property, without the separators 1C to 1F
@@ -53,7 +55,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-_LETTER = _byte_letters()
+_LETTERS = "".join(_byte_letters()[b] for b in range(256))
 _ENDINGS = ".,!?;:"
 
 
@@ -68,40 +70,49 @@ class _Pieces(dict):
     def __init__(self, tokenizer: Tokenizer, before: str) -> None:
         super().__init__()
         self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
-        self.start = before.translate(_LETTER)
+        self.start = charmap_decode(before.encode(), "strict", _LETTERS)[0]
         self.ending = {e: tokenizer_bytes(tokenizer, e) for e in _ENDINGS}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.empty = tokenizer_bytes(tokenizer, before)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece) if piece else self.empty
+        ids = self.older.get(piece)
         if ids is None:
-            if piece[-1] in self.ending and _plain_letters(piece[:-1]):
-                return self[piece[:-1]] + self.ending[piece[-1]]
-            ids = self.encoded(piece)
-        if len(piece) <= LONGEST:
-            if len(self) > REMEMBERED:
-                self.older = dict(self)
+            ids = self._new(piece)
+        size = len(piece)
+        if size <= LONGEST:
+            self.held += ENTRY + size + len(ids)
+            if self.held > REMEMBERED:
+                self.older, self.held = dict(self), 0
                 self.clear()
             self[piece] = ids
         return ids
 
-    def encoded(self, piece: str) -> bytes:
-        if _plain_letters(piece):  # one unit of the splitting rule: straight to the model
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_LETTER)
-            return array("I", [t.id for t in self.model.tokenize(self.start + letters)]).tobytes()
-        return tokenizer_bytes(self.tokenizer, self.before + piece)
-
-
-def _plain_letters(piece: str) -> bool:
-    return piece.isalpha() and (piece.isascii() or max(piece) < "\u0250")
+    def _new(self, piece: str) -> bytes:
+        if piece.isalpha():
+            return self._letters(piece)
+        ending = self.ending.get(piece[-1:])
+        if ending is not None and piece[:-1].isalpha():
+            return self[piece[:-1]] + ending
+        return tokenizer_bytes(self.tokenizer, self.before + piece) if piece else self.empty
+
+    def _letters(self, piece: str) -> bytes:
+        """Letters alone are one unit of the splitting rule: they go straight to the model."""
+        if piece.isascii():
+            letters = piece
+        elif max(piece) < "\u0250":
+            letters = charmap_decode(piece.encode(), "strict", _LETTERS)[0]
+        else:
+            return tokenizer_bytes(self.tokenizer, self.before + piece)
+        return array("I", [t.id for t in self.model.tokenize(self.start + letters)]).tobytes()
 
 
 class Encoder:
     """Encode texts as the library would, as little-endian unsigned 32-bit integers.
 
-    Make one per task: what it remembers is freed with it, so that idle workers hold no more than
-    the tokenizer.
+    ``shared`` gives the worker's own, so that a task goes on with what those before it remembered; the
+    bound on that is small enough for idle workers to keep.
     """
 
     def __init__(self, path: str) -> None:
@@ -138,3 +149,9 @@ class Encoder:
         for i, part in enumerate(parts):
             parts[i] = self.first[part] if i % 2 else self._plain(part)
         return b"".join(parts)
+
+
+@lru_cache(maxsize=1)
+def shared(path: str) -> Encoder:
+    """The encoder that all tasks of a Python worker use."""
+    return Encoder(path)
