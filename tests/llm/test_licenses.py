@@ -87,3 +87,36 @@ def test_empty_table(spark, documents):
 )
 def test_text_after_a_tagged_expression_ends_it(text, labels):
     assert [t.labels for t in L.tag_terms(text)] == labels
+
+
+def test_very_long_texts_take_time_in_proportion():
+    """10 MB of phrases and a 1 MB expression: seconds, and memory of the text's order."""
+    import time
+    import tracemalloc
+
+    text = "this is under the mit license and the general public license \n" * 160_000
+    start = time.process_time()
+    found = L.scan_text(text, L.automaton())
+    assert time.process_time() - start < 10
+    assert found["n_base"] == 320_000 and found["base_labels"] == "gpl,mit"
+    words = text.split()
+    assert (found["first_word"], found["last_word"]) == (words.index("mit"), len(words) - 3)
+    operands = [f"lic{k}-x" for k in range(90_000)]
+    for joint in (" OR ", " AND ", " WITH "):
+        tracemalloc.start()
+        start = time.process_time()
+        (terms,) = L.tag_terms("SPDX-License-Identifier: " + joint.join(operands) + " ) and so on")
+        assert time.process_time() - start < 10 and tracemalloc.get_traced_memory()[1] < 100e6
+        tracemalloc.stop()
+        assert len(terms.labels) == (1 if joint == " WITH " else 90_000)
+
+
+@pytest.mark.parametrize(
+    "text, end",
+    [
+        ("MIT", 3), ("MIT OR", 3), ("(MIT OR Apache-2.0) AND BSD-3-Clause.", 36), ("(MIT", 0), ("(MIT) WITH (A OR B)", 5),
+        ("A OR (B OR C) WITH x", 13), ("(A OR A) WITH x", 15), ("A WITH b WITH c)", 15), ("MIT and others", 3), ("", 0), ("!", 0),
+    ],
+)
+def test_longest_expression(text, end):
+    assert L.expression_end(text) == end

@@ -75,103 +75,135 @@ def restriction(label: str) -> float:
     return next((v for k, v in RESTRICTION.items() if label.startswith(k)), UNKNOWN)
 
 
-def _apply(operator: str, one: Terms, two: Terms) -> Terms:
-    if operator == "with":
-        if len(one.labels) != 1 or len(two.labels) != 1:
-            raise ValueError("an exception belongs to one licence")
-        (licence,), (exception,) = one.labels, two.labels
-        return Terms(frozenset([f"{licence} with {exception}"]), one.restriction)
-    choose = min if operator == "or" else max
-    return Terms(one.labels | two.labels, choose(one.restriction, two.restriction))
-
-
-def evaluate(expression: str) -> Terms:
-    """Value of a licence expression; ValueError where it is malformed."""
-    values: list[Terms] = []
-    operators: list[str] = []
-    operand_next = True
-
-    def reduce_top() -> None:
-        two, one = values.pop(), values.pop()
-        values.append(_apply(operators.pop(), one, two))
-
-    for token in _TOKEN.findall(expression.lower()):
+class _Value:
+    """An operand while it is put together: one label, as the parts that ``with`` joins, or several."""
+
+    def __init__(self, label: str) -> None:
+        self.parts: list[str] | None = [label]
+        self.many: set[str] = set()
+        self.restriction = restriction(label)
+
+    def labels(self) -> set[str]:
+        return {" with ".join(self.parts)} if self.parts is not None else self.many
+
+    def join(self, operator: str, other: _Value) -> _Value:
+        """Both operands as one; the smaller set of labels goes into the larger."""
+        if operator == "with":
+            if self.parts is None or other.parts is None:
+                raise ValueError("an exception belongs to one licence")
+            self.parts += other.parts
+            return self
+        large, small = sorted((self.labels(), other.labels()), key=len, reverse=True)
+        large |= small
+        self.parts, self.many = (list(large), set()) if len(large) == 1 else (None, large)
+        choose = min if operator == "or" else max
+        self.restriction = choose(self.restriction, other.restriction)
+        return self
+
+
+class _Parser:
+    """Shunting-yard: operands and operators on stacks, a token at a time; ValueError where one cannot follow."""
+
+    def __init__(self) -> None:
+        self.values: list[_Value] = []
+        self.operators: list[str] = []
+        self.operand_next = True
+
+    def _reduce(self) -> None:
+        two, one = self.values.pop(), self.values.pop()
+        self.values.append(one.join(self.operators.pop(), two))
+
+    def add(self, token: str) -> None:
         if token == "(" or token not in _BINDS and token != ")":
-            if not operand_next:
+            if not self.operand_next:
                 raise ValueError(f"operator expected before {token}")
             if token == "(":
-                operators.append(token)
-                continue
+                self.operators.append(token)
+                return
             if not token[0].isalnum():
                 raise ValueError(f"not a licence: {token}")
-            values.append(Terms(frozenset([token]), restriction(token)))
-            operand_next = False
-            continue
-        if operand_next:
+            self.values.append(_Value(token))
+            self.operand_next = False
+            return
+        if self.operand_next:
             raise ValueError(f"licence expected before {token}")
         if token == ")":
-            while operators and operators[-1] != "(":
-                reduce_top()
-            if not operators:
+            while self.operators and self.operators[-1] != "(":
+                self._reduce()
+            if not self.operators:
                 raise ValueError("unbalanced parentheses")
-            operators.pop()
-            continue
-        while operators and _BINDS.get(operators[-1], 0) >= _BINDS[token]:
-            reduce_top()
-        operators.append(token)
-        operand_next = True
-    if operand_next or "(" in operators:
-        raise ValueError("incomplete expression")
-    while operators:
-        reduce_top()
-    return values[0]
+            self.operators.pop()
+            return
+        while self.operators and _BINDS.get(self.operators[-1], 0) >= _BINDS[token]:
+            self._reduce()
+        self.operators.append(token)
+        self.operand_next = True
+
+    def complete(self) -> bool:
+        """Whether what was read is an expression; parentheses are the caller's to count."""
+        if self.operand_next:
+            return False
+        # only a pending ``with`` can still fail: its operands must be one label each
+        return not self.operators or self.operators[-1] != "with" or all(v.parts is not None for v in self.values[-2:])
+
+    def result(self) -> Terms:
+        if self.operand_next or "(" in self.operators:
+            raise ValueError("incomplete expression")
+        while self.operators:
+            self._reduce()
+        return Terms(frozenset(self.values[0].labels()), self.values[0].restriction)
 
 
-def prefixes(text: str) -> list[str]:
-    """Beginnings of a text that may be expressions, the longest first; ends where no token can follow.
+def evaluate(expression: str) -> Terms:
+    """Value of a licence expression; ValueError where it is malformed."""
+    parser = _Parser()
+    for token in _TOKEN.findall(expression.lower()):
+        parser.add(token)
+    return parser.result()
+
 
-    Behind an operator in small letters a plain word is prose, unless it names a known family.
+def expression_end(text: str) -> int:
+    """Where the longest expression that a text begins with ends; 0 where it begins with none.
+
+    One pass: the parser reads on until no token can follow, and the last place where it had a whole
+    expression counts. Behind an operator in small letters a plain word is prose, unless it names a known family.
     """
-    found, depth, operand_next, small, end = [], 0, True, False, 0
+    parser, depth, small, end = _Parser(), 0, False, 0
     for match in _TOKEN.finditer(text):
         token = match[0].rstrip(".:") or match[0]
         low = token.lower()
-        if operand_next:
-            if token == "(":
-                depth += 1
-                continue
+        if parser.operand_next:
             prose = small and re.fullmatch("[a-z]+", low) and restriction(low) == UNKNOWN
-            if low in _BINDS or not token[0].isalnum() or prose:
+            if token != "(" and (low in _BINDS or not token[0].isalnum() or prose):
                 break
-            operand_next = False
+            depth += token == "("
         elif token == ")" and depth:
             depth -= 1
         elif low in _BINDS and token == match[0]:
-            operand_next, small = True, token.islower()
-            continue
+            small = token.islower()
         else:
             break
-        end = match.start() + len(token)
-        if not depth:
-            found.append(text[:end])
-        if token != match[0]:  # a mark ends the sentence
+        try:
+            parser.add(low)
+        except ValueError:
+            break
+        if not depth and not parser.operand_next:
+            if not parser.complete():
+                break
+            end = match.start() + len(token)
+        if not parser.operand_next and token != match[0]:  # a mark ends the sentence
             break
-    return found[::-1]
+    return end
 
 
 def tag_terms(text: str) -> list[Terms]:
     """Values of the expressions behind the tags of a text; one that is none has a label of its own."""
     found = []
     tags = list(_TAG.finditer(text))
-    for tag, end in zip(tags, [*[t.start() for t in tags[1:]], len(text)]):
-        terms = Terms(frozenset([INVALID]), UNKNOWN)
-        for prefix in prefixes(text[tag.end() : end].partition("\n")[0]):
-            try:
-                terms = evaluate(prefix)
-                break
-            except ValueError:
-                pass
-        found.append(terms)
+    for tag, stop in zip(tags, [*[t.start() for t in tags[1:]], len(text)]):
+        line = text[tag.end() : stop].partition("\n")[0]
+        end = expression_end(line)
+        found.append(evaluate(line[:end]) if end else Terms(frozenset([INVALID]), UNKNOWN))
     return found
 
 
@@ -189,18 +221,24 @@ def automaton() -> ahocorasick.Automaton:
 
 def scan_text(text: str | None, machine: ahocorasick.Automaton) -> dict:
     words = (text or "").encode().translate(_WORD_BYTES).split()
-    base, places, terms, tagged = set(), [], [], False
+    base, places, terms, tagged = set(), [], {}, False
     line = f" {b' '.join(words).decode()} "
+    seen_at = seen = 0  # a place in the line, and the words before it
     for end, (length, kind, label) in machine.iter(line):
         if kind == "tag":
             tagged = True
             continue
         if kind == "base":
             base.add(label)
-            places.append(line.count(" ", 1, end - length + 2))
-        terms.append(Terms(frozenset([label]), restriction(label)))
-    if tagged:
-        terms += tag_terms(text)
+            at = end - length + 1
+            if at > seen_at:
+                seen += line.count(" ", seen_at + 1, at + 1)
+            else:
+                seen -= line.count(" ", at + 1, seen_at + 1)
+            seen_at = at
+            places.append(seen)
+        terms[label] = Terms(frozenset([label]), restriction(label))
+    terms = [*terms.values(), *(tag_terms(text) if tagged else ())]
     labels = base.union(*(t.labels for t in terms))
     return {
         "n_words": len(words),
