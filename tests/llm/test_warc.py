@@ -64,15 +64,23 @@ def test_unwanted_members_are_not_unpacked(spark, tmp_path, monkeypatch):
     reader = warc.WarcReader(folder, True, True)
     left = list(reader.pushFilters([warc.EqualTo(("record_type",), "revisit"), warc.EqualTo(("payload_bytes",), 3)]))
     assert left == [warc.EqualTo(("payload_bytes",), 3)]
-    parts = reader.partitions()
-    assert all(kind == "revisit" for p in parts for _, _, kind in p.members)
+    opened, open_ = [], warc._Member.open
+    monkeypatch.setattr(warc._Member, "open", lambda m: opened.append(open_(m)) or opened[-1])
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == len(opened) > 0
+    assert all(b"WARC-Type: revisit" in head for head in opened)
     # conditions on headers are checked before the payload is unpacked
     reader = warc.WarcReader(folder, True, True)
     assert not list(reader.pushFilters([warc.StringStartsWith(("target_uri",), "http://c.x")]))
-    cut, unpacked = warc._cut, []
-    monkeypatch.setattr(warc, "_cut", lambda head, block: unpacked.append(1) or cut(head, block))
+    whole, unpacked = warc._Member.whole, []
+    monkeypatch.setattr(warc._Member, "whole", lambda m: unpacked.append(1) or whole(m))
     rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
     assert len(rows) == len(unpacked) == 1 and rows[0]["payload_bytes"] == 1_500_000
+    # who asks neither for payloads nor for their digests gets their sizes from the headers alone
+    reader = warc.WarcReader(folder, False, False)
+    sizes = {r["record_id"]: r["payload_bytes"] for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()}
+    assert len(unpacked) == 1
+    reader = warc.WarcReader(folder, True, True)
+    assert sizes == {r["record_id"]: r["payload_bytes"] for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()}
 
 
 def test_parts_are_planned_by_size(spark, tmp_path, monkeypatch):
@@ -81,8 +89,47 @@ def test_parts_are_planned_by_size(spark, tmp_path, monkeypatch):
     warc.write(pages(spark, many), folder).count()
     monkeypatch.setattr(warc, "PART_BYTES", 2000)
     parts = warc.WarcReader(folder, True, True).partitions()
-    assert len(parts) > 10 and sum(len(p.members) for p in parts) == 100
-    assert all(sum(n for _, n, _ in p.members) <= 2000 for p in parts)
+    read = [[r["record_id"] for b in warc.WarcReader(folder, True, True).read(p) for r in b.to_pylist()] for p in parts]
+    assert len(parts) > 10 and sorted(sum(read, [])) == sorted(f"<urn:page:{i}>" for i in range(100))
+    assert max(map(len, read)) < 20 and not any(hasattr(p, "members") for p in parts)
+
+
+def test_every_stretch_of_an_index_has_its_lines(tmp_path):
+    lines = [(k * 1000, 10 ** (k % 5), "revisit" if k % 3 else "response") for k in range(40)]
+    path = tmp_path / "i"
+    path.write_text("".join(f"{a} {n} {t}\n" for a, n, t in lines))
+    size = path.stat().st_size
+    for parts in (1, 2, 7, 39, size):
+        cuts = [size * k // parts for k in range(parts + 1)]
+        with path.open("rb") as index:
+            got = [line for a, b in zip(cuts, cuts[1:]) if b > a for line in warc.index_lines(index, a, b)]
+        assert got == lines
+
+
+@pytest.mark.parametrize("indexed", [True, False])
+def test_truncated_archives_are_told(spark, tmp_path, indexed):
+    page = warc.record(3, "http://x/", b"body" * 5000, None, "<urn:n>", warc.DATE)
+    whole = gzip.compress(page)
+    headers = gzip.compress(page[:60])
+    cases = {"headers": headers[:-12], "short": headers, "block": whole[: len(whole) // 2 + 40], "nothing": whole[:3]}
+    for name, data in cases.items():
+        folder = tmp_path / f"{name}{indexed}"
+        folder.mkdir()
+        (folder / "a.warc.gz").write_bytes(data)
+        if indexed:
+            (folder / "a.warc.gz.index").write_text(f"0 {len(data)} response\n")
+        if name == "nothing" and not indexed:
+            assert warc.read(spark, str(folder)).count() == 0
+            continue
+        with pytest.raises(Exception, match="ends within"):
+            warc.read(spark, str(folder)).collect()
+
+
+def test_header_names_in_any_case_and_repeated():
+    head = b"WARC/1.1\r\nwarc-type: response\r\nWARC-Concurrent-To: <a>\r\nX: 1\r\nwarc-concurrent-to: <b>\r\nCONTENT-type: text/x"
+    assert warc.parse_headers(head) == {
+        "WARC-Type": "response", "WARC-Concurrent-To": "<a>, <b>", "X": "1", "Content-Type": "text/x"
+    }
 
 
 @pytest.mark.parametrize("packed", [True, False])

@@ -147,10 +147,10 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, date: str =
 
 
 class Part(InputPartition):
-    """Members of one file: ``(offset, length, type)`` each, or the whole file if there is no index."""
+    """Members of one file whose index lines start between two places, or the whole file if there is no index."""
 
-    def __init__(self, file: str, members: list[tuple[int, int, str]] | None) -> None:
-        self.file, self.members = file, members
+    def __init__(self, file: str, start: int | None = None, stop: int | None = None) -> None:
+        self.file, self.start, self.stop = file, start, stop
 
 
 class Wanted(NamedTuple):
@@ -218,39 +218,38 @@ class WarcReader(DataSourceReader):
         self.wanted = Wanted(None if types is None else frozenset(types), tuple(tests))
 
     def partitions(self) -> list[Part]:
-        """Parts of about ``PART_BYTES`` from the indexes, without members of unwanted types."""
+        """Parts of about ``PART_BYTES``: as many equal stretches of each file's index.
+
+        The driver looks at the sizes of files only; a part's task reads its own stretch.
+        """
         from pyarrow.fs import FileSelector, FileType
 
         fs, place = file_system(self.path)
         found = {i.path: i for i in fs.get_file_info(FileSelector(place, allow_not_found=True)) if i.type == FileType.File}
         parts = []
         for file in sorted(f for f in found if re.search(r"\.warc(\.gz)?$", f)):
-            if f"{file}.index" not in found:
-                parts.append(Part(file, None))
+            index = found.get(f"{file}.index")
+            if index is None:
+                parts.append(Part(file))
                 continue
-            members, held = [], 0
-            with fs.open_input_stream(f"{file}.index") as index:
-                for line in index.read().decode().splitlines():
-                    at, length, kind = line.split(" ")
-                    if not self.wanted.takes(kind):
-                        continue
-                    if members and held + int(length) > PART_BYTES:
-                        parts.append(Part(file, members))
-                        members, held = [], 0
-                    members.append((int(at), int(length), kind))
-                    held += int(length)
-            if members:
-                parts.append(Part(file, members))
+            n = -(-found[file].size // PART_BYTES)
+            cuts = [index.size * k // n for k in range(n + 1)] if n else []
+            parts += [Part(file, a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
         return parts
 
     def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # no archive, or no wanted member
+        if partition is None:  # no archive
             return
         rows = []
         fs, _ = file_system(self.path)
         with fs.open_input_file(partition.file) as source:
-            members = _indexed(source, partition.members) if partition.members is not None else _all_records(source)
-            for head, body in members:
+            if partition.start is None:
+                records = _all_records(source, partition.file)
+            else:
+                with fs.open_input_file(f"{partition.file}.index") as index:
+                    members = [m for m in index_lines(index, partition.start, partition.stop) if self.wanted.takes(m[2])]
+                records = _indexed(source, members, partition.file)
+            for head, body in records:
                 headers = parse_headers(head)
                 if self.wanted.passes(headers):
                     rows.append(self._row(headers, body))
@@ -265,13 +264,15 @@ class WarcReader(DataSourceReader):
         declared = headers.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
         row = {"record_type": kind, "headers": headers, "payload_digest": declared, "payload": None}
         row |= {column: headers.get(header) for column, header in COLUMN_HEADERS.items()}
-        block = body()
-        http, _, payload = block.partition(b"\r\n\r\n")
+        is_http = headers.get("Content-Type", "").startswith("application/http")
         if kind == "revisit":  # the payload is elsewhere; its length is that of the answer seen
-            length = re.search(rb"(?im)^content-length: *(\d+)", http)
+            length = _LENGTH.search(body.until(HTTP_END)[0])
             return row | {"payload_bytes": int(length[1]) if length else None}
-        if not headers.get("Content-Type", "").startswith("application/http"):
-            payload = block
+        if not (self.payloads or self.verify or body.length is None):  # nobody asks for the payload itself
+            http, ends = body.until(HTTP_END) if is_http else (b"", False)
+            return row | {"payload_bytes": body.length - (len(http) + len(HTTP_END)) * ends if ends or not is_http else 0}
+        block = body.whole()
+        payload = block.partition(HTTP_END)[2] if is_http else block
         if self.verify and declared is not None and declared != (found := digest(payload)):
             raise ValueError(f"{row['record_id']}: payload digest {found}, header says {declared}")
         return row | {"payload_bytes": len(payload), "payload": payload if self.payloads else None}
@@ -287,32 +288,130 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     )
 
 
+HTTP_END = b"\r\n\r\n"
+_LENGTH = re.compile(rb"(?im)^content-length: *(\d+)")
+_NAMES = {
+    n.lower(): n
+    for n in ("WARC-Type", "WARC-Payload-Digest", "Content-Type", "Content-Length", *COLUMN_HEADERS.values())
+}
+
+
 def parse_headers(head: bytes) -> dict[str, str]:
+    """Headers of a record. Names match in any case and stand as they came first; repeats are joined by commas."""
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
-    return {n.strip(): v.strip() for n, _, v in (x.partition(":") for x in lines[1:] if x)}
+    values: dict[str, list[str]] = {}
+    names: dict[str, str] = {}
+    for name, _, value in (x.partition(":") for x in lines[1:] if x):
+        low = name.strip().lower()
+        names.setdefault(low, _NAMES.get(low, name.strip()))
+        values.setdefault(low, []).append(value.strip())
+    return {names[low]: ", ".join(v) for low, v in values.items()}
 
 
 HEAD_BYTES = 2048
 
 
-def _indexed(source, members):
-    """Headers of each member, and a function that unpacks the rest when called."""
+def index_lines(index, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
+    """``(offset, length, type)`` of the index lines that start from ``start`` to before ``stop``."""
+    index.seek(max(start - 1, 0))
+    data = index.read(stop - max(start - 1, 0))
+    if start:  # the line that ends at or after the first byte belongs to the stretch before
+        _, _, data = data.partition(b"\n")
+    while data and not data.endswith(b"\n") and (more := index.read(64)):
+        head, end, _ = more.partition(b"\n")
+        data += head + end
+    for line in data.decode().splitlines():
+        at, length, kind = line.split(" ")
+        yield int(at), int(length), kind
+
+
+class _Member:
+    """A packed member that is read and unpacked no further than asked."""
+
+    def __init__(self, source, at: int, length: int, file: str) -> None:
+        self.source, self.at, self.left, self.name = source, at, length, f"{file} at {at}"
+        self.unpacker = zlib.decompressobj(31)
+        self.data = b""
+        self.head = b""
+        self.length: int | None = None
+
+    def _more(self, size: int) -> bool:
+        """Unpack some more bytes; False at the end of the member."""
+        while not self.unpacker.eof:
+            packed = self.unpacker.unconsumed_tail
+            if not packed and self.left:
+                self.source.seek(self.at)
+                packed = self.source.read(min(self.left, max(size, HEAD_BYTES)))
+                if not packed:
+                    return False
+                self.at, self.left = self.at + len(packed), self.left - len(packed)
+            found = self.unpacker.decompress(packed, size)
+            if found:
+                self.data += found
+                return True
+            if not packed:
+                return False
+        return False
+
+    def until(self, mark: bytes) -> tuple[bytes, bool]:
+        """What precedes a mark, and whether it was found within the block; nothing is used up."""
+        searched = 0
+        while (at := self.data.find(mark, searched)) < 0 and not self._done():
+            searched = max(0, len(self.data) - len(mark) + 1)
+            if not self._more(HEAD_BYTES):
+                break
+        inside = self.data if self.length is None else self.data[: self.length]
+        return (inside[:at], True) if 0 <= at < len(inside) else (inside, False)
+
+    def _done(self) -> bool:
+        return self.length is not None and len(self.data) >= self.length
+
+    def open(self) -> bytes:
+        """The record's headers; its block follows."""
+        head, found = self.until(HTTP_END)
+        if not found:
+            raise ValueError(f"{self.name}: the record ends within its headers")
+        self.data = self.data[len(head) + len(HTTP_END) :]
+        length = _LENGTH.search(head)
+        self.length = int(length[1]) if length else None
+        return head
+
+    def whole(self) -> bytes:
+        parts = [self.data]
+        held = len(self.data)
+        self.data = b""
+        while (self.length is None or held < self.length) and self._more(1 << 20):
+            parts.append(self.data)
+            held, self.data = held + len(self.data), b""
+        self.data = b"".join(parts)
+        if self.length is None:
+            return self.data
+        if len(self.data) < self.length:
+            raise ValueError(f"{self.name}: the record ends within its block")
+        return self.data[: self.length]
+
+
+def _indexed(source, members, file: str):
+    """Headers of each member, and the member itself, of which no more is unpacked than asked."""
     for at, length, _ in members:
-        source.seek(at)
-        packed = source.read(length)
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(packed, HEAD_BYTES)
-        while b"\r\n\r\n" not in data and not unpacker.eof:
-            data += unpacker.decompress(unpacker.unconsumed_tail, HEAD_BYTES)
-        head, _, start = data.partition(b"\r\n\r\n")
-        yield head, lambda: _cut(head, start + unpacker.decompress(unpacker.unconsumed_tail))
+        member = _Member(source, at, length, file)
+        yield member.open(), member
+
+
+class _Block:
+    """A block that was read whole."""
+
+    def __init__(self, block: bytes) -> None:
+        self.block, self.length = block, len(block)
 
+    def until(self, mark: bytes) -> tuple[bytes, bool]:
+        head, found, _ = self.block.partition(mark)
+        return head, bool(found)
 
-def _cut(head: bytes, block: bytes) -> bytes:
-    length = re.search(rb"(?im)^content-length: *(\d+)", head)
-    return block[: int(length[1])] if length else block
+    def whole(self) -> bytes:
+        return self.block
 
 
 class _Unpacked:
@@ -354,15 +453,20 @@ class _Unpacked:
         return out
 
 
-def _all_records(source):
+def _all_records(source, file: str):
     stream = _Unpacked(source)
-    while (head := stream.until(b"\r\n\r\n")) is not None:
+    while (head := stream.until(HTTP_END)) is not None:
         head = head.lstrip(b"\r\n")
         if not head:
             continue
-        length = re.search(rb"(?im)^content-length: *(\d+)", head)
-        block = stream.take(int(length[1]) if length else 0)
-        yield head, lambda: block
+        length = _LENGTH.search(head)
+        wanted = int(length[1]) if length else 0
+        block = stream.take(wanted)
+        if len(block) < wanted:
+            raise ValueError(f"{file}: the record ends within its block")
+        yield head, _Block(block)
+    if stream.data.strip(b"\r\n"):
+        raise ValueError(f"{file}: the last record ends within its headers")
 
 
 class WarcDataSource(DataSource):
