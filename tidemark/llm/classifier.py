@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_batches, small_batches
 from tidemark.llm.quality_rules import Text
+from tidemark.session import checkpointed
 
 TRAIN_ROWS = 10_000  # bound on the rows that fit the scorer, met in expectation
 BUCKETS = 1 << 16
@@ -311,10 +312,12 @@ def train(docs: DataFrame, labellers: Sequence = LABELLERS, train_rows: int = TR
                 names=["label", "weight", "features"],
             )
 
+    # the examples are stored first: they come from tasks over the whole corpus, the fit reads a few of them
     sample = docs.select("text").sample(min(1.0, train_rows / rows), seed=2)
+    stored = checkpointed(sample.mapInArrow(examples, schema))
     fit = LogisticRegression(
         weightCol="weight", regParam=REGULARISATION, maxIter=ITERATIONS, standardization=False
-    ).fit(sample.mapInArrow(examples, schema).coalesce(8))
+    ).fit(stored.coalesce(8))
     return Model(accuracies, Scorer(fit.coefficients.toArray(), float(fit.intercept)))
 
 
