@@ -6,10 +6,14 @@ blocks. Vectors are quantised to 8-bit integers with a scale each, so one intege
 per block gives every inner product up to an error that the residuals bound (Cauchy-Schwarz).
 A pair is dropped only if even its upper bound lies below ``k`` certain scores of its query; the others
 are recomputed on the original vectors in double precision, summed in order, and kept in a heap
-per query. The heaps of a query, one per stripe, are then merged. Results are exact.
+per query. The heaps of a query, one per stripe, are then merged. Results are exact. Vectors whose products could
+leave the range of doubles are divided by a power of two first, which loses nothing; pairs whose bounds leave
+it all the same are recomputed.
 
 Rows whose id is null, or whose vector is null, empty, zero or holds null or non-finite components,
-take no part. Of rows that repeat an id one takes part: the one whose vector has the smallest hash.
+take no part. Of rows that repeat an id the one whose vector has the smallest hash asks; all of them can be found,
+but for the asking row itself, and equal rows are found as often as they stand there. A score that passes the
+largest double is infinite; one that is not a number comes first, as in Spark's order.
 Vectors are compared only with those of equal length. Ties go to the smaller id. Fewer than ``k``
 candidates are all returned; an empty table, or one without queries, gives no rows.
 """
@@ -25,18 +29,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpointed
+
 K = 20
 QUERY_GROUP = 4096
-STRIPES = 16
+STRIPES = 16  # at least
+STRIPE_ROWS = 1 << 16  # candidates in a stripe, on average
 BLOCK_ROWS = 2048
 PAIRS = 1 << 18  # pairs recomputed at once
+SAFE_EXPONENT = 400  # squares and products of components below 2**400, and above 2**-400, stay in range
 _EXACT = 1 << 24  # integers up to this are exact in single precision
 
 
 class Quantised:
-    """Vectors as 8-bit integers times a scale, with the norms that bound the error."""
+    """Vectors as 8-bit integers times a scale, with the norms that bound the error.
+
+    ``exponent`` is the power of two a vector was divided by; scale and norms are those of what is left.
+    """
 
     def __init__(self, vectors: np.ndarray) -> None:
+        largest = np.abs(vectors).max(axis=1)
+        exponent = np.frexp(largest)[1]
+        self.exponent = np.where(np.abs(exponent) < SAFE_EXPONENT, 0, exponent)
+        if self.exponent.any():
+            vectors = np.ldexp(vectors, -self.exponent[:, None])
         self.scale = np.abs(vectors).max(axis=1) / 127
         self.scale[self.scale == 0] = 1.0
         whole = np.rint(vectors / self.scale[:, None])
@@ -46,58 +62,73 @@ class Quantised:
         self.approximate_norm = np.linalg.norm(approximate, axis=1)
         self.residual = np.linalg.norm(vectors - approximate, axis=1)
 
-    def products(self, other: Quantised) -> tuple[np.ndarray, np.ndarray]:
-        """Approximate inner products of all pairs, and bounds of their errors."""
+    def bounds(self, other: Quantised) -> tuple[np.ndarray, np.ndarray]:
+        """What the inner products of all pairs are at least and at most; infinite where doubles do not reach."""
         # the sums of int8 products are whole numbers, which the float product gives exactly
         kind = np.float32 if 127 * 127 * self.codes.shape[1] < _EXACT else np.float64
         whole = self.codes.astype(kind) @ other.codes.astype(kind).T
         near = whole * self.scale[:, None] * other.scale[None, :]
         error = np.outer(self.approximate_norm, other.residual) + np.outer(self.residual, other.norm)
-        return near, error + 1e-12 * np.outer(self.norm, other.norm)
+        error += 1e-12 * np.outer(self.norm, other.norm)
+        power = self.exponent[:, None] + other.exponent[None, :]
+        if not power.any():
+            return near - error, near + error
+        with np.errstate(over="ignore", under="ignore"):
+            least, most = np.ldexp(near - error, power), np.ldexp(near + error, power)
+        far = power > 1000 - self.codes.shape[1].bit_length()  # a sum of products may pass the range on its way
+        tiny = np.finfo(float).tiny * self.codes.shape[1]  # products below the range are rounded one by one
+        return np.where(far, -np.inf, least - tiny), np.where(far, np.inf, most + tiny)
 
 
 def exact(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Inner products of row pairs, summed in the order of the components."""
     out = np.zeros(len(one))
-    for j in range(one.shape[1]):
-        out += one[:, j] * two[:, j]
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        for j in range(one.shape[1]):
+            out += one[:, j] * two[:, j]
     return out
 
 
 class Tile:
     """A group of queries with a heap each, fed with blocks of candidates."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, k: int) -> None:
         self.ids, self.vectors, self.k = ids, vectors, k
         self.quantised = Quantised(vectors)
-        self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
+        self.heaps: list[list[tuple[bool, float, int, float]]] = [[] for _ in ids]
         self.least = np.full(len(ids), -np.inf)  # k-th score so far
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        near, error = self.quantised.products(Quantised(vectors))
-        own = self.ids[:, None] == ids[None, :]
-        certain = np.where(own, -np.inf, near - error)
+    def add(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> None:
+        """Candidates, each of which stands for so many equal rows; the asking row is not among its own."""
+        least, most = self.quantised.bounds(Quantised(vectors))
+        own = np.zeros(least.shape, bool)
+        for i, j in zip(*np.nonzero(self.ids[:, None] == ids[None, :])):
+            own[i, j] = np.array_equal(self.vectors[i], vectors[j])
+        alone = own & (copies == 1)[None, :]
         bound = self.least
         if len(ids) >= self.k:
+            certain = np.where(alone, -np.inf, least)
             bound = np.maximum(bound, np.partition(certain, -self.k, axis=1)[:, -self.k])
-        rows, at = np.nonzero((near + error >= bound[:, None]) & ~own)
+        rows, at = np.nonzero((most >= bound[:, None]) & ~alone)
         for i in range(0, len(rows), PAIRS):
             r, c = rows[i : i + PAIRS], at[i : i + PAIRS]
             scores = exact(self.vectors[r], vectors[c])
-            better = scores >= self.least[r]
-            for row, score, vec_id in zip(
-                r[better].tolist(), scores[better].tolist(), ids[c][better].tolist()
-            ):
+            better = ~(scores < self.least[r])
+            r, c, scores = r[better], c[better], scores[better]
+            times = np.minimum(copies[c] - own[r, c], self.k)
+            for row, score, vec_id, n in zip(r.tolist(), scores.tolist(), ids[c].tolist(), times.tolist()):
                 heap = self.heaps[row]
-                if len(heap) < self.k:
-                    heapq.heappush(heap, (score, -vec_id))
-                else:
-                    heapq.heappushpop(heap, (score, -vec_id))
+                found = (True, 0.0, -vec_id, score) if score != score else (False, score, -vec_id, score)
+                for _ in range(n):
+                    if len(heap) < self.k:
+                        heapq.heappush(heap, found)
+                    else:
+                        heapq.heappushpop(heap, found)
                 if len(heap) == self.k:
-                    self.least[row] = heap[0][0]
+                    self.least[row] = np.inf if heap[0][0] else heap[0][1]
 
     def found(self) -> pa.RecordBatch:
-        rows = [(q, -v, s) for q, heap in zip(self.ids.tolist(), self.heaps) for s, v in heap]
+        rows = [(q, -f[2], f[3]) for q, heap in zip(self.ids.tolist(), self.heaps) for f in heap]
         q, v, s = zip(*rows) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays(
             [pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
@@ -121,20 +152,20 @@ def _search_tiles(k: int):
                 while stop < batch.num_rows and keys[stop] == keys[start]:
                     stop += 1
                 part = batch.slice(start, stop - start)
-                ids, vectors = part.column(3).to_numpy(), _matrix(part.column(4))
+                block = part.column(3).to_numpy(), part.column(4).to_numpy(), _matrix(part.column(5))
                 start = stop
                 if (size, at) != key:
                     if tile is not None:
                         yield tile.found()
                     tile, key, held = None, (size, at), []
                 if not candidate:
-                    held.append((ids, vectors))
+                    held.append(block)
                     continue
                 if held:
                     tile = Tile(*(np.concatenate(x) for x in zip(*held)), k)
                     held = []
                 if tile is not None:  # else no query of this length is in the tile
-                    tile.add(ids, vectors)
+                    tile.add(*block)
         if tile is not None:
             yield tile.found()
 
@@ -142,13 +173,13 @@ def _search_tiles(k: int):
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """One row ``(vec_id, embedding)`` per id with a finite vector other than zero."""
+    """``(vec_id, embedding, copies)``: finite vectors other than zero, equal rows as one."""
     infinite = float("inf")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
     return (
         vectors.where(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
-        .groupBy("vec_id")
-        .agg(F.min_by("embedding", F.xxhash64("embedding")).alias("embedding"))
+        .groupBy("vec_id", "embedding")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
 
 
@@ -159,24 +190,26 @@ def search(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
-    rows = usable(vectors).withColumn("size", F.size("embedding"))
-    queries = vectors.where(is_query).count()
-    groups = max(1, -(-queries // QUERY_GROUP))
+    rows = checkpointed(usable(vectors).withColumn("size", F.size("embedding")))
+    asking = F.min_by(F.struct("size", "embedding"), F.struct(F.xxhash64("embedding"), "embedding")).alias("row")
+    queries = rows.where(is_query).groupBy("vec_id").agg(asking).select("vec_id", "row.*", F.lit(1).cast("long").alias("copies"))
+    groups = max(1, -(-queries.count() // QUERY_GROUP))
+    stripes = max(STRIPES, -(-rows.count() // STRIPE_ROWS))
     group = F.pmod(F.xxhash64("vec_id"), F.lit(groups))
-    stripe = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(STRIPES))
+    stripe = F.pmod(F.xxhash64(F.lit(1), "vec_id", "embedding"), F.lit(stripes))
     all_groups = F.sequence(F.lit(0), F.lit(groups - 1))
-    all_stripes = F.sequence(F.lit(0), F.lit(STRIPES - 1))
-    tiles = rows.where(is_query).select(
-        "size", F.explode(F.transform(all_stripes, lambda s: group * STRIPES + s)).alias("tile"),
-        F.lit(False).alias("candidate"), "vec_id", "embedding",
+    all_stripes = F.sequence(F.lit(0), F.lit(stripes - 1))
+    tiles = queries.select(
+        "size", F.explode(F.transform(all_stripes, lambda s: group * stripes + s)).alias("tile"),
+        F.lit(False).alias("candidate"), "vec_id", "copies", "embedding",
     ).unionByName(
         rows.select(
-            "size", F.explode(F.transform(all_groups, lambda g: g * STRIPES + stripe)).alias("tile"),
-            F.lit(True).alias("candidate"), "vec_id", "embedding",
+            "size", F.explode(F.transform(all_groups, lambda g: g * stripes + stripe)).alias("tile"),
+            F.lit(True).alias("candidate"), "vec_id", "copies", "embedding",
         )
     )
     heaps = (
-        tiles.repartition(groups * STRIPES, "size", "tile")
+        tiles.repartitionById(groups * stripes, F.col("tile").cast("int"))  # a task each
         .sortWithinPartitions("size", "tile", "candidate")
         .mapInArrow(_search_tiles(k), "query_id long, vec_id long, score double")
     )
