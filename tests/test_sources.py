@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import datamart, monitoring
-from tidemark.sources import readers, schemas, writers
+from tidemark.sources import commits, readers, schemas, writers
 from tidemark.streaming import snapshots
 
 
@@ -303,3 +303,27 @@ def test_one_scratch_folder_per_session_and_settings_for_any(spark):
     other.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     session.apply_settings(other)
     assert all(other.conf.get(k) == v for k, v in session.RUNTIME_CONF.items())
+
+
+def test_only_changed_months_are_built_again(spark, tmp_path):
+    root, raw = str(tmp_path / "mart"), str(tmp_path / "raw")
+    run = lambda **k: datamart.backfill(spark, {"loans": raw}, root, "2024-01-01", "2024-04-01", only_changed=True, **k)
+
+    def state():
+        places = ("bronze/loans", "silver/loans", "gold/label_store")
+        return {(p, m): v for p in places for m, v in commits.versions(commits.newest(spark, f"{root}/{p}")).items()}
+
+    _raw_loans(spark, raw, ["2024-01-01", "2024-02-01", "2024-03-01"])
+    run()
+    first = state()
+    assert len(first) == 9
+    run()
+    assert state() == first
+    _raw_loans(spark, raw, ["2024-01-01", "2024-02-01"])  # March is withdrawn
+    run()
+    assert state() == {k: v for k, v in first.items() if k[1] != "2024-03-01"}
+    run(rule=datamart.LabelRule(dpd=60))
+    changed = {k for k, v in state().items() if first[k] != v}
+    assert changed == {("gold/label_store", "2024-01-01"), ("gold/label_store", "2024-02-01")}
+    datamart.backfill(spark, {"loans": raw}, root, "2024-02-01", "2024-02-01", datamart.LabelRule(dpd=60))
+    assert {k[1] for k, v in state().items() if first[k] != v and k[0] == "bronze/loans"} == {"2024-02-01"}

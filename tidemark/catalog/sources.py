@@ -320,6 +320,37 @@ def one_month_rerun(spark, sf_dir):
     return readers.read_table(spark, f"{folder}/gold/label_store")
 
 
+_MART = ("bronze/attributes", "bronze/financials", "silver/attributes", "silver/financials", "gold/feature_store")
+
+
+@query(
+    "dmt_only_changed_months",
+    f"""WITH {V.FINANCIALS}, m AS (SELECT DISTINCT snapshot_date FROM financials),
+ t AS (SELECT unnest(['{"', '".join(_MART)}']) AS place),
+ r AS (SELECT unnest([1, 2, 3]) AS run)
+ SELECT run, place, cast(snapshot_date as varchar) AS snapshot_date, run = 1 OR (run = 3 AND snapshot_date = DATE '2023-05-01'
+  AND place IN ('bronze/financials', 'silver/financials', 'gold/feature_store')) AS rewritten FROM m, t, r""",
+)
+def only_changed_months(spark, sf_dir):
+    """Three backfills: all, the same again, and one with a changed raw month. Which months did each write?"""
+    folder = _folder(spark)
+    paths = _land(spark, sf_dir, folder, "attributes", "financials")
+    before, rows = {}, []
+    for run in (1, 2, 3):
+        if run == 3:
+            raw = spark.read.schema(schemas.RAW["financials"]).option("header", True).option("escape", '"').csv(paths["financials"])
+            paths["financials"] = f"{folder}/raw/financials_again"
+            income = F.when(F.col("snapshot_date") == "2023-05-01", "1").otherwise(F.col("Annual_Income"))
+            changed = raw.withColumn("Annual_Income", income).repartition(5)
+            changed.write.option("header", True).option("escape", '"').csv(paths["financials"])
+        datamart.backfill(spark, paths, folder, "2023-01-01", "2024-12-01", only_changed=True)
+        for place in _MART:
+            now = commits.versions(commits.newest(spark, f"{folder}/{place}"))
+            rows += [(run, place, month, v != before.get((place, month))) for month, v in now.items()]
+            before |= {(place, month): v for month, v in now.items()}
+    return spark.createDataFrame(rows, "run int, place string, snapshot_date string, rewritten boolean")
+
+
 @query("snk_compact", "SELECT o_orderkey, o_custkey FROM orders")
 def compact(spark, sf_dir):
     path = f"{_folder(spark)}/orders"
