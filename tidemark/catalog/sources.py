@@ -6,13 +6,13 @@ from tidemark.catalog import query
 from tidemark.catalog import views as V
 from tidemark.catalog.drift import flat_summary, summary_sql
 from tidemark.catalog.features import GOLD_SQL
-from tidemark.operators import clean, drift, metrics, models, profile
+from tidemark.operators import clean, drift, features, metrics, models, profile
 from tidemark.plans import datamart, dictionary, monitoring
 from tidemark.session import shared_folder
 from tidemark.settings import LabelRule
-from tidemark.sources import commits, readers, schemas, writers
+from tidemark.sources import bucketed, commits, readers, schemas, writers
 from tidemark.sources import surrogates as S
-from tidemark.streaming import snapshots
+from tidemark.streaming import once, snapshots
 
 
 def _folder(spark):
@@ -453,3 +453,45 @@ def clean_arrivals(spark, sf_dir):
             spark, "attributes", f"{folder}/raw", f"{folder}/silver", f"{folder}/progress"
         ).awaitTermination()
     return snapshots.read_arrivals(spark, f"{folder}/silver")
+
+
+
+@query(
+    "str_events_once",
+    """WITH e AS (SELECT event_id, ts, event_type, ts >= TIMESTAMP '2024-01-20' AS new FROM events),
+ mark AS (SELECT max(ts) - INTERVAL 2 DAY AS mark FROM e WHERE NOT new AND event_id % 10 <> 3)
+ SELECT 'landed' AS place, event_id, ts, event_type FROM e WHERE new OR event_id % 10 <> 3
+  OR ts >= (SELECT mark FROM mark)
+ UNION ALL SELECT 'late', event_id, ts, event_type FROM e WHERE NOT new AND event_id % 10 IN (3, 4)
+  AND ts < (SELECT mark FROM mark)""",
+)
+def events_once(spark, sf_dir):
+    """Files in two runs: the second brings new events, resends old ones, and has some that come too late.
+
+    Every event lands once; what is behind the watermark, resent or not, goes to the late table.
+    """
+    folder = _folder(spark)
+    events = S.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    new, part = F.col("ts") >= "2024-01-20", F.col("event_id") % 10
+    first = events.where(~new & (part != 3))
+    for batch in (first, events.where(new | part.isin(3, 4)).unionByName(events.where(new & (part == 7)))):
+        batch.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        once.land_once(
+            stream, f"{folder}/landed", f"{folder}/late", ["event_id"], "ts", "2 days", f"{folder}/progress"
+        ).awaitTermination()
+    landed, late = (readers.read_table(spark, f"{folder}/{p}") for p in ("landed", "late"))
+    tagged = landed.withColumn("place", F.lit("landed")).unionByName(late.withColumn("place", F.lit("late")))
+    return tagged.select("place", "event_id", "ts", "event_type")
+
+
+@query("jon_bucketed_features", GOLD_SQL)
+def bucketed_features(spark, sf_dir):
+    """The gold join over silver tables stored by key: no shuffle under it."""
+    folder = _folder(spark)
+    tag = folder.rsplit("/", 1)[1].replace("-", "")
+    tables = {f"silver_fin_{tag}": clean.silver_financials, f"silver_att_{tag}": clean.silver_attributes}
+    for (name, silver), raw in zip(tables.items(), (S.financials, S.attributes)):
+        bucketed.store(silver(raw(spark, sf_dir)), name, f"{folder}/{name}", buckets=8)
+    store = features.choose_features(bucketed.join(spark, list(tables)))
+    return store.withColumns({c: F.round(c, 6) for c in ["Debt_to_Income_Ratio", "EMI_Burden_Ratio"]})

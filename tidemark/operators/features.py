@@ -37,12 +37,16 @@ def feature_store(
     Attributes are joined only where a wanted feature comes from them: a left join on a unique key
     that adds no column adds nothing.
     """
-    derived = derived_features()
-    plain = [f for f in features if f not in derived]
+    plain = [f for f in features if f not in derived_features()]
     tables = [financials]
     if attributes is not None and not set(plain) <= set(financials.columns):
         tables.append(attributes)
-    joined = join_features(tables)
+    return choose_features(join_features(tables), features)
+
+
+def choose_features(joined: DataFrame, features=tuple(GOLD_FEATURES)) -> DataFrame:
+    """Panel key plus the chosen features of rows that are joined already."""
+    derived = derived_features()
     return joined.select(
         *KEYS, *[derived[f].alias(f) if f in derived else F.col(f) for f in features]
     )
