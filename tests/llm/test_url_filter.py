@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -134,3 +136,72 @@ def test_scores_are_carried_to_the_tolerance(spark):
     full = 1 / (1 - 0.85**2)
     assert got["a"] == pytest.approx((full, 0.85e-9 * full), rel=1e-3)
     assert got["b"] == pytest.approx((0.85 * full, 1e-9 * full), rel=1e-3)
+
+
+def verdicts_by_matrix(rows):
+    """Brute force: dense matrices over all hosts, walks of up to 57 links, the production margin."""
+    rules = U.RuleSet(U.RULES)
+    parsed = [(i, *U.split_url(url), html) for i, url, html in rows]
+    verdict = {i: (rules.best(host, path) or (None, None))[1] for i, host, path, _ in parsed}
+    weights = Counter((host, to) for _, host, _, html in parsed for to in U.links_of(html, host))
+    edges = [(a, b, n) for (a, b), n in weights.items()]
+    of = {}
+    for i, host, _, _ in parsed:
+        of.setdefault(host, []).append(verdict[i])
+    seeds = {h: (vs.count("allow") / len(vs), vs.count("block") / len(vs)) for h, vs in of.items()}
+    whole = {h: (float(t + d > 0),) * 2 for h, (t, d) in seeds.items()}
+    got, most = by_matrix(edges, seeds, 0.85, 57), by_matrix(edges, whole, 0.85, 57)
+
+    def balance(h):
+        t, d = seeds[h]
+        share = [0.0, 0.0]
+        for k in (0, 1):
+            limit = most[h][k] - whole[h][k]
+            share[k] = (got[h][k] - seeds[h][k]) / limit if limit > 1e-12 else 0.0
+        return d - t + (1 - t - d) * (share[1] - share[0])
+
+    return {i: verdict[i] or ("block" if balance(host) > 0.5 else "allow") for i, host, _, _ in parsed}
+
+
+def test_judge_equals_brute_force_on_a_random_graph(spark):
+    """Hosts blocked, allowed or judged in part, some with many pages, random links, production values."""
+    rng = np.random.default_rng(11)
+    # the first half holds no allowed host and is rarely linked to by the other
+    names = [f"h{k}.{('net', 'org' if k < 30 else 'com', 'org', 'org', 'org')[k % 5]}" for k in range(60)]
+    rows = []
+    for i in range(400):
+        k = int(rng.integers(60)) if i % 3 else 2  # one host holds a third of the pages
+        path = "en" if i % 8 == 0 else "es"
+        near = names[:30] if k < 30 else names[30:] if i % 20 else names
+        rows.append((i, f"http://{names[k]}/{path}/{i}", anchors(*rng.choice(near, rng.integers(0, 3)))))
+    want = verdicts_by_matrix(rows)
+    unruled = Counter(want[i] for i, url, _ in rows if ".org/" in url)
+    assert unruled["block"] > 20 and unruled["allow"] > 20
+    got = {r.page_id: r.verdict for r in U.judge(pages(spark, rows)).collect()}
+    assert got == want
+
+
+def test_rounds_do_not_grow_with_the_longest_path(spark, monkeypatch):
+    """A chain of 1,000 hosts towards a blocked one: those within 57 links are blocked, in 57 rounds."""
+    rows = [(k, f"http://h{k}.org/", anchors(f"h{k + 1}.org")) for k in range(999)] + [(999, "http://h999.org/es/", None)]
+    saved = []
+    monkeypatch.setattr(U, "checkpointed", lambda df, was=U.checkpointed: saved.append(1) or was(df))
+    got = U.judge(pages(spark, rows), (("block", "h999.org/"),)).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(999 - 57, 1000))
+    assert len(saved) < 70
+
+
+def test_hosts_with_many_links_are_split(spark, monkeypatch):
+    """The parts of a host's links change no score."""
+    hub = [("hub", f"t{k}", 1.0 + k % 3) for k in range(40)] + [(f"t{k}", "hub", 1.0) for k in range(0, 40, 2)]
+    edges = spark.createDataFrame(hub, "source string, target string, weight double")
+    seeds = spark.createDataFrame([("hub", 1.0, 0.5), ("t3", 0.0, 1.0)], "host string, trust double, distrust double")
+    monkeypatch.setattr(U, "LINKS_PER_PART", 7)
+    moves, hosts = U._moves(edges)
+    assert dict(hosts.collect())["hub"] == 60 // 7 + 1
+    assert moves.where("host = 'hub'").select("part").distinct().count() > 3
+    got = {r.host: (r.trust, r.distrust) for r in U.propagate(edges, seeds, 0.85, 5, 0.0).collect()}
+    want = by_matrix(hub, {"hub": (1.0, 0.5), "t3": (0.0, 1.0)}, 0.85, 5)
+    assert got.keys() == want.keys()
+    for h in want:
+        assert got[h] == pytest.approx(want[h])

@@ -8,6 +8,10 @@ reached it had every host that rules judge been blocked (or allowed) whole: the
 how many hosts link to the same one. A host's own judged urls count by their share, and what reaches it
 stands for the others. Its urls without a rule are blocked where distrust exceeds trust by ``MARGIN``.
 
+Scores count walks along as many links as it takes until damping has left ``TOLERANCE`` of what set out
+(57 links); hosts further from every judged one are reached by nothing. So the number of rounds is
+bounded, whatever the graph, and does not grow with its longest path.
+
 A null url, or one without ``://``, has an empty host and path, fits no rule, links to nothing and is
 allowed. Null ids and repeated rows are judged like any
 other row; a null html has no links; an empty table gives an empty one.
@@ -17,7 +21,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from itertools import count
+from functools import reduce
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +41,10 @@ RULES = (
 DAMPING = 0.85
 TOLERANCE = 1e-4  # of a score
 MARGIN = 0.5  # of shares, from -1 to 1
+LEAST = 1e-290  # what reaches a host in parts smaller than this has no exact share
+SALTS = 16  # parts of every host's links, while they are weighted
+LINKS_PER_PART = 50_000  # links of one host that meet its scores in one task
+HEAVY = 1_000  # a host with more than this share of the open urls is heavy: fewer hosts than this are
 
 _URL = re.compile(r"://([^/?#]*)([^?#]*)")
 _LINK = re.compile(r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)""")
@@ -102,59 +111,107 @@ def _share(verdict: str) -> Column:
     return F.count_if(F.col("verdict") == verdict) / F.count(F.lit(1))
 
 
-def propagate(
+def _moves(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every link in both directions, with the share of a score that moves along it, and the hosts.
+
+    ``(host, part, to, forth, back)`` and ``(host, parts)``: trust moves along ``forth``, distrust along
+    ``back``. The links of a host with many are dealt out to ``parts``.
+    """
+    none = F.lit(0.0)
+    ends = edges.select(
+        F.col("source").alias("host"), F.col("target").alias("to"), F.col("weight").alias("forth"), none.alias("back")
+    ).union(edges.select(F.col("target"), F.col("source"), none, F.col("weight")))
+    totals = ends.groupBy("host").agg(
+        F.sum("forth").alias("out"), F.sum("back").alias("into"),
+        (F.floor(F.count(F.lit(1)) / LINKS_PER_PART) + 1).cast("int").alias("parts"),
+    )
+    place = F.xxhash64("to")
+    salted = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    moves = (
+        ends.withColumn("salt", F.pmod(place, F.lit(SALTS)).cast("int"))
+        .join(salted, ["host", "salt"])
+        .select(
+            "host", F.pmod(place, F.col("parts")).cast("int").alias("part"), "to",
+            F.when(F.col("forth") > 0, F.col("forth") / F.col("out")).otherwise(none).alias("forth"),
+            F.when(F.col("back") > 0, F.col("back") / F.col("into")).otherwise(none).alias("back"),
+        )
+    )
+    return checkpointed(moves), totals.select("host", "parts")
+
+
+def _received(
     edges: DataFrame,
     seeds: DataFrame,
+    forth: Sequence[str],
+    back: Sequence[str],
     damping: float = DAMPING,
     rounds: int | None = None,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """Trust and distrust of every host: ``(host, trust, distrust)``.
+    """What reaches every host over links, its own seeds left out: ``(host, <scores>)``.
 
-    ``edges`` holds ``(source, target, weight)`` once per pair, ``seeds`` ``(host, trust, distrust)``. A
-    host passes its trust on to its targets, and its distrust back to its sources, in proportion to
-    the links. A host without links keeps its seed. Ends when no score moves by more than ``tolerance``
-    of itself, which holds for all later rounds too, or after ``rounds``. A score just reached moves
-    by all of itself, so however little reaches a host, it is not cut off.
+    All scores are carried in one pass per round. Ends after ``rounds``, by default as many as leave
+    ``tolerance`` of a seed, or when no score moves by more than ``tolerance`` of itself.
     """
-    out_of = edges.groupBy(F.col("source")).agg(F.sum("weight").alias("out"))
-    into = edges.groupBy(F.col("target")).agg(F.sum("weight").alias("into"))
-    edges = checkpointed(
-        edges.join(out_of, "source").join(into, "target")
-        .select("source", "target", (F.col("weight") / F.col("out")).alias("forth"), (F.col("weight") / F.col("into")).alias("back"))
-    )
-    if edges.isEmpty():
-        return seeds
-    nodes = edges.select(F.col("source").alias("host")).union(edges.select(F.col("target").alias("host")))
-    named = seeds.select("host").union(nodes).distinct()
-    seeds = checkpointed(named.join(seeds, "host", "left").na.fill(0.0, ["trust", "distrust"]))
-    scores = seeds
-    nothing = F.lit(0.0)
-    for _ in count() if rounds is None else range(rounds):
-        forth = edges.join(scores.select(F.col("host").alias("source"), "trust"), "source").select(
-            F.col("target").alias("host"), (damping * F.col("trust") * F.col("forth")).alias("trust"), nothing.alias("distrust")
-        )
-        back = edges.join(scores.select(F.col("host").alias("target"), "distrust"), "target").select(
-            F.col("source").alias("host"), nothing.alias("trust"), (damping * F.col("distrust") * F.col("back")).alias("distrust")
+    if rounds is None:
+        rounds = ceil(log(tolerance) / log(damping))
+    names = [*forth, *back]
+    moves, hosts = _moves(edges)
+    none = F.lit(0.0)
+    blank = [none.alias(f"was_{c}") for c in names]
+    # hosts and their seeds, added up and not joined: the planner's guess of a join's size is a product
+    seeds = checkpointed(
+        seeds.select("host", F.lit(1).alias("parts"), *names)
+        .union(hosts.select("host", "parts", *[none for _ in names]))
+        .groupBy("host")
+        .agg(F.max("parts").alias("parts"), *[F.sum(c).alias(c) for c in names])
+    )
+    sent, got = seeds, seeds.select("host", *[none.alias(c) for c in names])
+    for _ in range(rounds):
+        sending = sent.where(F.greatest(*names) > 0) if len(names) > 1 else sent.where(F.col(names[0]) > 0)
+        along = {c: "forth" if c in forth else "back" for c in names}
+        arriving = (
+            sending.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .join(moves, ["host", "part"])
+            .select(F.col("to").alias("host"), *[(damping * F.col(c) * F.col(w)).alias(c) for c, w in along.items()], *blank)
         )
-        # in units of a seed that nothing reaches, so scores read as shares of the host's urls; added up
-        # and not joined, as the planner's guess of a join's size is a product and grows with each round
-        added = seeds.select("host", "trust", "distrust").union(forth).union(back)
+        before = got.select("host", *[none.alias(c) for c in names], *[F.col(c).alias(f"was_{c}") for c in names])
+        start = seeds.select("host", "parts", *[F.col(c).alias(f"seed_{c}") for c in names])
         moved = checkpointed(
-            added.withColumns({"t0": nothing, "d0": nothing})
-            .union(scores.select("host", nothing, nothing, F.col("trust"), F.col("distrust")))
+            arriving.union(before)
             .groupBy("host")
-            .agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "t0", "d0")])
+            .agg(*[F.sum(c).alias(c) for c in [*names, *[f"was_{c}" for c in names]]])
         )
-        moves = [F.abs(F.col(c) - F.col(was)) > tolerance * F.col(c) for c, was in (("trust", "t0"), ("distrust", "d0"))]
-        scores = moved.select("host", "trust", "distrust")
-        if moved.where(moves[0] | moves[1]).isEmpty():
+        got = moved.select("host", *names)
+        still = [F.abs(F.col(c) - F.col(f"was_{c}")) > tolerance * F.col(c) for c in names]
+        if moved.where(reduce(Column.__or__, still)).isEmpty():
             break
-    return scores
+        sent = start.join(got, "host").select(
+            "host", "parts", *[(F.col(f"seed_{c}") + F.col(c)).alias(c) for c in names]
+        )
+    return got
+
+
+def propagate(
+    edges: DataFrame,
+    seeds: DataFrame,
+    damping: float = DAMPING,
+    rounds: int | None = None,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """Trust and distrust of every host: ``(host, trust, distrust)``.
+
+    ``edges`` holds ``(source, target, weight)`` once per pair, ``seeds`` ``(host, trust, distrust)`` once per
+    host. A host passes its trust on to its targets, and its distrust back to its sources, in proportion
+    to the links. A host without links keeps its seed. Scores are in units of a seed that nothing reaches.
+    """
+    names = ["trust", "distrust"]
+    reached = _received(edges, seeds, names[:1], names[1:], damping, rounds, tolerance)
+    return seeds.select("host", *names).union(reached).groupBy("host").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def balance(edges: DataFrame, seeds: DataFrame, **kwargs) -> DataFrame:
-    """Distrust less trust of every host, from -1 to 1: ``(host, balance)``.
+    """Distrust less trust of every host of ``seeds``, from -1 to 1: ``(host, balance)``.
 
     ``edges`` and ``seeds`` as for ``propagate``. Of the share of its urls that no rule judges, a host
     is held for what reaches it over links: distrust, and trust, as shares of what the same hosts would
@@ -165,39 +222,52 @@ def balance(edges: DataFrame, seeds: DataFrame, **kwargs) -> DataFrame:
     if edges.isEmpty():
         return seeds.select("host", own.alias("balance"))
     judged = (F.col("trust") + F.col("distrust") > 0).cast("double")
-    whole = seeds.select("host", judged.alias("trust"), judged.alias("distrust"))
-    most = propagate(edges, whole, **kwargs).select("host", F.col("trust").alias("t1"), F.col("distrust").alias("d1"))
-    got = propagate(edges, seeds, **kwargs).select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-
-    def share(score: str, seed: str, limit: str) -> Column:
-        reached = F.col(limit) - judged
-        return F.when(reached > 0, F.least(F.lit(1.0), (F.col(score) - F.col(seed)) / reached)).otherwise(0.0)
-
-    reached = share("d", "distrust", "d1") - share("t", "trust", "t1")
-    return (
-        seeds.join(got, "host")
-        .join(most, "host")
-        .select("host", (own + (1 - F.col("trust") - F.col("distrust")) * reached).alias("balance"))
+    four = seeds.select("host", "trust", "distrust", judged.alias("all_trust"), judged.alias("all_distrust"))
+    reached = _received(edges, four, ["trust", "all_trust"], ["distrust", "all_distrust"], **kwargs)
+
+    def share(score: str) -> Column:
+        most = F.col(f"all_{score}")
+        return F.when(most > LEAST, F.least(F.lit(1.0), F.col(score) / most)).otherwise(0.0)
+
+    spread = reached.select("host", (share("distrust") - share("trust")).alias("spread"))
+    return seeds.join(spread, "host").select(
+        "host", (own + (1 - F.col("trust") - F.col("distrust")) * F.col("spread")).alias("balance")
     )
 
 
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, margin: float = MARGIN, **kwargs
 ) -> DataFrame:
-    """Verdict on every page's url: ``page_id, host, path, rule, verdict``."""
+    """Verdict on every page's url: ``page_id, host, path, rule, verdict``.
+
+    The verdicts of heavy hosts, fewer than ``HEAVY`` by their share of the urls, are written into the
+    plan; only the urls of other hosts that no rule judges meet their host's verdict in a join.
+    """
     matched = checkpointed(match_rules(pages, rules))
-    seeds = matched.groupBy("host").agg(_share("allow").alias("trust"), _share("block").alias("distrust"))
+    seeds = checkpointed(
+        matched.groupBy("host").agg(
+            _share("allow").alias("trust"), _share("block").alias("distrust"), F.count_if(F.col("verdict").isNull()).alias("open")
+        )
+    )
     edges = (
         matched.where("host != ''")  # what has no host is no host
         .select(F.col("host").alias("source"), F.explode("links").alias("target"))
         .groupBy("source", "target")
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    distrusted = (
-        balance(edges, seeds, **kwargs)
-        .where(F.col("balance") > margin)
-        .select("host", F.lit("block").alias("spread"))
+    hosts = checkpointed(
+        balance(edges, seeds.drop("open"), **kwargs)
+        .join(seeds.select("host", "open"), "host")
+        .select("host", "open", (F.col("balance") > margin).alias("blocked"))
     )
-    return matched.join(distrusted, "host", "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", "spread", F.lit("allow")).alias("verdict")
+    urls = hosts.agg(F.sum("open")).first()[0] or 0
+    heavy = {h: blocked for h, _, blocked in hosts.where(F.col("open") * HEAVY > urls).collect()}
+    blocked_heavy = F.col("host").isin([h for h, blocked in heavy.items() if blocked])
+    settled = F.col("verdict").isNotNull() | F.col("host").isin(list(heavy))
+    columns = ["page_id", "host", "path", "rule"]
+    here = matched.where(settled).select(
+        *columns, F.coalesce("verdict", F.when(blocked_heavy, "block"), F.lit("allow")).alias("verdict")
     )
+    distrusted = hosts.where("blocked").select("host", F.lit("block").alias("spread"))
+    others = matched.where(~settled).join(distrusted, "host", "left")
+    return here.unionByName(others.select(*columns, F.coalesce("spread", F.lit("allow")).alias("verdict")))
