@@ -1,15 +1,16 @@
 """Scaling, training, validation, scoring."""
 
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 from math import isfinite
 
 from pyspark.sql import functions as F
 
+from tidemark.catalog import evaluation as E
 from tidemark.catalog import query
 from tidemark.catalog import views as V
 from tidemark.catalog.profiles import hash_sql
-from tidemark.operators import impute, models, scaling, split
+from tidemark.operators import impute, metrics, models, scaling, split
 from tidemark.operators.project import by_prefix
 from tidemark.plans import scoring, training
 from tidemark.session import checkpointed, shared_folder
@@ -137,12 +138,38 @@ def logistic_gradient(spark, sf_dir):
     return scaled.agg(F.count(F.lit(1)).alias("rows"), (largest / F.count(F.lit(1)) < 0.01).alias("at_the_optimum"))
 
 
-@query("mdl_calibration", "SELECT cast(unnest(range(3)) as integer) AS member, true AS rising, true AS finite")
+# folds hold exact shares of each class, so their sizes do not depend on the hash
+_FOLDED = f"""{_SPLITS}, folded AS (SELECT label, cast(ntile(3) OVER (PARTITION BY label ORDER BY h) - 1 as integer) AS fold
+ FROM splits WHERE split = 'train')"""
+
+
+@query(
+    "mdl_calibration",
+    f"""WITH {_FOLDED} SELECT fold AS member, count(*) AS rows, count(*) FILTER (label = 1) AS positives,
+ true AS rising, true AS at_the_optimum FROM folded GROUP BY fold""",
+)
 def calibration(spark, sf_dir):
-    """Each member's sigmoid rises with its score and has finite parameters."""
-    model = _logistic(_prepared(spark, sf_dir))
-    rows = [(i, bool(a > 0), bool(isfinite(a) and isfinite(b))) for i, (_, a, b) in enumerate(model.members)]
-    return spark.createDataFrame(rows, "member int, rising boolean, finite boolean")
+    """Each member's sigmoid rises with its score, and its loss on held-out rows has no slope left."""
+    data = _prepared(spark, sf_dir)
+    model = _logistic(data)
+    out = None
+    for k, (member, slope, intercept) in enumerate(model.members):
+        held_out = models.raw_score(member, model.vectors(data.train.where(F.col("fold") == k)), "x")
+        positive = F.col("label") == 1
+        sizes = held_out.agg(F.count_if(positive), F.count_if(~positive), F.stddev_pop("x")).first()
+        # smoothed targets: one more row of each class
+        target = F.when(positive, (sizes[0] + 1) / (sizes[0] + 2)).otherwise(1 / (sizes[1] + 2))
+        error = 1 / (1 + F.exp(-(F.col("x") * slope + intercept))) - target
+        steepest = F.greatest(F.abs(F.avg(error * F.col("x"))) / sizes[2], F.abs(F.avg(error)))
+        one = held_out.agg(
+            F.lit(k).alias("member"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(positive).alias("positives"),
+            F.lit(slope > 0 and isfinite(intercept)).alias("rising"),
+            (steepest < 1e-4).alias("at_the_optimum"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(
@@ -176,16 +203,29 @@ SEARCH_DRAWS = 12  # of the 192 distinct points; each is three fits, see the REA
 
 @query(
     "mdl_random_search",
-    f"SELECT {SEARCH_DRAWS}::bigint AS draws, {SEARCH_DRAWS}::bigint AS distinct_points, true AS auc_in_range",
+    f"""WITH {_SPLITS} SELECT {SEARCH_DRAWS}::bigint AS draws, {SEARCH_DRAWS}::bigint AS distinct_points, count(*) AS rows,
+ true AS auc_in_range, true AS best_is_highest, true AS same_auc_again FROM splits WHERE split = 'train'""",
 )
 def random_search(spark, sf_dir):
-    """Distinct points of the grid, each with its cross-validated AUC."""
+    """Distinct points of the grid; the best one's AUC, fitted and rated again by the library's own metric."""
     data = _prepared(spark, sf_dir)
     fitted, draws = models.random_search(data.train, data.features, n_iter=SEARCH_DRAWS)
-    return models.search_results(spark, fitted, draws).agg(
+    best = max(range(SEARCH_DRAWS), key=lambda i: fitted.avgMetrics[i])
+    rows = models._vectors(data.train, data.features, None, None).select("label", "fold", "features")
+    scored = None
+    for k in range(3):
+        member = fitted.getEstimator().copy(fitted.getEstimatorParamMaps()[best]).fit(rows.where(F.col("fold") != k))
+        part = models.raw_score(member, rows.where(F.col("fold") == k), "score").select("fold", "label", "score")
+        scored = part if scored is None else scored.unionByName(part)
+    again = metrics.ranking_metrics(scored, ["fold"]).agg(F.avg("auc")).first()[0]
+    results = models.search_results(spark, fitted, draws)
+    return results.agg(
         F.count(F.lit(1)).alias("draws"),
         F.count_distinct("params").alias("distinct_points"),
         F.bool_and(F.col("auc_mean").between(0, 1)).alias("auc_in_range"),
+        (F.max(F.when(F.col("draw") == best, F.col("auc_mean"))) == F.max("auc_mean")).alias("best_is_highest"),
+        (F.abs(F.max("auc_mean") - again) < 1e-6).alias("same_auc_again"),
+        F.lit(data.train.count()).alias("rows"),
     )
 
 
@@ -260,12 +300,21 @@ def save_reload(spark, sf_dir):
     )
 
 
-_SCORED = f"SELECT Customer_ID, snapshot_date, '{{}}' AS model_name, true AS score_in_range FROM panel"
+_SCORED = "SELECT Customer_ID, snapshot_date, '{}' AS model_name, true AS score_in_range, true AS same_by_hand FROM panel"
 
 
-def _checked(scored):
-    return scored.select(
-        "Customer_ID", "snapshot_date", "model_name", F.col("model_predictions").between(0, 1).alias("score_in_range")
+def _checked(scored, model, features):
+    """Scores next to the same sums written out from coefficients, scaler and sigmoids."""
+    scaled = [(F.col(c) - model.scaler.mean[c]) / model.scaler.std[c] for c in model.features]
+    parts = []
+    for member, slope, intercept in model.members:
+        margin = sum((x * float(w) for x, w in zip(scaled, member.coefficients)), F.lit(float(member.intercept)))
+        parts.append(1 / (1 + F.exp(-(margin * slope + intercept))))
+    by_hand = features.select("Customer_ID", "snapshot_date", (sum(parts[1:], parts[0]) / len(parts)).alias("by_hand"))
+    return scored.join(by_hand, ["Customer_ID", "snapshot_date"]).select(
+        "Customer_ID", "snapshot_date", "model_name",
+        F.col("model_predictions").between(0, 1).alias("score_in_range"),
+        (F.abs(F.col("model_predictions") - F.col("by_hand")) < 1e-9).alias("same_by_hand"),
     )
 
 
@@ -273,14 +322,164 @@ def _checked(scored):
 def score_snapshot(spark, sf_dir):
     _, features = _panel(spark, sf_dir)
     model = _logistic(_prepared(spark, sf_dir))
-    return _checked(scoring.score_snapshots(model, features, _DATE))
+    return _checked(scoring.score_snapshots(model, features, _DATE), model, features)
 
 
 @query("scr_backfill", f"WITH {_SPLITS} {_SCORED.format(_version())}")
 def score_backfill(spark, sf_dir):
     _, features = _panel(spark, sf_dir)
     model = _logistic(_prepared(spark, sf_dir))
-    return _checked(scoring.score_snapshots(model, features))
+    return _checked(scoring.score_snapshots(model, features), model, features)
+
+
+# --- a scorer in closed form, whose values SQL can follow through validation, comparison and scoring
+
+_SHARES = {"fe_1": None, "fe_2": "e", "fe_3": " "}  # length, and the share of a character
+
+
+@dataclass(frozen=True)
+class _MeanGap:
+    """Sigmoid of how far a row lies from the middle of both classes' means, along their gap."""
+
+    name: str
+    features: list[str]
+    gaps: list[tuple[float, float]]  # weight and middle of each feature
+    threshold: float = 0.5
+    version: str = "gap_1"
+
+    def score(self, df, name="score"):
+        margin = sum(((F.col(c) - middle) * w for c, (w, middle) in zip(self.features, self.gaps)), F.lit(0.0))
+        return df.withColumn(name, 1.0 / (1.0 + F.exp(-margin)))
+
+
+def _fit_gap(train, features, name="gap", **kwargs):
+    one, zero = (lambda c: F.avg(F.when(F.col("label") == 1, F.col(c)))), (lambda c: F.avg(F.when(F.col("label") == 0, F.col(c))))
+    row = train.agg(
+        *[F.struct((one(c) - zero(c)) / F.var_pop(c), (one(c) + zero(c)) / 2).alias(c) for c in features]
+    ).first()
+    return _MeanGap(name, list(features), [tuple(row[c]) for c in features], **kwargs)
+
+
+def _gap_features(spark, sf_dir):
+    """``Customer_ID, label, snapshot_date`` of the panel with features that both engines count alike."""
+    text = F.coalesce("text", F.lit(""))
+    size = F.length(text)
+    values = [
+        (size / 1000.0 if ch is None else (size - F.length(F.replace(text, F.lit(ch), F.lit("")))) / F.greatest(size, F.lit(1))).alias(c)
+        for c, ch in _SHARES.items()
+    ]
+    documents = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("Customer_ID"), *values)
+    return S.model_panel(spark, sf_dir).select("Customer_ID", "label", "snapshot_date").join(documents, "Customer_ID")
+
+
+_GAP_ROWS = "feats AS (SELECT doc_id AS Customer_ID, " + ", ".join(
+    "length(t)/1000.0::double AS fe_1" if ch is None else f"(length(t) - length(replace(t, '{ch}', '')))/greatest(length(t), 1)::double AS {c}"
+    for c, ch in _SHARES.items()
+) + " FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))"
+
+
+def _gap_fit_sql(features):
+    return ", ".join(
+        f"avg({c}) FILTER (label = 1) AS a_{c}, avg({c}) FILTER (label = 0) AS b_{c}, var_pop({c}) AS v_{c}" for c in features
+    )
+
+
+def _gap_score_sql(features):
+    margin = " + ".join(f"({c} - (a_{c} + b_{c})/2)*((a_{c} - b_{c})/v_{c})" for c in features)
+    return f"1.0::double/(1 + exp(-({margin})))"
+
+
+_RATED_SQL = f"""{E._CELLS}, {E._AUC}, rated AS (SELECT cells.*, (tp+tn)::double/(tp+fp+fn+tn) AS accuracy, coalesce(tp::double/nullif(tp+fp,0), 0) AS precision,
+ coalesce(tp::double/nullif(tp+fn,0), 0) AS recall, coalesce(2*tp::double/nullif(2*tp+fp+fn,0), 0) AS f1_score, tp+fp+fn+tn AS sample_size,
+ auc, round(2*auc - 1, 3) AS gini, ap AS average_precision FROM cells JOIN rates USING (dataset))"""
+
+
+@query(
+    "mdl_cross_validation_values",
+    f"""WITH {_SPLITS}, {_GAP_ROWS}, rows AS (SELECT panel.*, fe_1, fe_2, fe_3, ntile(3) OVER (PARTITION BY label ORDER BY h) - 1 AS fold FROM panel JOIN feats USING (Customer_ID)),
+ fits AS (SELECT f, {_gap_fit_sql(_SHARES)} FROM rows, range(3) r(f) WHERE fold <> f GROUP BY f),
+ decided AS (SELECT fold AS dataset, label, {_gap_score_sql(_SHARES)} AS score, CASE WHEN {_gap_score_sql(_SHARES)} >= 0.5 THEN 1 ELSE 0 END AS prediction FROM rows JOIN fits ON fold = f),
+ {_RATED_SQL} SELECT """
+    + ", ".join(
+        f"round(avg({c}), 6) AS {m}_mean, round(stddev_pop({c}), 6) AS {m}_std"
+        for m, c in {"auc": "auc", "f1": "f1_score", "precision": "precision", "recall": "recall"}.items()
+    )
+    + " FROM rated",
+)
+def cross_validation_values(spark, sf_dir):
+    """Out-of-fold metrics of a scorer in closed form, fitted anew on the other folds."""
+    rows = _gap_features(spark, sf_dir)
+    folds = split.stratified_folds(rows, "label", split.integer_hash(F.col("Customer_ID"), 88))
+    folds = checkpointed(folds.withColumnRenamed("fold", "outer_fold"))
+    rated = models.cross_validate(lambda part: _fit_gap(part, _SHARES), folds)
+    return rated.select(*[F.round(c, 6).alias(c) for c in rated.columns])
+
+
+# two candidates, told apart by their features and thresholds
+_GAPS = {"all_features": (list(_SHARES), 0.5), "length_only": (["fe_1"], 0.6)}
+
+
+def _gap_candidates(spark, sf_dir):
+    rows = _gap_features(spark, sf_dir)
+    labels, features = rows.select("Customer_ID", "snapshot_date", "label"), rows.drop("label")
+    data = training.prepare(labels, features, _DATE, list(_SHARES), split.integer_hash(F.col("Customer_ID"), 88))
+    fitted = [_fit_gap(data.train, names, model, threshold=cut) for model, (names, cut) in _GAPS.items()]
+    return fitted, models.compare(fitted, data.rows.where(F.col("split") == "test")), features
+
+
+_GAP_FITS = f"{_SPLITS}, {_GAP_ROWS}, rows AS (SELECT splits.*, fe_1, fe_2, fe_3 FROM splits JOIN feats USING (Customer_ID)), fits AS (SELECT {_gap_fit_sql(_SHARES)} FROM rows WHERE split = 'train')"
+_GAP_COMPARED = (
+    f"{_GAP_FITS}, scored AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{m}' AS dataset, {cut}::double AS threshold, label, {_gap_score_sql(names)} AS score FROM rows, fits WHERE split = 'test'"
+        for m, (names, cut) in _GAPS.items()
+    )
+    + f"), decided AS (SELECT *, CASE WHEN score >= threshold THEN 1 ELSE 0 END AS prediction FROM scored), {_RATED_SQL},"
+    " wide AS (SELECT rated.*, threshold FROM rated JOIN (SELECT DISTINCT dataset, threshold FROM decided) USING (dataset))"
+)
+_REGISTERED = [
+    "threshold", "tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "f1_score", "sample_size", "auc", "gini", "average_precision",
+]
+
+
+@query(
+    "mdl_registry_values",
+    f"WITH {_GAP_COMPARED} "
+    + " UNION ALL ".join(f"SELECT dataset AS model, '{m}' AS metric, round({m}::double, 6) AS value FROM wide" for m in _REGISTERED),
+)
+def registry_values(spark, sf_dir):
+    """Every metric of two candidates on the test rows, at each one's own threshold."""
+    return models.registry(_gap_candidates(spark, sf_dir)[1]).withColumn("value", F.round("value", 6))
+
+
+@query(
+    "mdl_best_model_values",
+    f"WITH {_GAP_COMPARED} SELECT dataset AS best_model, round(f1_score, 6) AS best_score, 'f1' AS best_metric, threshold FROM wide ORDER BY f1_score DESC, dataset LIMIT 1",
+)
+def best_model_values(spark, sf_dir):
+    best = models.best_model(_gap_candidates(spark, sf_dir)[1])
+    return best.withColumn("best_score", F.round("best_score", 6))
+
+
+_GAP_SCORED = f"""WITH {_GAP_FITS} SELECT Customer_ID, snapshot_date, 'gap_1' AS model_name, round({_gap_score_sql(_SHARES)}, 6) AS model_predictions
+ FROM panel JOIN feats USING (Customer_ID), fits"""
+
+
+def _gap_scored(spark, sf_dir, *snapshot):
+    (model, _), _, features = _gap_candidates(spark, sf_dir)
+    scored = scoring.score_snapshots(model, features, *snapshot)
+    return scored.withColumn("model_predictions", F.round("model_predictions", 6))
+
+
+@query("scr_snapshot_values", f"{_GAP_SCORED} WHERE snapshot_date = DATE '{_DATE}'")
+def score_snapshot_values(spark, sf_dir):
+    return _gap_scored(spark, sf_dir, _DATE)
+
+
+@query("scr_backfill_values", _GAP_SCORED)
+def score_backfill_values(spark, sf_dir):
+    """The scores themselves, of every snapshot in one job."""
+    return _gap_scored(spark, sf_dir)
 
 
 # weights of the fixed linear scorer below
