@@ -156,7 +156,7 @@ def test_median(spark, numbers, median):
 def test_median_is_exact_when_the_sketch_misses(spark):
     df = spark.range(1001).select((F.col("id") * 1.0).alias("x"))
     assert values(ordering.exact_medians(df, ["x"], accuracy=5), "median") == [500.0]
-    zone = ordering._middle_zone(600.0, 700.0, 1001, 600, 701)
+    zone = ordering.middle_zone(600.0, 700.0, 1001, 600, 701)
     assert zone == (float("-inf"), 700.0, 701, 500, 500)
 
 

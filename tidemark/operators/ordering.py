@@ -126,15 +126,14 @@ def exact_medians(
     columns: Sequence[str],
     accuracy: int = 10_000,
     brackets: Mapping[str, Sequence[float]] | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Exact interpolated median of each numeric column: rows ``(feature, median)``.
 
     Cheap scans instead of a sort: a quantile sketch brackets the middle of each column, and
     exact counts say whether the bracket really holds it (else the outer side is taken). Only the
     few values inside that zone are then ordered, so the result never depends on the sketch's
-    error. Two numbers and a few counts per column pass through the driver. ``brackets`` and
-    ``counted`` (see ``bracket`` and ``value_counts``) save their scan where the caller has them.
+    error. Two numbers and a few counts per column pass through the driver. ``brackets``
+    (see ``bracket``) save their scan where the caller has them.
     """
     columns = list(columns)
     wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
@@ -153,24 +152,21 @@ def exact_medians(
             for c in columns
         ]
     ).first()
-    zones = {c: _middle_zone(*brackets[c], **counts[c].asDict()) for c in columns}
+    zones = {c: middle_zone(*brackets[c], **counts[c].asDict()) for c in columns}
     # a zone of one value is the median itself
     known = [c for c in columns if zones[c].low == zones[c].high]
     open_ = {c: zones[c] for c in columns if c not in known}
     medians = [df.sparkSession.range(1).select(F.lit(c).alias("feature"), F.lit(float(zones[c].low)).alias("median")) for c in known]
     if open_:
-        medians.append(_ordered_medians(wide, open_, counted))
+        zoned = wide.select(*[F.when(F.col(c).between(z.low, z.high), F.col(c)).alias(c) for c, z in open_.items()])
+        medians.append(ordered_medians(open_, value_counts(zoned, list(open_))))
     return reduce(DataFrame.unionByName, medians)
 
 
-def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone], counted: DataFrame | None) -> DataFrame:
-    inside = {c: F.col("value").between(z.low, z.high) for c, z in zones.items()}
-    if counted is None:
-        zoned = wide.select(*[F.when(F.col(c).between(z.low, z.high), F.col(c)).alias(c) for c, z in zones.items()])
-        values = value_counts(zoned, list(zones))
-    else:
-        here = reduce(Column.__or__, [(F.col("feature") == c) & within for c, within in inside.items()])
-        values = counted.where(here)
+def ordered_medians(zones: dict[str, _Zone], counted: DataFrame) -> DataFrame:
+    """Median of each feature ``(feature, median)`` from counts that hold at least its zone's values."""
+    inside = [(F.col("feature") == c) & F.col("value").between(z.low, z.high) for c, z in zones.items()]
+    values = counted.where(reduce(Column.__or__, inside))
     ordered = running_totals(values, "value", ["n"], ["feature"])
     ranks = F.lit(None)
     for c, z in zones.items():
@@ -184,7 +180,8 @@ def _ordered_medians(wide: DataFrame, zones: dict[str, _Zone], counted: DataFram
     return ordered.groupBy("feature").agg(((at(0) + at(1)) / 2).alias("median"))
 
 
-def _middle_zone(low: float, high: float, n: int, below: int, upto: int) -> _Zone:
+def middle_zone(low: float, high: float, n: int, below: int, upto: int) -> _Zone:
+    """Where the two middle ranks of ``n`` rows lie, given the rows below ``low`` and up to ``high``."""
     first, second = (n - 1) // 2, n // 2
     if first < below:
         low, below = float("-inf"), 0

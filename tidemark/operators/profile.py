@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordering import bracket, exact_medians, value_counts
+from tidemark.operators.ordering import bracket, middle_zone, ordered_medians, value_counts
 from tidemark.operators.project import numeric_columns
 from tidemark.session import checkpointed
 from tidemark.settings import DATASET_ORDER, KEYS, MonitorRule
@@ -32,28 +33,66 @@ def _long(row: DataFrame, per_column: dict[str, Column]) -> DataFrame:
     return row.select(F.inline(F.array(*per_column.values())))
 
 
-def missing_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Per column: missing count and %, type, distinct non-null values, numeric or not."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    numeric = set(numeric_columns(df))
+def _listed(df: DataFrame, rows: dict[str, tuple], schema: str) -> DataFrame:
+    """A few known values per column as a frame of literals."""
+    fields = [f.split() for f in schema.split(", ")]
+    one = df.sparkSession.range(1)
+    structs = {c: F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for c, row in rows.items()}
+    return _long(one, structs)
+
+
+def _estimated_counts(df: DataFrame) -> DataFrame:
+    """``(feature, rows, filled, unique_values)`` by sketches, in one pass without a shuffle of values."""
     aggregates = [F.count(F.lit(1)).alias("__rows")]
     for c in df.columns:
-        aggregates += [F.count(known(df, c)).alias(f"__n_{c}"), distinct(known(df, c)).alias(f"__u_{c}")]
-    one = df.agg(*aggregates)
-    per_column = {}
-    for f in df.schema.fields:
-        missing = F.col("__rows") - F.col(f"__n_{f.name}")
-        per_column[f.name] = F.struct(
-            F.lit(f.name).alias("feature"),
-            missing.alias("missing_count"),
-            F.coalesce(F.try_divide(missing * 100, F.col("__rows")), F.lit(0.0)).alias(
-                "missing_percentage"
-            ),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.col(f"__u_{f.name}").alias("unique_values"),
-            F.lit(f.name in numeric).alias("is_numeric"),
+        aggregates += [F.count(known(df, c)).alias(f"__n_{c}"), F.approx_count_distinct(known(df, c)).alias(f"__u_{c}")]
+    per_column = {
+        c: F.struct(
+            F.lit(c).alias("feature"),
+            F.col("__rows").alias("rows"),
+            F.col(f"__n_{c}").alias("filled"),
+            F.col(f"__u_{c}").alias("unique_values"),
         )
-    return _long(one, per_column)
+        for c in df.columns
+    }
+    return _long(df.agg(*aggregates), per_column)
+
+
+def _exact_counts(df: DataFrame) -> DataFrame:
+    """``(feature, rows, filled, unique_values)``: values are counted per (feature, value), then per feature.
+
+    One pass; a row is repeated once per column with that column's value alone, in a slot of its type, and not
+    with all its columns, as one distinct count beside another asks for.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    slots = {t: f"__v{i}" for i, t in enumerate(dict.fromkeys(types.values()))}
+    cells = []
+    for c, its in types.items():
+        cells += [F.lit(c), *[known(df, c) if t == its else F.lit(None).cast(t) for t in slots]]
+    long = df.select(F.stack(F.lit(len(types)), *cells).alias("feature", *slots.values()))
+    per_value = long.groupBy("feature", *slots.values()).agg(F.count(F.lit(1)).alias("n"))
+    filled = F.coalesce(*[F.when(F.col(v).isNotNull(), F.col("n")) for v in slots.values()])
+    return per_value.groupBy("feature").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(filled), F.lit(0)).alias("filled"), F.count(filled).alias("unique_values")
+    )
+
+
+def missing_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """Per column: missing count and %, type, distinct non-null values, numeric or not."""
+    numeric = set(numeric_columns(df))
+    rows = {f.name: (f.name, f.dataType.simpleString(), f.name in numeric) for f in df.schema.fields}
+    columns = _listed(df, rows, "feature string, dtype string, is_numeric boolean")
+    counts = _estimated_counts(df) if approximate else _exact_counts(df)
+    none = F.lit(0).cast("long")
+    missing = F.col("rows") - F.col("filled")
+    return columns.join(counts, "feature", "left").select(
+        "feature",
+        F.coalesce(missing, none).alias("missing_count"),
+        F.coalesce(F.try_divide(missing * 100, F.col("rows")), F.lit(0.0)).alias("missing_percentage"),
+        "dtype",
+        F.coalesce("unique_values", none).alias("unique_values"),
+        "is_numeric",
+    )
 
 
 def modes(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
@@ -72,30 +111,85 @@ def most_frequent(counted: DataFrame) -> DataFrame:
     )
 
 
+MODE_BUCKETS = 512
+
+
+def _heavy_value(value: Column) -> Column:
+    """Aggregate: a value that is likely the most frequent, null where a sketch sees none."""
+    # nulls are items of the sketch too
+    top = F.call_function("approx_top_k", value, F.lit(2), F.lit(1_000))
+    return F.get(F.filter(F.transform(top, lambda t: t["item"]), lambda v: v.isNotNull()), F.lit(0))
+
+
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, exact median, mode and sample standard deviation of numeric columns.
 
-    Three scans: moments with a sketch of the middle, the counts around it, and the counts of all
-    values, which give both mode and median.
+    Three scans. The first gives moments, a bracket of the middle and a likely mode; the second counts
+    rows per bucket of the values' hashes, below and in the bracket, and equal to the likely mode. No value in a bucket
+    with fewer rows than that can be the mode, and no value outside the bracket the median, so the
+    third counts, and shuffles, only the others. Up to ``5 * MODE_BUCKETS`` counts per column reach the driver.
     """
     columns = list(columns)
-    values = {c: known(df, c).cast("double") for c in columns}
-    row = df.agg(
-        *[F.avg(v).alias(f"m_{c}") for c, v in values.items()],
-        *[F.stddev_samp(v).alias(f"s_{c}") for c, v in values.items()],
-        *[bracket(v).alias(f"b_{c}") for c, v in values.items()],
+    # -0.0 hashes like 0.0
+    wide = df.select(*[(known(df, c).cast("double") + 0.0).alias(c) for c in columns])
+    first = wide.agg(
+        *[
+            F.struct(
+                F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), bracket(F.col(c)).alias("bracket"), _heavy_value(F.col(c)).alias("heavy")
+            ).alias(c)
+            for c in columns
+        ]
     ).first()
-    counted = checkpointed(value_counts(df, columns))
-    spark = df.sparkSession
-    moments = spark.createDataFrame(
-        [(c, row[f"m_{c}"], row[f"s_{c}"]) for c in columns], "feature string, mean double, std double"
-    )
-    brackets = {c: row[f"b_{c}"] for c in columns}
-    return (
-        moments.join(exact_medians(df, columns, brackets=brackets, counted=counted), "feature", "left")
-        .join(most_frequent(counted), "feature", "left")
-        .select("feature", "mean", "median", "mode", "std")
-    )
+    found = [c for c in columns if first[c]["bracket"] is not None]
+    kept, zones, medians = {}, {}, {}
+    for c, counted in _bucket_counts(wide, {c: first[c] for c in found}).items():
+        zone = middle_zone(*first[c]["bracket"], sum(counted.values()), *[sum(n for k, n in counted.items() if k & bit) for bit in (4, 2)])
+        if zone.low == zone.high:
+            medians[c] = float(zone.low)
+        else:
+            zones[c] = zone
+        buckets: dict[int, int] = {}
+        for k, n in counted.items():
+            buckets[k >> 3] = buckets.get(k >> 3, 0) + n
+        hits = sum(n for k, n in counted.items() if k & 1)
+        likely = [k for k, n in buckets.items() if n >= hits]
+        keep = F.lit(True) if len(likely) == len(buckets) else _bucket(F.col(c)).isin(likely)
+        if c in zones:
+            keep = keep | F.col(c).between(zone.low, zone.high)
+        kept[c] = F.when(keep, F.col(c)).alias(c)
+    rows = {c: (c, first[c]["mean"], first[c]["std"], medians.get(c)) for c in columns}
+    moments = _listed(df, rows, "feature string, mean double, std double, known double")
+    if not found:
+        return moments.select("feature", "mean", F.col("known").alias("median"), F.lit(None).cast("double").alias("mode"), "std")
+    counted = checkpointed(value_counts(wide.select(*kept.values()), found))
+    out = moments.join(most_frequent(counted), "feature", "left")
+    median = F.col("known")
+    if zones:
+        out = out.join(ordered_medians(zones, counted), "feature", "left")
+        median = F.coalesce("known", "median")
+    return out.select("feature", "mean", median.alias("median"), "mode", "std")
+
+
+def _bucket(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(MODE_BUCKETS))
+
+
+def _bucket_counts(wide: DataFrame, seen: dict) -> dict[str, dict[int, int]]:
+    """Rows of each column per code: the bucket times 8, and 4 below the bracket, 2 up to its end, 1 the likely mode."""
+    codes = []
+    for c, s in seen.items():
+        low, high = s["bracket"]
+        value = F.col(c)
+        flags = F.when(value < low, 4).otherwise(0) + F.when(value <= high, 2).otherwise(0)
+        if s["heavy"] is not None:
+            flags = flags + F.when(value == s["heavy"], 1).otherwise(0)
+        codes.append(F.when(value.isNotNull(), _bucket(value) * 8 + flags).alias(c))
+    out: dict[str, dict[int, int]] = {c: {} for c in seen}
+    if codes:
+        long = wide.select(*codes).unpivot([], list(seen), "feature", "code").where("code IS NOT NULL")
+        for feature, code, n in long.groupBy("feature", "code").agg(F.count(F.lit(1))).collect():
+            out[feature][code] = n
+    return out
 
 
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
