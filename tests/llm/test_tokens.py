@@ -152,3 +152,21 @@ def test_repeated_and_missing_ids_are_all_written(spark, documents, edge_rows, t
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
     empty = documents([]).where("false")
     assert token_files.round_trip(empty, str(tmp_path / "none")).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_out_and_packed_once_each(spark):
+    """Nine in ten rows lack an id, most of them one row repeated."""
+    rows = [(None if i % 10 else i, "the same words" if i % 5 else f"words {i}") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    pieces = packing.checkpointed(packing.pieces_of(docs))
+    sizes = [r["count"] for r in packing.deal(pieces, 8).groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 300
+    got = packing.pack(docs).collect()
+    assert len(got) == 2_000
+    ends: dict[int, int] = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= packing.CAPACITY
+    total = sum(r.length for r in got)
+    assert len(ends) == -(-total // packing.CAPACITY)

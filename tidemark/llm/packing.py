@@ -5,8 +5,8 @@ by a table of at most ``capacity`` counts. The bins are planned from these count
 pieces then find their bin by their rank among pieces of the same length.
 
 Empty and null texts are documents of one end token. A null id is packed like any other; repeated
-rows are packed once each; which of several equally long pieces goes where follows the id and is
-free for equal ids. An empty table gives no rows.
+rows are packed once each; which of several equally long pieces goes where is
+free. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -165,6 +165,15 @@ def pieces_of(
     return map_batches(docs, ["doc_id", "text"], make, PIECES)
 
 
+def deal(pieces: DataFrame, parts: int) -> DataFrame:
+    """Add ``part``, by a row's place in the checkpointed frame.
+
+    The place is the same however often a task reads it, and even where many rows share an id, or are one
+    row repeated, which no hash of their columns could tell apart.
+    """
+    return pieces.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))
+
+
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -174,18 +183,18 @@ def pack(
     """Pieces of all documents with the sequence they go to and their place in it.
 
     Texts are encoded once and never shuffled. The driver gets one count per length, ``capacity``
-    rows at most. Pieces are ranked within their length without a window over it: a hash deals
-    them to as many parts as there are shuffle partitions, each part is ranked on its own and
+    rows at most. Pieces are ranked within their length without a window over it: they are dealt
+    to as many parts as there are shuffle partitions, each part is ranked on its own and
     starts after the parts before it.
     """
     spark = docs.sparkSession
     pieces = checkpointed(pieces_of(docs, capacity, tokenizer, end_id))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
+    dealt = deal(pieces, parts)
     counted = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     begins = counted.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    inside = W.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
+    inside = W.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = (
         dealt.withColumn("rank", F.row_number().over(inside) - 1)
         .join(begins, ["length", "part"])
