@@ -79,3 +79,55 @@ def test_function_words_say_nothing_of_other_languages():
     assert C.by_function_words(C.Page(finnish)) == C.NONE
     assert C.by_function_words(C.Page(prose(1))) == C.GOOD
     assert C.by_function_words(C.Page("the " + "buy pills cheap now " * 30)) == C.BAD
+
+
+def plain_em(votes, rounds):
+    """Brute force: expectation-maximisation text by text, one labeller at a time, in plain floats."""
+    labellers = range(len(votes[0]))
+    good, fires = C.GOOD_SHARE, [list(C.FIRES) for _ in labellers]
+    strength = C.PRIOR_SHARE * len(votes) + 1
+
+    def posterior(v):
+        likely = [1 - good, good]
+        for k in labellers:
+            for klass in (0, 1):
+                rate = fires[k][klass]
+                likely[klass] *= rate if v[k] == C.BAD else 1 - rate if v[k] == C.GOOD else 1.0
+        return likely[1] / (likely[0] + likely[1])
+
+    for _ in range(rounds):
+        q = [posterior(v) for v in votes]
+        new = []
+        for k in labellers:
+            rates = []
+            for klass in (0, 1):
+                mass = [x if klass else 1 - x for x in q]
+                hit = sum(m for m, v in zip(mass, votes) if v[k] == C.BAD)
+                seen = sum(m for m, v in zip(mass, votes) if v[k] != C.NONE)
+                rate = (hit + strength * C.FIRES[klass]) / (seen + strength)
+                rates.append(min(0.99, max(C.LEAST_FIRES, rate)))
+            new.append([max(rates), rates[1]])
+        good = min(0.99, max(0.05, (sum(q) + C.GOOD_SHARE * strength) / (len(votes) + strength)))
+        fires = new
+    return posterior
+
+
+def test_posteriors_equal_plain_em():
+    rng = np.random.default_rng(5)
+    fires = np.array([[0.6, 0.01], [0.5, 0.02], [0.3, 0.05], [0.7, 0.001]])
+    good = rng.random(1500) < 0.7
+    voted, fired = rng.random((1500, 4)) < 0.85, rng.random((1500, 4)) < fires[:, good.astype(int)].T
+    votes = ["".join(C.NONE if not x else C.BAD if y else C.GOOD for x, y in zip(v, b)) for v, b in zip(voted, fired)]
+    posterior = plain_em(votes, 60)
+    found = C.estimate({p: votes.count(p) for p in set(votes)}, rounds=60)
+    for pattern in set(votes):
+        assert found.posterior(pattern) == pytest.approx(posterior(pattern), abs=1e-6)
+
+
+def test_votes_are_counted_over_every_row(spark, documents, edge_rows):
+    rows = [*edge_rows, *[(100 + i, prose(i)) for i in range(30)]]
+    want = {}
+    for _, text in rows:
+        v = C.votes_of(C.Page(text))
+        want[v] = want.get(v, 0) + 1
+    assert C.vote_counts(documents(rows)) == want

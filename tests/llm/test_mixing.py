@@ -1,5 +1,8 @@
+import re
+
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -100,3 +103,50 @@ def test_a_target_of_zero_still_drops_a_value():
     cells = M.rake({("en",): 10.0, ("de",): 10.0, ("other",): 10.0}, {"lang": {"en": 1.0, "de": 0.0}}, 0.5)
     p = dict(zip(cells.names, cells.probability))
     assert p["de",] == 0 and p["en",] > 0 and p["other",] > 0
+
+
+def plain_fit(docs, targets, budget):
+    """Brute force: every document's probability raked one document at a time, and its draw by its own hash."""
+    cells = [{d: r[d] if r[d] in targets[d] else "other" for d in targets} for r in docs]
+    n = [r.n_tokens for r in docs]
+    p, total = [budget] * len(docs), budget * sum(n)
+    wanted = []
+    for d, named in targets.items():
+        there = {}
+        for c, k in zip(cells, n):
+            there[c[d]] = there.get(c[d], 0) + k
+        share = {v: named.get(v, 0.0) for v in there}
+        if "other" in there:
+            share["other"] = 1 - sum(named.values())
+            if share["other"] < 1e-9:  # nothing left open: the natural share
+                share["other"] = there["other"] / sum(n)
+                scale = (1 - share["other"]) / sum(x for v, x in share.items() if v != "other")
+                share = {v: x if v == "other" else x * scale for v, x in share.items()}
+        whole = sum(x for v, x in share.items() if there[v])
+        wanted += [(d, v, total * share[v] / whole) for v in there if there[v]]
+    for _ in range(400):
+        for d, v, tokens in wanted:
+            inside = [i for i, c in enumerate(cells) if c[d] == v]
+            factor = tokens / sum(n[i] * p[i] for i in inside)
+            for i in inside:
+                p[i] = min(1.0, p[i] * factor)
+    le = lambda x, size: x.to_bytes(size, "little", signed=True)
+    seed = xxhash.xxh64(le(7, 4), seed=42).intdigest()
+    return {r.doc_id: (q, (xxhash.xxh64(le(r.doc_id, 8), seed=seed).intdigest() >> 11) / 2**53) for r, q in zip(docs, p)}
+
+
+@pytest.mark.parametrize("budget", [0.8, 0.15])
+def test_probabilities_and_draws_equal_brute_force(spark, sf_dir, budget):
+    """The given documents under the production targets."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = M.weighted(docs, budget=budget).collect()
+    words = re.compile(r"[^\x20\x09-\x0D]+")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert [r.n_tokens for r in got] == [len(words.findall(texts[r.doc_id])) for r in got]
+    want = plain_fit(got, M.TARGETS, budget)
+    assert len(want) == len(got) == len(texts)
+    for r in got:
+        p, u = want[r.doc_id]
+        assert r.probability == pytest.approx(p, rel=1e-5, abs=1e-9)
+        if abs(u - p) > 1e-6:
+            assert r.sampled == (u < p)
