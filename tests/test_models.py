@@ -184,3 +184,27 @@ def test_decision_without_probabilities(spark):
     df = spark.createDataFrame([(0.5,), (0.69,), (0.7,)], "score double")
     assert [r.prediction for r in metrics.decide(df).collect()] == [0, 0, 1]
     assert [r.prediction for r in metrics.decide(df, probability=False).collect()] == [1, 1, 1]
+
+
+def _sizes(df):
+    return [n for n in df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+
+
+def test_rows_of_a_fit_are_dealt_to_all_cores(spark, data):
+    """Few rows with long passes: those a candidate is fitted on do not lie in one task, wherever they come from."""
+    cores = spark.sparkContext.defaultParallelism
+    fitted = []
+
+    class Estimator(models.LogisticRegression):
+        def fit(self, part):
+            fitted.append(_sizes(part))
+            return super().fit(part)
+
+    rows = data.train.coalesce(1)
+    wide = replace(models.candidate("logistic_regression"), estimator=lambda n: Estimator(), rows_a_task=40)
+    models.fit_candidate(wide, rows, data.features, data.scaler, calibrate=False)
+    n = rows.count()
+    tasks = min(cores, -(-n // 40))
+    assert tasks > 1 and len(fitted[0]) == tasks and max(fitted[0]) <= 1.5 * n / tasks
+    models.fit_candidate(replace(wide, rows_a_task=10**6), rows, data.features, data.scaler, calibrate=False)
+    assert fitted[1] == [n]

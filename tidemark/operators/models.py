@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics
 from tidemark.operators.impute import Imputer, read_imputer, save_imputer
 from tidemark.operators.scaling import Scaler
+from tidemark.session import dealt
 from tidemark.settings import DECISION_THRESHOLD, FOLDS, SEARCH_GRID, SEED
 
 
@@ -102,6 +103,8 @@ class Candidate:
     # slope that makes an uncalibrated margin a probability; None where there is no such margin
     slope: float | None = None
     params: dict = field(default_factory=dict)
+    # a pass over fewer rows takes less than another task does
+    rows_a_task: int = 500
 
 
 def candidates(**overrides: dict) -> list[Candidate]:
@@ -271,10 +274,11 @@ def fit_candidate(
         scaled = scaler.transform(train) if scaler else train
         fourier = fourier_map(scaled, features, spec.params["fourier_features"])
     kept = [label, *([fold] if calibrate else [])]
+    n = train.count()
     rows = with_class_weights(train, label) if spec.balanced else train.withColumn("weight", F.lit(1.0))
+    rows = dealt(rows.select(*kept, *features, "weight"), n, spec.rows_a_task)
     rows = _vectors(rows, features, scaler, fourier).select(*kept, "features", "weight").persist()
     try:
-        n = rows.count()
 
         def fit(part: DataFrame, size: int):
             estimator = spec.estimator(size)
@@ -320,7 +324,8 @@ def cross_validate(
     scored = None
     for k in range(folds):
         model = fit(df.where(F.col(outer) != k))
-        part = model.score(df.where(F.col(outer) == k)).select(outer, label, "score")
+        held_out = df.where(F.col(outer) == k)
+        part = model.score(dealt(held_out, held_out.count())).select(outer, label, "score")
         scored = part if scored is None else scored.unionByName(part)
     per_fold = rate(scored, [outer], threshold, label)
     names = {"auc": "auc", "f1": "f1_score", "precision": "precision", "recall": "recall"}
@@ -333,6 +338,7 @@ def cross_validate(
 def compare(models: Sequence[ScoringModel], test: DataFrame, label: str = "label") -> DataFrame:
     """Test metrics of each fitted model at its own threshold, one scan of ``test`` per model."""
     parts = []
+    test = dealt(test, test.count())
     for place, m in enumerate(models):
         scored = metrics.decide(m.score(test).select(label, "score"), "score", m.threshold)
         parts.append(
@@ -413,7 +419,8 @@ def random_search(
                 float(value) if spark_name == "minInfoGain" else value
             )
         maps.append(params)
-    rows = _vectors(train, features, None, None).select(label, fold, "features").persist()
+    rows = dealt(train.select(label, fold, *features), train.count())
+    rows = _vectors(rows, features, None, None).select(label, fold, "features").persist()
     try:
         search = CrossValidator(
             estimator=estimator,

@@ -13,7 +13,7 @@ from tidemark.operators.calendar import model_windows
 from tidemark.operators.impute import Imputer, fit_imputer
 from tidemark.operators.lookups import labelled
 from tidemark.operators.scaling import Scaler, fit_scaler
-from tidemark.session import checkpointed
+from tidemark.session import checkpointed, dealt
 from tidemark.settings import DECISION_THRESHOLD, KEYS, ImputeRule
 
 
@@ -105,5 +105,7 @@ def train_and_compare(
 
 def rate_splits(model: models.ScoringModel, data: Prepared) -> DataFrame:
     """Metrics of a model on the train, test and out-of-time rows."""
-    scored = model.score(data.rows).select("split", "label", "score")
+    # the metrics read the scores more than once
+    rows = dealt(data.rows, data.rows.count())
+    scored = checkpointed(model.score(rows).select("split", "label", "score"))
     return models.rate(scored, ["split"], model.threshold)

@@ -60,6 +60,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: the most rows of a few numbers that one task takes in each pass of a fit
+ROWS_A_TASK = 200_000
+
+
+def dealt(df: DataFrame, rows: int, worth: int = 1) -> DataFrame:
+    """The frame's ``rows`` rows dealt out evenly: to all cores, where ``worth`` rows are worth a task, or more.
+
+    Adaptive execution joins small partitions by bytes, so that a fit whose rows are few and whose passes are
+    long would run in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(min(cores, -(-rows // worth)), -(-rows // ROWS_A_TASK), 1))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the frame to the shared folder and cut its lineage."""
     context = df.sparkSession.sparkContext
