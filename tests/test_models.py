@@ -208,3 +208,9 @@ def test_rows_of_a_fit_are_dealt_to_all_cores(spark, data):
     assert tasks > 1 and len(fitted[0]) == tasks and max(fitted[0]) <= 1.5 * n / tasks
     models.fit_candidate(replace(wide, rows_a_task=10**6), rows, data.features, data.scaler, calibrate=False)
     assert fitted[1] == [n]
+
+
+def test_linear_fits_keep_few_rows_in_one_task():
+    """Their passes are short: a task more, and the second stage of its sums, costs more than it saves."""
+    size = {c.name: c.rows_a_task for c in models.candidates()}
+    assert size["svm"] == size["logistic_regression"] == 50_000 and size["random_forest"] == size["gradient_boosting"] == 500

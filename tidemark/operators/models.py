@@ -153,6 +153,7 @@ def candidates(**overrides: dict) -> list[Candidate]:
             balanced=True,
             slope=1.0,
             params=logistic,
+            rows_a_task=50_000,
         ),
         Candidate(
             "svm",
@@ -163,6 +164,7 @@ def candidates(**overrides: dict) -> list[Candidate]:
             balanced=True,
             kernel=True,
             params=svm,
+            rows_a_task=50_000,
         ),
     ]
 
