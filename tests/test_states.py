@@ -80,3 +80,10 @@ def test_only_states_are_shuffled(rows):
     edges = drift.reference_edges(rows, ["x", "k"], 10)
     text = states.snapshot_states(rows, ["x", "k"], edges)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and "partial_hll_sketch_agg" in text
+
+
+def test_a_bin_is_found_once_a_row(rows):
+    """Counting thirteen bins does not find a row's bin thirteen times."""
+    edges = {"x": [float(e) for e in range(1000, 1011)]}
+    plan = states.snapshot_states(rows, ["x"], edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("1005.0") == 1

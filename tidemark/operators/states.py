@@ -27,12 +27,17 @@ def snapshot_states(df: DataFrame, columns: Sequence[str], edges: Mapping[str, S
 
     ``edges`` are bin edges by column, as ``drift.reference_edges`` gives them; a column without has no bins.
     """
+    # a row's bin is found once, ahead of the counts that compare it: within them it would be found for each bin
+    inputs = []
     aggregates = [F.count(F.lit(1)).alias("__rows")]
     for k, c in enumerate(columns):
-        value = known(df, c).try_cast("double")
         bins = len(edges[c]) - 1 if c in edges else 0
         numbers = [*OUTSIDE, *range(1, bins + 1)] if bins else []
-        place = _bin(value, list(edges[c])) if bins else None
+        number = known(df, c).try_cast("double")
+        inputs += [number.alias(f"__v{k}"), known(df, c).cast("string").alias(f"__t{k}")]
+        if bins:
+            inputs.append(_bin(number, list(edges[c])).alias(f"__b{k}"))
+        value, place = F.col(f"__v{k}"), F.col(f"__b{k}")
         aggregates.append(
             F.struct(
                 F.count(value).alias("n"),
@@ -40,14 +45,14 @@ def snapshot_states(df: DataFrame, columns: Sequence[str], edges: Mapping[str, S
                 (F.var_pop(value) * F.count(value)).alias("m2"),
                 F.min(value).alias("low"),
                 F.max(value).alias("high"),
-                F.hll_sketch_agg(known(df, c).cast("string"), DISTINCT_BITS).alias("distinct_values"),
+                F.hll_sketch_agg(f"__t{k}", DISTINCT_BITS).alias("distinct_values"),
                 F.kll_sketch_agg_double(value, QUANTILE_K).alias("quantiles"),
                 F.array(
                     *[F.struct(F.lit(b).alias("bin"), F.count_if(place == b).alias("n")) for b in numbers]
                 ).cast("array<struct<bin:int,n:bigint>>").alias("bins"),
             ).alias(f"__s{k}")
         )
-    wide = df.groupBy(SNAPSHOT).agg(*aggregates)
+    wide = df.select(SNAPSHOT, *inputs).groupBy(SNAPSHOT).agg(*aggregates)
     rows = [
         F.struct(F.lit(c).alias("feature"), F.col("__rows").alias("rows"), F.col(f"__s{k}").alias("s"))
         for k, c in enumerate(columns)
