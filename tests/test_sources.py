@@ -327,3 +327,24 @@ def test_only_changed_months_are_built_again(spark, tmp_path):
     assert changed == {("gold/label_store", "2024-01-01"), ("gold/label_store", "2024-02-01")}
     datamart.backfill(spark, {"loans": raw}, root, "2024-02-01", "2024-02-01", datamart.LabelRule(dpd=60))
     assert {k[1] for k, v in state().items() if first[k] != v and k[0] == "bronze/loans"} == {"2024-02-01"}
+
+
+def test_clean_rows_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Landed text is packed; cleaning reads its files of a month each and deals no row out again."""
+    sources = _sources(tmp_path)
+    plans, write, bound = {}, commits.write_version, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def recorded(df, path, *args):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        plans[path.removeprefix(f"{tmp_path}/mart/")] = (args[2:] == (True,), "Exchange" in plan)
+        return write(df, path, *args)
+
+    monkeypatch.setattr(commits, "write_version", recorded)
+    datamart.backfill(spark, sources, f"{tmp_path}/mart", "2023-07-01", "2023-08-01")
+    silver = {p: how for p, how in plans.items() if p.startswith("silver/")}
+    assert len(silver) == len(sources) and set(silver.values()) == {(True, False)}
+    assert not any(by_month for p, (by_month, _) in plans.items() if p not in silver)
+    for entity in sources:
+        landed, clean_files = (list((tmp_path / "mart" / at / entity).rglob("part-*")) for at in ("bronze", "silver"))
+        assert landed and all(f.name.endswith(".csv.gz") for f in landed) and len(clean_files) <= len(landed)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == bound

@@ -65,7 +65,7 @@ def _dates(months: dict[str, dict]) -> list[date]:
     return [date.fromisoformat(m) for m in months if m != commits.NO_DATE]
 
 
-def _stage(spark, path: str, inputs: dict[str, str], months: Months, only_changed: bool, build, rule: str = "") -> None:
+def _stage(spark, path: str, inputs: dict[str, str], months: Months, only_changed: bool, build, rule: str = "", by_month: bool = False) -> None:
     """Build the months of a table, or those that changed, by ``build(months)``."""
     made = _made_from(spark, inputs, months, rule)
     if only_changed:
@@ -73,7 +73,7 @@ def _stage(spark, path: str, inputs: dict[str, str], months: Months, only_change
         if not made:
             return
         months = _dates(made)
-    write_snapshots(build(months), path, months=months, notes={MADE_FROM: made})
+    write_snapshots(build(months), path, months=months, notes={MADE_FROM: made}, by_month=by_month)
 
 
 def bronze(
@@ -111,7 +111,8 @@ def silver(
             return clean.SILVER[entity](read_bronze(spark, root, entity, months))
 
         inputs = {"bronze": f"{root}/bronze/{entity}"}
-        _stage(spark, f"{root}/silver/{entity}", inputs, months, only_changed, build)
+        # cleaning goes row by row over files of a month each
+        _stage(spark, f"{root}/silver/{entity}", inputs, months, only_changed, build, by_month=True)
 
 
 def gold_labels(

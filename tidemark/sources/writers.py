@@ -22,17 +22,19 @@ def write_snapshots(
     months: Iterable | None = None,
     key: str | None = None,
     notes: Mapping | None = None,
+    by_month: bool = False,
 ) -> None:
     """Publish the rows by snapshot: a snapshot in ``df`` replaces the old one, others stay.
 
     ``months`` are the snapshots that are being rebuilt: one of them without rows in ``df`` is cleared. With a
     ``key`` the rows are added to their snapshots instead, once however often that is tried. All that a
-    call changes becomes visible in one step; ``notes`` are kept with it.
+    call changes becomes visible in one step; ``notes`` are kept with it. Rows that come ``by_month`` from files
+    of a snapshot each are not shuffled.
     """
     if key is not None:
         commits.add_once(df, path, key, max_records_per_file)
     else:
-        commits.replace_months(df, path, months or (), fmt, max_records_per_file, dict(notes or {}))
+        commits.replace_months(df, path, months or (), fmt, max_records_per_file, dict(notes or {}), by_month=by_month)
 
 
 def write_compact(
