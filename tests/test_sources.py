@@ -348,3 +348,13 @@ def test_clean_rows_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
         landed, clean_files = (list((tmp_path / "mart" / at / entity).rglob("part-*")) for at in ("bronze", "silver"))
         assert landed and all(f.name.endswith(".csv.gz") for f in landed) and len(clean_files) <= len(landed)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == bound
+
+
+def test_raw_files_of_the_datamart_queries_are_packed(spark, sf_dir, tmp_path):
+    from tidemark.catalog import sources as queries
+
+    path = queries._land(spark, sf_dir, str(tmp_path), "loans")["loans"]
+    files = list((tmp_path / "raw" / "loans").glob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    rows = readers.read_csv(spark, path, schemas.RAW["loans"])
+    assert rows.count() == queries.S.loans(spark, sf_dir).count()

@@ -223,7 +223,7 @@ def _land(spark, sf_dir, folder, *entities):
             *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
         )
         paths[entity] = f"{folder}/raw/{entity}"
-        full.write.option("header", True).option("escape", '"').csv(paths[entity])
+        full.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(paths[entity])
     return paths
 
 
